@@ -10,7 +10,6 @@ from orderloom.catalog.core import query
 from orderloom.functions import dates, rules, text
 from orderloom.session import new_folder
 from orderloom.sources import topics
-from orderloom.sources.snapshots import SnapshotTable
 from orderloom.streaming import changes, idempotency, metrics, outbox, ranges, readmodel
 
 EVENTS_END = "2024-01-31 00:00:00"
@@ -111,12 +110,11 @@ def _(t):
 
 @query("v4_apply_stream", STATE_SQL)
 def _(t):
-    """The log as a stream into a versioned table, batch by batch."""
+    """The log as a stream into a table, batch by batch."""
     root = new_folder(t.spark, "apply")
-    table = SnapshotTable(t.spark, f"{root}/table")
     empty = log_of(t).limit(0).select("user_id", "value", "k")
-    stream = log_of(t, event_stream(t))
-    changes.start_apply(stream, table, ["user_id"], empty, f"{root}/checkpoint").awaitTermination()
+    table = changes.change_table(t.spark, f"{root}/table", ["user_id"], empty)
+    table.run(log_of(t, event_stream(t)), f"{root}/checkpoint")
     return table.read()
 
 
@@ -497,16 +495,9 @@ def _(t):
 def _(t):
     """Totals per user kept up to date batch by batch."""
     root = new_folder(t.spark, "totals")
-    table = SnapshotTable(t.spark, f"{root}/table")
     measures = {"events": F.count(F.lit(1)), "amount": total(money("value"))}
-    (
-        event_stream(t)
-        .writeStream.foreachBatch(readmodel.totals_writer(table, ["user_id"], measures))
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    table = readmodel.totals_table(t.spark, f"{root}/table", ["user_id"], measures)
+    table.run(event_stream(t), f"{root}/checkpoint")
     return table.read()
 
 

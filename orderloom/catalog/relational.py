@@ -906,8 +906,7 @@ def _(t):
 )
 def _(t):
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    month = F.date_trunc("month", "o_orderdate")
-    numbered = windows.numbered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], month, row_number="rn")
+    numbered = windows.numbered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderdate"), row_number="rn")
     return numbered.select("o_orderkey", "o_custkey", "rn")
 
 
@@ -942,10 +941,9 @@ def units_sold(t) -> DataFrame:
     """,
 )
 def _(t):
-    """Ranks over the whole product list, blocked by spans of units sold."""
-    sold = units_sold(t).withColumn("_most", -F.col("units"))
-    ranked = windows.numbered(sold, [], ["_most"], F.floor(F.col("_most") / 64), rank="rnk", dense_rank="dense")
-    return ranked.drop("_most")
+    """Ranks over the whole product list."""
+    ranked = ranking.with_ranks(units_sold(t), "units", "product", rank="rnk", dense_rank="dense")
+    return ranked.select("product", "units", "rnk", "dense")
 
 
 @query("n3_ntile", UNITS_SQL + "SELECT product, units, CAST(NTILE(4) OVER (ORDER BY units DESC, product) AS INTEGER) AS quartile FROM sold")
@@ -961,12 +959,11 @@ def _(t):
     """,
 )
 def _(t):
-    day = F.date_trunc("day", "ts")
     before = windows.previous(
         t.events.select("event_id", "user_id", "ts", "value"),
         ["user_id"],
         ["ts", "event_id"],
-        day,
+        F.date_trunc("hour", "ts"),
         {"event_id": "prev_event", "value": "prev_value"},
     )
     return before.select("event_id", "user_id", "prev_event", "prev_value")
@@ -1002,9 +999,8 @@ def _(t):
 )
 def _(t):
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", money("o_totalprice").alias("amount"))
-    month = F.date_trunc("month", "o_orderdate")
     summed = windows.running(
-        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], month, {"running_total": F.col("amount")}
+        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderdate"), {"running_total": F.col("amount")}
     )
     return summed.select("o_orderkey", "o_custkey", F.col("running_total").cast("decimal(20,2)").alias("running_total"))
 
@@ -1020,7 +1016,7 @@ def _(t):
     """Default frame over the whole table: orders of one day share their total."""
     orders = t.orders.select("o_orderkey", "o_orderdate", money("o_totalprice").alias("amount"))
     month = F.date_trunc("month", "o_orderdate")
-    summed = windows.running(orders, [], ["o_orderdate"], month, {"so_far": F.col("amount")}, peers=True)
+    summed = windows.running_with_peers(orders, [], ["o_orderdate"], month, {"so_far": F.col("amount")})
     return summed.select("o_orderkey", F.col("so_far").cast("decimal(20,2)").alias("so_far"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.operators.skew import join_one_per_key
 from orderloom.session import cut
 
 # monotonically_increasing_id keeps the partition above bit 33 and the row below.
@@ -50,6 +51,14 @@ def _at_or_after(order: list[tuple[str, bool]], values) -> Column:
     return beyond | ((column == value) & _at_or_after(rest, values[1:]))
 
 
+def _sum(terms: list[Column]) -> Column:
+    """Added up in halves: hundreds of terms in a row would nest too deep for the optimizer."""
+    if len(terms) == 1:
+        return terms[0]
+    middle = len(terms) // 2
+    return _sum(terms[:middle]) + _sum(terms[middle:])
+
+
 def with_ntile(df: DataFrame, order: list[tuple[str, bool]], tiles: int, name: str) -> DataFrame:
     """Adds NTILE(``tiles``) over a total order of non-null columns; ``True`` marks descending.
 
@@ -67,10 +76,28 @@ def with_ntile(df: DataFrame, order: list[tuple[str, bool]], tiles: int, name: s
             wanted.append((part << ROW_BITS) + waiting.pop(0) - seen)
         seen += rows
     found = stored.filter(F.col("_pos").isin(wanted)).orderBy("_pos").collect() if wanted else []
-    score = F.lit(1)
-    for row in found:
-        score = score + _at_or_after(order, [row[c] for c, _ in order]).cast("int")
-    return df.withColumn(name, score)
+    passed = [_at_or_after(order, [row[c] for c, _ in order]).cast("int") for row in found]
+    return df.withColumn(name, _sum([F.lit(1), *passed]))
+
+
+def with_ranks(
+    df: DataFrame,
+    value: str,
+    tie: str,
+    descending: bool = True,
+    row_number: str = "row_number",
+    rank: str = "rank",
+    dense_rank: str = "dense_rank",
+) -> DataFrame:
+    """Adds ROW_NUMBER, RANK and DENSE_RANK over the whole table, whatever the spread of ``value``.
+
+    The row number is the position in the sorted table. Tied rows share the
+    smallest of theirs, and the distinct values have a position of their own.
+    """
+    by = F.col(value).desc() if descending else F.col(value).asc()
+    placed = with_position(df, [by, F.col(tie)], row_number)
+    values = placed.groupBy(value).agg(F.min(row_number).alias(rank))
+    return join_one_per_key(placed, with_position(values, [by], dense_rank), [value])
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rn") -> DataFrame:

@@ -100,9 +100,9 @@ def moved_fraction(df: DataFrame, before: Column, after: Column) -> DataFrame:
 def write_sharded(df: DataFrame, shard: Column, path: str, name: str = "shard") -> None:
     """Directory per shard; a filter on the shard column then reads that directory only.
 
-    Rows of one shard are written by several tasks, so a large shard is no bottleneck.
+    The rebalance hint gathers a shard's rows, and splits a large shard over tasks.
     """
-    df.withColumn(name, shard).write.mode("overwrite").partitionBy(name).parquet(path)
+    df.withColumn(name, shard).hint("rebalance", name).write.mode("overwrite").partitionBy(name).parquet(path)
 
 
 def split_shard(spark: SparkSession, path: str, old, shard: Column, into: str, name: str = "shard") -> None:

@@ -1,13 +1,15 @@
 """Window calculations that do not need a whole key in one task.
 
 A plain window moves every row of a key to one task, and an un-keyed one moves the
-whole table there. Here the rows of a key are split into blocks along the order
-(a day, a month, a span of numbers). Blocks are summed up first, which is a small
-aggregate with map-side combining; what the earlier blocks of a key add up to
+whole table there. Here the rows of a hot key (see ``skew``) are split into blocks
+along the order: a day, an hour, a span of numbers. Blocks are summed up first, a
+small aggregate with map-side combining; what the earlier blocks of a key add up to
 then enters each block as one extra leading row, and the window itself runs per
-(key, block). The rows are shuffled once and nothing is joined back.
+(key, block). Rows are shuffled once and nothing is joined back. Keys that are not
+hot form one block each, which is the plain window.
 
 ``block`` must be non-decreasing in the order and equal for rows that tie on it.
+It only decides how finely hot keys are split; choose it fine.
 """
 
 from __future__ import annotations
@@ -15,46 +17,73 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.operators.skew import HOT_ROWS, hot_keys, join_one_per_key, mark_hot
+
 LEAD, ROW = 0, 1
 
 
-def _blocked(df: DataFrame, block: Column) -> DataFrame:
-    return df.withColumn("_block", block).withColumn("_kind", F.lit(ROW))
+def _blocked(df: DataFrame, keys: list[str], block: Column, hot_rows: int) -> DataFrame:
+    """Adds ``_block``, NULL for keys that are not split, and ``_kind``."""
+    if not keys:
+        return df.withColumns({"_block": block, "_kind": F.lit(ROW)})
+    marked = mark_hot(df, hot_keys(df, keys, hot_rows), keys)
+    split = F.when(F.col("_shares").isNotNull(), block)
+    return marked.withColumns({"_block": split, "_kind": F.lit(ROW)}).drop("_shares")
+
+
+def _split_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter("_block IS NOT NULL")
 
 
 def _earlier(keys: list[str]):
     return Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _lead_in(rows: DataFrame, carry: DataFrame) -> DataFrame:
+def _with_lead(rows: DataFrame, carry: DataFrame) -> DataFrame:
     return rows.unionByName(carry.withColumn("_kind", F.lit(LEAD)), allowMissingColumns=True)
 
 
+def _within_block(keys: list[str], order: list[str]):
+    return Window.partitionBy(*keys, "_block").orderBy("_kind", *order)
+
+
 def running(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     block: Column,
     sums: dict[str, Column],
-    peers: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Adds running sums ``name -> value`` along ``order`` within ``keys``.
-
-    ``peers=True`` includes all rows tied with the current one (the SQL default
-    frame); otherwise the frame ends at the current row.
-    """
-    rows = _blocked(df.select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()]), block)
-    totals = rows.groupBy(*keys, "_block").agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums])
+    """Adds running sums ``name -> value`` along ``order`` within ``keys``, up to the current row."""
+    valued = df.select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()])
+    rows = _blocked(valued, keys, block, hot_rows)
+    totals = _split_rows(rows).groupBy(*keys, "_block").agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums])
     carry = totals.select(*keys, "_block", *[F.sum(f"_v_{n}").over(_earlier(keys)).alias(f"_v_{n}") for n in sums])
-    window = Window.partitionBy(*keys, "_block").orderBy("_kind", *order)
-    frame = window.rangeBetween if peers else window.rowsBetween
-    window = frame(Window.unboundedPreceding, Window.currentRow)
-    summed = _lead_in(rows, carry).select(
+    window = _within_block(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = _with_lead(rows, carry).select(
         *df.columns, "_kind", *[F.sum(f"_v_{n}").over(window).alias(n) for n in sums]
     )
     return summed.filter(F.col("_kind") == ROW).drop("_kind")
 
 
+def running_with_peers(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    block: Column,
+    sums: dict[str, Column],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Like ``running`` with SQL's default frame: rows tied on ``order`` share their sum.
+
+    Ties are added up first, so the window only sees one row per value.
+    """
+    per_value = df.groupBy(*keys, *order).agg(*[F.sum(v).alias(f"_t_{n}") for n, v in sums.items()])
+    summed = running(per_value, keys, order, block, {n: F.col(f"_t_{n}") for n in sums}, hot_rows)
+    return join_one_per_key(df, summed.select(*keys, *order, *sums), [*keys, *order], hot_rows=hot_rows)
+
+
 def numbered(
     df: DataFrame,
     keys: list[str],
@@ -63,48 +92,55 @@ def numbered(
     row_number: str | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds ROW_NUMBER, RANK and DENSE_RANK along ascending ``order`` within ``keys``."""
-    rows = _blocked(df, block)
-    values = rows.groupBy(*keys, "_block", *order).agg(F.count(F.lit(1)).alias("_n"))
+    rows = _blocked(df, keys, block, hot_rows)
+    values = _split_rows(rows).groupBy(*keys, "_block", *order).agg(F.count(F.lit(1)).alias("_n"))
     totals = values.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"))
     before = _earlier(keys)
+    # The leading row takes a number of its own in the block, hence the -1.
     carry = totals.select(
         *keys,
         "_block",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_d"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - 1).alias("_n"),
+        (F.coalesce(F.sum("_d").over(before), F.lit(0)) - 1).alias("_d"),
     )
-    window = Window.partitionBy(*keys, "_block").orderBy("_kind", *order)
+    window = _within_block(keys, order)
     opening = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows_before, values_before = F.first("_n").over(opening), F.first("_d").over(opening)
-    # The leading row takes number 1 in its block, hence the -1.
+    rows_before = F.coalesce(F.first("_n").over(opening), F.lit(0))
+    values_before = F.coalesce(F.first("_d").over(opening), F.lit(0))
     wanted = {
-        row_number: rows_before + F.row_number().over(window) - 1,
-        rank: rows_before + F.rank().over(window) - 1,
-        dense_rank: values_before + F.dense_rank().over(window) - 1,
+        row_number: rows_before + F.row_number().over(window),
+        rank: rows_before + F.rank().over(window),
+        dense_rank: values_before + F.dense_rank().over(window),
     }
-    ranked = _lead_in(rows, carry).select(
+    ranked = _with_lead(rows, carry).select(
         *df.columns, "_kind", *[c.cast("long").alias(n) for n, c in wanted.items() if n]
     )
     return ranked.filter(F.col("_kind") == ROW).drop("_kind")
 
 
 def previous(
-    df: DataFrame, keys: list[str], order: list[str], block: Column, columns: dict[str, str]
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    block: Column,
+    columns: dict[str, str],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds the values of the row before (LAG 1): ``column -> output name``.
 
     ``order`` must be unique within a key.
     """
     picked = F.struct(*[F.col(c) for c in columns])
-    rows = _blocked(df.withColumn("_now", picked), block)
-    totals = rows.groupBy(*keys, "_block").agg(F.max_by("_now", F.struct(*order)).alias("_now"))
+    rows = _blocked(df.withColumn("_now", picked), keys, block, hot_rows)
+    totals = _split_rows(rows).groupBy(*keys, "_block").agg(F.max_by("_now", F.struct(*order)).alias("_now"))
     carry = totals.select(
         *keys, "_block", F.lag("_now").over(Window.partitionBy(*keys).orderBy("_block")).alias("_now")
     )
-    window = Window.partitionBy(*keys, "_block").orderBy("_kind", *order)
-    lagged = _lead_in(rows, carry).select(*df.columns, "_kind", F.lag("_now").over(window).alias("_row_before"))
+    before = F.lag("_now").over(_within_block(keys, order)).alias("_row_before")
+    lagged = _with_lead(rows, carry).select(*df.columns, "_kind", before)
     return lagged.filter(F.col("_kind") == ROW).select(
         *df.columns, *[F.col(f"_row_before.{c}").alias(out) for c, out in columns.items()]
     )
@@ -124,7 +160,7 @@ def sliding(
     one, so that a block sees all it looks back on. ``aggregates`` are plain
     aggregate columns such as ``F.sum("x")``.
     """
-    span = max(seconds, block_seconds or 12 * seconds)
+    span = max(seconds, block_seconds or 8 * seconds)
     micros = F.unix_micros(F.col(at).cast("timestamp"))
     block = F.floor(micros / (span * 1_000_000))
     closes = (block + 1) * (span * 1_000_000)
@@ -140,11 +176,13 @@ def sliding(
     return seen.filter(F.col("_own") == F.col("_block")).drop("_own", "_block")
 
 
-def with_total(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:
+def with_total(
+    df: DataFrame, keys: list[str], totals: dict[str, Column], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Adds per-key aggregates to every row: aggregate first, then one join back.
 
-    The aggregate combines on the map side and the join may be split on a hot
-    key, neither of which a window over the key allows. Keys must not be NULL.
+    The aggregate combines on the map side and the join splits hot keys, neither
+    of which a window over the key does. Keys must not be NULL.
     """
     per_key = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    return df.join(per_key, keys)
+    return join_one_per_key(df, per_key, keys, hot_rows=hot_rows)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from orderloom.bindings import total
 from orderloom.functions import dates
 from orderloom.operators import windows
-from orderloom.operators.ranking import with_ntile
+from orderloom.operators.ranking import with_ntile, with_ranks
+from orderloom.session import cut
 
 
 def _by_day(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -159,7 +160,7 @@ def month_over_month(orders: DataFrame) -> DataFrame:
 def customer_ranking(orders: DataFrame) -> DataFrame:
     """Per order: rank by value within the customer, running spend, total and share."""
     base = orders.select("order_nk", "customer_nk", "total_amount", "created_at")
-    span = F.floor(-F.col("total_amount") / 25_000)
+    span = F.floor(-F.col("total_amount") / 100)
     ranked = windows.numbered(
         base.withColumn("_most", -F.col("total_amount")),
         ["customer_nk"],
@@ -167,9 +168,12 @@ def customer_ranking(orders: DataFrame) -> DataFrame:
         span,
         row_number="rank_in_customer",
     ).drop("_most")
-    month = F.date_trunc("month", "created_at")
     summed = windows.running(
-        ranked, ["customer_nk"], ["created_at", "order_nk"], month, {"cumulative_spend": F.col("total_amount")}
+        ranked,
+        ["customer_nk"],
+        ["created_at", "order_nk"],
+        F.date_trunc("day", "created_at"),
+        {"cumulative_spend": F.col("total_amount")},
     )
     whole = windows.with_total(summed, ["customer_nk"], {"customer_total": total("total_amount")})
     share = F.try_divide(F.col("total_amount").cast("double"), F.col("customer_total").cast("double")) * 100
@@ -186,13 +190,9 @@ def customer_ranking(orders: DataFrame) -> DataFrame:
 
 def product_ranking(lines: DataFrame, tiles: int = 4) -> DataFrame:
     """Units per product with row number, rank, dense rank and tile over all products."""
-    sold = lines.groupBy("product_nk").agg(F.sum("quantity").alias("units_sold"))
+    sold = cut(lines.groupBy("product_nk").agg(F.sum("quantity").alias("units_sold")), "units-sold")
     tiled = with_ntile(sold, [("units_sold", True), ("product_nk", False)], tiles, "quartile")
-    tiled = tiled.withColumn("_most", -F.col("units_sold"))
-    block = F.floor(F.col("_most") / 64)
-    placed = windows.numbered(tiled, [], ["_most", "product_nk"], block, row_number="row_num")
-    ranked = windows.numbered(placed, [], ["_most"], block, rank="rank_num", dense_rank="dense_rank_num")
-    return ranked.drop("_most")
+    return with_ranks(tiled, "units_sold", "product_nk", True, "row_num", "rank_num", "dense_rank_num")
 
 
 def daily_revenue(lines: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from orderloom.functions import dates, rules
 from orderloom.functions.keys import surrogate_key
 from orderloom.functions.text import clean_email
-from orderloom.operators.merge import upsert
 from orderloom.operators.ranking import with_position
+from orderloom.session import cut
+from orderloom.sources.snapshots import WatermarkStore
+from orderloom.sources.tables import merge_partitions, write_by
 
 UNKNOWN = "-1"
 # Payment methods with names, and whether they are paid online.
@@ -280,8 +282,6 @@ def daily_sales(lines: DataFrame) -> DataFrame:
 
 def refresh_daily_sales(lines: DataFrame, day: str, path: str) -> None:
     """Recomputes one day and replaces that day's directory only."""
-    from orderloom.sources.tables import write_by
-
     write_by(daily_sales(lines.filter(F.col("order_date") == F.lit(day).cast("date"))), path, "date_key")
 
 
@@ -328,20 +328,26 @@ def incremental(source: DataFrame, column: str, mark: dt.datetime | None, lookba
 
 
 def incremental_load(
-    spark: SparkSession, name: str, source: DataFrame, column: str, keys: list[str], table, marks, lookback_days: int = 3
-) -> int:
-    """One run of an incremental model: read behind the mark, upsert, move the mark."""
-    from orderloom.session import cut
-
-    rows = incremental(source, column, marks.get(name), lookback_days)
-    rows = cut(rows, f"load-{name}")
+    name: str,
+    source: DataFrame,
+    column: str,
+    keys: list[str],
+    path: str,
+    partition: str,
+    marks: WatermarkStore,
+    lookback_days: int = 3,
+) -> bool:
+    """One run of an incremental model: read behind the mark, upsert, then move the mark.
+
+    Only the partitions of the rows read are rewritten. False if there was nothing to load.
+    """
+    rows = cut(incremental(source, column, marks.get(name), lookback_days), f"load-{name}")
     newest = rows.agg(F.max(column).alias("newest")).first().newest
     if newest is None:
-        return 0
-    merged = upsert(table.read(), rows, keys, latest_by=[column]) if table.exists() else rows
-    version = table.replace(merged)
+        return False
+    merge_partitions(rows, path, keys, partition, latest_by=[column])
     marks.put(name, newest)
-    return version
+    return True
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

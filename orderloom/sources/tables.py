@@ -7,8 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from orderloom.functions.dates import between_half_open
+from orderloom.operators.merge import latest_per_key, upsert
+from orderloom.session import cut
 
 
 def scan(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -46,16 +49,44 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def write_by(df: DataFrame, path: str, column: str, value: Column | None = None) -> None:
-    """Directory per ``column`` value; only the directories present in ``df`` are replaced."""
+    """Directory per ``column`` value; only the directories present in ``df`` are replaced.
+
+    Rows are gathered by value first, or every task would leave a file in every
+    directory; the rebalance hint splits values too large for one task.
+    """
     rows = df if value is None else df.withColumn(column, value)
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", column)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
     )
 
 
+def merge_partitions(
+    rows: DataFrame, path: str, keys: list[str], partition: str, latest_by: list[str] | None = None
+) -> None:
+    """Upserts ``rows`` into a partitioned table, rewriting only the partitions they touch.
+
+    A key must always fall into the same partition (a date or month that never
+    changes). The merged rows are written aside first, since a directory cannot be
+    replaced while it is read. ``rows`` must already be cut from what they came from.
+    """
+    spark = rows.sparkSession
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        write_by(latest_per_key(rows, keys, latest_by) if latest_by else rows, path, partition)
+        return
+    # Partition values, not rows: as many as days or months in the load.
+    touched = [row[0] for row in rows.select(partition).distinct().collect()]
+    held = stored.filter(F.col(partition).isin(touched))
+    write_by(cut(upsert(held, rows, keys, latest_by=latest_by), "merged"), path, partition)
+
+
 def file_row_count(spark: SparkSession, path: str) -> int:
     """Rows of a Parquet table; Spark answers a bare count from the file footers."""
     return spark.read.option("aggregatePushdown", "true").parquet(path).count()

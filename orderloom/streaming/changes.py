@@ -7,12 +7,12 @@ keys stay as flagged rows, so that an older change arriving late cannot revive t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from orderloom.operators.merge import latest_per_key
-from orderloom.sources.snapshots import SnapshotTable
+from orderloom.sources.batches import BatchTable
 
 META = ["op", "ts_ms", "pos"]
 STATE_META = ["is_deleted", "ts_ms", "pos"]
@@ -203,34 +203,21 @@ def replay(
     return live_rows(apply_changes(snapshot, log_between(log, stop=stop, column=column), keys))
 
 
-def table_writer(target: SnapshotTable, keys: list[str], empty: DataFrame):
-    """A ``foreachBatch`` function that applies change rows to a versioned table.
+def change_table(spark: SparkSession, path: str, keys: list[str], empty: DataFrame) -> BatchTable:
+    """A table kept up to date from a stream of change rows; ``empty`` has its columns.
 
-    The version is tagged with the batch id; a batch run again after a failure is
-    recognised. ``empty`` gives the state's columns before the first batch.
+    Each batch leaves the last change per key it saw.
     """
 
-    def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        if target.exists() and target.tag() == str(batch_id):
-            return
-        state = target.read() if target.exists() else as_state(empty)
-        target.replace(apply_changes(state, batch, keys), tag=str(batch_id))
+    def fold(base: DataFrame | None, batches: DataFrame | None) -> DataFrame:
+        state = as_state(empty) if base is None else base
+        return state if batches is None else apply_changes(state, batches, keys)
 
-    return apply_batch
-
-
-def start_apply(changes: DataFrame, target: SnapshotTable, keys: list[str], empty: DataFrame, checkpoint: str):
-    """Streams change rows into the table; the position is committed after each batch."""
-    return (
-        changes.writeStream.foreachBatch(table_writer(target, keys, empty))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return BatchTable(spark, path, lambda batch: latest_image(batch, keys), fold)
 
 
 def dead_letter_writer(path: str, good):
-    """A ``foreachBatch`` function: unreadable messages go to ``path``, the rest to ``good``.
+    """A ``foreachBatch`` function: unreadable messages go to ``path``, change rows to ``good``.
 
     The folder is named by batch, so a batch run again replaces its own dead letters.
     """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from orderloom.operators.skew import join_one_per_key
 from orderloom.session import cut
 
 DAY_SECONDS = 24 * 3600
@@ -25,7 +26,7 @@ def first_results(requests: DataFrame, key: str, at: str, tie: str, request_hash
     opening = requests.groupBy(key).agg(
         F.min_by(F.struct(at, tie, request_hash), F.struct(at, tie)).alias("_first")
     )
-    joined = requests.join(opening, key)
+    joined = join_one_per_key(requests, opening, [key])
     age = F.col(at).cast("timestamp").cast("double") - F.col(f"_first.{at}").cast("timestamp").cast("double")
     verdict = (
         F.when((F.col(at) == F.col(f"_first.{at}")) & (F.col(tie) == F.col(f"_first.{tie}")), "first")
@@ -58,7 +59,7 @@ def settle_requests(
             .when(F.col(request_hash) != F.col(f"_first.{request_hash}"), "mismatch")
             .otherwise("replay")
         )
-        marked = cut(rest.join(opening, key).select(*columns, verdict.alias("verdict")), "requests")
+        marked = cut(join_one_per_key(rest, opening, [key]).select(*columns, verdict.alias("verdict")), "requests")
         judged.append(marked.filter("verdict IS NOT NULL"))
         rest = marked.filter("verdict IS NULL").select(*columns)
         if rest.isEmpty():

@@ -28,7 +28,7 @@ DEFAULT_RULES = [
 ]
 
 
-def counter_increase(samples: DataFrame, series: list[str], at: str, value: str, tie: str, block: str = "day") -> DataFrame:
+def counter_increase(samples: DataFrame, series: list[str], at: str, value: str, tie: str, block: str = "hour") -> DataFrame:
     """Adds ``increase`` since the sample before; a drop means the counter began again at zero."""
     stepped = previous(samples, series, [at, tie], F.date_trunc(block, F.col(at)), {value: "_before"})
     step = F.when(F.col(value) >= F.col("_before"), F.col(value) - F.col("_before")).when(
@@ -38,7 +38,7 @@ def counter_increase(samples: DataFrame, series: list[str], at: str, value: str,
 
 
 def counter_rate(
-    samples: DataFrame, series: list[str], at: str, value: str, tie: str, seconds: int, block: str = "day"
+    samples: DataFrame, series: list[str], at: str, value: str, tie: str, seconds: int, block: str = "hour"
 ) -> DataFrame:
     """Adds the increase over the last ``seconds`` and its rate per second at each sample."""
     stepped = counter_increase(samples, series, at, value, tie, block)
@@ -84,7 +84,7 @@ def breaches(samples: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def held(
-    states: DataFrame, series: list[str], at: str, tie: str, broken: str, hold: Column, block: str = "day"
+    states: DataFrame, series: list[str], at: str, tie: str, broken: str, hold: Column, block: str = "hour"
 ) -> DataFrame:
     """Stretches in which ``broken`` held without a break for at least ``hold`` seconds.
 

@@ -2,28 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.operators.merge import additive_upsert
-from orderloom.sources.snapshots import SnapshotTable
+from orderloom.sources.batches import BatchTable
 
 
-def totals_writer(target: SnapshotTable, keys: list[str], measures: dict[str, Column]):
-    """A ``foreachBatch`` function that adds each batch's sums to a table.
+def totals_table(spark: SparkSession, path: str, keys: list[str], measures: dict[str, Column]) -> BatchTable:
+    """Sums per key over all events of a stream. ``measures`` must be sums or counts."""
 
-    Adding is not repeatable by itself: a version is tagged with its batch id, and
-    the batch that produced the current version is not added again.
-    """
+    def fold(base: DataFrame | None, batches: DataFrame | None) -> DataFrame:
+        if base is None or batches is None:
+            parts = batches if base is None else base
+        else:
+            parts = base.unionByName(batches)
+        sums = [F.sum(n).cast(parts.schema[n].dataType).alias(n) for n in measures]
+        return parts.groupBy(*keys).agg(*sums)
 
-    def add_batch(batch: DataFrame, batch_id: int) -> None:
-        if target.exists() and target.tag() == str(batch_id):
-            return
-        sums = batch.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
-        merged = additive_upsert(target.read(), sums, keys, list(measures)) if target.exists() else sums
-        target.replace(merged, tag=str(batch_id))
+    def sums_of(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
 
-    return add_batch
+    return BatchTable(spark, path, sums_of, fold)
 
 
 def window_counts(events: DataFrame, key: str, at: str, width: str, late: str | None = None) -> DataFrame:
