@@ -16,7 +16,7 @@ from orderloom.operators.hierarchy import descend
 from orderloom.operators.merge import update_where
 from orderloom.operators.scd import scd2_initial, scd2_merge
 from orderloom.plans.marts import customer_summary
-from orderloom.plans.warehouse import date_series, days_covering, dim_date, sales_lines
+from orderloom.plans.warehouse import days_covering, dim_date, sales_by_order, sales_lines
 from orderloom.session import new_folder
 from orderloom.sources import tables as files
 
@@ -430,10 +430,10 @@ def dim_customer(t) -> DataFrame:
     """,
 )
 def _(t):
-    """Revenue is added up per customer before it meets the dimension."""
-    lines = sales_lines(t.delivered_orders, t.shop_items)
-    per_customer = lines.groupBy("customer_nk").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("net_revenue").alias("net")
+    """Revenue is added up per order, then per customer, before it meets the dimension."""
+    sales = sales_by_order(t.delivered_orders, t.shop_items)
+    per_customer = sales.groupBy("customer_nk").agg(
+        F.sum("line_count").alias("n"), F.sum("net_revenue").alias("net")
     )
     current = dim_customer(t).filter("is_current").select("customer_nk", "segment", "country")
     return per_customer.join(current, "customer_nk").groupBy("segment", "country").agg(
@@ -773,9 +773,9 @@ def _(t):
     """,
 )
 def _(t):
-    lines = sales_lines(t.delivered_orders, t.shop_items)
+    sales = sales_by_order(t.delivered_orders, t.shop_items)
     rate = F.try_divide(F.sum("discount_amount").cast("double"), F.sum("gross_revenue").cast("double"))
-    return lines.groupBy("order_source").agg(F.round(rate, 6).alias("discount_rate"))
+    return sales.groupBy("order_source").agg(F.round(rate, 6).alias("discount_rate"))
 
 
 @query(

@@ -10,7 +10,7 @@ from orderloom.catalog.relational import dim_customer
 from orderloom.functions import dates
 from orderloom.operators import joins
 from orderloom.plans import marts, reports
-from orderloom.plans.warehouse import days_covering, dim_date, sales_lines
+from orderloom.plans.warehouse import date_series, dim_date, sales_by_order, sales_lines
 
 MONTH_VI = "'Tháng ' || month(order_date)"
 
@@ -19,8 +19,13 @@ def lines_of(t):
     return sales_lines(t.delivered_orders, t.shop_items)
 
 
+def sales_of(t):
+    return sales_by_order(t.delivered_orders, t.shop_items)
+
+
 def calendar_of(t):
-    return dim_date(days_covering(t.orders, "o_orderdate"))
+    """A hundred years, so that no scan is needed to find the first and the last day."""
+    return dim_date(date_series(t.spark, "1970-01-01", "2069-12-31"))
 
 
 @query(
@@ -34,7 +39,7 @@ def calendar_of(t):
     """,
 )
 def r1(t):
-    return reports.monthly_revenue(lines_of(t), calendar_of(t))
+    return reports.monthly_revenue(sales_of(t), calendar_of(t))
 
 
 @query(
@@ -48,7 +53,7 @@ def r1(t):
     """,
 )
 def _(t):
-    return reports.monthly_by_customer(lines_of(t), calendar_of(t), t.located_customers)
+    return reports.monthly_by_customer(sales_of(t), calendar_of(t), t.located_customers)
 
 
 @query(
@@ -77,7 +82,7 @@ def _(t):
     """,
 )
 def _(t):
-    return reports.revenue_by_segment(lines_of(t), dim_customer(t))
+    return reports.revenue_by_segment(sales_of(t), dim_customer(t))
 
 
 @query(
@@ -92,7 +97,7 @@ def _(t):
 def _(t):
     """A customer registers with the first order, delivered or not."""
     joined_on = t.orders.groupBy(F.col("o_custkey").alias("customer_nk")).agg(F.min("o_orderdate").alias("joined_on"))
-    return reports.registration_cohorts(lines_of(t), joined_on)
+    return reports.registration_cohorts(sales_of(t), joined_on)
 
 
 @query(
@@ -259,7 +264,7 @@ def _(t):
     """,
 )
 def _(t):
-    return reports.daily_revenue(lines_of(t))
+    return reports.daily_revenue(sales_of(t))
 
 
 @query(
@@ -285,7 +290,7 @@ def _(t):
     """,
 )
 def _(t):
-    return reports.monthly_customer_totals(lines_of(t), t.located_customers)
+    return reports.monthly_customer_totals(sales_of(t), t.located_customers)
 
 
 @query(
@@ -325,7 +330,7 @@ def _(t):
     """,
 )
 def _(t):
-    return reports.effective_discount(lines_of(t))
+    return reports.effective_discount(sales_of(t))
 
 
 @query(
@@ -337,7 +342,7 @@ def _(t):
     """,
 )
 def _(t):
-    return reports.revenue_by_year(lines_of(t), calendar_of(t))
+    return reports.revenue_by_year(sales_of(t), calendar_of(t))
 
 
 @query(

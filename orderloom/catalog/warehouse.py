@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orderloom.bindings import AS_OF, FIRST_LOAD, SECOND_LOAD, money, total
 from orderloom.catalog.core import DIM_CUSTOMER_CTE, LINES_CTE, PLACES_CTE, SNAPSHOTS_CTE, query
 from orderloom.catalog.relational import dim_customer
-from orderloom.catalog.reports import calendar_of, lines_of
+from orderloom.catalog.reports import calendar_of, lines_of, sales_of
 from orderloom.functions import dates, rules
 from orderloom.functions.keys import surrogate_key
 from orderloom.operators import merge, quality, scd
@@ -463,7 +463,7 @@ RFM_SQL = f"""
 
 @query("w19_rfm_segments", RFM_SQL)
 def _(t):
-    measures = marts.rfm_measures(lines_of(t), "customer_nk", dates.instant(AS_OF))
+    measures = marts.rfm_measures(sales_of(t), "customer_nk", dates.instant(AS_OF))
     scored = marts.rfm_segments(measures, "customer_nk")
     names = t.customer.select(F.col("c_custkey").alias("customer_nk"), F.col("c_name").alias("full_name"))
     return scored.join(names, "customer_nk").select(

@@ -24,8 +24,8 @@ def _sorted_cut(df: DataFrame, order: list[Column | str]) -> tuple[DataFrame, li
     return stored, sorted((row.part, row.n) for row in sizes.collect())
 
 
-def with_position(df: DataFrame, order: list[Column | str], name: str = "position") -> DataFrame:
-    """Adds the 1-based position in the total order (an un-keyed ROW_NUMBER)."""
+def _placed(df: DataFrame, order: list[Column | str], name: str) -> tuple[DataFrame, int]:
+    """The rows with their position, and how many there are."""
     stored, sizes = _sorted_cut(df, order)
     starts, seen = [], 0
     for part, rows in sizes:
@@ -33,12 +33,23 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
         seen += rows
     offsets = df.sparkSession.createDataFrame(starts, "_part long, _start long")
     position = F.col("_start") + F.col("_pos").bitwiseAND((1 << ROW_BITS) - 1) + 1
-    return (
-        stored.withColumn("_part", F.shiftright("_pos", ROW_BITS))
-        # One row per sorted partition, whatever the table holds.
-        .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, position.alias(name))
-    )
+    # One row per sorted partition, whatever the table holds.
+    placed = stored.withColumn("_part", F.shiftright("_pos", ROW_BITS)).join(F.broadcast(offsets), "_part")
+    return placed.select(*df.columns, position.alias(name)), seen
+
+
+def with_position(df: DataFrame, order: list[Column | str], name: str = "position") -> DataFrame:
+    """Adds the 1-based position in the total order (an un-keyed ROW_NUMBER)."""
+    return _placed(df, order, name)[0]
+
+
+def tile_at(position: Column, total: int, tiles: int) -> Column:
+    """NTILE of a position: the first ``total % tiles`` tiles hold one row more."""
+    small, larger = divmod(total, tiles)
+    wide = larger * (small + 1)
+    early = F.floor((position - 1) / (small + 1)) + 1
+    late = F.floor((position - 1 - wide) / max(small, 1)) + 1 + larger
+    return F.when(position <= wide, early).otherwise(late).cast("int")
 
 
 def _at_or_after(order: list[tuple[str, bool]], values) -> Column:
@@ -88,16 +99,19 @@ def with_ranks(
     row_number: str = "row_number",
     rank: str = "rank",
     dense_rank: str = "dense_rank",
+    tiles: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Adds ROW_NUMBER, RANK and DENSE_RANK over the whole table, whatever the spread of ``value``.
+    """Adds ROW_NUMBER, RANK, DENSE_RANK and NTILEs (``name -> tiles``) over the whole table.
 
-    The row number is the position in the sorted table. Tied rows share the
-    smallest of theirs, and the distinct values have a position of their own.
+    The row number is the position in the sorted table and tells the tile. Tied
+    rows share the smallest of theirs, and the distinct values have a position of
+    their own. No assumption is made on how ``value`` is spread.
     """
     by = F.col(value).desc() if descending else F.col(value).asc()
-    placed = with_position(df, [by, F.col(tie)], row_number)
+    placed, total = _placed(df, [by, F.col(tie)], row_number)
     values = placed.groupBy(value).agg(F.min(row_number).alias(rank))
-    return join_one_per_key(placed, with_position(values, [by], dense_rank), [value])
+    ranked = join_one_per_key(placed, with_position(values, [by], dense_rank), [value])
+    return ranked.withColumns({n: tile_at(F.col(row_number), total, k) for n, k in (tiles or {}).items()})
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rn") -> DataFrame:

@@ -11,20 +11,13 @@ from orderloom.operators.ranking import with_ntile
 from orderloom.session import cut
 
 
-def rfm_measures(lines: DataFrame, customer: str, as_of: Column) -> DataFrame:
-    """Recency, frequency and monetary value per customer.
-
-    Lines are first reduced to orders; a customer with very many lines is thus
-    thinned out before being counted.
-    """
-    per_order = lines.groupBy(customer, "order_nk").agg(
-        F.sum("gross_revenue").alias("amount"), F.max("order_date").alias("day")
-    )
-    measured = per_order.groupBy(customer).agg(
+def rfm_measures(sales: DataFrame, customer: str, as_of: Column) -> DataFrame:
+    """Recency, frequency and monetary value per customer, from one row per order."""
+    measured = sales.groupBy(customer).agg(
         F.count(F.lit(1)).alias("frequency"),
-        total("amount").alias("monetary"),
-        F.max("day").alias("last_order_date"),
-        F.min("day").alias("first_order_date"),
+        total("gross_revenue").alias("monetary"),
+        F.max("order_date").alias("last_order_date"),
+        F.min("order_date").alias("first_order_date"),
     )
     return measured.withColumn("recency_days", F.datediff(as_of, "last_order_date"))
 

@@ -1,5 +1,6 @@
-"""Reports over sales lines, orders and dimensions.
+"""Reports.
 
+``sales`` has one row per delivered order, ``lines`` one per line of them.
 Everything a report needs per customer, product or day is added up before the
 dimension joins, so that the joins see one row per key.
 """
@@ -12,12 +13,11 @@ from pyspark.sql import functions as F
 from orderloom.bindings import total
 from orderloom.functions import dates
 from orderloom.operators import windows
-from orderloom.operators.ranking import with_ntile, with_ranks
-from orderloom.session import cut
+from orderloom.operators.ranking import with_ranks
 
 
-def _by_day(lines: DataFrame, keys: list[str]) -> DataFrame:
-    return lines.groupBy("order_date", *keys).agg(
+def _by_day(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy("order_date", *keys).agg(
         F.sum("gross_revenue").alias("gross"),
         F.sum("net_revenue").alias("net"),
         F.sum("quantity").alias("units"),
@@ -31,19 +31,16 @@ def _with_calendar(df: DataFrame, calendar: DataFrame, columns: list[str]) -> Da
     return df.join(days, "order_date")
 
 
-def monthly_revenue(lines: DataFrame, calendar: DataFrame) -> DataFrame:
+def monthly_revenue(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Gross, net, orders and customers per month.
 
-    Distinct orders and customers are found by grouping, first to one row per
-    order and month: a busy month is spread over its orders.
+    Distinct customers are found by grouping, first to one row per customer and
+    month: a busy month is spread over its customers.
     """
-    dated = _with_calendar(lines, calendar, ["year", "month", "month_name_vi"])
     months = ["year", "month", "month_name_vi"]
-    per_order = dated.groupBy(*months, "customer_nk", "order_nk").agg(
-        F.sum("gross_revenue").alias("gross"), F.sum("net_revenue").alias("net")
-    )
-    per_customer = per_order.groupBy(*months, "customer_nk").agg(
-        F.sum("gross").alias("gross"), F.sum("net").alias("net"), F.count(F.lit(1)).alias("orders")
+    dated = _with_calendar(_by_day(sales, ["customer_nk"]), calendar, months)
+    per_customer = dated.groupBy(*months, "customer_nk").agg(
+        F.sum("gross").alias("gross"), F.sum("net").alias("net"), F.sum("n").alias("orders")
     )
     return (
         per_customer.groupBy(*months)
@@ -57,9 +54,9 @@ def monthly_revenue(lines: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def monthly_by_customer(lines: DataFrame, calendar: DataFrame, customers: DataFrame) -> DataFrame:
+def monthly_by_customer(sales: DataFrame, calendar: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue per month and customer with Vietnamese column names."""
-    dated = _with_calendar(_by_day(lines, ["customer_nk"]), calendar, ["year", "month", "month_name_vi"])
+    dated = _with_calendar(_by_day(sales, ["customer_nk"]), calendar, ["year", "month", "month_name_vi"])
     summed = dated.groupBy("year", "month", "month_name_vi", "customer_nk").agg(
         total("gross").alias("doanh_thu_gop"),
         total("net").alias("doanh_thu_thuan"),
@@ -98,9 +95,11 @@ def monthly_by_category(lines: DataFrame, calendar: DataFrame, products: DataFra
     )
 
 
-def revenue_by_segment(lines: DataFrame, customers: DataFrame) -> DataFrame:
+def revenue_by_segment(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers, revenue and mean line revenue per segment of the current dimension rows."""
-    per_customer = lines.groupBy("customer_nk").agg(F.sum("net_revenue").alias("net"), F.count(F.lit(1)).alias("n"))
+    per_customer = sales.groupBy("customer_nk").agg(
+        F.sum("net_revenue").alias("net"), F.sum("line_count").alias("n")
+    )
     current = customers.filter("is_current").select("customer_nk", "segment")
     return (
         per_customer.join(current, "customer_nk")
@@ -113,9 +112,9 @@ def revenue_by_segment(lines: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def registration_cohorts(lines: DataFrame, joined_on: DataFrame) -> DataFrame:
+def registration_cohorts(sales: DataFrame, joined_on: DataFrame) -> DataFrame:
     """Active customers and revenue per month of registration; ``joined_on`` has (customer_nk, joined_on)."""
-    per_customer = lines.groupBy("customer_nk").agg(F.sum("gross_revenue").alias("gross"))
+    per_customer = sales.groupBy("customer_nk").agg(F.sum("gross_revenue").alias("gross"))
     return (
         per_customer.join(joined_on, "customer_nk")
         .groupBy(dates.month_label(F.col("joined_on")).alias("registration_month"))
@@ -190,13 +189,14 @@ def customer_ranking(orders: DataFrame) -> DataFrame:
 
 def product_ranking(lines: DataFrame, tiles: int = 4) -> DataFrame:
     """Units per product with row number, rank, dense rank and tile over all products."""
-    sold = cut(lines.groupBy("product_nk").agg(F.sum("quantity").alias("units_sold")), "units-sold")
-    tiled = with_ntile(sold, [("units_sold", True), ("product_nk", False)], tiles, "quartile")
-    return with_ranks(tiled, "units_sold", "product_nk", True, "row_num", "rank_num", "dense_rank_num")
+    sold = lines.groupBy("product_nk").agg(F.sum("quantity").alias("units_sold"))
+    return with_ranks(
+        sold, "units_sold", "product_nk", True, "row_num", "rank_num", "dense_rank_num", {"quartile": tiles}
+    )
 
 
-def daily_revenue(lines: DataFrame) -> DataFrame:
-    per_customer = lines.groupBy("order_date", "customer_nk").agg(
+def daily_revenue(sales: DataFrame) -> DataFrame:
+    per_customer = sales.groupBy("order_date", "customer_nk").agg(
         F.sum("gross_revenue").alias("gross"), F.sum("net_revenue").alias("net")
     )
     return per_customer.groupBy(dates.date_key(F.col("order_date")).alias("date_key")).agg(
@@ -216,11 +216,13 @@ def sales_by_category(lines: DataFrame, calendar: DataFrame, products: DataFrame
     )
 
 
-def monthly_customer_totals(lines: DataFrame, customers: DataFrame) -> DataFrame:
-    """Delivered revenue and distinct orders per month and customer, from orders, lines and customers."""
-    per_order = lines.groupBy("customer_nk", "order_date", "order_nk").agg(F.sum("net_revenue").alias("net"))
-    monthly = per_order.groupBy(dates.month_label(F.col("order_date")).alias("month"), "customer_nk").agg(
-        total("net").alias("total_revenue"), F.count(F.lit(1)).alias("order_count")
+def monthly_customer_totals(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Delivered revenue and orders per month and customer, from orders, lines and customers.
+
+    An order counts once, however many lines it has.
+    """
+    monthly = sales.groupBy(dates.month_label(F.col("order_date")).alias("month"), "customer_nk").agg(
+        total("net_revenue").alias("total_revenue"), F.count(F.lit(1)).alias("order_count")
     )
     return (
         monthly.join(customers.select("customer_nk", "full_name"), "customer_nk", "left")
@@ -240,15 +242,15 @@ def recent_large_pending(orders: DataFrame, customers: DataFrame, as_of, hours:
     )
 
 
-def effective_discount(lines: DataFrame) -> DataFrame:
+def effective_discount(sales: DataFrame) -> DataFrame:
     rate = F.try_divide(F.sum("discount_amount").cast("double"), F.sum("gross_revenue").cast("double"))
-    return lines.agg(F.round(rate, 6).alias("effective_discount_rate"))
+    return sales.agg(F.round(rate, 6).alias("effective_discount_rate"))
 
 
-def revenue_by_year(lines: DataFrame, calendar: DataFrame) -> DataFrame:
+def revenue_by_year(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Year taken from the calendar, after adding up per day."""
     return (
-        _with_calendar(_by_day(lines, []), calendar, ["year"])
+        _with_calendar(_by_day(sales, []), calendar, ["year"])
         .groupBy("year")
         .agg(total("gross").alias("gross_revenue"), F.sum("units").alias("units"))
     )

@@ -89,13 +89,15 @@ def test_ntile_of_nothing(rows):
 
 
 def test_position_and_ranks(rows):
-    actual = ranking.with_ranks(rows.drop("k"), "v", "id")
+    actual = ranking.with_ranks(rows.drop("k"), "v", "id", tiles={"t7": 7, "t900": 900})
     w = Window.orderBy(F.desc("v"))
     expected = (
         rows.drop("k")
         .withColumn("row_number", F.row_number().over(Window.orderBy(F.desc("v"), "id")))
         .withColumn("rank", F.rank().over(w))
         .withColumn("dense_rank", F.dense_rank().over(w))
+        .withColumn("t7", F.ntile(7).over(Window.orderBy(F.desc("v"), "id")))
+        .withColumn("t900", F.ntile(900).over(Window.orderBy(F.desc("v"), "id")))
     )
     same(actual, expected)
 
