@@ -2,7 +2,7 @@
 
 Orders, lines, products and customers come from the order tables; change logs,
 outbox rows, counters and requests from the event table. Money is doubles with
-two decimals there and becomes decimals here, before anything is added up.
+two decimals there; here it becomes whole cents or decimals, before anything is added up.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import rules
+from orderloom.functions.amounts import cents, discount_cents, from_cents
 
 STATUS_OF_CODE = {"F": "delivered", "P": "pending", "O": "processing"}
 # The day the second customer snapshot was taken, and the first one.
@@ -27,11 +28,6 @@ def money(column: Column | str, digits: int = 14) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast(f"decimal({digits},2)")
 
 
-def total(column: Column | str, digits: int = 20) -> Column:
-    """Sum of a money column, as a fixed type."""
-    return F.sum(column).cast(f"decimal({digits},2)")
-
-
 class Tables:
     """Lazily opened tables of one data folder, raw and as shop entities."""
 
@@ -62,6 +58,7 @@ class Tables:
             F.col("o_custkey").alias("customer_nk"),
             rules.lookup(F.col("o_orderstatus"), STATUS_OF_CODE).alias("order_status"),
             money("o_totalprice").alias("total_amount"),
+            cents("o_totalprice").alias("amount_cents"),
             F.col("o_orderpriority").alias("order_source"),
             F.col("o_orderdate").alias("created_at"),
             F.col("o_orderdate").alias("updated_at"),
@@ -74,6 +71,7 @@ class Tables:
             F.col("o_orderkey").alias("order_nk"),
             F.col("o_custkey").alias("customer_nk"),
             money("o_totalprice").alias("total_amount"),
+            cents("o_totalprice").alias("amount_cents"),
             F.col("o_orderpriority").alias("order_source"),
             F.col("o_orderdate").alias("created_at"),
         )
@@ -82,6 +80,8 @@ class Tables:
     def shop_items(self) -> DataFrame:
         """Order lines. The table has no key of its own: it gets a hash of the whole row."""
         gross, rate = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)")
+        gross_cents = cents("l_extendedprice")
+        off_cents = discount_cents(gross_cents, F.col("l_discount"))
         quantity = F.col("l_quantity").cast("long")
         return self.lineitem.select(
             F.md5(
@@ -105,8 +105,10 @@ class Tables:
             F.col("l_suppkey").alias("supplier_nk"),
             quantity.alias("quantity"),
             F.round(gross / quantity, 2).cast("decimal(12,2)").alias("unit_price"),
+            gross_cents.alias("gross_cents"),
+            off_cents.alias("discount_cents"),
             gross.alias("gross_revenue"),
-            F.round(gross * rate, 2).cast("decimal(14,2)").alias("discount_amount"),
+            from_cents(off_cents).alias("discount_amount"),
             F.col("l_shipdate").alias("shipped_at"),
             F.col("l_returnflag").alias("return_flag"),
             F.col("l_linestatus").alias("line_status"),

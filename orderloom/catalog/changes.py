@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
-from orderloom.bindings import money, total
+from orderloom.bindings import money
 from orderloom.catalog.core import query
-from orderloom.functions import dates, rules, text
+from orderloom.functions import dates, rules
+from orderloom.functions.amounts import cents, from_cents, total_cents
 from orderloom.session import new_folder
 from orderloom.sources import topics
 from orderloom.streaming import changes, idempotency, metrics, outbox, ranges, readmodel
@@ -352,7 +353,7 @@ def _(t):
     first = rows.filter(arrived < dates.instant(STOP_AT))
     mark = first.agg(F.max("ts").alias("m")).first().m
     loaded = upsert(first, incremental(rows, "ts", mark, lookback_days=3), ["event_id"])
-    return loaded.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), total("value").alias("amount"))
+    return loaded.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), total_cents(cents("value")).alias("amount"))
 
 
 # ---- metrics -----------------------------------------------------------------
@@ -366,7 +367,7 @@ inc AS (SELECT *, CASE WHEN before IS NULL THEN NULL WHEN value >= before THEN v
 
 
 def counters_of(t):
-    return t.events.select("event_id", "event_type", "ts", money("value").alias("value"))
+    return t.events.select("event_id", "event_type", "ts", cents("value").alias("value"))
 
 
 @query(
@@ -380,7 +381,7 @@ def counters_of(t):
 def _(t):
     """Increase over the last hour of each event type's value, read as a counter that may restart."""
     rated = metrics.counter_rate(counters_of(t), ["event_type"], "ts", "value", "event_id", 3600)
-    return rated.select("event_id", F.col("increase_in_range").cast("decimal(20,2)").alias("increase_in_range"))
+    return rated.select("event_id", from_cents("increase_in_range", 20).alias("increase_in_range"))
 
 
 @query(
@@ -393,7 +394,7 @@ def _(t):
 def _(t):
     stepped = metrics.counter_increase(counters_of(t), ["event_type"], "ts", "value", "event_id")
     summed = metrics.tumbling_increase(stepped, ["event_type"], "ts", "1 hour")
-    return summed.select("event_type", "window_start", F.col("increase").cast("decimal(20,2)").alias("increase"))
+    return summed.select("event_type", "window_start", from_cents("increase", 20).alias("increase"))
 
 
 @query(
@@ -495,7 +496,7 @@ def _(t):
 def _(t):
     """Totals per user kept up to date batch by batch."""
     root = new_folder(t.spark, "totals")
-    measures = {"events": F.count(F.lit(1)), "amount": total(money("value"))}
+    measures = {"events": F.count(F.lit(1)), "amount": total_cents(cents("value"))}
     table = readmodel.totals_table(t.spark, f"{root}/table", ["user_id"], measures)
     table.run(event_stream(t), f"{root}/checkpoint")
     return table.read()

@@ -7,15 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.bindings import AS_OF, money, total
+from orderloom.bindings import money
 from orderloom.catalog.core import DIM_CUSTOMER_CTE, LINES_CTE, PLACES_CTE, query
 from orderloom.functions import dates, rules
+from orderloom.functions.amounts import cents, from_cents, total_cents
 from orderloom.functions.text import masked_email
 from orderloom.operators import joins, paging, ranking, windows
 from orderloom.operators.hierarchy import descend
 from orderloom.operators.merge import update_where
 from orderloom.operators.scd import scd2_initial, scd2_merge
-from orderloom.plans.marts import customer_summary
 from orderloom.plans.warehouse import days_covering, dim_date, sales_by_order, sales_lines
 from orderloom.session import new_folder
 from orderloom.sources import tables as files
@@ -55,7 +55,7 @@ def _(t):
 )
 def _(t):
     summary = t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("line_count"), total(money("l_extendedprice")).alias("gross")
+        F.count(F.lit(1)).alias("line_count"), total_cents(cents("l_extendedprice")).alias("gross")
     )
     return files.create_table_as(summary, new_folder(t.spark, "ctas"))
 
@@ -199,7 +199,7 @@ def _(t):
     return (
         t.orders.filter(dates.year_range(F.col("o_orderdate"), 1996))
         .groupBy("o_orderstatus")
-        .agg(F.count(F.lit(1)).alias("orders"), total(money("o_totalprice")).alias("amount"))
+        .agg(F.count(F.lit(1)).alias("orders"), total_cents(cents("o_totalprice")).alias("amount"))
     )
 
 
@@ -343,7 +343,7 @@ def _(t):
     """The right side is filtered and added up before the join; left rows all stay."""
     matching = t.orders.filter(dates.year_range(F.col("o_orderdate"), 1997) & (F.col("o_orderstatus") == "F"))
     per_customer = matching.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).alias("amount")
+        F.count(F.lit(1)).alias("orders"), total_cents(cents("o_totalprice")).alias("amount")
     )
     joined = t.customer.join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
     return joined.select(
@@ -433,11 +433,11 @@ def _(t):
     """Revenue is added up per order, then per customer, before it meets the dimension."""
     sales = sales_by_order(t.delivered_orders, t.shop_items)
     per_customer = sales.groupBy("customer_nk").agg(
-        F.sum("line_count").alias("n"), F.sum("net_revenue").alias("net")
+        F.sum("line_count").alias("n"), F.sum("net_cents").alias("net")
     )
     current = dim_customer(t).filter("is_current").select("customer_nk", "segment", "country")
     return per_customer.join(current, "customer_nk").groupBy("segment", "country").agg(
-        F.sum("n").alias("line_count"), total("net").alias("net_revenue")
+        F.sum("n").alias("line_count"), total_cents("net").alias("net_revenue")
     )
 
 
@@ -677,7 +677,7 @@ def _(t):
 )
 def _(t):
     return t.located_customers.groupBy("country", "city").agg(
-        F.count(F.lit(1)).alias("customers"), total("balance").alias("balance")
+        F.count(F.lit(1)).alias("customers"), total_cents(cents("balance")).alias("balance")
     )
 
 
@@ -695,11 +695,11 @@ def _(t):
     """,
 )
 def _(t):
-    amount = money("o_totalprice")
+    amount = total_cents(cents("o_totalprice"))
     return t.orders.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"),
-        total(amount).alias("amount"),
-        F.round(F.avg(amount), 1).cast("double").alias("mean"),
+        amount.alias("amount"),
+        F.round(amount / F.count(F.lit(1)), 1).cast("double").alias("mean"),
         F.min("o_totalprice").alias("lowest"),
         F.max("o_totalprice").alias("highest"),
     )
@@ -733,7 +733,7 @@ def _(t):
 def _(t):
     return t.lineitem.agg(
         F.count(F.lit(1)).alias("n"),
-        total(money("l_extendedprice")).alias("gross"),
+        total_cents(cents("l_extendedprice")).alias("gross"),
         F.max("l_shipdate").alias("last_ship"),
     )
 
@@ -750,7 +750,7 @@ def _(t):
     balance = F.col("c_acctbal")
     return t.customer.groupBy("c_nationkey").agg(
         F.count(F.when(balance < 0, F.col("c_custkey"))).alias("in_debt"),
-        F.coalesce(F.sum(F.when(balance < -950, money("c_acctbal"))), F.lit(0)).cast("decimal(20,2)").alias("deep_debt"),
+        F.coalesce(total_cents(F.when(balance < -950, cents("c_acctbal"))), F.lit(0)).cast("decimal(20,2)").alias("deep_debt"),
     )
 
 
@@ -774,7 +774,7 @@ def _(t):
 )
 def _(t):
     sales = sales_by_order(t.delivered_orders, t.shop_items)
-    rate = F.try_divide(F.sum("discount_amount").cast("double"), F.sum("gross_revenue").cast("double"))
+    rate = F.try_divide(total_cents("discount_cents").cast("double"), total_cents("gross_cents").cast("double"))
     return sales.groupBy("order_source").agg(F.round(rate, 6).alias("discount_rate"))
 
 
@@ -843,7 +843,7 @@ def _(t):
     from orderloom.operators.sharding import hash_shard, per_shard_and_total
 
     pending = t.orders.filter("o_orderstatus = 'P'").withColumn("shard", hash_shard(F.col("o_custkey"), 3))
-    measures = {"orders": F.count(F.lit(1)), "amount": total(money("o_totalprice"))}
+    measures = {"orders": F.count(F.lit(1)), "amount": total_cents(cents("o_totalprice"))}
     merged = per_shard_and_total(pending, "shard", measures)
     return merged.select("source", "orders", F.col("amount").cast("decimal(20,2)").alias("amount"))
 
@@ -890,9 +890,9 @@ def _(t):
 def _(t):
     """Last value per user and day, then added up over users."""
     last = t.events.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(
-        F.max_by(money("value"), F.struct("ts", "event_id")).alias("balance")
+        F.max_by(cents("value"), F.struct("ts", "event_id")).alias("balance")
     )
-    return last.groupBy("day").agg(F.count(F.lit(1)).alias("users"), total("balance").alias("balance"))
+    return last.groupBy("day").agg(F.count(F.lit(1)).alias("users"), total_cents("balance").alias("balance"))
 
 
 # ---- windows -----------------------------------------------------------------
@@ -998,11 +998,11 @@ def _(t):
     """,
 )
 def _(t):
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", money("o_totalprice").alias("amount"))
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", cents("o_totalprice").alias("amount"))
     summed = windows.running(
         orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderdate"), {"running_total": F.col("amount")}
     )
-    return summed.select("o_orderkey", "o_custkey", F.col("running_total").cast("decimal(20,2)").alias("running_total"))
+    return summed.select("o_orderkey", "o_custkey", from_cents("running_total", 20).alias("running_total"))
 
 
 @query(
@@ -1014,10 +1014,10 @@ def _(t):
 )
 def _(t):
     """Default frame over the whole table: orders of one day share their total."""
-    orders = t.orders.select("o_orderkey", "o_orderdate", money("o_totalprice").alias("amount"))
+    orders = t.orders.select("o_orderkey", "o_orderdate", cents("o_totalprice").alias("amount"))
     month = F.date_trunc("month", "o_orderdate")
     summed = windows.running_with_peers(orders, [], ["o_orderdate"], month, {"so_far": F.col("amount")})
-    return summed.select("o_orderkey", F.col("so_far").cast("decimal(20,2)").alias("so_far"))
+    return summed.select("o_orderkey", from_cents("so_far", 20).alias("so_far"))
 
 
 @query(
@@ -1029,8 +1029,8 @@ def _(t):
     """,
 )
 def _(t):
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", money("o_totalprice").alias("amount"))
-    summed = windows.with_total(orders, ["o_custkey"], {"customer_total": total("amount")})
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    summed = windows.with_total(orders, ["o_custkey"], {"customer_total": total_cents(cents("o_totalprice"))})
     share = F.try_divide(F.col("o_totalprice"), F.col("customer_total").cast("double")) * 100
     return summed.select("o_orderkey", "o_custkey", "customer_total", F.round(share, 2).alias("pct"))
 

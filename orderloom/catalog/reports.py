@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderloom.bindings import AS_OF, money, total
+from orderloom.bindings import AS_OF
 from orderloom.catalog.core import DIM_CUSTOMER_CTE, LINES_CTE, PLACES_CTE, query
 from orderloom.catalog.relational import dim_customer
 from orderloom.functions import dates
+from orderloom.functions.amounts import total_cents
 from orderloom.operators import joins
 from orderloom.plans import marts, reports
 from orderloom.plans.warehouse import date_series, dim_date, sales_by_order, sales_lines
@@ -358,5 +359,5 @@ def _(t):
     from orderloom.catalog.warehouse import wide_sales
 
     return wide_sales(t).groupBy("country", "brand").agg(
-        total("gross_revenue").alias("gross_revenue"), F.count(F.lit(1)).alias("line_count")
+        total_cents("gross_cents").alias("gross_revenue"), F.count(F.lit(1)).alias("line_count")
     )

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderloom.bindings import total
 from orderloom.catalog.core import query
 from orderloom.catalog.relational import TREE_CTE, place_tree
+from orderloom.functions.amounts import cents, total_cents
 from orderloom.operators import hierarchy, sharding
 from orderloom.plans import capacity
 from orderloom.session import cut, new_folder
@@ -253,7 +253,7 @@ def _(t):
     stored = t.spark.read.parquet(path)
     regional = {n: stored.filter(F.col("region") == n).drop("region") for n in names}
     return sharding.federated(regional).groupBy("region").agg(
-        F.count(F.lit(1)).alias("customers"), total("balance").alias("balance")
+        F.count(F.lit(1)).alias("customers"), total_cents(cents("balance")).alias("balance")
     )
 
 

@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from orderloom.bindings import AS_OF, FIRST_LOAD, SECOND_LOAD, money, total
+from orderloom.bindings import AS_OF, FIRST_LOAD, SECOND_LOAD, money
 from orderloom.catalog.core import DIM_CUSTOMER_CTE, LINES_CTE, PLACES_CTE, SNAPSHOTS_CTE, query
 from orderloom.catalog.relational import dim_customer
 from orderloom.catalog.reports import calendar_of, lines_of, sales_of
-from orderloom.functions import dates, rules
+from orderloom.functions import dates
+from orderloom.functions.amounts import total_cents
 from orderloom.functions.keys import surrogate_key
 from orderloom.operators import merge, quality, scd
 from orderloom.plans import marts, warehouse
@@ -436,7 +437,7 @@ def _(t):
 
     def summary(orders):
         return orders.groupBy("customer_nk").agg(
-            F.count(F.lit(1)).alias("total_orders"), total("total_amount").alias("total_spent")
+            F.count(F.lit(1)).alias("total_orders"), total_cents("amount_cents").alias("total_spent")
         )
 
     view.replace(summary(t.delivered_orders))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.bindings import total
 from orderloom.functions import rules
+from orderloom.functions.amounts import total_cents
 from orderloom.operators.ranking import with_ntile
 from orderloom.session import cut
 
@@ -15,7 +15,7 @@ def rfm_measures(sales: DataFrame, customer: str, as_of: Column) -> DataFrame:
     """Recency, frequency and monetary value per customer, from one row per order."""
     measured = sales.groupBy(customer).agg(
         F.count(F.lit(1)).alias("frequency"),
-        total("gross_revenue").alias("monetary"),
+        total_cents("gross_cents").alias("monetary"),
         F.max("order_date").alias("last_order_date"),
         F.min("order_date").alias("first_order_date"),
     )
@@ -46,7 +46,7 @@ def customer_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """
     per_customer = orders.groupBy("customer_nk").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.sum("total_amount").alias("total_spent"),
+        total_cents("amount_cents").alias("total_spent"),
         F.max("created_at").alias("last_order_at"),
     )
     return customers.join(per_customer, "customer_nk", "left").select(
@@ -60,7 +60,7 @@ def customer_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 def value_segments(orders: DataFrame, customers: DataFrame, vip, regular) -> DataFrame:
     revenue = orders.groupBy("customer_nk").agg(
-        F.count(F.lit(1)).alias("orders"), total("total_amount").alias("revenue")
+        F.count(F.lit(1)).alias("orders"), total_cents("amount_cents").alias("revenue")
     )
     classed = revenue.withColumn("segment", rules.value_segment(F.col("revenue"), vip, regular))
     return classed.join(customers.select("customer_nk", "full_name"), "customer_nk")

@@ -10,16 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.bindings import total
 from orderloom.functions import dates
+from orderloom.functions.amounts import as_double, from_cents, total_cents
 from orderloom.operators import windows
 from orderloom.operators.ranking import with_ranks
 
 
 def _by_day(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy("order_date", *keys).agg(
-        F.sum("gross_revenue").alias("gross"),
-        F.sum("net_revenue").alias("net"),
+        F.sum("gross_cents").alias("gross"),
+        F.sum("net_cents").alias("net"),
         F.sum("quantity").alias("units"),
         F.count(F.lit(1)).alias("n"),
     )
@@ -45,8 +45,8 @@ def monthly_revenue(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     return (
         per_customer.groupBy(*months)
         .agg(
-            total("gross").alias("gross_revenue"),
-            total("net").alias("net_revenue"),
+            total_cents("gross").alias("gross_revenue"),
+            total_cents("net").alias("net_revenue"),
             F.sum("orders").alias("orders"),
             F.count(F.lit(1)).alias("unique_customers"),
         )
@@ -58,8 +58,8 @@ def monthly_by_customer(sales: DataFrame, calendar: DataFrame, customers: DataFr
     """Revenue per month and customer with Vietnamese column names."""
     dated = _with_calendar(_by_day(sales, ["customer_nk"]), calendar, ["year", "month", "month_name_vi"])
     summed = dated.groupBy("year", "month", "month_name_vi", "customer_nk").agg(
-        total("gross").alias("doanh_thu_gop"),
-        total("net").alias("doanh_thu_thuan"),
+        total_cents("gross").alias("doanh_thu_gop"),
+        total_cents("net").alias("doanh_thu_thuan"),
         F.sum("units").alias("so_luong"),
     )
     return (
@@ -87,8 +87,8 @@ def monthly_by_category(lines: DataFrame, calendar: DataFrame, products: DataFra
         per_product.join(products.select("product_nk", "category_name"), "product_nk")
         .groupBy("year", "month", "month_name", "category_name")
         .agg(
-            total("gross").alias("gross_revenue"),
-            total("net").alias("net_revenue"),
+            total_cents("gross").alias("gross_revenue"),
+            total_cents("net").alias("net_revenue"),
             F.sum("units").alias("units_sold"),
         )
         .orderBy("month", F.desc("gross_revenue"))
@@ -98,7 +98,7 @@ def monthly_by_category(lines: DataFrame, calendar: DataFrame, products: DataFra
 def revenue_by_segment(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers, revenue and mean line revenue per segment of the current dimension rows."""
     per_customer = sales.groupBy("customer_nk").agg(
-        F.sum("net_revenue").alias("net"), F.sum("line_count").alias("n")
+        F.sum("net_cents").alias("net"), F.sum("line_count").alias("n")
     )
     current = customers.filter("is_current").select("customer_nk", "segment")
     return (
@@ -106,19 +106,19 @@ def revenue_by_segment(sales: DataFrame, customers: DataFrame) -> DataFrame:
         .groupBy("segment")
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            total("net").alias("total_revenue"),
-            F.round(F.try_divide(F.sum("net").cast("double"), F.sum("n")), 2).alias("avg_revenue"),
+            total_cents("net").alias("total_revenue"),
+            F.round(F.try_divide(total_cents("net").cast("double"), F.sum("n")), 2).alias("avg_revenue"),
         )
     )
 
 
 def registration_cohorts(sales: DataFrame, joined_on: DataFrame) -> DataFrame:
     """Active customers and revenue per month of registration; ``joined_on`` has (customer_nk, joined_on)."""
-    per_customer = sales.groupBy("customer_nk").agg(F.sum("gross_revenue").alias("gross"))
+    per_customer = sales.groupBy("customer_nk").agg(F.sum("gross_cents").alias("gross"))
     return (
         per_customer.join(joined_on, "customer_nk")
         .groupBy(dates.month_label(F.col("joined_on")).alias("registration_month"))
-        .agg(F.count(F.lit(1)).alias("active_customers"), total("gross").alias("cohort_revenue"))
+        .agg(F.count(F.lit(1)).alias("active_customers"), total_cents("gross").alias("cohort_revenue"))
         .orderBy("registration_month")
     )
 
@@ -126,7 +126,7 @@ def registration_cohorts(sales: DataFrame, joined_on: DataFrame) -> DataFrame:
 def top_products(lines: DataFrame, products: DataFrame, k: int, by: str = "revenue") -> DataFrame:
     """Best ``k`` products by revenue or units; only those are looked up."""
     sold = lines.groupBy("product_nk").agg(
-        F.sum("quantity").alias("units_sold"), total("gross_revenue").alias("revenue")
+        F.sum("quantity").alias("units_sold"), total_cents("gross_cents").alias("revenue")
     )
     best = sold.orderBy(F.desc(by), "product_nk").limit(k)
     names = products.select("product_nk", "product_name", "category_name")
@@ -143,12 +143,12 @@ def order_history(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def revenue_by_source(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("order_source").agg(F.count(F.lit(1)).alias("orders"), total("total_amount").alias("revenue"))
+    return orders.groupBy("order_source").agg(F.count(F.lit(1)).alias("orders"), total_cents("amount_cents").alias("revenue"))
 
 
 def month_over_month(orders: DataFrame) -> DataFrame:
     monthly = orders.groupBy(dates.month_label(F.col("created_at")).alias("month")).agg(
-        total("total_amount").alias("revenue")
+        total_cents("amount_cents").alias("revenue")
     )
     before = F.lag("revenue").over(Window.orderBy("month"))  # one row per month
     grown = monthly.withColumn("prev_revenue", before)
@@ -158,31 +158,28 @@ def month_over_month(orders: DataFrame) -> DataFrame:
 
 def customer_ranking(orders: DataFrame) -> DataFrame:
     """Per order: rank by value within the customer, running spend, total and share."""
-    base = orders.select("order_nk", "customer_nk", "total_amount", "created_at")
-    span = F.floor(-F.col("total_amount") / 100)
+    base = orders.select("order_nk", "customer_nk", "amount_cents", "created_at").withColumn(
+        "_most", -F.col("amount_cents")
+    )
     ranked = windows.numbered(
-        base.withColumn("_most", -F.col("total_amount")),
-        ["customer_nk"],
-        ["_most", "order_nk"],
-        span,
-        row_number="rank_in_customer",
-    ).drop("_most")
+        base, ["customer_nk"], ["_most", "order_nk"], F.col("_most"), row_number="rank_in_customer"
+    )
     summed = windows.running(
         ranked,
         ["customer_nk"],
         ["created_at", "order_nk"],
         F.date_trunc("day", "created_at"),
-        {"cumulative_spend": F.col("total_amount")},
+        {"_spent": F.col("amount_cents")},
     )
-    whole = windows.with_total(summed, ["customer_nk"], {"customer_total": total("total_amount")})
-    share = F.try_divide(F.col("total_amount").cast("double"), F.col("customer_total").cast("double")) * 100
+    whole = windows.with_total(summed, ["customer_nk"], {"_whole": F.sum("amount_cents")})
+    share = F.try_divide(as_double("amount_cents"), as_double("_whole")) * 100
     return whole.select(
         "order_nk",
         "customer_nk",
-        "total_amount",
+        from_cents("amount_cents").alias("total_amount"),
         "rank_in_customer",
-        F.col("cumulative_spend").cast("decimal(20,2)").alias("cumulative_spend"),
-        "customer_total",
+        from_cents("_spent", 20).alias("cumulative_spend"),
+        from_cents("_whole", 20).alias("customer_total"),
         F.round(share, 2).alias("pct_of_customer_total"),
     )
 
@@ -197,11 +194,11 @@ def product_ranking(lines: DataFrame, tiles: int = 4) -> DataFrame:
 
 def daily_revenue(sales: DataFrame) -> DataFrame:
     per_customer = sales.groupBy("order_date", "customer_nk").agg(
-        F.sum("gross_revenue").alias("gross"), F.sum("net_revenue").alias("net")
+        F.sum("gross_cents").alias("gross"), F.sum("net_cents").alias("net")
     )
     return per_customer.groupBy(dates.date_key(F.col("order_date")).alias("date_key")).agg(
-        total("gross").alias("gross_revenue"),
-        total("net").alias("net_revenue"),
+        total_cents("gross").alias("gross_revenue"),
+        total_cents("net").alias("net_revenue"),
         F.count(F.lit(1)).alias("unique_customers"),
     )
 
@@ -212,7 +209,7 @@ def sales_by_category(lines: DataFrame, calendar: DataFrame, products: DataFrame
     return (
         dated.join(products.select("product_nk", "category_name"), "product_nk")
         .groupBy("date_key", label.alias("month_label"), "category_name")
-        .agg(total("gross").alias("revenue"), total("net").alias("net_revenue"), F.sum("n").alias("orders"))
+        .agg(total_cents("gross").alias("revenue"), total_cents("net").alias("net_revenue"), F.sum("n").alias("orders"))
     )
 
 
@@ -222,7 +219,7 @@ def monthly_customer_totals(sales: DataFrame, customers: DataFrame) -> DataFrame
     An order counts once, however many lines it has.
     """
     monthly = sales.groupBy(dates.month_label(F.col("order_date")).alias("month"), "customer_nk").agg(
-        total("net_revenue").alias("total_revenue"), F.count(F.lit(1)).alias("order_count")
+        total_cents("net_cents").alias("total_revenue"), F.count(F.lit(1)).alias("order_count")
     )
     return (
         monthly.join(customers.select("customer_nk", "full_name"), "customer_nk", "left")
@@ -243,7 +240,7 @@ def recent_large_pending(orders: DataFrame, customers: DataFrame, as_of, hours:
 
 
 def effective_discount(sales: DataFrame) -> DataFrame:
-    rate = F.try_divide(F.sum("discount_amount").cast("double"), F.sum("gross_revenue").cast("double"))
+    rate = F.try_divide(total_cents("discount_cents").cast("double"), total_cents("gross_cents").cast("double"))
     return sales.agg(F.round(rate, 6).alias("effective_discount_rate"))
 
 
@@ -252,5 +249,5 @@ def revenue_by_year(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     return (
         _with_calendar(_by_day(sales, []), calendar, ["year"])
         .groupBy("year")
-        .agg(total("gross").alias("gross_revenue"), F.sum("units").alias("units"))
+        .agg(total_cents("gross").alias("gross_revenue"), F.sum("units").alias("units"))
     )

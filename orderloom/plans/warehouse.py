@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import dates, rules
+from orderloom.functions.amounts import total_cents
 from orderloom.functions.keys import surrogate_key
 from orderloom.functions.text import clean_email
 from orderloom.operators.ranking import with_position
@@ -204,6 +205,8 @@ def sales_lines(delivered_orders: DataFrame, items: DataFrame) -> DataFrame:
         "discount_amount",
         "gross_revenue",
         (F.col("gross_revenue") - F.col("discount_amount")).cast("decimal(14,2)").alias("net_revenue"),
+        "gross_cents",
+        (F.col("gross_cents") - F.col("discount_cents")).alias("net_cents"),
     )
 
 
@@ -214,11 +217,10 @@ def sales_by_order(delivered_orders: DataFrame, items: DataFrame) -> DataFrame:
     row for an order however many lines it has. Every report that does not ask
     for products starts here.
     """
-    net = F.col("gross_revenue") - F.col("discount_amount")
     per_order = items.groupBy("order_nk").agg(
-        F.sum("gross_revenue").alias("gross_revenue"),
-        F.sum("discount_amount").alias("discount_amount"),
-        F.sum(net).alias("net_revenue"),
+        F.sum("gross_cents").alias("gross_cents"),
+        F.sum("discount_cents").alias("discount_cents"),
+        F.sum(F.col("gross_cents") - F.col("discount_cents")).alias("net_cents"),
         F.sum("quantity").alias("quantity"),
         F.count(F.lit(1)).alias("line_count"),
     )
@@ -295,9 +297,9 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     return lines.groupBy(dates.date_key(F.col("order_date")).alias("date_key"), "product_nk").agg(
         F.count(F.lit(1)).alias("orders_count"),
         F.sum("quantity").alias("units_sold"),
-        F.sum("gross_revenue").cast("decimal(16,2)").alias("gross_revenue"),
-        F.sum("net_revenue").cast("decimal(16,2)").alias("net_revenue"),
-        F.round(F.avg("gross_revenue"), 2).cast("decimal(12,2)").alias("avg_order_value"),
+        total_cents("gross_cents", 16).alias("gross_revenue"),
+        total_cents("net_cents", 16).alias("net_revenue"),
+        F.round(total_cents("gross_cents", 16) / F.count(F.lit(1)), 2).cast("decimal(12,2)").alias("avg_order_value"),
     )
 
 
