@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import rules
 from orderloom.functions.amounts import cents, discount_cents, from_cents
+from orderloom.schemas import BOUND
+from orderloom.sources.tables import scan
 
 STATUS_OF_CODE = {"F": "delivered", "P": "pending", "O": "processing"}
 # The day the second customer snapshot was taken, and the first one.
@@ -21,9 +23,6 @@ FIRST_LOAD, SECOND_LOAD = "1995-01-01", "1998-01-01"
 # Just after the last order; "now" for everything that depends on the clock.
 AS_OF = "2001-08-02 00:00:00"
 
-TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
-
 def money(column: Column | str, digits: int = 14) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast(f"decimal({digits},2)")
 
@@ -36,7 +35,7 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return scan(self.spark, f"{self.folder}/{name}.parquet", BOUND[name])
 
     region = cached_property(lambda self: self.table("region"))
     nation = cached_property(lambda self: self.table("nation"))
@@ -47,10 +46,6 @@ class Tables:
     lineitem = cached_property(lambda self: self.table("lineitem"))
     events = cached_property(lambda self: self.table("events"))
 
-    def register_views(self) -> None:
-        for name in TABLE_NAMES:
-            self.table(name).createOrReplaceTempView(name)
-
     @cached_property
     def shop_orders(self) -> DataFrame:
         return self.orders.select(

@@ -21,7 +21,7 @@ def _div(column: Column, by: int) -> Column:
 def cents(amount: Column | str) -> Column:
     """Cents of an amount with at most two decimals."""
     column = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(column * 100).cast("long")
+    return F.rint(column * 100).cast("long")
 
 
 def from_cents(amount: Column | str, digits: int = 14) -> Column:
@@ -37,8 +37,8 @@ def as_double(amount: Column | str) -> Column:
 
 def discount_cents(gross: Column, rate: Column) -> Column:
     """``rate`` (a fraction of two decimals) of ``gross`` cents, rounded half away from zero."""
-    percent = F.round(rate * 100).cast("long")
-    return F.signum(gross).cast("long") * _div(F.abs(gross) * percent + 50, 100)
+    percent = F.rint(rate * 100).cast("long")
+    return _div(gross * percent + F.when(gross < 0, -50).otherwise(50), 100)
 
 
 def total_cents(amount: Column | str, digits: int = 20) -> Column:

@@ -38,9 +38,9 @@ def monthly_revenue(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     month: a busy month is spread over its customers.
     """
     months = ["year", "month", "month_name_vi"]
-    dated = _with_calendar(_by_day(sales, ["customer_nk"]), calendar, months)
+    dated = _with_calendar(sales, calendar, months)
     per_customer = dated.groupBy(*months, "customer_nk").agg(
-        F.sum("gross").alias("gross"), F.sum("net").alias("net"), F.sum("n").alias("orders")
+        F.sum("gross_cents").alias("gross"), F.sum("net_cents").alias("net"), F.count(F.lit(1)).alias("orders")
     )
     return (
         per_customer.groupBy(*months)
@@ -56,11 +56,11 @@ def monthly_revenue(sales: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def monthly_by_customer(sales: DataFrame, calendar: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue per month and customer with Vietnamese column names."""
-    dated = _with_calendar(_by_day(sales, ["customer_nk"]), calendar, ["year", "month", "month_name_vi"])
+    dated = _with_calendar(sales, calendar, ["year", "month", "month_name_vi"])
     summed = dated.groupBy("year", "month", "month_name_vi", "customer_nk").agg(
-        total_cents("gross").alias("doanh_thu_gop"),
-        total_cents("net").alias("doanh_thu_thuan"),
-        F.sum("units").alias("so_luong"),
+        total_cents("gross_cents").alias("doanh_thu_gop"),
+        total_cents("net_cents").alias("doanh_thu_thuan"),
+        F.sum("quantity").alias("so_luong"),
     )
     return (
         summed.join(customers.select("customer_nk", "full_name"), "customer_nk")
@@ -79,9 +79,9 @@ def monthly_by_customer(sales: DataFrame, calendar: DataFrame, customers: DataFr
 
 def monthly_by_category(lines: DataFrame, calendar: DataFrame, products: DataFrame, year: int) -> DataFrame:
     in_year = lines.filter(F.year("order_date") == year)
-    dated = _with_calendar(_by_day(in_year, ["product_nk"]), calendar, ["year", "month", "month_name"])
+    dated = _with_calendar(in_year, calendar, ["year", "month", "month_name"])
     per_product = dated.groupBy("year", "month", "month_name", "product_nk").agg(
-        F.sum("gross").alias("gross"), F.sum("net").alias("net"), F.sum("units").alias("units")
+        F.sum("gross_cents").alias("gross"), F.sum("net_cents").alias("net"), F.sum("quantity").alias("units")
     )
     return (
         per_product.join(products.select("product_nk", "category_name"), "product_nk")

@@ -14,7 +14,7 @@ from orderloom.operators.merge import latest_per_key, upsert
 from orderloom.session import cut
 
 
-def scan(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Parquet scan; with a declared schema nothing is inferred and drift shows at once."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
