@@ -11,7 +11,7 @@ from orderloom.functions import dates, rules
 from orderloom.functions.amounts import cents, from_cents, total_cents
 from orderloom.session import new_folder
 from orderloom.sources import topics
-from orderloom.streaming import changes, idempotency, metrics, outbox, ranges, readmodel
+from orderloom.streaming import changes, idempotency, metrics, outbox, ranges, readmodel, sinks
 
 EVENTS_END = "2024-01-31 00:00:00"
 STOP_AT = "2024-01-20 00:00:00"
@@ -286,9 +286,10 @@ def _(t):
     return back.groupBy("topic", "key").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def requests_of(t):
+def requests_of(t, events=None):
     """Requests keyed by user and kind; the value tells repeats from changed requests."""
-    return t.events.select(
+    rows = t.events if events is None else events
+    return rows.select(
         F.concat_ws(":", F.col("user_id").cast("string"), "event_type").alias("idempotency_key"),
         "ts",
         "event_id",
@@ -489,6 +490,65 @@ def _(t):
     return t.spark.read.parquet(f"{root}/rows")
 
 
+@query(
+    "s8_stream_upsert",
+    "SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(14,2)) AS value, CAST(ts AS DATE) AS day FROM events",
+)
+def _(t):
+    """The stream upserted into a table partitioned by day, every event coming twice."""
+    root = new_folder(t.spark, "upsert")
+    rows = event_stream(t).select(
+        "event_id", "user_id", "event_type", money("value").alias("value"), F.col("ts").cast("date").alias("day"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
+    )
+    sinks.run(rows, sinks.upsert_writer(f"{root}/table", ["event_id"], "day", ["copy"]), f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/table").drop("copy")
+
+
+@query(
+    "v14_expiring_keys_stream",
+    """
+    SELECT idempotency_key, event_id, verdict FROM (
+      SELECT user_id || ':' || event_type AS idempotency_key, event_id, 1 AS x, CASE
+        WHEN ROW_NUMBER() OVER w = 1 THEN 'first'
+        WHEN sha256(CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR)) <> FIRST_VALUE(sha256(CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR))) OVER w THEN 'mismatch'
+        ELSE 'replay' END AS verdict
+      FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id))
+    """,
+)
+def _(t):
+    """On a stream, with keys that live for the whole month."""
+    root = new_folder(t.spark, "settled")
+    empty = requests_of(t).limit(0)
+    openings = idempotency.openings_table(t.spark, f"{root}/openings", "idempotency_key", "ts", "event_id", empty)
+    writer = idempotency.settle_writer(
+        openings, f"{root}/verdicts", "idempotency_key", "ts", "event_id", "request_hash", 40 * 24 * 3600
+    )
+    sinks.run(requests_of(t, event_stream(t)), writer, f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/verdicts").select("idempotency_key", "event_id", "verdict")
+
+
+@query(
+    "v18_alerts_stream",
+    """
+    WITH s AS (SELECT event_type, ts, event_id, value > 10 AS broken FROM events),
+    i AS (SELECT *, SUM(CASE WHEN broken THEN 0 ELSE 1 END) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM s),
+    g AS (SELECT event_type, island, MIN(ts) AS started_at FROM i WHERE broken GROUP BY event_type, island)
+    SELECT g.event_type, started_at, MIN(i.ts) AS fired_at FROM g JOIN i ON i.event_type = g.event_type AND i.island = g.island AND i.broken
+      AND i.ts >= started_at + INTERVAL 1 HOUR GROUP BY g.event_type, started_at
+    """,
+)
+def _(t):
+    """Alerts of the stream: when each breach had lasted an hour."""
+    root = new_folder(t.spark, "alerts")
+    samples = event_stream(t).select("event_type", "ts", "event_id", (F.col("value") > 10).alias("broken"))
+    empty = t.spark.createDataFrame([], "event_type string, since timestamp_ntz, reported boolean, seen_at timestamp_ntz")
+    state = metrics.breaches_table(t.spark, f"{root}/state", ["event_type"], empty)
+    writer = metrics.alert_writer(state, f"{root}/fired", ["event_type"], "ts", "event_id", "broken", 3600)
+    sinks.run(samples, writer, f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/fired").select("event_type", "started_at", "fired_at")
+
+
 @query(
     "v21_read_model_stream",
     "SELECT user_id, COUNT(*) AS events, CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DECIMAL(20,2)) AS amount FROM events GROUP BY 1",

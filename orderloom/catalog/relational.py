@@ -13,6 +13,7 @@ from orderloom.functions import dates, rules
 from orderloom.functions.amounts import cents, from_cents, total_cents
 from orderloom.functions.text import masked_email
 from orderloom.operators import joins, paging, ranking, windows
+from orderloom.operators.aggregates import distinct_counts
 from orderloom.operators.hierarchy import descend
 from orderloom.operators.merge import update_where
 from orderloom.operators.scd import scd2_initial, scd2_merge
@@ -523,8 +524,9 @@ def _(t):
     """,
 )
 def _(t):
-    large = t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 400000").select("o_custkey")
-    return t.customer.join(large, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey", "c_name")
+    large = t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 400000")
+    buyers = large.select(F.col("o_custkey").alias("c_custkey"))
+    return joins.semi(t.customer.select("c_custkey", "c_name"), ["c_custkey"], buyers)
 
 
 @query(
@@ -536,8 +538,9 @@ def _(t):
     """,
 )
 def _(t):
-    recent = t.orders.filter(F.col("o_orderdate") >= dates.instant("2001-01-01 00:00:00")).select("o_custkey")
-    return t.customer.join(recent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    recent = t.orders.filter(F.col("o_orderdate") >= dates.instant("2001-01-01 00:00:00"))
+    buyers = recent.select(F.col("o_custkey").alias("c_custkey"))
+    return joins.semi(t.customer.select("c_custkey", "c_name"), ["c_custkey"], buyers, anti=True)
 
 
 @query(
@@ -713,9 +716,7 @@ def _(t):
     """,
 )
 def _(t):
-    return t.orders.groupBy("o_orderstatus").agg(
-        F.countDistinct("o_custkey").alias("customers"), F.countDistinct("o_orderdate").alias("days")
-    )
+    return distinct_counts(t.orders, ["o_orderstatus"], {"o_custkey": "customers", "o_orderdate": "days"})
 
 
 @query("a3_having", "SELECT o_custkey, COUNT(*) AS orders FROM orders GROUP BY o_custkey HAVING COUNT(*) >= 12")

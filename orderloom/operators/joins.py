@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.skew import join_one_per_key
+
 
 def one_value(df: DataFrame) -> Column:
     """The single value of a one-row, one-column frame as an expression (scalar subquery)."""
@@ -53,16 +55,25 @@ def range_join(
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
     """SQL ``NOT IN (subquery)``: a NULL on the right empties the result.
 
-    Built from an anti join, which shuffles both sides; Spark's own null-aware
-    form has to broadcast the right side.
+    Built from an anti join against the distinct values, which shuffles both sides
+    and splits hot keys; Spark's own null-aware form has to broadcast the right side.
     """
-    values = other.select(F.col(other_column).alias("_value"))
-    counts = values.agg(F.count(F.lit(1)).alias("rows"), F.count("_value").alias("known"))
-    kept = df.join(values, F.col(column) == F.col("_value"), "left_anti")
+    values = other.select(F.col(other_column).alias(column))
+    counts = values.agg(F.count(F.lit(1)).alias("rows"), F.count(column).alias("known"))
+    kept = join_one_per_key(df, values.distinct(), [column], "left_anti")
     rows, known = one_value(counts.select("rows")), one_value(counts.select("known"))
     return kept.filter((rows == 0) | (F.col(column).isNotNull() & (rows == known)))
 
 
+def semi(df: DataFrame, keys: list[str], other: DataFrame, anti: bool = False) -> DataFrame:
+    """Rows whose key occurs in ``other`` (``EXISTS``, ``IN``), or does not.
+
+    A semi join cannot split a key that is hot on the right, so the right side is
+    first reduced to one row per key.
+    """
+    return join_one_per_key(df, other.select(*keys).distinct(), keys, "left_anti" if anti else "left_semi")
+
+
 def count_pairs(df: DataFrame, keys: list[str]) -> DataFrame:
     """Unordered pairs of rows sharing ``keys``, as ``rows`` and ``pairs`` per key.
 

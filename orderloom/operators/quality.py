@@ -25,7 +25,7 @@ def unaccepted(df: DataFrame, column: str, values: list) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose non-null key has no parent."""
+    """Child rows whose non-null key has no parent; parent keys are unique."""
     known = parent.select(F.col(parent_key).alias("_key"))
     return child.filter(F.col(child_key).isNotNull()).join(known, F.col(child_key) == F.col("_key"), "left_anti")
 

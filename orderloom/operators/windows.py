@@ -160,7 +160,7 @@ def sliding(
     one, so that a block sees all it looks back on. ``aggregates`` are plain
     aggregate columns such as ``F.sum("x")``.
     """
-    span = max(seconds, block_seconds or 8 * seconds)
+    span = max(seconds, block_seconds or 2 * seconds)
     micros = F.unix_micros(F.col(at).cast("timestamp"))
     block = F.floor(micros / (span * 1_000_000))
     closes = (block + 1) * (span * 1_000_000)

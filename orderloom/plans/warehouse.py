@@ -13,6 +13,7 @@ from orderloom.functions.amounts import total_cents
 from orderloom.functions.keys import surrogate_key
 from orderloom.functions.text import clean_email
 from orderloom.operators.ranking import with_position
+from orderloom.operators.skew import join_one_per_key
 from orderloom.session import cut
 from orderloom.sources.snapshots import WatermarkStore
 from orderloom.sources.tables import merge_partitions, write_by
@@ -244,7 +245,7 @@ def fact_sales(
         latest = payments.groupBy(F.col("order_id").alias("order_nk")).agg(
             F.max_by("method", F.struct("created_at", "id")).alias("payment_method")
         )
-        joined = joined.join(latest, "order_nk", "left")
+        joined = join_one_per_key(joined, latest, ["order_nk"], "left")
         optional = ["payment_method"]
     return joined.select(
         "order_item_nk",

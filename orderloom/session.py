@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the Python line of every column call makes building a plan twice as slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return tune(builder.getOrCreate())
 

@@ -37,7 +37,7 @@ class BatchTable:
         """For ``foreachBatch``."""
         self._reduce(batch).write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
 
-    def _batches(self) -> DataFrame | None:
+    def _batches(self, before: int | None = None) -> DataFrame | None:
         try:
             rows = self.spark.read.parquet(f"{self.path}/batches")
         except AnalysisException as error:
@@ -45,10 +45,12 @@ class BatchTable:
                 return None
             raise
         folded = self.base.tag()
-        return rows if folded is None else rows.filter(F.col("batch") > int(folded))
+        rows = rows if folded is None else rows.filter(F.col("batch") > int(folded))
+        return rows if before is None else rows.filter(F.col("batch") < before)
 
-    def read(self) -> DataFrame:
-        batches = self._batches()
+    def read(self, before: int | None = None) -> DataFrame:
+        """The table; with ``before``, as it was when that batch began, also if it runs again."""
+        batches = self._batches(before)
         base = self.base.read() if self.base.exists() else None
         return self._fold(base, None if batches is None else batches.drop("batch"))
 

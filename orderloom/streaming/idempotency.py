@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from orderloom.operators.merge import latest_per_key
 from orderloom.operators.skew import join_one_per_key
 from orderloom.session import cut
+from orderloom.sources.batches import BatchTable
 
 DAY_SECONDS = 24 * 3600
 
@@ -66,43 +64,40 @@ def settle_requests(
             return reduce(DataFrame.unionByName, judged)
 
 
-STATE = StructType([StructField("opened_us", LongType()), StructField("hash", StringType())])
+def openings_table(spark: SparkSession, path: str, key: str, at: str, tie: str, empty: DataFrame) -> BatchTable:
+    """The request that opened each key last; ``empty`` has the columns of a request."""
 
+    def latest(df: DataFrame) -> DataFrame:
+        return latest_per_key(df, [key], [at, tie])
+
+    def fold(base: DataFrame | None, batches: DataFrame | None) -> DataFrame:
+        known = [df for df in (base, batches) if df is not None]
+        return latest(reduce(DataFrame.unionByName, known)) if known else empty
+
+    return BatchTable(spark, path, latest, fold)
 
-def stream_settle(
-    requests: DataFrame, key: str, at: str, request_hash: str, expiry_seconds: int = DAY_SECONDS, late: str = "1 hour"
-) -> DataFrame:
-    """The same rule on a stream, one small state row per key that event time removes.
 
-    Within a batch requests of a key are taken in time order.
+def settle_writer(
+    openings: BatchTable, out: str, key: str, at: str, tie: str, request_hash: str, expiry_seconds: int = DAY_SECONDS
+):
+    """The exact rule on a stream, as a ``foreachBatch`` function: verdicts go to ``out``.
+
+    What opened a key before joins the batch as its earliest request, so a batch
+    is settled like a history, hot keys included. Batches must follow each other
+    in time. A batch run again sees the same openings and replaces its verdicts.
     """
-    fields = requests.schema.fields
-    output = StructType([*fields, StructField("verdict", StringType())])
-
-    def judge(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames)).sort_values(at, kind="stable")
-        opened, content = state.get if state.exists else (None, None)
-        verdicts = []
-        for moment, digest in zip(rows[at], rows[request_hash]):
-            now = pd.Timestamp(moment).value // 1000
-            if opened is None or now - opened >= expiry_seconds * 1_000_000:
-                opened, content = now, digest
-                verdicts.append("first")
-            else:
-                verdicts.append("replay" if digest == content else "mismatch")
-        state.update((opened, content))
-        expires = opened // 1000 + expiry_seconds * 1000
-        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-        yield rows.assign(verdict=verdicts)
-
-    return (
-        requests.withWatermark(at, late)
-        .groupBy(key)
-        .applyInPandasWithState(judge, output, STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+
+    def settle_batch(batch: DataFrame, batch_id: int) -> None:
+        columns = batch.columns
+        requests = cut(batch, "requests").withColumn("_before", F.lit(False))
+        earlier = openings.read(before=batch_id).select(*columns).withColumn("_before", F.lit(True))
+        judged = settle_requests(requests.unionByName(earlier), key, at, tie, request_hash, expiry_seconds)
+        judged = cut(judged, "verdicts")
+        new = judged.filter("NOT _before").drop("_before")
+        new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        openings.write_batch(judged.filter("verdict = 'first'").select(*columns), batch_id)
+
+    return settle_batch
 
 
 def stream_first(requests: DataFrame, key: str, at: str, horizon: str = "24 hours") -> DataFrame:

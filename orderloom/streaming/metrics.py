@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from orderloom.operators.merge import latest_per_key
+from orderloom.operators.skew import join_one_per_key
 from orderloom.operators.windows import previous, running, sliding
+from orderloom.session import cut
+from orderloom.sources.batches import BatchTable
 
 RULE_SCHEMA = "rule string, metric string, operator string, threshold double, hold_seconds int, severity string"
 # Alert thresholds on lag and usage.
@@ -83,18 +85,19 @@ def breaches(samples: DataFrame, rules: DataFrame) -> DataFrame:
     return samples.join(F.broadcast(rules), "metric").withColumn("broken", F.coalesce(broken, F.lit(False)))
 
 
+def _islands(states: DataFrame, series: list[str], at: str, tie: str, broken: str, block: str) -> DataFrame:
+    """Broken samples, numbered by the unbroken ones before them: equal within a stretch."""
+    healthy = (~F.col(broken)).cast("long")
+    span = F.date_trunc(block, F.col(at))
+    return running(states, series, [at, tie], span, {"_island": healthy}).filter(broken)
+
+
 def held(
     states: DataFrame, series: list[str], at: str, tie: str, broken: str, hold: Column, block: str = "hour"
 ) -> DataFrame:
-    """Stretches in which ``broken`` held without a break for at least ``hold`` seconds.
-
-    Samples of one stretch have the same number of unbroken samples before them.
-    """
-    healthy = (~F.col(broken)).cast("long")
-    counted = running(
-        states.withColumn("_hold", hold), series, [at, tie], F.date_trunc(block, F.col(at)), {"_island": healthy}
-    )
-    stretches = counted.filter(broken).groupBy(*series, "_island").agg(
+    """Stretches in which ``broken`` held without a break for at least ``hold`` seconds."""
+    counted = _islands(states.withColumn("_hold", hold), series, at, tie, broken, block)
+    stretches = counted.groupBy(*series, "_island").agg(
         F.min(at).alias("started_at"),
         F.max(at).alias("ended_at"),
         F.count(F.lit(1)).alias("samples"),
@@ -104,36 +107,64 @@ def held(
     return stretches.filter(lasted >= F.col("_hold")).select(*series, "started_at", "ended_at", "samples")
 
 
-def stream_held(states: DataFrame, series: list[str], at: str, broken: str, hold_seconds: int, late: str) -> DataFrame:
-    """Alerts from a stream: one row when a breach has lasted ``hold_seconds``.
+def breaches_table(spark: SparkSession, path: str, series: list[str], empty: DataFrame) -> BatchTable:
+    """Per series the start of the breach that is running (NULL if none) and whether it was reported.
 
-    The state of a series is the start of the running breach and whether it was
-    reported. Samples must arrive in order of time across batches.
+    ``empty`` has the columns (series.., since, reported, seen_at).
     """
-    kinds = {f.name: f.dataType.simpleString() for f in states.schema.fields}
-    output = ", ".join([f"{s} {kinds[s]}" for s in series] + ["started_at timestamp", "fired_at timestamp"])
-
-    def watch(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(at, kind="stable")
-        since, reported = state.get if state.exists else (None, False)
-        fired = []
-        for moment, bad in zip(rows[at], rows[broken]):
-            now = pd.Timestamp(moment).value // 1000
-            if not bad:
-                since, reported = None, False
-                continue
-            since = now if since is None else since
-            if not reported and now - since >= hold_seconds * 1_000_000:
-                reported = True
-                fired.append((*key, pd.Timestamp(since, unit="us"), pd.Timestamp(now, unit="us")))
-        state.update((since, reported))
-        if fired:
-            yield pd.DataFrame(fired, columns=[*series, "started_at", "fired_at"])
-
-    return (
-        states.withWatermark(at, late)
-        .groupBy(*series)
-        .applyInPandasWithState(
-            watch, output, "since long, reported boolean", "append", GroupStateTimeout.NoTimeout
+
+    def fold(base: DataFrame | None, batches: DataFrame | None) -> DataFrame:
+        known = [df for df in (base, batches) if df is not None]
+        return latest_per_key(reduce(DataFrame.unionByName, known), series, ["seen_at"]) if known else empty
+
+    return BatchTable(spark, path, lambda batch: batch, fold)
+
+
+def alert_writer(
+    running_breaches: BatchTable,
+    out: str,
+    series: list[str],
+    at: str,
+    tie: str,
+    broken: str,
+    hold_seconds: int,
+    block: str = "hour",
+):
+    """Alerts on a stream, as a ``foreachBatch`` function: one row in ``out`` per breach that held.
+
+    A breach running from before joins the batch as its first sample, so that a
+    batch is judged by the same windows as a history, hot series included. Batches
+    must follow each other in time; a batch run again replaces its alerts.
+    """
+
+    def judge_batch(batch: DataFrame, batch_id: int) -> None:
+        samples = cut(batch.select(*series, at, tie, broken), "samples")
+        known = running_breaches.read(before=batch_id)
+        earlier = known.filter("since IS NOT NULL").select(
+            *series, F.col("since").alias(at), F.lit(-1).alias(tie), F.lit(True).alias(broken), "reported"
         )
-    )
+        rows = cut(samples.withColumn("reported", F.lit(False)).unionByName(earlier), "samples")
+        broken_rows = cut(_islands(rows, series, at, tie, broken, block), "breaches")
+        stretches = broken_rows.groupBy(*series, "_island").agg(
+            F.min(at).alias("started_at"), F.max(at).alias("ended_at"), F.bool_or("reported").alias("reported")
+        )
+        due = F.col("started_at") + F.make_dt_interval(secs=F.lit(hold_seconds))
+        long_ones = stretches.filter(F.col("ended_at") >= due)
+        fired = (
+            join_one_per_key(broken_rows.drop("reported"), long_ones.filter("NOT reported"), [*series, "_island"])
+            .filter(F.col(at) >= due)
+            .groupBy(*series, "started_at")
+            .agg(F.min(at).alias("fired_at"))
+        )
+        fired.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        last = rows.groupBy(*series).agg(F.max_by(broken, F.struct(at, tie)).alias("_open"), F.max(at).alias("seen_at"))
+        newest = latest_per_key(stretches, series, ["started_at"])
+        state = last.join(newest, series, "left").select(
+            *series,
+            F.when(F.col("_open"), F.col("started_at")).alias("since"),
+            (F.col("_open") & (F.col("reported") | (F.col("ended_at") >= due))).alias("reported"),
+            "seen_at",
+        )
+        running_breaches.write_batch(state, batch_id)
+
+    return judge_batch

@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from orderloom.session import new_folder
 from orderloom.sources import topics
 from orderloom.sources.snapshots import SnapshotTable
-from orderloom.streaming import changes, idempotency, metrics, outbox, readmodel
+from orderloom.streaming import changes, idempotency, metrics, outbox, readmodel, sinks
 
 ROW = StructType([StructField("id", LongType()), StructField("name", StringType())])
 LOG = "id long, name string, op string, ts_ms long, pos long"
@@ -152,6 +152,27 @@ def test_dead_letters_of_a_stream(spark):
     assert [r.value for r in spark.read.text(f"{path}/dead").select("value").collect()] == ["broken"]
 
 
+def test_tables_of_one_stream_go_their_own_ways(spark):
+    other = StructType([StructField("sku", StringType())])
+    values = [message("c", None, {"id": 1, "name": "x"}), message("c", None, {"sku": "s"}, table="items"), message("c", None, {"q": 1}, table="unknown")]
+    messages = spark.createDataFrame([(v,) for v in values], "value string")
+    path = new_folder(spark, "routed")
+    people = changes.change_table(spark, f"{path}/t", ["id"], spark.createDataFrame([], ROW))
+    items = changes.change_table(spark, f"{path}/items", ["sku"], spark.createDataFrame([], other))
+    writer = sinks.route_writer({"t": (ROW, people.write_batch), "items": (other, items.write_batch)})
+    sinks.run(file_stream(spark, [messages], messages.schema), writer, f"{path}/checkpoint")
+    assert [(r.id, r.name) for r in people.read().collect()] == [(1, "x")]
+    assert [r.sku for r in items.read().collect()] == ["s"]
+
+
+def test_stream_upserts_leave_other_partitions_alone(spark):
+    parts = [spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id int, v string, p int"), spark.createDataFrame([(2, "B", 1), (3, "c", 2)], "id int, v string, p int")]
+    path = new_folder(spark, "upserted")
+    sinks.run(file_stream(spark, parts, parts[0].schema), sinks.upsert_writer(f"{path}/t", ["id"], "p", ["v"]), f"{path}/checkpoint")
+    found = {r.id: r.v for r in spark.read.parquet(f"{path}/t").collect()}
+    assert found[1] == "a" and found[3] == "c" and len(found) == 3
+
+
 def outbox_rows(spark, n):
     start = dt.datetime(2024, 1, 1)
     rows = [(i, "order", str(i % 3), "OrderCreated" if i % 2 else "OrderPaid", "{}", "pending", None, 0, start + dt.timedelta(seconds=n - i)) for i in range(n)]
@@ -213,8 +234,14 @@ def run_stream(stream, spark):
 def test_requests_settled_on_a_stream(spark):
     rows = request_rows(spark, REQUESTS)
     parts = [rows.filter(c) for c in ("seq < 3", "seq IN (3, 6)", "seq IN (4, 5)")]
-    settled = idempotency.stream_settle(file_stream(spark, parts, rows.schema), "key", "at", "hash", late="48 hours")
-    assert [r.verdict for r in run_stream(settled, spark).orderBy("seq").collect()] == VERDICTS
+    path = new_folder(spark, "settled")
+    openings = idempotency.openings_table(spark, f"{path}/openings", "key", "at", "seq", rows.limit(0))
+    writer = idempotency.settle_writer(openings, f"{path}/verdicts", "key", "at", "seq", "hash")
+    sinks.run(file_stream(spark, parts, rows.schema), writer, f"{path}/checkpoint")
+    verdicts = lambda: [r.verdict for r in spark.read.parquet(f"{path}/verdicts").orderBy("seq").collect()]
+    assert verdicts() == VERDICTS
+    writer(parts[1], 1)  # run again
+    assert verdicts() == VERDICTS
 
 
 def test_repeats_dropped_on_a_stream(spark):
@@ -243,10 +270,18 @@ def test_alerts_fire_after_the_hold_time(spark):
     states = sample_rows(spark, BROKEN).withColumn("broken", F.col("value") > 0)
     batch = metrics.held(states, ["instance"], "ts", "seq", "broken", F.lit(120)).orderBy("started_at").collect()
     assert [(r.started_at.minute, r.ended_at.minute, r.samples) for r in batch] == [(1, 3, 3), (7, 10, 4)]
-    parts = [states.filter(c) for c in ("seq < 3", "seq BETWEEN 3 AND 7", "seq > 7")]
-    stream = metrics.stream_held(file_stream(spark, parts, states.schema), ["instance"], "ts", "broken", 120, "1 hour")
-    fired = run_stream(stream, spark).orderBy("started_at").collect()
-    assert [(r.started_at.minute, r.fired_at.minute) for r in fired] == [(1, 3), (7, 9)]
+    expected = [(1, 3), (7, 9)]
+    for cuts in [("seq < 3", "seq BETWEEN 3 AND 7", "seq > 7"), ("seq < 4", "seq = 4", "seq BETWEEN 5 AND 9", "seq = 10"), ("seq >= 0",)]:
+        parts = [states.filter(c) for c in cuts]
+        path = new_folder(spark, "alerts")
+        empty = spark.createDataFrame([], "instance string, since timestamp, reported boolean, seen_at timestamp")
+        table = metrics.breaches_table(spark, f"{path}/state", ["instance"], empty)
+        writer = metrics.alert_writer(table, f"{path}/fired", ["instance"], "ts", "seq", "broken", 120)
+        sinks.run(file_stream(spark, parts, states.schema), writer, f"{path}/checkpoint")
+        fired = lambda: [(r.started_at.minute, r.fired_at.minute) for r in spark.read.parquet(f"{path}/fired").orderBy("started_at").collect()]
+        assert fired() == expected
+        writer(parts[-1], len(parts) - 1)  # run again
+        assert fired() == expected
 
 
 def test_rules_table(spark):
