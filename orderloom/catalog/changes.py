@@ -60,6 +60,31 @@ LATEST_SQL = f"""
 """
 
 
+@query(
+    "s9_keyed_publish",
+    "SELECT CAST(user_id AS VARCHAR) AS key, COUNT(*) AS messages, CAST(SUM(event_id) AS BIGINT) AS ids FROM events GROUP BY 1",
+)
+def _(t):
+    """Messages keyed by user written to files and read back, their bodies decoded."""
+    path = new_folder(t.spark, "published")
+    topics.publish_files(topics.to_messages(t.events.select("event_id", "user_id", "event_type"), F.col("user_id")), path)
+    back = t.spark.read.schema("key string, value string").json(path)
+    body = F.from_json("value", "event_id long").getField("event_id")
+    return back.groupBy("key").agg(F.count(F.lit(1)).alias("messages"), F.sum(body).alias("ids"))
+
+
+@query(
+    "s15_change_log_between",
+    f"WITH {LOG_CTE} SELECT * FROM log WHERE pos >= 500 AND ts_ms < epoch_ms(TIMESTAMP '{STOP_AT}')",
+)
+def _(t):
+    """The log as files of envelopes, read from a position up to a time."""
+    path = new_folder(t.spark, "log")
+    changes.to_envelopes(log_of(t), "shop_db", "users").write.text(path)
+    log = changes.log_between(changes.read_log(t.spark, path, ROW), start=500, column="pos")
+    return changes.log_between(log, stop=F.unix_millis(F.lit(STOP_AT).cast("timestamp")), column="ts_ms")
+
+
 @query("v1_latest_image", LATEST_SQL + "SELECT user_id, value, k, op, ts_ms, pos FROM ranked WHERE rn = 1")
 def _(t):
     return changes.latest_image(log_of(t), ["user_id"])

@@ -77,6 +77,21 @@ def _(t):
     return files.scan(t.spark, path, rows.schema)
 
 
+@query(
+    "s12_csv_reference_table",
+    """
+    SELECT s_nationkey, n_name, COUNT(*) AS suppliers FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY 1, 2
+    """,
+)
+def _(t):
+    """A reference table kept as CSV, read with a declared schema."""
+    path = new_folder(t.spark, "nations-csv")
+    t.nation.select("n_nationkey", "n_name").write.csv(path, header=True)
+    names = files.read_csv(t.spark, path, "n_nationkey int, n_name string")
+    counted = t.supplier.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("suppliers"))
+    return counted.join(names, F.col("s_nationkey") == F.col("n_nationkey")).select("s_nationkey", "n_name", "suppliers")
+
+
 @query(
     "s13_partitioned_write",
     """

@@ -184,6 +184,11 @@ def bootstrap(
     raise ValueError("mode must be initial, schema_only or never")
 
 
+def read_log(spark: SparkSession, path: str, row: StructType) -> DataFrame:
+    """Change rows from files of envelopes, one JSON message per line."""
+    return change_rows(parse_envelopes(spark.read.text(path), row))
+
+
 def log_between(
     changes: DataFrame, start: int | None = None, stop: int | None = None, column: str = "pos"
 ) -> DataFrame:
