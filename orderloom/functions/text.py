@@ -37,9 +37,15 @@ def lenient_number(column: Column, kind: str = "long") -> Column:
     return column.try_cast(kind)
 
 
+# Quoted text, hexadecimal and decimal numbers that are no part of a name.
+LITERALS = (
+    r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\""
+    r"|(?<![\w.])(?:0x[0-9a-fA-F]+|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)\b"
+)
+
+
 def statement_digest(sql: Column) -> Column:
     """A statement with its literals replaced by ``?`` and its blanks squeezed."""
-    shape = F.regexp_replace(sql, r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"", "?")
-    shape = F.regexp_replace(shape, r"\b0x[0-9a-fA-F]+\b|(?<![\w.])-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?\b", "?")
-    shape = F.regexp_replace(shape, r"\(\s*\?(?:\s*,\s*\?)+\s*\)", "(?)")
-    return F.lower(F.rtrim(F.regexp_replace(F.trim(F.regexp_replace(shape, r"\s+", " ")), ";$", "")))
+    shape = F.regexp_replace(F.regexp_replace(sql, LITERALS, "?"), r"\s+", " ")
+    shape = F.regexp_replace(shape, r"\( ?\?(?: ?, ?\?)+ ?\)", "(?)")
+    return F.lower(F.ltrim(F.rtrim(shape, F.lit("; "))))

@@ -1,8 +1,9 @@
 """Keys that hold too many rows for one task.
 
-A key is hot when it has more than ``HOT_ROWS`` rows. There are at most
-(all rows / HOT_ROWS) of them, so their list may be broadcast however large the
-table is. It comes from a count that combines on the map side.
+A key is hot when it has more than ``HOT_ROWS`` rows. They are looked for first,
+with a count that combines on the map side. There are at most (all rows /
+HOT_ROWS) of them however large the table is, so the list is small enough to
+fetch and to broadcast. Mostly there are none, and then the plain plan is used.
 """
 
 from __future__ import annotations
@@ -11,15 +12,20 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 HOT_ROWS = 5_000_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The hot keys, with the number of shares of ``hot_rows`` each makes (``_shares``)."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The hot keys, with the number of shares of ``hot_rows`` each makes (``_shares``); None if there are none."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
     shares = F.ceil(F.col("_rows") / hot_rows).cast("int")
-    return counted.filter(F.col("_rows") > hot_rows).select(*keys, shares.alias("_shares"))
+    found = counted.select(*keys, shares.alias("_shares")).collect()
+    if not found:
+        return None
+    schema = StructType([*[df.schema[k] for k in keys], StructField("_shares", IntegerType())])
+    return df.sparkSession.createDataFrame(found, schema)
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,6 +46,8 @@ def join_one_per_key(
     and its single partner is copied to each. Keys must not be NULL.
     """
     hot = hot_keys(rows, keys, hot_rows)
+    if hot is None:
+        return rows.join(one_per_key, keys, how)
     dealt = F.when(F.col("_shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("_shares")))
     left = mark_hot(rows, hot, keys).withColumn("_share", dealt.cast("int")).drop("_shares")
     copies = F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)

@@ -5,8 +5,8 @@ whole table there. Here the rows of a hot key (see ``skew``) are split into bloc
 along the order: a day, an hour, a span of numbers. Blocks are summed up first, a
 small aggregate with map-side combining; what the earlier blocks of a key add up to
 then enters each block as one extra leading row, and the window itself runs per
-(key, block). Rows are shuffled once and nothing is joined back. Keys that are not
-hot form one block each, which is the plain window.
+(key, block). Rows are shuffled once and nothing is joined back. Where no key is
+hot, the plain window is used.
 
 ``block`` must be non-decreasing in the order and equal for rows that tie on it.
 It only decides how finely hot keys are split; choose it fine.
@@ -22,13 +22,15 @@ from orderloom.operators.skew import HOT_ROWS, hot_keys, join_one_per_key, mark_
 LEAD, ROW = 0, 1
 
 
-def _blocked(df: DataFrame, keys: list[str], block: Column, hot_rows: int) -> DataFrame:
-    """Adds ``_block``, NULL for keys that are not split, and ``_kind``."""
+def _blocked(df: DataFrame, keys: list[str], block: Column, hot_rows: int) -> DataFrame | None:
+    """Adds ``_block``, NULL for keys that are not split, and ``_kind``; None if no key is."""
     if not keys:
         return df.withColumns({"_block": block, "_kind": F.lit(ROW)})
-    marked = mark_hot(df, hot_keys(df, keys, hot_rows), keys)
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return None
     split = F.when(F.col("_shares").isNotNull(), block)
-    return marked.withColumns({"_block": split, "_kind": F.lit(ROW)}).drop("_shares")
+    return mark_hot(df, hot, keys).withColumns({"_block": split, "_kind": F.lit(ROW)}).drop("_shares")
 
 
 def _split_rows(rows: DataFrame) -> DataFrame:
@@ -43,6 +45,10 @@ def _with_lead(rows: DataFrame, carry: DataFrame) -> DataFrame:
     return rows.unionByName(carry.withColumn("_kind", F.lit(LEAD)), allowMissingColumns=True)
 
 
+def _without_lead(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("_kind") == ROW).drop("_kind")
+
+
 def _within_block(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys, "_block").orderBy("_kind", *order)
 
@@ -57,14 +63,17 @@ def running(
 ) -> DataFrame:
     """Adds running sums ``name -> value`` along ``order`` within ``keys``, up to the current row."""
     valued = df.select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()])
+
+    def summed(rows: DataFrame, window, *extra: str) -> DataFrame:
+        frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.select(*df.columns, *extra, *[F.sum(f"_v_{n}").over(frame).alias(n) for n in sums])
+
     rows = _blocked(valued, keys, block, hot_rows)
+    if rows is None:
+        return summed(valued, Window.partitionBy(*keys).orderBy(*order))
     totals = _split_rows(rows).groupBy(*keys, "_block").agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums])
     carry = totals.select(*keys, "_block", *[F.sum(f"_v_{n}").over(_earlier(keys)).alias(f"_v_{n}") for n in sums])
-    window = _within_block(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = _with_lead(rows, carry).select(
-        *df.columns, "_kind", *[F.sum(f"_v_{n}").over(window).alias(n) for n in sums]
-    )
-    return summed.filter(F.col("_kind") == ROW).drop("_kind")
+    return _without_lead(summed(_with_lead(rows, carry), _within_block(keys, order), "_kind"))
 
 
 def running_with_peers(
@@ -95,7 +104,18 @@ def numbered(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds ROW_NUMBER, RANK and DENSE_RANK along ascending ``order`` within ``keys``."""
+
+    def ranked(rows: DataFrame, window, rows_before: Column, values_before: Column, *extra: str) -> DataFrame:
+        wanted = {
+            row_number: rows_before + F.row_number().over(window),
+            rank: rows_before + F.rank().over(window),
+            dense_rank: values_before + F.dense_rank().over(window),
+        }
+        return rows.select(*df.columns, *extra, *[c.cast("long").alias(n) for n, c in wanted.items() if n])
+
     rows = _blocked(df, keys, block, hot_rows)
+    if rows is None:
+        return ranked(df, Window.partitionBy(*keys).orderBy(*order), F.lit(0), F.lit(0))
     values = _split_rows(rows).groupBy(*keys, "_block", *order).agg(F.count(F.lit(1)).alias("_n"))
     totals = values.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_d"))
     before = _earlier(keys)
@@ -110,15 +130,7 @@ def numbered(
     opening = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows_before = F.coalesce(F.first("_n").over(opening), F.lit(0))
     values_before = F.coalesce(F.first("_d").over(opening), F.lit(0))
-    wanted = {
-        row_number: rows_before + F.row_number().over(window),
-        rank: rows_before + F.rank().over(window),
-        dense_rank: values_before + F.dense_rank().over(window),
-    }
-    ranked = _with_lead(rows, carry).select(
-        *df.columns, "_kind", *[c.cast("long").alias(n) for n, c in wanted.items() if n]
-    )
-    return ranked.filter(F.col("_kind") == ROW).drop("_kind")
+    return _without_lead(ranked(_with_lead(rows, carry), window, rows_before, values_before, "_kind"))
 
 
 def previous(
@@ -133,17 +145,20 @@ def previous(
 
     ``order`` must be unique within a key.
     """
-    picked = F.struct(*[F.col(c) for c in columns])
-    rows = _blocked(df.withColumn("_now", picked), keys, block, hot_rows)
-    totals = _split_rows(rows).groupBy(*keys, "_block").agg(F.max_by("_now", F.struct(*order)).alias("_now"))
-    carry = totals.select(
-        *keys, "_block", F.lag("_now").over(Window.partitionBy(*keys).orderBy("_block")).alias("_now")
-    )
-    before = F.lag("_now").over(_within_block(keys, order)).alias("_row_before")
-    lagged = _with_lead(rows, carry).select(*df.columns, "_kind", before)
-    return lagged.filter(F.col("_kind") == ROW).select(
-        *df.columns, *[F.col(f"_row_before.{c}").alias(out) for c, out in columns.items()]
-    )
+    packed = df.withColumn("_now", F.struct(*[F.col(c) for c in columns]))
+
+    def lagged(rows: DataFrame, window, *extra: str) -> DataFrame:
+        return rows.select(*df.columns, *extra, F.lag("_now").over(window).alias("_row_before"))
+
+    rows = _blocked(packed, keys, block, hot_rows)
+    if rows is None:
+        found = lagged(packed, Window.partitionBy(*keys).orderBy(*order))
+    else:
+        totals = _split_rows(rows).groupBy(*keys, "_block").agg(F.max_by("_now", F.struct(*order)).alias("_now"))
+        last = F.lag("_now").over(Window.partitionBy(*keys).orderBy("_block")).alias("_now")
+        carry = totals.select(*keys, "_block", last)
+        found = _without_lead(lagged(_with_lead(rows, carry), _within_block(keys, order), "_kind"))
+    return found.select(*df.columns, *[F.col(f"_row_before.{c}").alias(out) for c, out in columns.items()])
 
 
 def sliding(

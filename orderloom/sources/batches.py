@@ -58,7 +58,8 @@ class BatchTable:
         batches = self._batches()
         newest = None if batches is None else batches.agg(F.max("batch").alias("b")).first().b
         if newest is not None:
-            self.base.replace(self.read(), tag=str(newest))
+            # Not those that arrive meanwhile: they would be counted again.
+            self.base.replace(self.read(before=newest + 1), tag=str(newest))
 
     def run(self, stream: DataFrame, checkpoint: str) -> None:
         """Takes in all the stream has; the position is committed after each batch."""

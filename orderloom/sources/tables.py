@@ -83,7 +83,8 @@ def merge_partitions(
         return
     # Partition values, not rows: as many as days or months in the load.
     touched = [row[0] for row in rows.select(partition).distinct().collect()]
-    held = stored.filter(F.col(partition).isin(touched))
+    listed = F.col(partition).isin([v for v in touched if v is not None])
+    held = stored.filter(listed | F.col(partition).isNull() if None in touched else listed)
     write_by(cut(upsert(held, rows, keys, latest_by=latest_by), "merged"), path, partition)
 
 

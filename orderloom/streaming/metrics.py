@@ -81,6 +81,7 @@ def breaches(samples: DataFrame, rules: DataFrame) -> DataFrame:
         .when(op == ">=", value >= limit)
         .when(op == "<=", value <= limit)
         .when(op == "!=", value != limit)
+        .otherwise(F.raise_error(F.concat(F.lit("unknown operator "), op)).cast("boolean"))
     )
     return samples.join(F.broadcast(rules), "metric").withColumn("broken", F.coalesce(broken, F.lit(False)))
 

@@ -292,6 +292,12 @@ def test_rules_table(spark):
     ]
 
 
+def test_an_unknown_operator_is_an_error(spark):
+    samples = spark.createDataFrame([("m", 1.0)], "metric string, value double")
+    with pytest.raises(Exception, match="unknown operator"):
+        metrics.breaches(samples, metrics.rules_table(spark, [("r", "m", "~", 1.0, 1, "warning")])).collect()
+
+
 def test_gauges_side_by_side(spark):
     samples = spark.createDataFrame([("i1", "used", 30.0), ("i1", "max", 40.0), ("i2", "used", 1.0), ("i2", "max", 0.0)], "instance string, metric string, value double")
     wide = metrics.wide(samples, ["instance"], ["used", "max"]).withColumn("pct", metrics.percent(F.col("used"), F.col("max")))

@@ -167,6 +167,13 @@ def test_partitions_not_touched_stay_as_they_are(spark):
     assert rows(spark.read.parquet(path).select("id", "v")) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_rows_without_a_partition_value_are_kept(spark):
+    path, kind = new_folder(spark, "nulls"), "id int, v string, y int"
+    merge_partitions(spark.createDataFrame([(1, "a", None), (2, "b", 2024)], kind), path, ["id"], "y")
+    merge_partitions(spark.createDataFrame([(3, "c", None), (4, "d", 2024)], kind), path, ["id"], "y")
+    assert rows(spark.read.parquet(path).select("id", "v")) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+
+
 def test_write_by_replaces_only_what_it_brings(spark):
     path = new_folder(spark, "days")
     write_by(spark.createDataFrame([(1, 1), (2, 2)], "v int, d int"), path, "d")

@@ -74,6 +74,14 @@ def test_join_one_per_key_keeps_all_rows(rows, hot_rows):
 
 def test_hot_keys_are_listed_with_their_shares(rows):
     assert {(r.k, r._shares) for r in hot_keys(rows, ["k"], 150).collect()} == {("hot", 2)}
+    assert hot_keys(rows, ["k"]) is None
+
+
+def test_without_hot_keys_the_plan_is_the_plain_one(tables):
+    orders, sums = tables.orders, {"s": F.col("o_totalprice")}
+    summed = windows.running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderdate"), sums)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Union" not in plan
 
 
 @pytest.mark.parametrize("tiles, count", [(1, 400), (3, 400), (5, 400), (100, 30)])
