@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from orderloom.operators.joins import one_value, range_join
 from orderloom.operators.ranking import with_position
 from orderloom.operators.windows import running
-from orderloom.session import cut
+from orderloom.session import new_folder
 
 PATH_SEPARATOR = " > "
 
 
+def _by_levels(spark: SparkSession, first: DataFrame, step, label: str, max_depth: int | None) -> DataFrame:
+    """``first`` and what ``step`` makes of each level in turn, until a level is empty.
+
+    Every level goes to a folder of its own under one root, read as one table with
+    the level as ``depth``. So a plan is one join deep and the result one scan,
+    however deep the tree is.
+    """
+    root, depth = new_folder(spark, label), 0
+    level = first
+    while True:
+        path = f"{root}/depth={depth}"
+        level.write.parquet(path)
+        level = spark.read.schema(first.schema).parquet(path)
+        if depth == max_depth or level.isEmpty():
+            break
+        level, depth = step(level), depth + 1
+    columns = StructType([*first.schema.fields, StructField("depth", IntegerType())])
+    return spark.read.schema(columns).parquet(root)
+
+
 def descend(
     nodes: DataFrame,
     start: Column | None = None,
-    max_depth: int = 100,
+    max_depth: int | None = None,
     key: str = "id",
     parent: str = "parent_id",
     name: str = "name",
@@ -26,63 +45,49 @@ def descend(
 ) -> DataFrame:
     """All nodes below ``start`` (default: the roots) with ``depth`` and ``path``.
 
-    One join per level, each level written to the shared folder, so the plan
-    stays one join deep for a tree of any depth. A node seen on its own path is
-    not entered again, which ends cycles.
+    One join per level. A node is not entered again on its own path, which ends cycles.
     """
     columns = [key, parent, name]
     tree = nodes.select(*columns)
     begin = F.col(parent).isNull() if start is None else start
-    level = cut(
-        tree.filter(begin).select(
-            *columns,
-            F.lit(0).alias("depth"),
-            F.col(name).alias("path"),
-            F.array(F.col(key).cast("string")).alias("_trail"),
-        ),
-        "tree-level",
-    )
-    levels = [level]
-    for depth in range(1, max_depth + 1):
+    label = F.col(key).cast("string")
+    top = tree.filter(begin).select(*columns, F.col(name).alias("path"), F.array(label).alias("_trail"))
+
+    def below(level: DataFrame) -> DataFrame:
         above = level.select(
             F.col(key).alias("_above"), F.col("path").alias("_path"), F.col("_trail").alias("_seen")
         )
-        below = tree.join(above, F.col(parent) == F.col("_above")).filter(
-            ~F.array_contains("_seen", F.col(key).cast("string"))
-        )
-        level = cut(
-            below.select(
-                *columns,
-                F.lit(depth).alias("depth"),
-                F.concat("_path", F.lit(separator), F.col(name)).alias("path"),
-                F.array_append("_seen", F.col(key).cast("string")).alias("_trail"),
-            ),
-            "tree-level",
+        found = tree.join(above, F.col(parent) == F.col("_above")).filter(~F.array_contains("_seen", label))
+        return found.select(
+            *columns,
+            F.concat("_path", F.lit(separator), F.col(name)).alias("path"),
+            F.array_append("_seen", label).alias("_trail"),
         )
-        if level.isEmpty():
-            break
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels).drop("_trail")
 
+    walked = _by_levels(nodes.sparkSession, top, below, "tree", max_depth)
+    return walked.select(*columns, "depth", "path")
 
-def closure(nodes: DataFrame, max_depth: int = 100, key: str = "id", parent: str = "parent_id") -> DataFrame:
+
+def closure(
+    nodes: DataFrame, max_depth: int | None = None, key: str = "id", parent: str = "parent_id"
+) -> DataFrame:
     """All (ancestor, descendant, depth) pairs, each node with itself at depth 0.
 
-    Climbs one parent per round; rounds are written out, rows that reached a root
-    drop out of the next round.
+    Climbs one parent per round; rows that reached a root drop out of the next one,
+    and so do those back at a node they came through.
     """
     up = nodes.select(F.col(key).alias("_child"), F.col(parent).alias("_parent")).filter("_parent IS NOT NULL")
-    level = nodes.select(F.col(key).alias("ancestor"), F.col(key).alias("descendant"), F.lit(0).alias("depth"))
-    levels = [level]
-    for depth in range(1, max_depth + 1):
-        climbed = level.join(up, F.col("ancestor") == F.col("_child")).select(
-            F.col("_parent").alias("ancestor"), "descendant", F.lit(depth).alias("depth")
+    own = F.col(key)
+    first = nodes.select(own.alias("ancestor"), own.alias("descendant"), F.array(own).alias("_trail"))
+
+    def climb(level: DataFrame) -> DataFrame:
+        climbed = level.join(up, F.col("ancestor") == F.col("_child"))
+        new = climbed.filter(~F.array_contains("_trail", F.col("_parent")))
+        return new.select(
+            F.col("_parent").alias("ancestor"), "descendant", F.array_append("_trail", F.col("_parent")).alias("_trail")
         )
-        level = cut(climbed.filter("ancestor <> descendant"), "closure-level")
-        if level.isEmpty():
-            break
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels)
+
+    return _by_levels(nodes.sparkSession, first, climb, "closure", max_depth).drop("_trail")
 
 
 def ancestors_of(pairs: DataFrame, node) -> DataFrame:

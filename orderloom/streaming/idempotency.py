@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.operators.merge import latest_per_key
 from orderloom.operators.skew import join_one_per_key
-from orderloom.session import cut
+from orderloom.session import cut, new_folder
 from orderloom.sources.batches import BatchTable
 
 DAY_SECONDS = 24 * 3600
@@ -44,8 +45,9 @@ def settle_requests(
     what falls into its lifetime is judged; the rest goes on. There are at most as
     many rounds as lifetimes fit into the history.
     """
-    columns = requests.columns
-    rest, judged = requests, []
+    spark, columns = requests.sparkSession, requests.columns
+    kinds = StructType([*requests.schema.fields, StructField("verdict", StringType())])
+    root, number, rest = new_folder(spark, "requests"), 0, requests
     while True:
         opening = rest.groupBy(key).agg(
             F.min_by(F.struct(at, tie, request_hash), F.struct(at, tie)).alias("_first")
@@ -57,11 +59,12 @@ def settle_requests(
             .when(F.col(request_hash) != F.col(f"_first.{request_hash}"), "mismatch")
             .otherwise("replay")
         )
-        marked = cut(join_one_per_key(rest, opening, [key]).select(*columns, verdict.alias("verdict")), "requests")
-        judged.append(marked.filter("verdict IS NOT NULL"))
-        rest = marked.filter("verdict IS NULL").select(*columns)
+        path = f"{root}/round={number}"
+        join_one_per_key(rest, opening, [key]).select(*columns, verdict.alias("verdict")).write.parquet(path)
+        marked = spark.read.schema(kinds).parquet(path)
+        rest, number = marked.filter("verdict IS NULL").select(*columns), number + 1
         if rest.isEmpty():
-            return reduce(DataFrame.unionByName, judged)
+            return spark.read.schema(kinds).parquet(root).filter("verdict IS NOT NULL")
 
 
 def openings_table(spark: SparkSession, path: str, key: str, at: str, tie: str, empty: DataFrame) -> BatchTable:

@@ -25,6 +25,8 @@ def test_cycles_and_depth_limit_end_the_walk(spark):
     assert hierarchy.descend(ring, F.col("id") == 1).count() == 3
     assert hierarchy.descend(seed.categories(spark), max_depth=1).count() == 7
     assert hierarchy.closure(ring).count() == 9
+    tail = ring.unionByName(spark.createDataFrame([(4, 1, "d")], ring.schema))
+    assert sorted(r.ancestor for r in hierarchy.ancestors_of(hierarchy.closure(tail), 4).collect()) == [1, 2, 3, 4]
 
 
 def test_closure(spark):
@@ -33,6 +35,11 @@ def test_closure(spark):
     assert hierarchy.descendants_of(pairs, 1).count() == 8
 
 
+def test_a_deep_chain(spark):
+    chain = spark.range(25).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"), F.lit("n").alias("name"))
+    assert hierarchy.descend(chain).agg(F.max("depth"), F.count("id")).first() == (24, 25)
+
+
 def test_nested_sets_with_gaps(spark):
     nested = seed.nested(spark)
     assert sorted(r.id for r in hierarchy.subtree(nested, F.col("id") == 1).collect()) == list(range(1, 9))
