@@ -34,6 +34,35 @@ def _by_levels(spark: SparkSession, first: DataFrame, step, label: str, max_dept
     return spark.read.schema(columns).parquet(root)
 
 
+def _walk(
+    nodes: DataFrame, start: Column | None, max_depth: int | None, key: str, parent: str, name: str
+) -> DataFrame:
+    """Nodes from ``start`` down, with ``depth``, ``path`` and for each step of it the id and a sort text."""
+    columns = [key, parent, name]
+    tree = nodes.select(*columns)
+    begin = F.col(parent).isNull() if start is None else start
+    # The id tells siblings of one name apart.
+    step = F.concat_ws("\u0002", F.col(name), F.col(key).cast("string"))
+    top = tree.filter(begin).select(
+        *columns, F.col(name).alias("path"), F.array(key).alias("_trail"), F.array(step).alias("_steps")
+    )
+
+    def below(level: DataFrame) -> DataFrame:
+        above = level.select(
+            F.col(key).alias("_above"), F.col("path").alias("_path"), F.col("_trail").alias("_seen"),
+            F.col("_steps").alias("_taken"),
+        )
+        found = tree.join(above, F.col(parent) == F.col("_above"))
+        return found.filter(~F.array_contains("_seen", F.col(key))).select(
+            *columns,
+            F.concat("_path", F.lit(PATH_SEPARATOR), F.col(name)).alias("path"),
+            F.array_append("_seen", F.col(key)).alias("_trail"),
+            F.array_append("_taken", step).alias("_steps"),
+        )
+
+    return _by_levels(nodes.sparkSession, top, below, "tree", max_depth)
+
+
 def descend(
     nodes: DataFrame,
     start: Column | None = None,
@@ -41,31 +70,12 @@ def descend(
     key: str = "id",
     parent: str = "parent_id",
     name: str = "name",
-    separator: str = PATH_SEPARATOR,
 ) -> DataFrame:
     """All nodes below ``start`` (default: the roots) with ``depth`` and ``path``.
 
     One join per level. A node is not entered again on its own path, which ends cycles.
     """
-    columns = [key, parent, name]
-    tree = nodes.select(*columns)
-    begin = F.col(parent).isNull() if start is None else start
-    label = F.col(key).cast("string")
-    top = tree.filter(begin).select(*columns, F.col(name).alias("path"), F.array(label).alias("_trail"))
-
-    def below(level: DataFrame) -> DataFrame:
-        above = level.select(
-            F.col(key).alias("_above"), F.col("path").alias("_path"), F.col("_trail").alias("_seen")
-        )
-        found = tree.join(above, F.col(parent) == F.col("_above")).filter(~F.array_contains("_seen", label))
-        return found.select(
-            *columns,
-            F.concat("_path", F.lit(separator), F.col(name)).alias("path"),
-            F.array_append("_seen", label).alias("_trail"),
-        )
-
-    walked = _by_levels(nodes.sparkSession, top, below, "tree", max_depth)
-    return walked.select(*columns, "depth", "path")
+    return _walk(nodes, start, max_depth, key, parent, name).select(key, parent, name, "depth", "path")
 
 
 def closure(
@@ -131,20 +141,13 @@ def number_nested_sets(
 
     A node in pre-order place p (from 0) at depth d has p intervals opened before
     it, of which p - d are closed again; its own holds two numbers per node below.
-    Siblings follow each other by name, then id.
+    Siblings follow each other by name, then id. A node's way down names all
+    nodes it counts for.
     """
-    placed = descend(nodes, key=key, parent=parent, name=name)
-    # The id sorts siblings of one name apart; steps are compared one by one, not as one text.
-    sort_names = nodes.withColumn(name, F.concat_ws("\u0002", F.col(name), F.col(key).cast("string")))
-    ordered = descend(sort_names, key=key, parent=parent, name=name, separator="\u0001").select(
-        key, F.split("path", "\u0001").alias("_steps")
-    )
-    ranked = with_position(ordered, [F.col("_steps")], "_place").select(key, "_place")
-    sizes = closure(nodes, key=key, parent=parent).groupBy(F.col("ancestor").alias(key)).agg(
-        F.count(F.lit(1)).alias("_size")
-    )
-    numbered = placed.join(ranked, key).join(sizes, key)
+    walked = _walk(nodes, None, None, key, parent, name)
+    sizes = walked.select(F.explode("_trail").alias(key)).groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    placed = with_position(walked.select(key, "depth", "path", "_steps"), [F.col("_steps")], "_place")
     left = 2 * (F.col("_place") - 1) - F.col("depth") + 1
-    return numbered.select(
+    return placed.join(sizes, key).select(
         key, left.alias("lft"), (left + 2 * F.col("_size") - 1).alias("rgt"), "depth", "path"
     )
