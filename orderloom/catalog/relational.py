@@ -14,7 +14,7 @@ from orderloom.functions.amounts import cents, from_cents, total_cents
 from orderloom.functions.text import masked_email
 from orderloom.operators import joins, paging, ranking, windows
 from orderloom.operators.aggregates import distinct_counts
-from orderloom.operators.hierarchy import descend
+from orderloom.operators.hierarchy import descend, descend_in_sql
 from orderloom.operators.merge import update_where
 from orderloom.operators.scd import scd2_initial, scd2_merge
 from orderloom.plans.warehouse import days_covering, dim_date, sales_by_order, sales_lines
@@ -1285,3 +1285,24 @@ def place_tree(t) -> DataFrame:
 def _(t):
     """All that lies below one region, level by level."""
     return descend(place_tree(t), F.col("id") == "r2").select("id", "parent_id", "name", "depth")
+
+
+@query(
+    "u6_recursive_query",
+    """
+    WITH RECURSIVE tree AS (SELECT 'r' || r_regionkey AS id, 'world' AS parent_id FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
+                            UNION ALL SELECT 'world', NULL),
+    below AS (SELECT id, parent_id, 0 AS depth FROM tree WHERE id = 'world' UNION ALL SELECT c.id, c.parent_id, b.depth + 1 FROM tree c JOIN below b ON c.parent_id = b.id)
+    SELECT b.id, b.depth, COALESCE(n, 0) AS customers FROM below b LEFT JOIN (SELECT 'n' || c_nationkey AS id, COUNT(*) AS n FROM customer GROUP BY 1) c ON c.id = b.id
+    """,
+)
+def _(t):
+    """The small tree of places walked by a recursive query, with the customers at each place."""
+    places = place_tree(t).filter("id NOT LIKE 'c%'")
+    world = F.coalesce("parent_id", F.lit("world")).alias("parent_id")
+    top = places.select(F.lit("world").alias("id"), F.lit(None).cast("string").alias("parent_id")).distinct()
+    tree = places.select("id", world).unionByName(top)
+    per_nation = t.customer.groupBy(F.concat(F.lit("n"), "c_nationkey").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return descend_in_sql(tree, "world").join(per_nation, "id", "left").select(
+        "id", "depth", F.coalesce("n", F.lit(0)).alias("customers")
+    )

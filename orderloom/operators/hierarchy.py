@@ -78,6 +78,28 @@ def descend(
     return _walk(nodes, start, max_depth, key, parent, name).select(key, parent, name, "depth", "path")
 
 
+def descend_in_sql(nodes: DataFrame, root, key: str = "id", parent: str = "parent_id") -> DataFrame:
+    """The walk below one node as a recursive query, for small trees such as categories.
+
+    Spark ends a recursion of more than 100 levels or a million rows with an error
+    (``spark.sql.cteRecursionLevelLimit``, ``spark.sql.cteRecursionRowLimit``).
+    """
+    tree = nodes.select(F.col(key).alias("id"), F.col(parent).alias("parent_id"))
+    return nodes.sparkSession.sql(
+        """
+        WITH RECURSIVE below(id, parent_id, depth) AS (
+          SELECT id, parent_id, 0 FROM {tree} WHERE id = :root
+          UNION ALL
+          SELECT child.id, child.parent_id, below.depth + 1
+          FROM {tree} AS child JOIN below ON child.parent_id = below.id
+        )
+        SELECT id, parent_id, depth FROM below
+        """,
+        args={"root": root},
+        tree=tree,
+    )
+
+
 def closure(
     nodes: DataFrame, max_depth: int | None = None, key: str = "id", parent: str = "parent_id"
 ) -> DataFrame:

@@ -185,16 +185,17 @@ def test_catalog_and_statistics(spark):
     spark.sql(f"DROP TABLE {name}")
 
 
-SLOW_LOG = """# Time: 2024-12-13T14:23:45.123456Z
-# User@Host: app_user[app_user] @ [10.0.0.5]
-# Query_time: 3.512345  Lock_time: 0.000234  Rows_sent: 1  Rows_examined: 1500000
-SET timestamp=1734098625;
-SELECT * FROM orders
-WHERE YEAR(created_at) = 2024 AND status = 'pending';
-# Time: 2024-12-13T14:24:00.000000Z
-# User@Host: app_user[app_user] @ [10.0.0.5]
-# Query_time: 0.200000  Lock_time: 0.000001  Rows_sent: 0  Rows_examined: 5
-SET timestamp=1734098640;
+SLOW_LOG = """# Time: 2025-03-02T01:02:03.250000Z
+# User@Host: report[report] @ [192.0.2.7]
+# Query_time: 12.750000  Lock_time: 0.004000  Rows_sent: 20  Rows_examined: 48000
+SET timestamp=1740877323;
+SELECT p.sku, SUM(i.quantity)
+FROM order_items i JOIN products p ON p.id = i.product_id
+GROUP BY p.sku;
+# Time: 2025-03-02T01:02:09.000000Z
+# User@Host: report[report] @ [192.0.2.7]
+# Query_time: 0.100000  Lock_time: 0.000001  Rows_sent: 0  Rows_examined: 5
+SET timestamp=1740877329;
 SELECT 1;
 """
 
@@ -205,10 +206,10 @@ def test_slow_log(spark):
     entries = slowlog.read_entries(spark, path)
     assert entries.count() == 2
     row = slowlog.over_threshold(entries, 1.0, 1000).first()
-    assert (row.query_time, row.lock_time, row.rows_sent, row.rows_examined) == (3.512345, 0.000234, 1, 1500000)
-    assert row.user_host == "app_user[app_user] @ [10.0.0.5]"
-    assert row.sql_text == "SELECT * FROM orders WHERE YEAR(created_at) = 2024 AND status = 'pending';"
-    assert row.time == dt.datetime(2024, 12, 13, 14, 23, 45, 123456)
+    assert (row.query_time, row.lock_time, row.rows_sent, row.rows_examined) == (12.75, 0.004, 20, 48000)
+    assert row.user_host == "report[report] @ [192.0.2.7]"
+    assert row.sql_text == "SELECT p.sku, SUM(i.quantity) FROM order_items i JOIN products p ON p.id = i.product_id GROUP BY p.sku;"
+    assert row.time == dt.datetime(2025, 3, 2, 1, 2, 3, 250000)
 
 
 def test_growth(spark):
