@@ -7,6 +7,8 @@ keys stay as flagged rows, so that an older change arriving late cannot revive t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -145,17 +147,19 @@ def as_state(rows: DataFrame) -> DataFrame:
 def apply_changes(state: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """New state after the changes: c, u and r write the row, d flags it.
 
-    State and changes meet in one aggregate over the key; the newest of them wins,
-    whatever the order or number of times a change arrives.
+    The changes are reduced to the last per key and meet the state in one full
+    outer join, in which the newer row wins. So neither the order of arrival nor
+    repeats matter, and the state is shuffled once. ``state`` has one row per key.
     """
     held = as_state(state)
-    as_rows = changes.select(
-        *[c for c in held.columns if c not in STATE_META],
-        (F.col("op") == "d").alias("is_deleted"),
-        "ts_ms",
-        "pos",
+    last = latest_image(changes, keys).withColumn("is_deleted", F.col("op") == "d")
+    old, new = held.alias("o"), last.select(*held.columns).alias("n")
+    on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])
+    later = F.struct("n.ts_ms", "n.pos") > F.struct("o.ts_ms", "o.pos")
+    newer = F.col(f"n.{keys[0]}").isNotNull() & (F.col(f"o.{keys[0]}").isNull() | later)
+    return old.join(new, on, "full").select(
+        *[F.when(newer, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in held.columns]
     )
-    return latest_per_key(held.unionByName(as_rows.select(*held.columns)), keys, ["ts_ms", "pos"])
 
 
 def live_rows(state: DataFrame) -> DataFrame:
