@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, LongType, StructField, StructType
 
 from orderloom.bindings import money
 from orderloom.catalog.core import query
