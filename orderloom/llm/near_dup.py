@@ -30,8 +30,8 @@ TREES, ROOT_DEPTH, VALUES = 32, 3, 128
 DEEP = 13
 #: Up to this many documents, every pair of a region is a candidate.
 SMALL = 8
-#: Neighbours on each side in a crowded region.
-BESIDE = 2
+#: Neighbours on each side in a crowded region of one tree.
+BESIDE = 1
 #: Documents of a crowded region that meet in one task.
 BLOCK = 2000
 
@@ -198,28 +198,30 @@ def _compared(percent: int):
     return compare
 
 
-def _crowded_links(trees: DataFrame, regions: DataFrame, comps: DataFrame, sets_of, percent: int) -> DataFrame | None:
-    """Links across components within the crowded regions; exact.
+def _crowded_links(trees: DataFrame, regions: DataFrame, comps: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links across components within crowded regions; exact.
 
-    In each region the documents outside its largest component meet all others,
-    in pairs of blocks of at most BLOCK documents a side.
+    Regions that share documents, over all trees, make up a family. In it the documents outside the largest component meet
+    all others, in pairs of blocks of at most BLOCK documents a side; each set is sent once per block, not once per tree.
     """
-    rows = trees.select("region", "rep").join(regions, "region", "left_semi")
-    rows = cut(rows.join(comps, rows.rep == comps.node, "left").select("region", "rep", F.coalesce("component", "rep").alias("component")), "crowded")
-    per = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
-    top = per.groupBy("region").agg(
+    rows = cut(trees.select("region", "rep").join(regions, "region", "left_semi"), "crowded")
+    least = rows.groupBy("region").agg(F.min("rep").alias("b"))
+    families = connected_components(rows.join(least, "region").select(F.col("rep").alias("a"), "b"))
+    families = families.toDF("rep", "family").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    rows = cut(families.select("rep", "family", F.coalesce("component", "rep").alias("component")), "families")
+    per = rows.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
+    top = per.groupBy("family").agg(
         F.max_by("component", F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")
     )
-    top = cut(top.filter("parts > 1"), "regions")
-    rows = rows.join(top, "region").withColumn("outside", F.col("component") != F.col("top"))
+    rows = rows.join(cut(top.filter("parts > 1"), "mixed"), "family")
     blocks = F.ceil(F.col("all") / BLOCK).cast("int")
-    place = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    # side 1 asks, side 0 is asked; an asking document goes to every block, an asked one to the blocks of askers.
-    asks = rows.filter("outside").select("region", "rep", "component", place.alias("x"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("y"), F.lit(1).alias("side"))
-    asked = rows.select("region", "rep", "component", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("x"), place.alias("y"), F.lit(0).alias("side"))
-    both = asks.union(asked).groupBy("region", "x", "y", "rep", "component").agg(F.max("side").alias("side"))
-    both = both.join(sets_of(rows.select("rep").distinct()), "rep")
-    return both.groupBy("region", "x", "y").applyInArrow(_compared(percent), "a long, b long")
+    place, every = F.pmod(F.xxhash64("rep"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    # Side 1 asks and goes to all blocks that are asked, side 0 is asked by all blocks.
+    asks = rows.filter("component <> top").select("family", "rep", "component", place.alias("x"), every.alias("y"), F.lit(1).alias("side"))
+    asked = rows.select("family", "rep", "component", every.alias("x"), place.alias("y"), F.lit(0).alias("side"))
+    both = asks.union(asked).groupBy("family", "x", "y", "rep", "component").agg(F.max("side").alias("side"))
+    both = both.join(sets_of(rows.select("rep")), "rep")
+    return both.groupBy("family", "x", "y").applyInArrow(_compared(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -243,7 +245,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = cut(worded.groupBy("mark_a", "mark_b").agg(F.min("doc_id").alias("rep")), "classes")
     key = ["mark_a", "mark_b", "rep"]
     chosen = classes.join(worded.withColumnRenamed("doc_id", "rep"), key).dropDuplicates(key).select("rep", "signature")
-    trees = cut(chosen.mapInArrow(_planted, "region long, deep binary, rep long"), "trees")
+    trees = cut(chosen, "chosen").mapInArrow(_planted, "region long, deep binary, rep long")
     found = cut(
         trees.repartitionByRange(parts, "region", "deep", "rep").sortWithinPartitions("region", "deep", "rep")
         .mapInArrow(_beside, "a long, b long"),

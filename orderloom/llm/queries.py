@@ -5,19 +5,94 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orderloom.llm import langid, token_store
+from orderloom.llm.fertility import fertility
 from orderloom.llm.near_dup import near_duplicates
+from orderloom.llm.packing import pack_by_powers
+from orderloom.llm.shards import byte_shards, text_bytes
+from orderloom.llm.tokens import vocabulary
+from orderloom.llm.url_rules import SPAM_WORDS, host_rule, judge_urls
+from orderloom.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+URL_RULES = [
+    host_rule("allow", "com", "/"),
+    host_rule("block", "example.com", "/en/"),
+    host_rule("allow", "www.example.com", "/en/"),
+    host_rule("block", "net", "/es/"),
+    host_rule("block", "net", "/fr/"),
+]
+SHARDS = 40
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(_table(spark, folder, "pages"), URL_RULES).drop("n_candidates")
+
+
+def op2_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    return fertility(_table(spark, folder, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECE_BPE))
+
+
+def op3_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    models = langid.fit(docs.filter(~held))
+    return langid.identify(docs, models).select("doc_id", held.alias("held_out"), "lang_pred", "score", "nats", "rejected")
+
+
+def op4_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    rows = docs.select("doc_id", text_bytes().alias("_bytes"), F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"))
+    dealt = byte_shards(rows, SHARDS, F.col("_bytes") + 16, ["doc_id"])
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op5_minhash_forest,)}
-SQL: dict[str, str] = {}
+def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "token-store")
+    token_store.write_store(_table(spark, folder, "documents"), path, vocabulary(BYTE_BPE), end_id=2)
+    return token_store.read_digests(spark, path)
+
+
+def op10_power_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_by_powers(_table(spark, folder, "documents"), vocabulary(BYTE_BPE), with_ids=False).drop("ids")
+
+
+_SPAM = "|".join(SPAM_WORDS)
+SQL: dict[str, str] = {
+    "op1_url_rules": rf"""
+        WITH rests AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), parts AS (
+            SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw_host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+        ), hosts AS (
+            SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parts
+        ), rules(host, path, action) AS (
+            VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                   ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+        )
+        SELECT h.page_id, h.host, h.path, r.host || r.path AS rule,
+            coalesce(r.action, CASE WHEN regexp_matches(h.host, '(^|[^a-z0-9])({_SPAM})($|[^a-z0-9])') THEN 'block' ELSE 'allow' END) AS verdict
+        FROM hosts h LEFT JOIN rules r
+            ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path)
+        QUALIFY row_number() OVER (PARTITION BY h.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) = 1
+    """,
+}
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_url_rules, op2_fertility, op3_kneser_ney, op4_byte_shards, op5_minhash_forest, op8_token_store, op10_power_packing,
+    )
+}
