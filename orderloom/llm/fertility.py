@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import kernels as K
 from orderloom.llm.tokens import CACHE_WORDS, byte_bpe
+from orderloom.session import cut
 
 #: Words of a window that must not come twice.
 WINDOW = 5
@@ -38,9 +39,14 @@ class Band:
     most_fallback: float
 
 
+#: Characters per token may also fall below the median of the text's language by this much: a share, and for
+#: short texts, whose few tokens scatter, a share over the root of their number.
+BELOW, BELOW_SHORT = 0.05, 0.5
+
+
 #: By script of most letters. Alphabets a vocabulary was not made for take more tokens a character, so their bands lie lower.
 BANDS = {
-    "latin": Band(1.3, 7.0, 0.55, 0.05),
+    "latin": Band(1.3, 7.0, 0.45, 0.05),
     "greek": Band(0.5, 4.0, 0.4, 0.2),
     "cyrillic": Band(0.5, 4.0, 0.4, 0.1),
     "hebrew": Band(0.4, 3.0, 0.4, 0.9),
@@ -137,13 +143,13 @@ def measure(text: str, ids: np.ndarray, piece: tuple[int, int]) -> tuple:
     fits = band.least_chars <= per_token <= band.most_chars and entropy >= band.least_entropy and fallback <= band.most_fallback
     return (
         n, chars, int(_SYMBOL[data].sum()), len(lines) - len(set(lines)), repeated, failed, not failed and fits,
-        name, per_token, entropy, fallback,
+        len(ids), name, per_token, entropy, fallback,
     )
 
 
 _COLUMNS = [
     ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
-    ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("script", pa.string()), ("chars_per_token", pa.float64()), ("token_entropy", pa.float64()), ("fallback_share", pa.float64()),
+    ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("n_tokens", pa.int64()), ("script", pa.string()), ("chars_per_token", pa.float64()), ("token_entropy", pa.float64()), ("fallback_share", pa.float64()),
 ]
 
 
@@ -156,23 +162,34 @@ def _measured(byte_path: str, piece_path: str):
             rows = [measure(t, np.frombuffer(i, tokens.kind), c) for t, i, c in zip(texts, tokens.ids(texts), counts)]
             columns = list(zip(*rows)) or [()] * len(_COLUMNS)
             arrays = [pa.array(c, k) for c, (_, k) in zip(columns, _COLUMNS)]
-            yield pa.record_batch([batch.column("doc_id"), *arrays], ["doc_id", *(n for n, _ in _COLUMNS)])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("lang"), *arrays], ["doc_id", "lang", *(n for n, _ in _COLUMNS)])
 
     return run
 
 
 def fertility(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str) -> DataFrame:
-    """Measures and verdict of each row of ``docs`` (doc_id, text), where it is read: nothing is shuffled.
+    """Measures and verdict of each row of ``docs`` (doc_id, text, lang), measured where it is read.
 
     Words lie between ASCII white space. word_chars are code points in words, n_symbols characters of #*$%&|<>,
     n_dup_lines lines with a word that equal an earlier line, n_repeat_words the words in five-word windows found twice or more.
-    base_failed: fewer than 10 words, or more than a fifth of them repeated. kept: not base_failed, and the
-    three measures lie in the band of the script that most letters belong to. The fallback share counts
+    base_failed: fewer than 10 words, or more than a fifth of them repeated. kept: not base_failed, the
+    three measures lie in the band of the script that most letters belong to, and characters per token are not far
+    below the median of all documents of the same lang (same script where lang is null). The fallback share counts
     pieces of words.
 
     A null text counts as empty and fails; a null doc_id is carried along; repeated rows are judged alike; other
     columns are ignored; no rows give no rows.
     """
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, script string, chars_per_token double, token_entropy double, fallback_share double"
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(_measured(byte_vocabulary, piece_vocabulary), schema)
+    schema = (
+        "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
+        "kept boolean, n_tokens long, script string, chars_per_token double, token_entropy double, fallback_share double"
+    )
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    measured = cut(texts.mapInArrow(_measured(byte_vocabulary, piece_vocabulary), schema), "fertility")
+    kind = F.struct("lang", F.when(F.col("lang").isNull(), F.col("script")).alias("script"))
+    rows = measured.withColumn("_kind", F.to_json(kind))
+    medians = rows.filter("n_tokens > 0").groupBy("_kind").agg(F.percentile_approx("chars_per_token", 0.5, 1000).alias("median_chars"))
+    judged = rows.join(medians, "_kind", "left")
+    low = F.col("median_chars") * (1 - F.lit(BELOW) - F.lit(BELOW_SHORT) / F.sqrt(F.greatest("n_tokens", F.lit(1))))
+    kept = F.col("kept") & F.coalesce(F.col("chars_per_token") >= low, F.lit(True))
+    return judged.withColumn("kept", kept).drop("_kind", "lang")

@@ -26,7 +26,7 @@ HELD_PART = 5
 #: Standard deviations, between documents and within one, above the mean at which a text is rejected.
 DEVIATIONS = 6.0
 #: Nats per character that a text may always lie above the mean.
-SLACK = 0.25
+SLACK = 1.2
 UNKNOWN = "und"
 _FACTORS = K.random_words(21, ORDER) | K.U64(1)
 _ORDERS = K.random_words(22, ORDER + 1)

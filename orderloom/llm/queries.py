@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import langid, token_store
+from orderloom.llm.decontam import mark_leaks
 from orderloom.llm.fertility import fertility
 from orderloom.llm.near_dup import near_duplicates
 from orderloom.llm.packing import pack_by_powers
@@ -59,6 +60,11 @@ def op5_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_seed_align(spark: SparkSession, folder: str) -> DataFrame:
+    marked = mark_leaks(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "token-store")
     token_store.write_store(_table(spark, folder, "documents"), path, vocabulary(BYTE_BPE), end_id=2)
@@ -93,6 +99,6 @@ SQL: dict[str, str] = {
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_url_rules, op2_fertility, op3_kneser_ney, op4_byte_shards, op5_minhash_forest, op8_token_store, op10_power_packing,
+        op1_url_rules, op2_fertility, op3_kneser_ney, op4_byte_shards, op5_minhash_forest, op7_seed_align, op8_token_store, op10_power_packing,
     )
 }
