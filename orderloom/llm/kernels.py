@@ -145,16 +145,19 @@ def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
     return values
 
 
-def local_minima(values: np.ndarray, width: int) -> np.ndarray:
+def local_minima(values: np.ndarray, width: int, inside: np.ndarray | None = None) -> np.ndarray:
     """True where a value is the least of some ``width`` values in a row; all ties count.
 
     Depends on the values around only, so equal stretches of at least ``width``
-    values have equal minima. Shorter inputs have none.
+    values have equal minima. Shorter inputs have none. ``inside`` tells of each
+    start whether the values from there count; values are then above 0.
     """
     n = len(values)
     if n < width:
         return np.zeros(n, bool)
     least = _slide(values, width, np.minimum)
+    if inside is not None:
+        least = np.where(inside[: len(least)], least, values.dtype.type(0))
     padded = np.zeros(len(least) + 2 * (width - 1), values.dtype)
     padded[width - 1 : width - 1 + len(least)] = least
     return _slide(padded, width, np.maximum)[:n] == values

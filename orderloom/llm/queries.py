@@ -12,7 +12,9 @@ from orderloom.llm.decontam import mark_leaks
 from orderloom.llm.fertility import fertility
 from orderloom.llm.near_dup import near_duplicates
 from orderloom.llm.packing import pack_by_powers
+from orderloom.llm.passages import repeated_passages
 from orderloom.llm.shards import byte_shards, text_bytes
+from orderloom.llm.suffix_dedup import remove_repeats
 from orderloom.llm.tokens import vocabulary
 from orderloom.llm.url_rules import SPAM_WORDS, host_rule, judge_urls
 from orderloom.session import new_folder
@@ -60,6 +62,10 @@ def op5_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op6_suffix_sort(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(_table(spark, folder, "documents")).drop("kept_bytes")
+
+
 def op7_seed_align(spark: SparkSession, folder: str) -> DataFrame:
     marked = mark_leaks(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))
     return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
@@ -71,6 +77,10 @@ def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.read_digests(spark, path)
 
 
+def op9_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(_table(spark, folder, "documents"))
+
+
 def op10_power_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_by_powers(_table(spark, folder, "documents"), vocabulary(BYTE_BPE), with_ids=False).drop("ids")
 
@@ -99,6 +109,7 @@ SQL: dict[str, str] = {
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_url_rules, op2_fertility, op3_kneser_ney, op4_byte_shards, op5_minhash_forest, op7_seed_align, op8_token_store, op10_power_packing,
+        op1_url_rules, op2_fertility, op3_kneser_ney, op4_byte_shards, op5_minhash_forest, op6_suffix_sort, op7_seed_align,
+        op8_token_store, op9_compact_windows, op10_power_packing,
     )
 }
