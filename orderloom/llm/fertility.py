@@ -80,7 +80,7 @@ class Pieces:
         self._old: dict[str, tuple[int, int]] = {}
 
     def count(self, texts: list[list[str]]) -> list[tuple[int, int]]:
-        if len(self._new) > CACHE_WORDS:
+        if len(self._new) > CACHE_WORDS // 4:
             self._old, self._new = self._new, {}
         missing = set(chain.from_iterable(texts)).difference(self._new)
         kept = missing & self._old.keys()

@@ -10,7 +10,7 @@ from itertools import chain
 import numpy as np
 
 #: Words in each of the two generations of a worker's cache; bounds its memory, not its results.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 #: A space before white space or the end: there a text may not be cut into words.
 _UNSAFE = re.compile(r" (?:\s|$)")
 
