@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.llm import kernels as K
 
@@ -245,20 +246,30 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Models:
     return models
 
 
-def identify(docs: DataFrame, models: Models) -> DataFrame:
-    """doc_id, lang_pred, score (0 to 1), nats (per character) and rejected for each row of ``docs`` (doc_id, text).
+_KINDS = [("lang_pred", "string", pa.string()), ("score", "double", pa.float64()), ("nats", "double", pa.float64()), ("rejected", "boolean", pa.bool_())]
+
+
+def identified(docs: DataFrame, models: Models) -> DataFrame:
+    """All columns of ``docs`` with lang_pred, score (0 to 1), nats (per character) and rejected; columns of these names are replaced.
 
     A null text or one without letters is ``und``, score 0, rejected; so is every text if nothing was learned. Nothing is shuffled.
     A null doc_id is carried along, repeated rows are judged alike, ties go to the first language by name,
-    other columns are ignored, no rows give no rows.
+    no rows give no rows.
     """
+    docs = docs.drop(*(n for n, _, _ in _KINDS)).withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k, _ in _KINDS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.chunks(batches, "text"):
             found = models.predict([t or "" for t in batch.column("text").to_pylist()])
-            columns = list(zip(*found)) or [()] * 4
-            kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
-            yield pa.record_batch([batch.column("doc_id"), *map(pa.array, columns, kinds)], ["doc_id", "lang_pred", "score", "nats", "rejected"])
+            columns = list(zip(*found)) or [()] * len(_KINDS)
+            arrays = [pa.array(c, k) for c, (_, _, k) in zip(columns, _KINDS)]
+            yield pa.record_batch([*batch.columns, *arrays], [*batch.schema.names, *(n for n, _, _ in _KINDS)])
 
+    return docs.mapInArrow(run, schema)
+
+
+def identify(docs: DataFrame, models: Models) -> DataFrame:
+    """doc_id and the columns that ``identified`` adds."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(run, "doc_id long, lang_pred string, score double, nats double, rejected boolean")
+    return identified(texts, models).drop("text")

@@ -63,7 +63,7 @@ def op5_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_suffix_sort(spark: SparkSession, folder: str) -> DataFrame:
-    return remove_repeats(_table(spark, folder, "documents")).drop("kept_bytes")
+    return remove_repeats(_table(spark, folder, "documents")).drop("text", "kept_text")
 
 
 def op7_seed_align(spark: SparkSession, folder: str) -> DataFrame:

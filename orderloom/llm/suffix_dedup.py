@@ -9,13 +9,14 @@ reversed left sides are suffix sorted (``suffix_sort``) and the common extension
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.llm import kernels as K
 from orderloom.llm.parcels import gathered, packed, unpacked
@@ -199,20 +200,26 @@ def _spans_of(text_bytes: int, spans: list[dict] | None) -> list[tuple[int, int]
     return [(a, min(b, text_bytes)) for a, b in out]
 
 
+_RESULT = [
+    ("n_bytes", "long", pa.int64()), ("n_removed", "long", pa.int64()), ("n_spans", "long", pa.int64()),
+    ("kept_sha256", "string", pa.string()), ("kept_text", "string", pa.string()),
+]
+
+
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in K.chunks(batches, "text"):
         rows = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
             raw = (text or "").encode()
             gone = _spans_of(len(raw), spans)
-            kept = b"".join(raw[a:b] for (_, a), (b, _) in zip([(0, 0), *gone], [*gone, (len(raw), 0)]))
-            rows.append((len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
-        columns = list(zip(*rows)) or [()] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        yield pa.record_batch(
-            [*(batch.column(c) for c in batch.schema.names if c not in ("text", "spans")), *map(pa.array, columns, kinds)],
-            [*(c for c in batch.schema.names if c not in ("text", "spans")), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"],
-        )
+            parts = [raw[a:b] for (_, a), (b, _) in zip([(0, 0), *gone], [*gone, (len(raw), 0)])]
+            kept = b"".join(parts)
+            readable = "".join(p.decode("utf-8", "ignore") for p in parts)
+            rows.append((len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), readable))
+        columns = list(zip(*rows)) or [()] * len(_RESULT)
+        others = [c for c in batch.schema.names if c != "__spans"]
+        arrays = [pa.array(c, k) for c, (_, _, k) in zip(columns, _RESULT)]
+        yield pa.record_batch([*(batch.column(c) for c in others), *arrays], [*others, *(n for n, _, _ in _RESULT)])
 
 
 def covered_spans(docs: DataFrame) -> DataFrame:
@@ -238,17 +245,21 @@ def covered_spans(docs: DataFrame) -> DataFrame:
     return spans.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept_bytes for each row of ``docs`` (doc_id, text).
+def remove_repeats(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, text, n_bytes, n_removed, n_spans, kept_sha256 and kept_text for each row of ``docs`` (doc_id, text), and
+    the columns named in ``keep``.
 
     A byte of the UTF-8 text goes if a string of LENGTH bytes around it also starts in a document with a smaller doc_id; overlaps
-    count, all strings are judged on the input. n_spans counts maximal removed runs, kept_bytes are the others joined (they may
-    cut a character).
+    count, all strings are judged on the input. n_spans counts maximal removed runs, kept_sha256 is of the bytes that are
+    left; kept_text leaves out characters that are cut.
 
     A null text is empty; shorter texts than LENGTH lose nothing. A row without doc_id neither removes nor loses
-    bytes; rows that repeat a doc_id do not remove each other's. Other columns are ignored; no rows give no rows.
+    bytes; rows that repeat a doc_id do not remove each other's. Columns not named are left out; no rows give no rows.
     """
-    spans = cut(covered_spans(docs), "spans")
-    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
-    schema = "doc_id long, mark long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
-    return texts.join(spans, ["doc_id", "mark"], "left").mapInArrow(_cleaned, schema).drop("mark")
+    spans = cut(covered_spans(docs), "spans").toDF("__doc", "__mark", "__spans")
+    keep = [c for c in keep if c not in ("doc_id", "text", *(n for n, _, _ in _RESULT))]
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keep)
+    same = (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__mark"))
+    joined = texts.join(spans, same, "left").select(*texts.columns, "__spans")
+    schema = T.StructType([*texts.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k, _ in _RESULT)])
+    return joined.mapInArrow(_cleaned, schema)
