@@ -26,32 +26,36 @@ def byte_shards(rows: DataFrame, shards: int, size: Column, order: list[str]) ->
     0 are fine as long as not all are; no rows give no rows. Columns named size, shard or slot are replaced.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kept = [c for c in rows.columns if c not in ("size", "shard", "slot")]
-    keys = [F.col(c).asc_nulls_first() for c in order] + [F.col("_shard_place")]
-    placed = rows.select(*kept, size.cast("long").alias("size"), F.monotonically_increasing_id().alias("_shard_place"))
-    dealt = cut(placed.repartitionByRange(parts, *keys).withColumn("_shard_range", F.spark_partition_id()), "ranges")
-
-    totals = dealt.groupBy("_shard_range").agg(F.sum("size").alias("_shard_bytes"), F.count(F.lit(1)).alias("_shard_rows"))
-    before = Window.orderBy("_shard_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_shard_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    starts = totals.select(
-        "_shard_range",
-        F.coalesce(F.sum("_shard_bytes").over(before), F.lit(0)).alias("_shard_bytes"),
-        F.coalesce(F.sum("_shard_rows").over(before), F.lit(0)).alias("_shard_rows"),
-        F.sum("_shard_bytes").over(everything).alias("_shard_all"),
+    # The row's own columns travel in one struct, so their names are free.
+    kept = F.struct(*(c for c in rows.columns if c not in ("size", "shard", "slot"))).alias("row")
+    names = [f"key{i}" for i in range(len(order))]
+    keys = [*(F.col(n).asc_nulls_first() for n in names), F.col("place")]
+    placed = rows.select(
+        kept, size.cast("long").alias("size"), *(F.col(c).alias(n) for c, n in zip(order, names)), F.monotonically_increasing_id().alias("place")
     )
-    within = Window.partitionBy("_shard_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = dealt.select(
-        *kept, "size", "_shard_range", F.sum("size").over(within).alias("_shard_upto"), F.row_number().over(Window.partitionBy("_shard_range").orderBy(*keys)).alias("_shard_row")
+    dealt = cut(placed.repartitionByRange(parts, *keys).withColumn("range", F.spark_partition_id()), "ranges")
+
+    totals = dealt.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = totals.select(
+        "range",
+        F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
+        F.sum("bytes").over(everything).alias("bytes_all"),
     )
-    middle = f"2 * (_shard_bytes + _shard_upto) - size"
+    ordered = Window.partitionBy("range").orderBy(*keys)
+    upto = F.sum("size").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sums = dealt.select("row", "size", "range", upto.alias("upto"), F.row_number().over(ordered).alias("nth"))
+    middle = "2 * (bytes_before + upto) - size"
     numbered = cut(
-        sums.join(starts, "_shard_range").select(
-            *kept, "size",
-            F.expr(f"cast(least({shards} - 1, ({middle}) * {shards} div (2 * greatest(_shard_all, 1))) AS int)").alias("shard"),
-            (F.col("_shard_rows") + F.col("_shard_row") - 1).alias("_shard_row"),
+        sums.join(starts, "range").select(
+            "row", "size",
+            F.expr(f"cast(least({shards} - 1, ({middle}) * {shards} div (2 * greatest(bytes_all, 1))) AS int)").alias("shard"),
+            (F.col("rows_before") + F.col("nth") - 1).alias("nth"),
         ),
         "numbered",
     )
-    firsts = numbered.groupBy("shard").agg(F.min("_shard_row").alias("_shard_first"))  # a row per shard
-    return numbered.join(F.broadcast(firsts), "shard").select(*kept, "size", "shard", (F.col("_shard_row") - F.col("_shard_first")).alias("slot"))
+    firsts = numbered.groupBy("shard").agg(F.min("nth").alias("first"))  # a row per shard
+    joined = numbered.join(F.broadcast(firsts), "shard")
+    return joined.select("row.*", "size", "shard", (F.col("nth") - F.col("first")).alias("slot"))
