@@ -1,7 +1,7 @@
 """Quality by tokenizer fertility: how well public vocabularies fit a text.
 
 Three measures, each with a band per script: characters per token of a byte-level vocabulary,
-the entropy of its tokens, and the share of byte-fallback pieces of a vocabulary that has such.
+the entropy of its tokens, and the share of bytes for which a vocabulary of pieces falls back on byte pieces.
 Word salad, symbol noise and repeated words fall outside; plain rules on words come first.
 """
 
@@ -23,7 +23,6 @@ from orderloom.session import cut
 
 #: Words of a window that must not come twice.
 WINDOW = 5
-_SPACES = " \t\n\v\f\r"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -31,7 +30,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 @dataclass(frozen=True)
 class Band:
     """What a text may measure: characters per token, bits per token relative to the most its number of
-    tokens allows, share of byte-fallback pieces."""
+    tokens allows, byte-fallback pieces over bytes of words."""
 
     least_chars: float
     most_chars: float
@@ -68,53 +67,51 @@ for _script, _spans in {
         _LEAD[_a : _b + 1] = _SCRIPTS.index(_script)
 
 
-class Pieces:
-    """Pieces, and byte-fallback pieces, of words with a space before them; each different word is encoded once."""
+class Fallbacks:
+    """Byte-fallback pieces of words with a space before them; each different word that is not ASCII is encoded once."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self._new: dict[str, tuple[int, int]] = {}
-        self._old: dict[str, tuple[int, int]] = {}
-
-    def count(self, texts: list[list[str]]) -> list[tuple[int, int]]:
-        if len(self._new) > CACHE_WORDS // 4:
-            self._old, self._new = self._new, {}
-        missing = set(chain.from_iterable(texts)).difference(self._new)
-        kept = missing & self._old.keys()
-        self._new.update((w, self._old[w]) for w in kept)
-        rest = list(missing - kept)
-        for word, ids in zip(rest, self.model.encode(rest, num_threads=1)):
-            self._new[word] = (len(ids), int(self.is_byte[ids].sum()) if not word.isascii() else 0)
-        known = self._new.__getitem__
-        return [tuple(np.array(list(map(known, t)), np.int64).reshape(-1, 2).sum(0).tolist()) for t in texts]
+        self._known: dict[str, int] = {}
+
+    def count(self, texts: list[str]) -> np.ndarray:
+        words = [[] if t.isascii() else [w for w in t.split() if not w.isascii()] for t in texts]
+        if len(self._known) > CACHE_WORDS // 2:
+            self._known.clear()
+        missing = list(set(chain.from_iterable(words)).difference(self._known))
+        for word, ids in zip(missing, self.model.encode(missing, num_threads=1)):
+            self._known[word] = int(self.is_byte[ids].sum())
+        return np.array([sum(map(self._known.__getitem__, w)) for w in words], np.int64)
 
 
 @lru_cache(maxsize=4)
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
+def fallbacks(path: str) -> Fallbacks:
+    return Fallbacks(path)
 
 
-def _repeated(words: list[bytes]) -> int:
-    """Words in windows that come twice or more, each word once."""
-    if len(words) < WINDOW + 1:
-        return 0
-    code = _codes(words)
-    window = code[: len(code) - WINDOW + 1]
-    for i in range(1, WINDOW):  # exact: numbers of windows, one word longer each time
-        window = np.unique(window * (int(code.max()) + 1) + code[i : i + len(window)], return_inverse=True)[1]
-    twice = np.bincount(window)[window] > 1
-    edges = np.zeros(len(code) + 1, np.int64)
-    edges[np.flatnonzero(twice)] += 1
-    edges[np.flatnonzero(twice) + WINDOW] -= 1
-    return int((np.cumsum(edges[:-1]) > 0).sum())
+def repeated_words(word: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per text the words in windows that come twice or more in it, each word once; ``word``: hashes of all words."""
+    n = np.diff(bounds)
+    window, starts = K.shingles(word, bounds, WINDOW)
+    text = K.owners(starts)
+    full = n[text] >= WINDOW  # a shorter text has one window, which is none here
+    window, text, at = window[full], text[full], (np.arange(len(text)) - starts[text] + bounds[text])[full]
+    if not len(at):
+        return np.zeros(len(n), np.int64)
+    order = np.lexsort((window, text))
+    same = (window[order][1:] == window[order][:-1]) & (text[order][1:] == text[order][:-1])
+    twice = at[order[np.r_[same, False] | np.r_[False, same]]]
+    edges = np.zeros(len(word) + 1, np.int64)
+    edges[twice] += 1
+    edges[twice + WINDOW] -= 1
+    return _per_text(np.cumsum(edges[:-1]) > 0, bounds)
 
 
-def _codes(words: list[bytes]) -> np.ndarray:
-    numbers: dict[bytes, int] = {}
-    return np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
+def _per_text(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.diff(np.r_[0, np.cumsum(flags)][bounds])
 
 
 def _entropy(ids: np.ndarray) -> float:
@@ -125,26 +122,35 @@ def _entropy(ids: np.ndarray) -> float:
     return float(-(share * np.log2(share)).sum() / np.log2(len(ids)))
 
 
-def measure(text: str, ids: np.ndarray, piece: tuple[int, int]) -> tuple:
-    """The columns of one text, from its token ids and its numbers of pieces."""
-    raw = text.encode()
-    words = raw.split()  # on ASCII white space only
-    n = len(words)
-    chars = len(text) - sum(text.count(c) for c in _SPACES)
-    data = np.frombuffer(raw, np.uint8)
-    lines = [line for line in raw.split(b"\n") if line.strip(b" \t\n\v\f\r")]
-    repeated = _repeated(words)
-    script = np.bincount(_LEAD[data], minlength=len(_SCRIPTS) + 1)[:-1]
-    name = _SCRIPTS[int(script.argmax())] if script.any() else "other"
-    per_token, entropy = len(text) / max(1, len(ids)), _entropy(ids)
-    fallback = piece[1] / max(1, piece[0])
-    failed = n < 10 or 100 * repeated > 20 * n
-    band = BANDS[name]
-    fits = band.least_chars <= per_token <= band.most_chars and entropy >= band.least_entropy and fallback <= band.most_fallback
-    return (
-        n, chars, int(_SYMBOL[data].sum()), len(lines) - len(set(lines)), repeated, failed, not failed and fits,
-        len(ids), name, per_token, entropy, fallback,
-    )
+def _repeated_lines(text: bytes) -> int:
+    lines = [line for line in text.split(b"\n") if line.strip(b" \t\v\f\r")]
+    return len(lines) - len(set(lines))
+
+
+def measure(column: pa.Array, ids: list[np.ndarray], fallback: np.ndarray) -> list[np.ndarray | list]:
+    """The columns of all texts, from their token ids and byte-fallback pieces."""
+    raw, bounds = K.utf8(column)
+    word, of = K.word_hashes(raw, bounds)
+    n = np.diff(of)
+    points, blank = (raw & 0xC0) != 0x80, K.is_space(raw)
+    chars, word_chars = _per_text(points, bounds), _per_text(points & ~blank, bounds)
+    repeated = repeated_words(word, of)
+    lines = [_repeated_lines(raw[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    scripts = np.stack([_per_text(_LEAD[raw] == i, bounds) for i in np.unique(_LEAD[raw])] or [np.zeros(len(n), np.int64)])
+    present = np.unique(_LEAD[raw]) if len(raw) else np.array([len(_SCRIPTS)])
+    scripts[present == len(_SCRIPTS)] = 0
+    named = [_SCRIPTS[present[i]] if k else "other" for i, k in zip(scripts.argmax(0).tolist(), scripts.max(0).tolist())]
+    size = np.array([len(i) for i in ids], np.int64)
+    per_token, entropy = chars / np.maximum(size, 1), np.array([_entropy(i) for i in ids], float)
+    share = fallback / np.maximum(_per_text(~blank, bounds), 1)
+    failed = (n < 10) | (100 * repeated > 20 * n)
+    bands = [BANDS[s] for s in named]
+    fits = [
+        b.least_chars <= c <= b.most_chars and e >= b.least_entropy and f <= b.most_fallback
+        for b, c, e, f in zip(bands, per_token, entropy, share)
+    ]
+    kept = ~failed & np.array(fits, bool)
+    return [n, word_chars, _per_text(_SYMBOL[raw], bounds), lines, repeated, failed, kept, size, named, per_token, entropy, share]
 
 
 _COLUMNS = [
@@ -155,12 +161,11 @@ _COLUMNS = [
 
 def _measured(byte_path: str, piece_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, parts = byte_bpe(byte_path), pieces(piece_path)
+        tokens, parts = byte_bpe(byte_path), fallbacks(piece_path)
         for batch in K.chunks(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            counts = parts.count([t.split() for t in texts])
-            rows = [measure(t, np.frombuffer(i, tokens.kind), c) for t, i, c in zip(texts, tokens.ids(texts), counts)]
-            columns = list(zip(*rows)) or [()] * len(_COLUMNS)
+            ids = [np.frombuffer(i, tokens.kind) for i in tokens.ids(texts)]
+            columns = measure(batch.column("text"), ids, parts.count(texts))
             arrays = [pa.array(c, k) for c, (_, k) in zip(columns, _COLUMNS)]
             yield pa.record_batch([batch.column("doc_id"), batch.column("lang"), *arrays], ["doc_id", "lang", *(n for n, _ in _COLUMNS)])
 
@@ -174,8 +179,8 @@ def fertility(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str) -> D
     n_dup_lines lines with a word that equal an earlier line, n_repeat_words the words in five-word windows found twice or more.
     base_failed: fewer than 10 words, or more than a fifth of them repeated. kept: not base_failed, the
     three measures lie in the band of the script that most letters belong to, and characters per token are not far
-    below the median of all documents of the same lang (same script where lang is null). The fallback share counts
-    pieces of words.
+    below the median of all documents of the same lang (same script where lang is null). fallback_share is byte-fallback pieces
+    over bytes of words.
 
     A null text counts as empty and fails; a null doc_id is carried along; repeated rows are judged alike; other
     columns are ignored; no rows give no rows.

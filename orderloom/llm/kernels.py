@@ -91,6 +91,11 @@ def lowered(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
+def is_space(raw: np.ndarray) -> np.ndarray:
+    """ASCII white space."""
+    return _SPACE[raw]
+
+
 def words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words between ASCII white space, and the n + 1 bounds of each text's words."""
     solid = np.zeros(len(raw) + 2, bool)
