@@ -32,6 +32,9 @@ DEEP = 13
 SMALL = 8
 #: Neighbours on each side in a crowded region of one tree.
 BESIDE = 1
+#: Candidates agree in so many of the DEEP values; at similarity 0.75 a pair in one region does with probability 0.92,
+#: which leaves a chance of 2e-7 that no tree proposes it.
+ALIKE = 8
 #: Documents of a crowded region that meet in one task.
 BLOCK = 2000
 
@@ -105,40 +108,44 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     State between batches is the open region's last rows and its hub only.
     """
-    last: tuple | None = None  # region, rows so far, deep and ids of up to SMALL last rows, hub
+    last: tuple | None = None  # region, rows so far, ids and deep values of up to SMALL last rows, and the hub's
     first = True
     for batch in batches:
-        region = np.asarray(batch.column("region"))
-        ids = np.asarray(batch.column("rep"))
+        region, ids = np.asarray(batch.column("region")), np.asarray(batch.column("rep"))
         deep = np.frombuffer(b"".join(batch.column("deep").to_pylist()), np.uint8).reshape(-1, DEEP)
-        a, b, crowded = [], [], []
+        a, b, crowded = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+
+        def propose(names_a, deep_a, names_b, deep_b) -> None:
+            near = ((deep_a == deep_b).sum(1) >= ALIKE) & (names_a != names_b)
+            a.append(np.broadcast_to(names_a, near.shape)[near])
+            b.append(np.broadcast_to(names_b, near.shape)[near])
+
         cuts = np.r_[0, np.flatnonzero(region[1:] != region[:-1]) + 1, len(region)]
         sizes = np.diff(cuts)
         # Most regions hold one document; only the others and those at a batch's ends need a look.
         for i in np.flatnonzero((sizes > 1) | (np.arange(len(sizes)) == 0) | (np.arange(len(sizes)) == len(sizes) - 1)):
             lo, hi = cuts[i], cuts[i + 1]
-            mine, names, seen, hub = deep[lo:hi], ids[lo:hi], 0, None
+            names, values, seen, hub = ids[lo:hi], deep[lo:hi], 0, None
             if last and last[0] == region[lo]:
-                _, seen, tail, hub = last
-                names = np.r_[tail, names]
-            total = seen + hi - lo
-            old = len(names) - (hi - lo)
+                _, seen, tail, tail_values, hub = last
+                names, values = np.r_[tail, names], np.concatenate([tail_values, values])
+            total, old = seen + hi - lo, len(names) - (hi - lo)
             if total > SMALL:
                 if seen <= SMALL:
                     crowded.append(region[lo])
                 if hub is None:
-                    hub = ids[lo + _hub(mine)]
-                a.append(names[names != hub])
-                b.append(np.full((names != hub).sum(), hub))
+                    middle = _hub(values)
+                    hub = names[middle], values[middle]
+                propose(names, values, np.full(len(names), hub[0]), hub[1])
             for step in range(1, min(len(names) - 1, BESIDE if total > SMALL else SMALL) + 1):
-                a.append(names[max(0, old - step) : -step])
-                b.append(names[max(0, old - step) + step :])
-            last = (region[lo], total, names[-SMALL:], hub)
+                start = max(0, old - step)
+                propose(names[start:-step], values[start:-step], names[start + step :], values[start + step :])
+            last = (region[lo], total, names[-SMALL:], values[-SMALL:], hub)
             if first:
                 crowded.append(region[lo])  # may go on from the partition before
                 first = False
-        a, b = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (a, b))
-        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        x, y = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
+        yield pa.record_batch([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
         yield pa.record_batch([pa.array(np.array(crowded, np.int64)), pa.nulls(len(crowded), pa.int64())], ["a", "b"])
     if last:
         yield pa.record_batch([pa.array([last[0]], pa.int64()), pa.nulls(1, pa.int64())], ["a", "b"])
@@ -205,9 +212,13 @@ def _crowded_links(trees: DataFrame, regions: DataFrame, comps: DataFrame, sets_
     all others, in pairs of blocks of at most BLOCK documents a side; each set is sent once per block, not once per tree.
     """
     rows = cut(trees.select("region", "rep").join(regions, "region", "left_semi"), "crowded")
-    least = rows.groupBy("region").agg(F.min("rep").alias("b"))
-    families = connected_components(rows.join(least, "region").select(F.col("rep").alias("a"), "b"))
-    families = families.toDF("rep", "family").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    least = rows.groupBy("region").agg(F.min("rep").alias("least"))
+    # A document is in one region per tree at most: its regions' least documents are one family, named by the first.
+    tied = cut(rows.join(least, "region").groupBy("rep").agg(F.array_sort(F.collect_set("least")).alias("least")), "tied")
+    ties = tied.select(F.col("least")[0].alias("a"), F.explode("least").alias("b")).distinct()
+    named = connected_components(ties).toDF("first", "family")
+    families = tied.withColumn("first", F.col("least")[0]).join(named, "first").select("rep", "family")
+    families = families.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     rows = cut(families.select("rep", "family", F.coalesce("component", "rep").alias("component")), "families")
     per = rows.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
     top = per.groupBy("family").agg(
