@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderloom.bindings import AS_OF, money
-from orderloom.catalog.core import query
+from orderloom.catalog.core import checksum_sql, query
 from orderloom.functions import dates
 from orderloom.functions.text import loose
 from orderloom.operators import quality
@@ -142,8 +142,8 @@ def _(t):
 
 @query(
     "q9_fingerprint",
-    """
-    SELECT 'lineitem' AS table_name, COUNT(*) AS row_count, CAST(SUM(CAST(('0x' || substr(md5(l_orderkey || '|' || l_partkey || '|' || l_linenumber), 1, 8)) AS BIGINT)) AS DECIMAL(38,0)) AS checksum,
+    f"""
+    SELECT 'lineitem' AS table_name, COUNT(*) AS row_count, {checksum_sql("l_orderkey", "l_partkey", "l_linenumber")},
            MAX(l_shipdate) AS latest FROM lineitem
     """,
 )

@@ -34,6 +34,25 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def key_sql(*values: str) -> str:
+    """SQL of a surrogate key: each value with its length before it, a dash for NULL."""
+    return f"sha256({text_sql(*values)})"
+
+
+def text_sql(*values: str) -> str:
+    texts = [f"CAST({v} AS VARCHAR)" for v in values]
+    return " || ".join(f"COALESCE(length({t}) || ':' || {t}, '-')" for t in texts)
+
+
+def checksum_sql(*values: str) -> str:
+    """SQL of the two table checksums."""
+    digest = f"md5({text_sql(*values)})"
+    return ", ".join(
+        f"CAST(SUM(CAST(CAST(('0x' || substr({digest}, {start}, 16)) AS UBIGINT) AS HUGEINT)) AS DECIMAL(38,0)) AS {name}"
+        for start, name in ((1, "checksum"), (17, "checksum_2"))
+    )
+
+
 # Common table expressions shared by the checking SQL, written for another engine
 # and from the tables, not from the Spark code.
 LINES_CTE = """
@@ -74,7 +93,7 @@ cust_after AS (
 
 DIM_CUSTOMER_CTE = (
     SNAPSHOTS_CTE
-    + """,
+    + f""",
 dim_rows AS (
   SELECT b.customer_nk, b.full_name, b.city, b.country, b.segment, b.balance, DATE '1995-01-01' AS effective_from,
          CASE WHEN a.segment <> b.segment THEN DATE '1998-01-01' END AS effective_to,
@@ -86,6 +105,6 @@ dim_rows AS (
   WHERE b.customer_nk IS NULL OR a.segment <> b.segment
 ),
 dim_customer AS (
-  SELECT sha256(concat_ws('|', customer_nk, effective_from)) AS customer_sk, * FROM dim_rows
+  SELECT {key_sql("customer_nk", "effective_from")} AS customer_sk, * FROM dim_rows
 )"""
 )

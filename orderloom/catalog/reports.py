@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderloom.bindings import AS_OF
+from orderloom.bindings import AS_OF, money
 from orderloom.catalog.core import DIM_CUSTOMER_CTE, LINES_CTE, PLACES_CTE, query
 from orderloom.catalog.relational import dim_customer
 from orderloom.functions import dates
@@ -29,6 +29,20 @@ def calendar_of(t):
     return dim_date(date_series(t.spark, "1970-01-01", "2069-12-31"))
 
 
+def shop_payments(t):
+    took = F.make_dt_interval(secs=(F.col("o_custkey") % 600).cast("decimal(18,6)"))
+    return t.orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "card").otherwise("cod").alias("method"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "stripe").alias("gateway"),
+        F.when(F.col("o_orderstatus") == "F", "completed").otherwise("processing").alias("status"),
+        money("o_totalprice").alias("amount"),
+        F.col("o_orderdate").alias("created_at"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate") + took).alias("processed_at"),
+    )
+
+
 @query(
     "r1_monthly_revenue",
     f"""
@@ -158,14 +172,14 @@ def _(t):
     """
     SELECT c_custkey AS customer_nk, c_name AS full_name, COUNT(o_orderkey) AS total_orders,
            CAST(COALESCE(SUM(CAST(o_totalprice AS DECIMAL(14,2))), 0) AS DECIMAL(20,2)) AS total_spent, MAX(o_orderdate) AS last_order_at
-    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2000-01-01'
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus <> 'X'
     GROUP BY c_custkey, c_name
     """,
 )
 def _(t):
-    """Since 2000, so that some customers have no order."""
-    recent = t.delivered_orders.filter(F.col("created_at") >= dates.instant("2000-01-01 00:00:00"))
-    return marts.customer_summary(recent, t.located_customers)
+    """Over the whole history; cancelled orders do not count."""
+    orders = t.shop_orders.filter("order_status <> 'cancelled'")
+    return marts.customer_summary(orders, t.located_customers)
 
 
 @query(
@@ -181,6 +195,23 @@ def _(t):
     return summary.select("order_nk", "order_status", "total_amount", "full_name", "item_count", "units")
 
 
+@query(
+    "r10_order_summary_payments",
+    f"""
+    SELECT o_orderkey AS order_nk, {STATUS_CASE} AS order_status, c_name AS full_name, COUNT(*) AS item_count,
+           CASE WHEN o_orderstatus = 'F' THEN 'completed' ELSE 'processing' END AS payment_status,
+           CASE WHEN o_orderpriority = '1-URGENT' THEN 'card' ELSE 'cod' END AS payment_method
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY ALL
+    """,
+)
+def _(t):
+    """Each order has an attempt that failed the day before its payment."""
+    paid = shop_payments(t)
+    failed = paid.withColumns({"id": -F.col("id"), "status": F.lit("failed"), "created_at": F.col("created_at") - F.expr("INTERVAL 1 DAY")})
+    summary = marts.order_summary(t.shop_orders, t.shop_items, t.located_customers, paid.unionByName(failed))
+    return summary.select("order_nk", "order_status", "full_name", "item_count", "payment_status", "payment_method")
+
+
 @query(
     "r10_customer_read_model",
     """

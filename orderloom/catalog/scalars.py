@@ -274,6 +274,16 @@ def _(t):
     return t.events.select("event_id", keys.uuid_v4().alias("uuid"))
 
 
+@query("f23_uuid_v4_law", "SELECT COUNT(*) AS ids, COUNT(*) AS different, COUNT(*) AS well_formed FROM events")
+def _(t):
+    """Whatever the ids are: as many different ones as rows, each of the shape of version 4."""
+    shape = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    made = t.events.select(keys.uuid_v4().alias("uuid")).groupBy("uuid").agg(F.count(F.lit(1)).alias("n"))
+    return made.agg(
+        F.sum("n").alias("ids"), F.count(F.lit(1)).alias("different"), F.sum(F.when(F.col("uuid").rlike(shape), F.col("n")).otherwise(0)).alias("well_formed")
+    )
+
+
 @query(
     "f24_uuid_v7",
     """
@@ -298,6 +308,15 @@ def _(t):
     return t.orders.select("o_orderkey", F.rand(11).alias("draw"))
 
 
+@query("f26_rand_law", "SELECT COUNT(*) AS draws, COUNT(*) AS inside, TRUE AS spread FROM orders")
+def _(t):
+    """All draws lie in [0, 1) and fill both halves."""
+    drawn = t.orders.select(F.rand(11).alias("draw"))
+    inside = (F.col("draw") >= 0) & (F.col("draw") < 1)
+    spread = (F.min("draw") < 0.5) & (F.max("draw") >= 0.5)
+    return drawn.agg(F.count("draw").alias("draws"), F.count_if(inside).alias("inside"), spread.alias("spread"))
+
+
 @query(
     "x1_discount_rate",
     """

@@ -55,7 +55,7 @@ def _(t):
     """,
 )
 def _(t):
-    return hierarchy.nested_depth(nested_places(t), block=512)
+    return hierarchy.nested_depth(nested_places(t))
 
 
 @query("h4_closure_table", f"WITH RECURSIVE {WALK_CTE} SELECT ancestor, descendant, depth FROM pairs")

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from orderloom.bindings import AS_OF, FIRST_LOAD, SECOND_LOAD, money
-from orderloom.catalog.core import DIM_CUSTOMER_CTE, LINES_CTE, PLACES_CTE, SNAPSHOTS_CTE, query
+from orderloom.catalog.core import DIM_CUSTOMER_CTE, LINES_CTE, PLACES_CTE, SNAPSHOTS_CTE, checksum_sql, key_sql, query
 from orderloom.catalog.relational import dim_customer
-from orderloom.catalog.reports import calendar_of, lines_of, sales_of
+from orderloom.catalog.reports import calendar_of, lines_of, sales_of, shop_payments
 from orderloom.functions import dates
 from orderloom.functions.amounts import total_cents
 from orderloom.functions.keys import surrogate_key
@@ -212,6 +212,41 @@ def _(t):
     return merge.insert_absent(target, source, ["o_orderkey"])
 
 
+@query(
+    "w6_insert_absent_repeats",
+    """
+    WITH t AS (SELECT o_custkey, MAX(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+    SELECT * FROM t UNION ALL
+    SELECT o_custkey, MAX(o_orderkey) FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM t) GROUP BY 1
+    """,
+)
+def _(t):
+    """The source has a customer many times over; one row of each comes in."""
+    target = t.orders.filter("o_orderstatus = 'P'").groupBy("o_custkey").agg(F.max("o_orderkey").alias("o_orderkey"))
+    return merge.insert_absent(target, t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"])
+
+
+@query(
+    "w7_same_day_change",
+    f"""
+    WITH {SNAPSHOTS_CTE}
+    SELECT COUNT(*) AS versions, COUNT(*) AS different_keys, COUNT(*) FILTER (segment = 'TWICE') AS changed_twice
+    FROM (SELECT CASE WHEN segment = 'BUILDING' THEN 'TWICE' ELSE segment END AS segment FROM cust_before
+          UNION ALL SELECT segment FROM cust_before WHERE segment = 'BUILDING')
+    """,
+)
+def _(t):
+    """Two changes on one day: the second replaces the version that the first has opened."""
+    before = t.customers_before
+    dim = scd.scd2_initial(before, "customer_nk", F.lit(FIRST_LOAD))
+    for name in ("ONCE", "TWICE"):
+        renamed = F.when(F.col("segment") == "BUILDING", name).otherwise(F.col("segment"))
+        dim = scd.scd2_merge(dim, before.withColumn("segment", renamed), "customer_nk", ["segment"], F.lit(SECOND_LOAD))
+    return dim.groupBy("dim_sk").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("segment") == "TWICE").cast("long")).alias("t")).agg(
+        F.sum("n").alias("versions"), F.count(F.lit(1)).alias("different_keys"), F.sum("t").alias("changed_twice")
+    )
+
+
 @query(
     "w7_scd2_merge",
     f"""
@@ -277,7 +312,7 @@ def _(t):
 
 @query(
     "w11_surrogate_hash_key",
-    "SELECT p_partkey, sha256(p_type || '|' || p_brand || '|' || COALESCE(CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END, '∅')) AS sk FROM part",
+    f"SELECT p_partkey, {key_sql('p_type', 'p_brand', 'CASE WHEN p_size > 25 THEN p_size END')} AS sk FROM part",
 )
 def _(t):
     size = F.when(F.col("p_size") > 25, F.col("p_size"))
@@ -306,7 +341,7 @@ def dim_product(t):
     f"""
     WITH {DIM_CUSTOMER_CTE}, {LINES_CTE}
     SELECT order_item_nk, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_key, COALESCE(customer_sk, '-1') AS customer_sk,
-           CASE WHEN p_size <= 45 THEN sha256(p_partkey || '|' || '{FIRST_LOAD}') ELSE '-1' END AS product_sk, order_nk, quantity,
+           CASE WHEN p_size <= 45 THEN {key_sql("p_partkey", f"'{FIRST_LOAD}'")} ELSE '-1' END AS product_sk, order_nk, quantity,
            CAST(FLOOR((2 * CAST(gross_revenue * 100 AS BIGINT) + quantity) // (2 * quantity)) / 100 AS DECIMAL(12,2)) AS unit_price,
            discount_amount, gross_revenue, CAST(net_revenue AS DECIMAL(14,2)) AS net_revenue, order_source
     FROM lines LEFT JOIN dim_customer d ON d.customer_nk = lines.customer_nk AND d.is_current
@@ -350,7 +385,7 @@ def _(t):
     f"""
     WITH {DIM_CUSTOMER_CTE}
     SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key, COALESCE(customer_sk, '-1') AS customer_sk,
-           sha256(CASE WHEN o_orderpriority = '1-URGENT' THEN 'card' ELSE 'cod' END) AS payment_method_sk,
+           {key_sql("CASE WHEN o_orderpriority = '1-URGENT' THEN 'card' ELSE 'cod' END")} AS payment_method_sk,
            o_orderkey AS payment_nk, o_orderkey AS order_nk, CAST(o_totalprice AS DECIMAL(14,2)) AS payment_amount,
            o_orderstatus = 'F' AS is_successful, CASE WHEN o_orderstatus <> 'P' THEN (o_custkey % 600) * 1000 END AS processing_time_ms
     FROM orders LEFT JOIN dim_customer d ON d.customer_nk = o_custkey AND d.is_current
@@ -362,20 +397,6 @@ def _(t):
     return warehouse.fact_payments(shop_payments(t), orders, dim_customer(t))
 
 
-def shop_payments(t):
-    took = F.make_dt_interval(secs=(F.col("o_custkey") % 600).cast("decimal(18,6)"))
-    return t.orders.select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_orderkey").alias("order_id"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "card").otherwise("cod").alias("method"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "stripe").alias("gateway"),
-        F.when(F.col("o_orderstatus") == "F", "completed").otherwise("processing").alias("status"),
-        money("o_totalprice").alias("amount"),
-        F.col("o_orderdate").alias("created_at"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate") + took).alias("processed_at"),
-    )
-
-
 @query(
     "w15_incremental_window",
     """
@@ -536,7 +557,7 @@ def _(t):
 
 @query(
     "w23_junk_dimension",
-    "SELECT DISTINCT l_returnflag, l_linestatus, sha256(l_returnflag || '|' || l_linestatus) AS junk_sk FROM lineitem",
+    f"SELECT DISTINCT l_returnflag, l_linestatus, {key_sql('l_returnflag', 'l_linestatus')} AS junk_sk FROM lineitem",
 )
 def _(t):
     return warehouse.junk_dimension(t.lineitem, ["l_returnflag", "l_linestatus"])
@@ -567,7 +588,7 @@ def _(t):
     "w25_retention_split",
     f"""
     SELECT CASE WHEN o_orderdate < TIMESTAMP '{AS_OF}' - INTERVAL 2 YEAR THEN 'archive' ELSE 'keep' END AS side, COUNT(*) AS row_count,
-           CAST(SUM(CAST(('0x' || substr(md5(o_orderkey || '|' || o_orderstatus), 1, 8)) AS BIGINT)) AS DECIMAL(38,0)) AS checksum FROM orders GROUP BY 1
+           {checksum_sql("o_orderkey", "o_orderstatus")} FROM orders GROUP BY 1
     """,
 )
 def _(t):
@@ -579,7 +600,7 @@ def _(t):
     for side, part in zip(["keep", "archive"], merge.split_where(rows, old)):
         written = files.create_table_as(part, f"{root}/{side}")
         mark = quality.fingerprint(written, side, [F.col("o_orderkey"), F.col("o_orderstatus")])
-        sides.append(mark.select(F.col("table_name").alias("side"), "row_count", "checksum"))
+        sides.append(mark.select(F.col("table_name").alias("side"), "row_count", "checksum", "checksum_2"))
     return sides[0].unionByName(sides[1])
 
 
@@ -702,8 +723,8 @@ def _(t):
 
 @query(
     "w31_dim_geography",
-    """
-    SELECT DISTINCT n_name AS city, r_name AS country, r_name AS region, sha256(n_name || '|' || r_name) AS geography_sk
+    f"""
+    SELECT DISTINCT n_name AS city, r_name AS country, r_name AS region, {key_sql("n_name", "r_name", "r_name")} AS geography_sk
     FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
     """,
 )
@@ -714,8 +735,8 @@ def _(t):
 
 @query(
     "w31_dim_payment_method",
-    """
-    SELECT sha256(code) AS payment_method_sk, code AS method_code, method_name, method_name_vi, gateway, is_online FROM (VALUES
+    f"""
+    SELECT {key_sql("code")} AS payment_method_sk, code AS method_code, method_name, method_name_vi, gateway, is_online FROM (VALUES
       ('card', 'Card', 'Thẻ', TRUE), ('bank_transfer', 'Bank transfer', 'Chuyển khoản', TRUE), ('cod', 'Cash on delivery', 'Thanh toán khi nhận hàng', FALSE),
       ('wallet', 'E-wallet', 'Ví điện tử', TRUE), ('qr', 'QR code', 'Mã QR', TRUE)) m(code, method_name, method_name_vi, is_online)
     LEFT JOIN (SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'card' ELSE 'cod' END AS used,

@@ -5,25 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Stands for NULL inside a hashed key, so that (a, NULL) and (NULL, a) differ.
-NULL_MARK = "∅"
+# Stands for NULL inside a hashed key; a value has its length and a colon there.
+NULL_MARK = "-"
+
+
+def spelled_out(*columns: Column) -> Column:
+    """The values as one text that no other values have: each with its length before it."""
+    texts = [c.cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARK)) for t in texts])
 
 
 def surrogate_key(*columns: Column) -> Column:
     """A stable key for a natural key: needs no counter, no lookup and no shuffle."""
-    parts = [F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    return F.sha2(spelled_out(*columns), 256)
 
 
 def request_hash(body: Column) -> Column:
     return F.sha2(body, 256)
 
 
-def content_hash(*columns: Column) -> Column:
-    """Order-free table checksums add these up; long enough for change detection."""
-    return F.xxhash64(*columns)
-
-
 def uuid_v4() -> Column:
     return F.uuid()
 

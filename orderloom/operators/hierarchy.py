@@ -143,7 +143,7 @@ def nested_ancestors(nested: DataFrame, width: int, key: str = "id") -> DataFram
     return range_join(inner, outer, "_at", "lft", "rgt", width).select("ancestor", "descendant")
 
 
-def nested_depth(nested: DataFrame, block: int = 1_000_000, key: str = "id") -> DataFrame:
+def nested_depth(nested: DataFrame, key: str = "id") -> DataFrame:
     """Depth of each node by its nested set numbers: how many intervals are open around it.
 
     A sweep over the interval ends, +1 at each opening and -1 past each closing,
@@ -152,7 +152,7 @@ def nested_depth(nested: DataFrame, block: int = 1_000_000, key: str = "id") ->
     opens = nested.select(F.col(key), F.col("lft").alias("_at"), F.lit(1).alias("_step"), F.lit(1).alias("_turn"))
     closes = nested.select(F.col(key), F.col("rgt").alias("_at"), F.lit(-1).alias("_step"), F.lit(2).alias("_turn"))
     ends = opens.unionByName(closes)
-    swept = running(ends, [], ["_at", "_turn", key], F.floor(F.col("_at") / block), {"_open": F.col("_step")})
+    swept = running(ends, [], ["_at", "_turn", key], {"_open": F.col("_step")})
     return swept.filter("_step = 1").select(key, (F.col("_open") - 1).cast("int").alias("depth"))
 
 

@@ -41,15 +41,24 @@ def range_join(
 ) -> DataFrame:
     """Pairs of a point and an interval with ``low <= point <= high``, by an equi join.
 
-    Numbers are cut into buckets of ``width``; an interval is entered in each
-    bucket it touches and a point in its own. Choose a width near the typical
-    interval: smaller copies intervals more, larger compares more.
+    Numbers are cut into buckets, twice as wide on each level from ``width`` on. An interval is entered
+    on the level whose buckets are at least as long as itself, so in two of them at most however long
+    it is; a point looks into one bucket of each level that holds an interval (at most 64).
+    A NULL bound or point, or an interval that ends before it starts, has no pair.
     """
-    buckets = F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))
-    spread = intervals.withColumn("_bucket", F.explode(buckets))
-    placed = points.withColumn("_bucket", F.floor(F.col(point) / width))
+    length = (F.col(high) - F.col(low) + 1).cast("double")
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(length, F.lit(1.0)) / width))).cast("int")
+
+    def bucket(value: str, on: Column) -> Column:
+        return F.floor(F.col(value) / (F.lit(width) * F.pow(F.lit(2.0), on))).cast("long")
+
+    entered = intervals.filter(F.col(low) <= F.col(high)).withColumn("_level", level)
+    levels = [row[0] for row in entered.select("_level").distinct().collect()]
+    spread = entered.withColumn("_bucket", F.explode(F.sequence(bucket(low, F.col("_level")), bucket(high, F.col("_level")))))
+    looked = points.withColumn("_level", F.explode(F.array(*map(F.lit, sorted(levels))).cast("array<int>")))
+    placed = looked.withColumn("_bucket", bucket(point, F.col("_level")))
     inside = F.col(point).between(F.col(low), F.col(high))
-    return placed.join(spread, "_bucket").filter(inside).drop("_bucket")
+    return placed.join(spread, ["_level", "_bucket"]).filter(inside).drop("_level", "_bucket")
 
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -25,8 +26,8 @@ def upsert(
 
     ``update`` defaults to all non-key columns; an empty list makes it an
     insert-if-absent. Columns the source lacks keep their old value or are NULL.
-    ``latest_by`` first reduces the source to the last row per key; without it the
-    source must be unique. Keys must not be NULL.
+    ``latest_by`` first reduces the source to the last row per key, and where the target has those
+    columns a stored row that is later stays as it is; without it the source must be unique. Keys must not be NULL.
     """
     if latest_by:
         source = latest_per_key(source, keys, latest_by)
@@ -35,6 +36,10 @@ def upsert(
     new = source.select(*source.columns, F.lit(True).alias("_new")).alias("s")
     old = target.select(*target.columns, F.lit(True).alias("_old")).alias("t")
     on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    wins = F.col("s._new")
+    if latest_by and set(latest_by) <= set(target.columns):
+        stored, arrived = (F.struct(*[F.col(f"{side}.{c}") for c in latest_by]) for side in "ts")
+        wins = wins & (F.col("t._old").isNull() | (arrived >= stored))
     columns = []
     for name in target.columns:
         kind = target.schema[name].dataType
@@ -43,7 +48,7 @@ def upsert(
         elif name not in given:
             value = F.col(f"t.{name}")
         elif name in changed:
-            value = F.when(F.col("s._new"), F.col(f"s.{name}")).otherwise(F.col(f"t.{name}"))
+            value = F.when(wins, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}"))
         else:
             value = F.when(F.col("t._old"), F.col(f"t.{name}")).otherwise(F.col(f"s.{name}"))
         columns.append(value.cast(kind).alias(name))
@@ -58,8 +63,12 @@ def additive_upsert(target: DataFrame, source: DataFrame, keys: list[str], amoun
     )
 
 
-def insert_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Append the source rows whose key the target lacks."""
+def insert_absent(
+    target: DataFrame, source: DataFrame, keys: list[str], latest_by: list[str] | None = None
+) -> DataFrame:
+    """Append the source rows whose key the target lacks, one per key: the last by ``latest_by``, else the greatest."""
+    others = [f.name for f in source.schema if f.name not in keys and not isinstance(f.dataType, MapType)]
+    source = latest_per_key(source, keys, latest_by or others or keys)
     return target.unionByName(source.join(target, keys, "left_anti").select(*target.columns))
 
 

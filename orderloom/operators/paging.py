@@ -39,10 +39,13 @@ def seek_page(df: DataFrame, key: str, last, size: int) -> DataFrame:
     return df.filter(F.col(key) > last).orderBy(key).limit(size)
 
 
-def page_envelope(df: DataFrame, order: list[str], cursor: list[Column] | None, size: int) -> DataFrame:
+def page_envelope(
+    df: DataFrame, order: list[str], cursor: list[Column] | None, size: int, about: int | None = None
+) -> DataFrame:
     """One row: rows on the page, whether more follow, and the cursor to continue from.
 
-    Reads one row more than the page holds, never the whole table's count.
+    Reads one row more than the page holds, never the whole table's count. ``about`` is passed on as
+    ``approximate_total``: a count from file footers or catalog statistics (``sources.tables``).
     """
     columns = [F.col(c) for c in order]
     fetched = keyset_page(df, order, cursor, size + 1)
@@ -53,6 +56,7 @@ def page_envelope(df: DataFrame, order: list[str], cursor: list[Column] | None,
     return ranked.select(
         F.size(kept).alias("returned"),
         (F.size("rows") > size).alias("has_more"),
+        *([] if about is None else [F.lit(about).cast("long").alias("approximate_total")]),
         *[F.try_element_at(kept, F.lit(-1))[c].alias(f"next_{c}") for c in order],
     )
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.keys import spelled_out
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
@@ -61,19 +63,19 @@ def summary(results: DataFrame) -> DataFrame:
     )
 
 
-def row_checksum(*columns: Column) -> Column:
-    """A 32-bit number per row; added up it identifies a table whatever its row order."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("∅")) for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+def row_checksums(*columns: Column) -> list[Column]:
+    """Two 64-bit numbers per row; their sums identify a table whatever its row order."""
+    digest = F.md5(spelled_out(*columns))
+    return [F.conv(F.substring(digest, start, 16), 16, 10).cast("decimal(38,0)") for start in (1, 17)]
 
 
 def fingerprint(df: DataFrame, name: str, columns: list[Column], latest: Column | None = None) -> DataFrame:
-    """One row: table name, row count, content checksum, latest time."""
+    """One row: table name, row count, two content checksums, latest time."""
     newest = F.max(latest) if latest is not None else F.lit(None)
     return df.agg(
         F.lit(name).alias("table_name"),
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(row_checksum(*columns).cast("decimal(38,0)")).alias("checksum"),
+        *[F.sum(c).alias(n) for c, n in zip(row_checksums(*columns), ("checksum", "checksum_2"))],
         newest.cast("timestamp_ntz").alias("latest"),
     )
 
@@ -81,7 +83,10 @@ def fingerprint(df: DataFrame, name: str, columns: list[Column], latest: Column
 def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
     """Compares fingerprints by table name."""
     b, a = before.alias("b"), after.alias("a")
-    same = F.col("b.row_count").eqNullSafe(F.col("a.row_count")) & F.col("b.checksum").eqNullSafe(F.col("a.checksum"))
+    same = reduce(
+        lambda x, y: x & y,
+        [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in ("row_count", "checksum", "checksum_2")],
+    )
     return b.join(a, F.col("b.table_name") == F.col("a.table_name"), "full").select(
         F.coalesce("b.table_name", "a.table_name").alias("table_name"),
         F.col("b.row_count").alias("rows_before"),

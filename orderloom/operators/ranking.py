@@ -117,8 +117,14 @@ def with_ranks(
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rn") -> DataFrame:
     """The first ``k`` rows of each key.
 
-    Spark prunes to ``k`` rows per key on the map side before the shuffle, so a hot
-    key sends at most ``k`` rows from each task.
+    Up to Spark's threshold it prunes to ``k`` rows per key on the map side by itself, so a hot
+    key sends at most ``k`` rows from each task. Beyond, each input partition is first reduced to
+    ``k`` rows per key by a window of its own.
     """
-    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    pruned = df
+    if k >= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        place = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
+        sliced = df.withColumn("_slice", F.spark_partition_id()).withColumn("_place", place)
+        pruned = sliced.filter(F.col("_place") <= k).drop("_slice", "_place")
+    ranked = pruned.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(name) <= k)

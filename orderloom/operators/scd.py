@@ -53,6 +53,10 @@ def scd2_merge(
     joined = old.join(new, F.col(f"o.{key}") == F.col(f"n.{key}"), "full")
     known, seen = F.col(f"o.{key}").isNotNull(), F.col(f"n.{key}").isNotNull()
     changed = known & seen & _differs("o", "n", tracked)
+    begun = F.col("o.effective_from")
+    # An older snapshot than the open version would turn its validity round.
+    early = F.raise_error(F.concat(F.lit("as_of lies before the open version of "), F.col(f"o.{key}").cast("string")))
+    changed = F.when(changed & (begun > day), early.cast("boolean")).otherwise(changed)
 
     def version(side: str, begin: Column, end: Column, current: bool) -> Column:
         values = {
@@ -70,7 +74,8 @@ def scd2_merge(
     opened = version("n", day, never, True)
     gone = F.array(closed) if close_missing else F.array(kept)
     versions = (
-        F.when(changed, F.array(closed, opened))
+        F.when(changed & (begun == day), F.array(opened))  # a second change on one day: in place
+        .when(changed, F.array(closed, opened))
         .when(known & seen, F.array(kept))
         .when(known, gone)
         .otherwise(F.array(opened))

@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from orderloom.session import cut
+
 HOT_ROWS = 5_000_000
+#: Stands for hot keys that have not been looked for yet.
+LOOK = "look"
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -36,20 +40,34 @@ def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def join_one_per_key(
-    rows: DataFrame, one_per_key: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    one_per_key: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None | str = LOOK,
 ) -> DataFrame:
-    """Joins rows to a frame with one row per key, such as an aggregate of them.
+    """Joins rows to a frame with one row per key, such as an aggregate of them; NULL keys meet each other.
 
     Spark splits a skewed shuffle only where both join inputs come straight from
-    one, which an aggregate does not. So the rows of a hot key are dealt out to
-    as many shares as it needs, by a hash of the row that a retried task repeats,
-    and its single partner is copied to each. Keys must not be NULL.
+    one, which an aggregate does not. So the rows of hot keys are written out and dealt to
+    as many shares as they need by their place in the files, which equal rows do not share and a
+    retried task repeats; their single partner is copied to each share.
     """
-    hot = hot_keys(rows, keys, hot_rows)
+    if isinstance(hot, str):
+        hot = hot_keys(rows, keys, hot_rows)
+    named = {k: f"_right_{k}" for k in keys}
+    same = [F.col(f"_rows.{k}").eqNullSafe(F.col(f"_one.{n}")) for k, n in named.items()]
     if hot is None:
-        return rows.join(one_per_key, keys, how)
-    dealt = F.when(F.col("_shares").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("_shares")))
-    left = mark_hot(rows, hot, keys).withColumn("_share", dealt.cast("int")).drop("_shares")
-    copies = F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)
-    right = mark_hot(one_per_key, hot, keys).withColumn("_share", F.explode(copies)).drop("_shares")
-    return left.join(right, [*keys, "_share"], how).drop("_share")
+        left, right = rows, one_per_key.withColumnsRenamed(named)
+    else:
+        marked = mark_hot(rows, hot, keys)
+        split = cut(marked.filter("_shares IS NOT NULL"), "hot")
+        share = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_shares")).cast("int")
+        cold = marked.filter("_shares IS NULL").withColumn("_share", F.lit(0))
+        left = cold.unionByName(split.withColumn("_share", share)).drop("_shares")
+        copies = F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)
+        right = mark_hot(one_per_key, hot, keys).withColumn("_share_of", F.explode(copies)).drop("_shares").withColumnsRenamed(named)
+        same.append(F.col("_rows._share") == F.col("_one._share_of"))
+    joined = left.alias("_rows").join(right.alias("_one"), reduce(lambda a, b: a & b, same), how)
+    return joined.drop(*named.values(), "_share", "_share_of")

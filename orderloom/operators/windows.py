@@ -1,15 +1,12 @@
 """Window calculations that do not need a whole key in one task.
 
 A plain window moves every row of a key to one task, and an un-keyed one moves the
-whole table there. Here the rows of a hot key (see ``skew``) are split into blocks
-along the order: a day, an hour, a span of numbers. Blocks are summed up first, a
-small aggregate with map-side combining; what the earlier blocks of a key add up to
+whole table there. Here the rows of a hot key (see ``skew``) are range-partitioned along the order
+and written once; each partition is a block of about equal size, rows that tie on the order stay together.
+Blocks are summed up, a small aggregate with map-side combining; what the earlier blocks of a key add up to
 then enters each block as one extra leading row, and the window itself runs per
-(key, block). Rows are shuffled once and nothing is joined back. Where no key is
-hot, the plain window is used.
-
-``block`` must be non-decreasing in the order and equal for rows that tie on it.
-It only decides how finely hot keys are split; choose it fine.
+(key, block). Where no key is hot, the plain window is used. NULLs, in keys or in the order, are
+values like others, first in ascending order.
 """
 
 from __future__ import annotations
@@ -17,24 +14,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.operators.skew import HOT_ROWS, hot_keys, join_one_per_key, mark_hot
+from orderloom.operators.skew import HOT_ROWS, LOOK, hot_keys, join_one_per_key, mark_hot
+from orderloom.session import cut
 
 LEAD, ROW = 0, 1
+#: The block of keys that are not split.
+WHOLE = -1
 
 
-def _blocked(df: DataFrame, keys: list[str], block: Column, hot_rows: int) -> DataFrame | None:
-    """Adds ``_block``, NULL for keys that are not split, and ``_kind``; None if no key is."""
+def _blocked(
+    df: DataFrame, keys: list[str], order: list[str], hot_rows: int, hot: DataFrame | None | str
+) -> DataFrame | None:
+    """Adds ``_block`` and ``_kind``; None if no key is split. Without keys all rows are."""
     if not keys:
-        return df.withColumns({"_block": block, "_kind": F.lit(ROW)})
-    hot = hot_keys(df, keys, hot_rows)
+        ranged = cut(df.repartitionByRange(*order).withColumn("_block", F.spark_partition_id()), "blocks")
+        return ranged.withColumn("_kind", F.lit(ROW))
+    if isinstance(hot, str):
+        hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return None
-    split = F.when(F.col("_shares").isNotNull(), block)
-    return mark_hot(df, hot, keys).withColumns({"_block": split, "_kind": F.lit(ROW)}).drop("_shares")
+    shares = hot.agg(F.sum("_shares")).first()[0]
+    marked = mark_hot(df, hot, keys)
+    split = marked.filter("_shares IS NOT NULL").drop("_shares").repartitionByRange(shares, *keys, *order)
+    blocks = cut(split.withColumn("_block", F.spark_partition_id()), "blocks")
+    whole = marked.filter("_shares IS NULL").drop("_shares").withColumn("_block", F.lit(WHOLE))
+    return whole.unionByName(blocks).withColumn("_kind", F.lit(ROW))
 
 
 def _split_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter("_block IS NOT NULL")
+    return rows.filter(F.col("_block") > WHOLE)
 
 
 def _earlier(keys: list[str]):
@@ -57,9 +65,9 @@ def running(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column,
     sums: dict[str, Column],
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None | str = LOOK,
 ) -> DataFrame:
     """Adds running sums ``name -> value`` along ``order`` within ``keys``, up to the current row."""
     valued = df.select("*", *[v.alias(f"_v_{n}") for n, v in sums.items()])
@@ -68,7 +76,7 @@ def running(
         frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return rows.select(*df.columns, *extra, *[F.sum(f"_v_{n}").over(frame).alias(n) for n in sums])
 
-    rows = _blocked(valued, keys, block, hot_rows)
+    rows = _blocked(valued, keys, order, hot_rows, hot)
     if rows is None:
         return summed(valued, Window.partitionBy(*keys).orderBy(*order))
     totals = _split_rows(rows).groupBy(*keys, "_block").agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums])
@@ -80,7 +88,6 @@ def running_with_peers(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column,
     sums: dict[str, Column],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -89,7 +96,7 @@ def running_with_peers(
     Ties are added up first, so the window only sees one row per value.
     """
     per_value = df.groupBy(*keys, *order).agg(*[F.sum(v).alias(f"_t_{n}") for n, v in sums.items()])
-    summed = running(per_value, keys, order, block, {n: F.col(f"_t_{n}") for n in sums}, hot_rows)
+    summed = running(per_value, keys, order, {n: F.col(f"_t_{n}") for n in sums}, hot_rows)
     return join_one_per_key(df, summed.select(*keys, *order, *sums), [*keys, *order], hot_rows=hot_rows)
 
 
@@ -97,11 +104,11 @@ def numbered(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column,
     row_number: str | None = None,
     rank: str | None = None,
     dense_rank: str | None = None,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None | str = LOOK,
 ) -> DataFrame:
     """Adds ROW_NUMBER, RANK and DENSE_RANK along ascending ``order`` within ``keys``."""
 
@@ -113,7 +120,7 @@ def numbered(
         }
         return rows.select(*df.columns, *extra, *[c.cast("long").alias(n) for n, c in wanted.items() if n])
 
-    rows = _blocked(df, keys, block, hot_rows)
+    rows = _blocked(df, keys, order, hot_rows, hot)
     if rows is None:
         return ranked(df, Window.partitionBy(*keys).orderBy(*order), F.lit(0), F.lit(0))
     values = _split_rows(rows).groupBy(*keys, "_block", *order).agg(F.count(F.lit(1)).alias("_n"))
@@ -137,9 +144,9 @@ def previous(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    block: Column,
     columns: dict[str, str],
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None | str = LOOK,
 ) -> DataFrame:
     """Adds the values of the row before (LAG 1): ``column -> output name``.
 
@@ -150,7 +157,7 @@ def previous(
     def lagged(rows: DataFrame, window, *extra: str) -> DataFrame:
         return rows.select(*df.columns, *extra, F.lag("_now").over(window).alias("_row_before"))
 
-    rows = _blocked(packed, keys, block, hot_rows)
+    rows = _blocked(packed, keys, order, hot_rows, hot)
     if rows is None:
         found = lagged(packed, Window.partitionBy(*keys).orderBy(*order))
     else:
@@ -188,16 +195,20 @@ def sliding(
         .rangeBetween(-seconds * 1_000_000, Window.currentRow)
     )
     seen = rows.select(*df.columns, "_own", "_block", *[a.over(window).alias(n) for n, a in aggregates.items()])
-    return seen.filter(F.col("_own") == F.col("_block")).drop("_own", "_block")
+    return seen.filter(F.col("_own").eqNullSafe(F.col("_block"))).drop("_own", "_block")
 
 
 def with_total(
-    df: DataFrame, keys: list[str], totals: dict[str, Column], hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: list[str],
+    totals: dict[str, Column],
+    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None | str = LOOK,
 ) -> DataFrame:
     """Adds per-key aggregates to every row: aggregate first, then one join back.
 
     The aggregate combines on the map side and the join splits hot keys, neither
-    of which a window over the key does. Keys must not be NULL.
+    of which a window over the key does.
     """
     per_key = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    return join_one_per_key(df, per_key, keys, hot_rows=hot_rows)
+    return join_one_per_key(df, per_key, keys, hot_rows=hot_rows, hot=hot)

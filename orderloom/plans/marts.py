@@ -66,9 +66,18 @@ def value_segments(orders: DataFrame, customers: DataFrame, vip, regular) -> Dat
     return classed.join(customers.select("customer_nk", "full_name"), "customer_nk")
 
 
-def order_summary(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per order: customer, number of lines and units."""
+def order_summary(
+    orders: DataFrame, items: DataFrame, customers: DataFrame, payments: DataFrame | None = None
+) -> DataFrame:
+    """Per order: customer, number of lines and units; with ``payments`` status and method of the latest one, NULL without any."""
     counted = items.groupBy("order_nk").agg(
         F.count(F.lit(1)).alias("item_count"), F.sum("quantity").alias("units")
     )
-    return orders.join(counted, "order_nk").join(customers.select("customer_nk", "full_name"), "customer_nk")
+    summed = orders.join(counted, "order_nk").join(customers.select("customer_nk", "full_name"), "customer_nk")
+    if payments is None:
+        return summed
+    latest = payments.groupBy(F.col("order_id").alias("order_nk")).agg(
+        F.max_by(F.struct("status", "method"), F.struct("created_at", "id")).alias("_paid")
+    )
+    paid = {"payment_status": F.col("_paid.status"), "payment_method": F.col("_paid.method")}
+    return summed.join(latest, "order_nk", "left").withColumns(paid).drop("_paid")

@@ -7,16 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.quality import row_checksum
+from orderloom.operators.quality import row_checksums
 from orderloom.session import cut
 from orderloom.sources.snapshots import SnapshotTable
 from orderloom.streaming.changes import apply_changes, live_rows
 
 
-def _content(df: DataFrame) -> tuple[int, int]:
+def _content(df: DataFrame) -> tuple:
     columns = [F.col(c) for c in sorted(df.columns)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_checksum(*columns).cast("decimal(38,0)")).alias("s")).first()
-    return row.n, int(row.s or 0)
+    return tuple(df.agg(F.count(F.lit(1)), *[F.sum(c) for c in row_checksums(*columns)]).first())
 
 
 def migrate(

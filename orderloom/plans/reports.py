@@ -14,6 +14,7 @@ from orderloom.functions import dates
 from orderloom.functions.amounts import as_double, from_cents, total_cents
 from orderloom.operators import windows
 from orderloom.operators.ranking import with_ranks
+from orderloom.operators.skew import hot_keys
 
 
 def _by_day(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -26,9 +27,18 @@ def _by_day(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _with_calendar(df: DataFrame, calendar: DataFrame, columns: list[str]) -> DataFrame:
-    # A calendar is bounded by its length.
-    days = F.broadcast(calendar.select(F.col("full_date").alias("order_date"), *columns))
-    return df.join(days, "order_date")
+    """The calendar's columns per order date. A date that it does not hold is spelled out by itself and
+    has -1 as its key, like a missing date, so no row is lost."""
+    day = F.col("order_date")
+    own = {
+        "date_key": F.lit(-1),
+        "year": F.year(day),
+        "month": F.month(day),
+        "month_name": F.date_format(day, "MMMM"),
+        "month_name_vi": dates.pick(F.month(day), dates.MONTH_NAMES_VI),
+    }
+    days = calendar.select(F.col("full_date").alias("order_date"), *columns)
+    return df.join(days, "order_date", "left").withColumns({c: F.coalesce(F.col(c), own[c]) for c in columns})
 
 
 def monthly_revenue(sales: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -78,7 +88,7 @@ def monthly_by_customer(sales: DataFrame, calendar: DataFrame, customers: DataFr
 
 
 def monthly_by_category(lines: DataFrame, calendar: DataFrame, products: DataFrame, year: int) -> DataFrame:
-    in_year = lines.filter(F.year("order_date") == year)
+    in_year = lines.filter(dates.year_range(F.col("order_date"), year))
     dated = _with_calendar(in_year, calendar, ["year", "month", "month_name"])
     per_product = dated.groupBy("year", "month", "month_name", "product_nk").agg(
         F.sum("gross_cents").alias("gross"), F.sum("net_cents").alias("net"), F.sum("quantity").alias("units")
@@ -161,17 +171,19 @@ def customer_ranking(orders: DataFrame) -> DataFrame:
     base = orders.select("order_nk", "customer_nk", "amount_cents", "created_at").withColumn(
         "_most", -F.col("amount_cents")
     )
-    ranked = windows.numbered(
-        base, ["customer_nk"], ["_most", "order_nk"], F.col("_most"), row_number="rank_in_customer"
-    )
+    hot = hot_keys(base, ["customer_nk"])  # counted once for all three
+    ranked = windows.numbered(base, ["customer_nk"], ["_most", "order_nk"], row_number="rank_in_customer", hot=hot)
     summed = windows.running(
         ranked,
         ["customer_nk"],
         ["created_at", "order_nk"],
-        F.date_trunc("day", "created_at"),
         {"_spent": F.col("amount_cents")},
+        hot=hot,
     )
-    whole = windows.with_total(summed, ["customer_nk"], {"_whole": F.sum("amount_cents")})
+    if hot is None:  # the rows of a customer are together already
+        whole = summed.withColumn("_whole", F.sum("amount_cents").over(Window.partitionBy("customer_nk")))
+    else:
+        whole = windows.with_total(summed, ["customer_nk"], {"_whole": F.sum("amount_cents")}, hot=hot)
     share = F.try_divide(as_double("amount_cents"), as_double("_whole")) * 100
     return whole.select(
         "order_nk",

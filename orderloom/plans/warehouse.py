@@ -19,6 +19,7 @@ from orderloom.sources.snapshots import WatermarkStore
 from orderloom.sources.tables import merge_partitions, write_by
 
 UNKNOWN = "-1"
+UNKNOWN_DATE = -1
 # Payment methods with names, and whether they are paid online.
 PAYMENT_METHODS = [
     ("card", "Card", "Thẻ", True),
@@ -100,7 +101,7 @@ def dim_payment_method(payments: DataFrame) -> DataFrame:
 def dim_geography(places: DataFrame) -> DataFrame:
     """Distinct (city, country, region) with a key."""
     return places.select("city", "country", "region").distinct().withColumn(
-        "geography_sk", surrogate_key(F.col("city"), F.col("country"))
+        "geography_sk", surrogate_key(F.col("city"), F.col("country"), F.col("region"))
     )
 
 
@@ -237,9 +238,8 @@ def fact_sales(
     """Line grain fact with surrogate keys of the current dimension rows; -1 where there is none."""
     who = customers.filter("is_current").select("customer_nk", "customer_sk")
     what = products.filter("is_current").select("product_nk", "product_sk")
-    # A calendar: its length, not the data, bounds it.
-    when = F.broadcast(days.select("date_key", F.col("full_date").alias("order_date")))
-    joined = lines.join(when, "order_date").join(who, "customer_nk", "left").join(what, "product_nk", "left")
+    when = days.select("date_key", F.col("full_date").alias("order_date"))
+    joined = lines.join(when, "order_date", "left").join(who, "customer_nk", "left").join(what, "product_nk", "left")
     optional = []
     if payments is not None:
         latest = payments.groupBy(F.col("order_id").alias("order_nk")).agg(
@@ -249,7 +249,7 @@ def fact_sales(
         optional = ["payment_method"]
     return joined.select(
         "order_item_nk",
-        "date_key",
+        F.coalesce("date_key", F.lit(UNKNOWN_DATE)).alias("date_key"),
         F.coalesce("customer_sk", F.lit(UNKNOWN)).alias("customer_sk"),
         F.coalesce("product_sk", F.lit(UNKNOWN)).alias("product_sk"),
         "order_nk",

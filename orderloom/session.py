@@ -18,8 +18,16 @@ RUNTIME_SETTINGS = {
 }
 
 
+#: Folders of local sessions that name none, by application.
+_own_folders: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings every job here relies on to an existing session."""
+    """Apply the runtime settings every job here relies on to an existing session, once: later
+    changes by the caller stay."""
+    if spark.conf.get("orderloom.tuned", None):
+        return spark
+    spark.conf.set("orderloom.tuned", "true")
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -52,8 +60,9 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="orderloom-"))
-    return context.getCheckpointDir().rstrip("/")
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="orderloom-")
+    return _own_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

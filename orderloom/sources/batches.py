@@ -16,7 +16,7 @@ class BatchTable:
 
     A batch costs what it brings, not what the table holds: it is reduced and
     written to a folder of its own, which a repeated batch replaces, so each batch
-    counts once. Readers fold base and batches; ``compact`` makes the fold the new
+    counts once. Readers fold base and batches; ``compact`` makes the fold of all but the newest batch the new
     base and is due whenever reading has become slow.
     """
 
@@ -55,11 +55,13 @@ class BatchTable:
         return self._fold(base, None if batches is None else batches.drop("batch"))
 
     def compact(self) -> None:
+        """Folds all batches but the newest into the base: that one may not be committed yet, and if
+        it runs again it must find the table as it was before."""
         batches = self._batches()
         newest = None if batches is None else batches.agg(F.max("batch").alias("b")).first().b
-        if newest is not None:
-            # Not those that arrive meanwhile: they would be counted again.
-            self.base.replace(self.read(before=newest + 1), tag=str(newest))
+        older = None if newest is None else self._batches(before=newest)
+        if older is not None and not older.isEmpty():
+            self.base.replace(self.read(before=newest), tag=str(newest - 1))
 
     def run(self, stream: DataFrame, checkpoint: str) -> None:
         """Takes in all the stream has; the position is committed after each batch."""

@@ -39,11 +39,6 @@ def create_table_as(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "errorifexists") -> DataFrame:
-    df.write.mode(mode).saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -81,10 +76,8 @@ def merge_partitions(
             raise
         write_by(latest_per_key(rows, keys, latest_by) if latest_by else rows, path, partition)
         return
-    # Partition values, not rows: as many as days or months in the load.
-    touched = [row[0] for row in rows.select(partition).distinct().collect()]
-    listed = F.col(partition).isin([v for v in touched if v is not None])
-    held = stored.filter(listed | F.col(partition).isNull() if None in touched else listed)
+    touched = rows.select(F.col(partition).alias("_touched")).distinct()
+    held = stored.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
     write_by(cut(upsert(held, rows, keys, latest_by=latest_by), "merged"), path, partition)
 
 

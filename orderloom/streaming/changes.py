@@ -42,8 +42,13 @@ def envelope_schema(row: StructType) -> StructType:
     return StructType([StructField("payload", StructType(body)), *body, StructField("_corrupt_record", StringType())])
 
 
-def parse_envelopes(messages: DataFrame, row: StructType, value: str = "value") -> DataFrame:
-    """Adds ``op, before, after, source, ts_ms`` and ``corrupt``; null values (tombstones) drop out."""
+def parse_envelopes(
+    messages: DataFrame, row: StructType, value: str = "value", keys: list[str] | None = None
+) -> DataFrame:
+    """Adds ``op, before, after, source, ts_ms`` and ``corrupt``; null values (tombstones) drop out.
+
+    With ``keys``, a message without one of them is corrupt as well.
+    """
     text = F.col(value).cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     parsed = messages.filter(F.col(value).isNotNull()).withColumn(
@@ -69,6 +74,8 @@ def parse_envelopes(messages: DataFrame, row: StructType, value: str = "value")
         | ~F.col("op").isin("c", "u", "d", "r")
         | image.isNull()
     )
+    for key in keys or []:
+        broken = broken | image[key].isNull()
     return opened.withColumn("corrupt", broken).drop("_corrupt")
 
 
@@ -88,29 +95,38 @@ def change_rows(parsed: DataFrame) -> DataFrame:
     ).select("_image.*", *META)
 
 
-def unwrapped_rows(messages: DataFrame, row: StructType, value: str = "value") -> DataFrame:
-    """Change rows from flattened records: row columns, ``__op``, ``__table``, ``__ts_ms``, ``__deleted``."""
+def _unwrapped(messages: DataFrame, row: StructType, value: str) -> DataFrame:
     flat = StructType(
         [
             *row.fields,
             StructField("__op", StringType()),
             StructField("__table", StringType()),
             StructField("__ts_ms", LongType()),
+            StructField("__source_pos", LongType()),
             StructField("__deleted", StringType()),
         ]
     )
-    parsed = messages.filter(F.col(value).isNotNull()).select(
-        F.from_json(F.col(value).cast("string"), flat).alias("_m")
-    )
+    offset = [F.col("offset")] if "offset" in messages.columns else []
+    text = F.col(value).cast("string")
+    parsed = messages.filter(F.col(value).isNotNull()).select(text.alias("raw"), *offset, F.from_json(text, flat).alias("_m"))
     op = F.when(F.col("_m.__deleted") == "true", "d").otherwise(F.col("_m.__op"))
-    return parsed.filter("_m.__op IS NOT NULL OR _m.__deleted IS NOT NULL").select(
-        *[F.col(f"_m.{f.name}") for f in row.fields],
-        op.alias("op"),
-        F.col("_m.__ts_ms").alias("ts_ms"),
-        F.lit(0).cast("long").alias("pos"),
+    pos = F.coalesce("_m.__source_pos", *offset, F.lit(0)).cast("long")
+    return parsed.select("raw", "_m", op.alias("op"), pos.alias("pos"), F.coalesce(op.isin("c", "u", "d", "r"), F.lit(False)).alias("_read"))
+
+
+def unwrapped_rows(messages: DataFrame, row: StructType, value: str = "value") -> DataFrame:
+    """Change rows from flattened records: row columns, ``__op``, ``__table``, ``__ts_ms``, ``__deleted`` and, if the
+    connector adds it, ``__source_pos``; without it the topic's ``offset`` orders changes of one millisecond."""
+    return _unwrapped(messages, row, value).filter("_read").select(
+        *[F.col(f"_m.{f.name}") for f in row.fields], "op", F.col("_m.__ts_ms").alias("ts_ms"), "pos"
     )
 
 
+def unwrapped_dead_letters(messages: DataFrame, row: StructType, value: str = "value") -> DataFrame:
+    """The flattened records that ``unwrapped_rows`` cannot read, as they came."""
+    return _unwrapped(messages, row, value).filter("NOT _read").select("raw")
+
+
 def of_table(parsed: DataFrame, table: str) -> DataFrame:
     """Messages of one table of a stream that carries several."""
     return parsed.filter(F.col("source.table") == table)
@@ -149,9 +165,11 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: list[str]) -> Data
 
     The changes are reduced to the last per key and meet the state in one full
     outer join, in which the newer row wins. So neither the order of arrival nor
-    repeats matter, and the state is shuffled once. ``state`` has one row per key.
+    repeats matter, and the state is shuffled once. ``state`` has one row per key. A change without
+    a key belongs to no row and is left out; ``parse_envelopes`` with ``keys`` makes it a dead letter.
     """
     held = as_state(state)
+    changes = changes.dropna(subset=keys)
     last = latest_image(changes, keys).withColumn("is_deleted", F.col("op") == "d")
     old, new = held.alias("o"), last.select(*held.columns).alias("n")
     on = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])

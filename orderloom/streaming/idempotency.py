@@ -20,7 +20,7 @@ def first_results(requests: DataFrame, key: str, at: str, tie: str, request_hash
     """Each request judged against the first one of its key.
 
     ``first``, ``replay``, ``mismatch`` (other content under the same key) or
-    ``expired`` (24 hours or more after the first).
+    ``expired`` (24 hours or more after the first). A request without a key is always ``first``.
     """
     opening = requests.groupBy(key).agg(
         F.min_by(F.struct(at, tie, request_hash), F.struct(at, tie)).alias("_first")
@@ -28,7 +28,7 @@ def first_results(requests: DataFrame, key: str, at: str, tie: str, request_hash
     joined = join_one_per_key(requests, opening, [key])
     age = F.col(at).cast("timestamp").cast("double") - F.col(f"_first.{at}").cast("timestamp").cast("double")
     verdict = (
-        F.when((F.col(at) == F.col(f"_first.{at}")) & (F.col(tie) == F.col(f"_first.{tie}")), "first")
+        F.when(F.col(key).isNull() | ((F.col(at) == F.col(f"_first.{at}")) & (F.col(tie) == F.col(f"_first.{tie}"))), "first")
         .when(age >= DAY_SECONDS, "expired")
         .when(F.col(request_hash) != F.col(f"_first.{request_hash}"), "mismatch")
         .otherwise("replay")
@@ -54,7 +54,7 @@ def settle_requests(
         )
         age = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.col(f"_first.{at}").cast("timestamp"))
         verdict = (
-            F.when((F.col(at) == F.col(f"_first.{at}")) & (F.col(tie) == F.col(f"_first.{tie}")), "first")
+            F.when(F.col(key).isNull() | ((F.col(at) == F.col(f"_first.{at}")) & (F.col(tie) == F.col(f"_first.{tie}"))), "first")
             .when(age >= expiry_seconds * 1_000_000, F.lit(None))
             .when(F.col(request_hash) != F.col(f"_first.{request_hash}"), "mismatch")
             .otherwise("replay")
@@ -93,12 +93,16 @@ def settle_writer(
     def settle_batch(batch: DataFrame, batch_id: int) -> None:
         columns = batch.columns
         requests = cut(batch, "requests").withColumn("_before", F.lit(False))
-        earlier = openings.read(before=batch_id).select(*columns).withColumn("_before", F.lit(True))
+        asked = requests.groupBy(key).agg(F.min(at).alias("_earliest"))
+        known = openings.read(before=batch_id).select(*columns).join(asked, key)  # of this batch's keys,
+        seconds = F.unix_micros(F.col("_earliest").cast("timestamp")) - F.unix_micros(F.col(at).cast("timestamp"))
+        alive = known.filter(seconds < expiry_seconds * 1_000_000)  # and not expired
+        earlier = alive.select(*columns).withColumn("_before", F.lit(True))
         judged = settle_requests(requests.unionByName(earlier), key, at, tie, request_hash, expiry_seconds)
         judged = cut(judged, "verdicts")
         new = judged.filter("NOT _before").drop("_before")
         new.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        openings.write_batch(judged.filter("verdict = 'first'").select(*columns), batch_id)
+        openings.write_batch(new.filter("verdict = 'first'").dropna(subset=[key]).select(*columns), batch_id)
 
     return settle_batch
 

@@ -30,9 +30,9 @@ DEFAULT_RULES = [
 ]
 
 
-def counter_increase(samples: DataFrame, series: list[str], at: str, value: str, tie: str, block: str = "hour") -> DataFrame:
+def counter_increase(samples: DataFrame, series: list[str], at: str, value: str, tie: str) -> DataFrame:
     """Adds ``increase`` since the sample before; a drop means the counter began again at zero."""
-    stepped = previous(samples, series, [at, tie], F.date_trunc(block, F.col(at)), {value: "_before"})
+    stepped = previous(samples, series, [at, tie], {value: "_before"})
     step = F.when(F.col(value) >= F.col("_before"), F.col(value) - F.col("_before")).when(
         F.col("_before").isNotNull(), F.col(value)
     )
@@ -40,10 +40,10 @@ def counter_increase(samples: DataFrame, series: list[str], at: str, value: str,
 
 
 def counter_rate(
-    samples: DataFrame, series: list[str], at: str, value: str, tie: str, seconds: int, block: str = "hour"
+    samples: DataFrame, series: list[str], at: str, value: str, tie: str, seconds: int
 ) -> DataFrame:
     """Adds the increase over the last ``seconds`` and its rate per second at each sample."""
-    stepped = counter_increase(samples, series, at, value, tie, block)
+    stepped = counter_increase(samples, series, at, value, tie)
     summed = sliding(stepped, series, at, seconds, {"increase_in_range": F.sum("increase")})
     return summed.withColumn("rate", F.col("increase_in_range") / seconds)
 
@@ -83,21 +83,20 @@ def breaches(samples: DataFrame, rules: DataFrame) -> DataFrame:
         .when(op == "!=", value != limit)
         .otherwise(F.raise_error(F.concat(F.lit("unknown operator "), op)).cast("boolean"))
     )
-    return samples.join(F.broadcast(rules), "metric").withColumn("broken", F.coalesce(broken, F.lit(False)))
+    return samples.join(rules, "metric").withColumn("broken", F.coalesce(broken, F.lit(False)))
 
 
-def _islands(states: DataFrame, series: list[str], at: str, tie: str, broken: str, block: str) -> DataFrame:
+def _islands(states: DataFrame, series: list[str], at: str, tie: str, broken: str) -> DataFrame:
     """Broken samples, numbered by the unbroken ones before them: equal within a stretch."""
     healthy = (~F.col(broken)).cast("long")
-    span = F.date_trunc(block, F.col(at))
-    return running(states, series, [at, tie], span, {"_island": healthy}).filter(broken)
+    return running(states, series, [at, tie], {"_island": healthy}).filter(broken)
 
 
 def held(
-    states: DataFrame, series: list[str], at: str, tie: str, broken: str, hold: Column, block: str = "hour"
+    states: DataFrame, series: list[str], at: str, tie: str, broken: str, hold: Column
 ) -> DataFrame:
     """Stretches in which ``broken`` held without a break for at least ``hold`` seconds."""
-    counted = _islands(states.withColumn("_hold", hold), series, at, tie, broken, block)
+    counted = _islands(states.withColumn("_hold", hold), series, at, tie, broken)
     stretches = counted.groupBy(*series, "_island").agg(
         F.min(at).alias("started_at"),
         F.max(at).alias("ended_at"),
@@ -129,7 +128,6 @@ def alert_writer(
     tie: str,
     broken: str,
     hold_seconds: int,
-    block: str = "hour",
 ):
     """Alerts on a stream, as a ``foreachBatch`` function: one row in ``out`` per breach that held.
 
@@ -145,7 +143,7 @@ def alert_writer(
             *series, F.col("since").alias(at), F.lit(-1).alias(tie), F.lit(True).alias(broken), "reported"
         )
         rows = cut(samples.withColumn("reported", F.lit(False)).unionByName(earlier), "samples")
-        broken_rows = cut(_islands(rows, series, at, tie, broken, block), "breaches")
+        broken_rows = cut(_islands(rows, series, at, tie, broken), "breaches")
         stretches = broken_rows.groupBy(*series, "_island").agg(
             F.min(at).alias("started_at"), F.max(at).alias("ended_at"), F.bool_or("reported").alias("reported")
         )

@@ -34,7 +34,7 @@ def _ends(ranges: DataFrame, keys: list[str], held: str, other: str) -> DataFram
     )
 
 
-def subtract_ranges(have: DataFrame, lack: DataFrame, keys: list[str], block: int = 1_000_000) -> DataFrame:
+def subtract_ranges(have: DataFrame, lack: DataFrame, keys: list[str]) -> DataFrame:
     """Maximal ranges covered by ``have`` and not by ``lack``, per ``keys``.
 
     A sweep over range ends: ends are netted per point first, so adjacent ranges
@@ -44,13 +44,12 @@ def subtract_ranges(have: DataFrame, lack: DataFrame, keys: list[str], block: in
     points = _ends(have, keys, "_a", "_b").unionByName(_ends(lack, keys, "_b", "_a"))
     netted = points.groupBy(*keys, "at").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
     turns = netted.filter("_a <> 0 OR _b <> 0")
-    span = F.floor(F.col("at") / block)
-    covered = running(turns, keys, ["at"], span, {"_in_a": F.col("_a"), "_in_b": F.col("_b")})
+    covered = running(turns, keys, ["at"], {"_in_a": F.col("_a"), "_in_b": F.col("_b")})
     marked = covered.select(*keys, "at", ((F.col("_in_a") > 0) & (F.col("_in_b") <= 0)).alias("_missing"))
     # Turns inside a missing stretch (ranges of ``have`` that touch) do not end it.
-    stepped = previous(marked, keys, ["at"], span, {"_missing": "_was"})
+    stepped = previous(marked, keys, ["at"], {"_missing": "_was"})
     edges = stepped.filter(F.col("_missing") != F.coalesce("_was", F.lit(False)))
-    closed = previous(edges, keys, ["at"], span, {"at": "low", "_missing": "_open"})
+    closed = previous(edges, keys, ["at"], {"at": "low", "_missing": "_open"})
     return closed.filter("_open").select(*keys, "low", (F.col("at") - 1).alias("high"))
 
 

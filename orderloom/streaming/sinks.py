@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orderloom.session import cut
@@ -26,14 +27,30 @@ def upsert_writer(path: str, keys: list[str], partition: str, latest_by: list[st
     return upsert_batch
 
 
-def route_writer(tables: dict[str, tuple[StructType, Callable[[DataFrame, int], None]]], value: str = "value"):
-    """Messages of several tables in one stream: each is decoded by its schema and goes to its writer."""
+def table_of(value: str = "value") -> Column:
+    """Table that an envelope names, NULL if it cannot be told."""
+    text = F.col(value).cast("string")
+    return F.coalesce(*(F.get_json_object(text, f"$.{path}source.table") for path in ("payload.", "")))
+
+
+def route_writer(
+    tables: dict[str, tuple[StructType, Callable[[DataFrame, int], None]]], dead: str, value: str = "value"
+):
+    """Messages of several tables in one stream: each is decoded by its table's schema, once, and goes to its writer.
+
+    What cannot be read and what names no table of ``tables`` goes to a folder per batch under ``dead``, so
+    every message but a tombstone (null) ends in one place.
+    """
 
     def route_batch(batch: DataFrame, batch_id: int) -> None:
-        messages = cut(batch.select(value), "routed-batch")
+        messages = cut(batch.select(value).filter(F.col(value).isNotNull()).withColumn("_table", table_of(value)), "routed-batch")
+        listed = F.coalesce(F.col("_table").isin(list(tables)), F.lit(False))
+        rest = messages.filter(~listed).select(F.col(value).cast("string").alias("raw"))
         for table, (schema, write) in tables.items():
-            parsed = changes.parse_envelopes(messages, schema, value)
-            write(changes.change_rows(changes.of_table(parsed, table)), batch_id)
+            parsed = changes.parse_envelopes(messages.filter(F.col("_table") == table), schema, value)
+            rest = rest.unionByName(changes.dead_letters(parsed))
+            write(changes.change_rows(parsed), batch_id)
+        rest.write.mode("overwrite").text(f"{dead}/batch={batch_id}")
 
     return route_batch
 

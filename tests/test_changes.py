@@ -99,8 +99,21 @@ def test_unwrapped_records(spark):
         json.dumps({"id": 1, "name": "x", "__op": "d", "__table": "t", "__ts_ms": 8, "__deleted": "true"}),
         None,
     ]
+    values += ["not json", "{}", json.dumps({"id": 2, "name": "y", "__op": "u", "__ts_ms": 8, "__source_pos": 4})]
     messages = spark.createDataFrame([(v,) for v in values], "value string")
-    assert sorted(tuple(r) for r in changes.unwrapped_rows(messages, ROW).collect()) == [(1, "x", "c", 7, 0), (1, "x", "d", 8, 0)]
+    assert sorted(tuple(r) for r in changes.unwrapped_rows(messages, ROW).collect()) == [
+        (1, "x", "c", 7, 0), (1, "x", "d", 8, 0), (2, "y", "u", 8, 4),
+    ]
+    assert sorted(r.raw for r in changes.unwrapped_dead_letters(messages, ROW).collect()) == ["not json", "{}"]
+
+
+def test_changes_without_a_key(spark):
+    lost = message("c", None, {"id": None, "name": "x"})
+    parsed = changes.parse_envelopes(spark.createDataFrame([(lost,)], "value string"), ROW, keys=["id"])
+    assert [r.raw for r in changes.dead_letters(parsed).collect()] == [lost]
+    state = spark.createDataFrame([(1, "a")], "id long, name string")
+    nothing = spark.createDataFrame([(None, "x", "c", 1, 1)], "id long, name string, op string, ts_ms long, pos long")
+    assert [r.id for r in changes.apply_changes(state, nothing, ["id"]).collect()] == [1]
 
 
 def file_stream(spark, frames, schema):
@@ -120,7 +133,10 @@ def test_streamed_changes_equal_the_batch(spark, log):
     assert as_dict(table.read()) == brute_state(EVENTS)
     table.compact()
     assert as_dict(table.read()) == brute_state(EVENTS)
-    table.write_batch(parts[0], 2)  # a batch already in the base, run again
+    before = as_dict(table.read(before=2))
+    table.compact()
+    assert as_dict(table.read(before=2)) == before  # what the newest batch found is still there
+    table.write_batch(parts[2], 2)  # the newest batch, run again
     assert as_dict(table.read()) == brute_state(EVENTS)
     table.write_batch(spark.createDataFrame([(1, "new", "u", 99, 99)], LOG), 3)
     assert as_dict(table.read())[1] == ("new", False, 99, 99)
@@ -154,15 +170,17 @@ def test_dead_letters_of_a_stream(spark):
 
 def test_tables_of_one_stream_go_their_own_ways(spark):
     other = StructType([StructField("sku", StringType())])
-    values = [message("c", None, {"id": 1, "name": "x"}), message("c", None, {"sku": "s"}, table="items"), message("c", None, {"q": 1}, table="unknown")]
+    lost = [message("c", None, {"q": 1}, table="unknown"), "broken", message("x", None, {"id": 3, "name": "y"})]
+    values = [message("c", None, {"id": 1, "name": "x"}), message("c", None, {"sku": "s"}, table="items"), *lost, None]
     messages = spark.createDataFrame([(v,) for v in values], "value string")
     path = new_folder(spark, "routed")
     people = changes.change_table(spark, f"{path}/t", ["id"], spark.createDataFrame([], ROW))
     items = changes.change_table(spark, f"{path}/items", ["sku"], spark.createDataFrame([], other))
-    writer = sinks.route_writer({"t": (ROW, people.write_batch), "items": (other, items.write_batch)})
+    writer = sinks.route_writer({"t": (ROW, people.write_batch), "items": (other, items.write_batch)}, f"{path}/dead")
     sinks.run(file_stream(spark, [messages], messages.schema), writer, f"{path}/checkpoint")
     assert [(r.id, r.name) for r in people.read().collect()] == [(1, "x")]
     assert [r.sku for r in items.read().collect()] == ["s"]
+    assert sorted(r.value for r in spark.read.text(f"{path}/dead").collect()) == sorted(lost)
 
 
 def test_stream_upserts_leave_other_partitions_alone(spark):

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from orderloom.functions.keys import surrogate_key
 from orderloom.operators import merge, scd
+from orderloom.operators.quality import row_checksums
 from orderloom.plans.materialise import materialise
 from orderloom.session import new_folder
 from orderloom.sources.snapshots import SnapshotTable, WatermarkStore
@@ -52,6 +54,7 @@ def test_additive_and_absent(spark, target):
     more = spark.createDataFrame([(1, 5), (1, 6), (9, 1)], "id int, n int")
     assert rows(merge.additive_upsert(target, more, ["id"], ["n"])) == [(1, 21), (2, 20), (3, 30), (9, 1)]
     new = spark.createDataFrame([(1, "no", 0), (8, "yes", 8)], "id int, name string, n int")
+    assert merge.insert_absent(target, new.union(new), ["id"]).count() == merge.insert_absent(target, new, ["id"]).count()
     assert {r.id: r.name for r in merge.insert_absent(target, new, ["id"]).collect()} == {1: "a", 2: "b", 3: None, 8: "yes"}
 
 
@@ -208,3 +211,30 @@ def test_materialise(spark, target, source):
 def test_evolve(target):
     after = merge.evolve(target, rename={"n": "amount"}, cast={"amount": "decimal(10,2)"}, add={"c": ("string", F.lit("VND"))}, drop=["name"])
     assert after.dtypes == [("id", "int"), ("amount", "decimal(10,2)"), ("c", "string")]
+
+
+def test_a_late_row_does_not_overwrite_a_newer_one(spark):
+    path = f"{new_folder(spark, 'late')}/t"
+    for rows in ([(1, "new", 10, 2024)], [(1, "old", 5, 2024), (2, "b", 1, 2024)], [(1, "newest", 11, 2024)]):
+        merge_partitions(spark.createDataFrame(rows, "id int, v string, ts int, y int"), path, ["id"], "y", ["ts"])
+        if rows[0][1] == "old":
+            assert {r.id: r.v for r in spark.read.parquet(path).collect()} == {1: "new", 2: "b"}
+    assert {r.id: r.v for r in spark.read.parquet(path).collect()} == {1: "newest", 2: "b"}
+
+
+def test_two_changes_on_one_day_and_one_from_before(spark):
+    rows = lambda name: spark.createDataFrame([(1, name)], "nk int, name string")
+    dim = scd.scd2_initial(rows("a"), "nk", F.lit("2024-01-01"))
+    for name in ("b", "c"):
+        dim = scd.scd2_merge(dim, rows(name), "nk", ["name"], F.lit("2024-02-01"))
+    found = dim.collect()
+    assert sorted((r.name, r.is_current) for r in found) == [("a", False), ("c", True)]
+    assert len({r.dim_sk for r in found}) == 2
+    with pytest.raises(Exception, match="as_of lies before"):
+        scd.scd2_merge(dim, rows("d"), "nk", ["name"], F.lit("2024-01-15")).collect()
+
+
+def test_keys_and_checksums_tell_bars_apart(spark):
+    rows = spark.createDataFrame([("a|b", "c", 1), ("a", "b|c", 2), (None, "-", 3), ("-", None, 4), ("1:a", "", 5), ("1", ":a", 6)], "x string, y string, n int")
+    assert rows.select(surrogate_key(F.col("x"), F.col("y")).alias("k")).distinct().count() == 6
+    assert rows.select(F.concat(*[c.cast("string") for c in row_checksums(F.col("x"), F.col("y"))])).distinct().count() == 6

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import dates
 from orderloom.operators import joins, paging
+from orderloom.plans import reports
+from orderloom.plans.warehouse import date_series, dim_date
 
 
 def plan(df):
@@ -86,3 +88,20 @@ def test_pairs_and_partners(spark):
     rows = spark.createDataFrame([(1, "x"), (2, "x"), (3, "x"), (4, "y")], "id int, city string")
     assert [(r.city, r.pairs) for r in joins.count_pairs(rows, ["city"]).collect()] == [("x", 3)]
     assert sorted(r.id for r in joins.partners_of(rows, ["city"], "id", 2).collect()) == [1, 3]
+
+
+def test_range_join_of_one_interval_over_everything(spark):
+    points = spark.createDataFrame([(p,) for p in range(0, 1_000_000, 997)] + [(None,)], "p long")
+    spans = spark.createDataFrame([("all", -5, 10**12), ("one", 997, 997), ("back", 9, 3), ("none", None, 4)], "s string, lo long, hi long")
+    joined = joins.range_join(points, spans, "p", "lo", "hi", 64)
+    assert {r.s: r["count"] for r in joined.groupBy("s").count().collect()} == {"all": 1004, "one": 1}
+
+
+def test_reports_keep_dates_outside_the_calendar(spark):
+    kind = "order_date date, customer_nk long, gross_cents long, net_cents long, quantity long"
+    sales = spark.createDataFrame([(dt.date(2001, 5, 1), 1, 5, 5, 1), (dt.date(2071, 6, 1), 1, 7, 7, 1), (None, 2, 11, 11, 1)], kind)
+    calendar = dim_date(date_series(spark, "2001-01-01", "2001-12-31"))
+    found = reports.monthly_revenue(sales, calendar).collect()
+    assert [(r.year, r.month, r.orders) for r in found] == [(None, None, 1), (2001, 5, 1), (2071, 6, 1)]
+    assert found[2].month_name_vi == "Tháng 6"
+    assert {r.year: r.units for r in reports.revenue_by_year(sales, calendar).collect()} == {None: 1, 2001: 1, 2071: 1}

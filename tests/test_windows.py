@@ -13,7 +13,10 @@ from orderloom.operators.skew import hot_keys, join_one_per_key
 @pytest.fixture(scope="module")
 def rows(spark):
     pick = random.Random(3)
-    data = [(("hot" if i % 2 else pick.choice(["a", "b", None])), pick.randrange(40), i, pick.randrange(100)) for i in range(400)]
+    data = [
+        ("hot" if i % 2 else pick.choice(["a", "b", None]), None if i % 13 == 0 else pick.randrange(40), i, None if i % 17 == 0 else pick.randrange(100))
+        for i in range(400)
+    ]
     return spark.createDataFrame(data, "k string, at int, id int, v int").repartition(7).cache()
 
 
@@ -26,31 +29,29 @@ def same(actual, expected):
 @pytest.mark.parametrize("hot_rows", [1, 120, 10**9])
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_running(rows, keys, hot_rows):
-    block = F.floor(F.col("at") / 5)
-    actual = windows.running(rows, keys, ["at", "id"], block, {"s": F.col("v"), "n": F.lit(1)}, hot_rows)
+    actual = windows.running(rows, keys, ["at", "id"], {"s": F.col("v"), "n": F.lit(1)}, hot_rows)
     w = Window.partitionBy(*keys).orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
     same(actual, rows.withColumn("s", F.sum("v").over(w)).withColumn("n", F.row_number().over(w)))
 
 
 @pytest.mark.parametrize("hot_rows", [1, 10**9])
 def test_running_with_peers(rows, hot_rows):
-    known = rows.filter("k IS NOT NULL")
-    actual = windows.running_with_peers(known, ["k"], ["at"], F.floor(F.col("at") / 5), {"s": F.col("v")}, hot_rows)
+    known = rows
+    actual = windows.running_with_peers(known, ["k"], ["at"], {"s": F.col("v")}, hot_rows)
     same(actual, known.withColumn("s", F.sum("v").over(Window.partitionBy("k").orderBy("at"))))
 
 
 @pytest.mark.parametrize("hot_rows", [1, 120, 10**9])
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_numbered(rows, keys, hot_rows):
-    block = F.floor(F.col("at") / 3)
-    actual = windows.numbered(rows, keys, ["at"], block, rank="r", dense_rank="d", hot_rows=hot_rows)
+    actual = windows.numbered(rows, keys, ["at"], rank="r", dense_rank="d", hot_rows=hot_rows)
     w = Window.partitionBy(*keys).orderBy("at")
     same(actual, rows.withColumn("r", F.rank().over(w)).withColumn("d", F.dense_rank().over(w)))
 
 
 @pytest.mark.parametrize("hot_rows", [1, 10**9])
 def test_previous(rows, hot_rows):
-    actual = windows.previous(rows, ["k"], ["at", "id"], F.col("at"), {"v": "pv", "id": "pid"}, hot_rows)
+    actual = windows.previous(rows, ["k"], ["at", "id"], {"v": "pv", "id": "pid"}, hot_rows)
     w = Window.partitionBy("k").orderBy("at", "id")
     same(actual, rows.withColumn("pv", F.lag("v").over(w)).withColumn("pid", F.lag("id").over(w)))
 
@@ -65,11 +66,19 @@ def test_sliding(rows, block_seconds):
 
 @pytest.mark.parametrize("hot_rows", [1, 120, 10**9])
 def test_join_one_per_key_keeps_all_rows(rows, hot_rows):
-    known = rows.filter("k IS NOT NULL")
+    known = rows.withColumn("m", F.create_map(F.lit("a"), F.col("v")))
     totals = known.groupBy("k").agg(F.sum("v").alias("t"))
-    same(join_one_per_key(known, totals, ["k"], hot_rows=hot_rows), known.join(totals, "k"))
-    w = Window.partitionBy("k")
-    same(windows.with_total(known, ["k"], {"t": F.sum("v")}, hot_rows), known.withColumn("t", F.sum("v").over(w)))
+    expected = rows.withColumn("t", F.sum("v").over(Window.partitionBy("k")))
+    same(join_one_per_key(known, totals, ["k"], hot_rows=hot_rows).drop("m"), expected)
+    same(windows.with_total(rows, ["k"], {"t": F.sum("v")}, hot_rows), expected)
+    equal = rows.select("k")
+    assert equal.count() == join_one_per_key(equal, totals.select("k"), ["k"], "left_semi", hot_rows).count()
+
+
+def test_equal_rows_do_not_share_a_share(spark):
+    rows = spark.range(1000).select(F.lit("x").alias("k"))
+    joined = join_one_per_key(rows, rows.distinct().withColumn("t", F.lit(1)), ["k"], hot_rows=100)
+    assert joined.count() == 1000
 
 
 def test_hot_keys_are_listed_with_their_shares(rows):
@@ -79,14 +88,14 @@ def test_hot_keys_are_listed_with_their_shares(rows):
 
 def test_without_hot_keys_the_plan_is_the_plain_one(tables):
     orders, sums = tables.orders, {"s": F.col("o_totalprice")}
-    summed = windows.running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_orderdate"), sums)
+    summed = windows.running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], sums)
     plan = summed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan and "Union" not in plan
 
 
 @pytest.mark.parametrize("tiles, count", [(1, 400), (3, 400), (5, 400), (100, 30)])
 def test_ntile(rows, tiles, count):
-    some = rows.drop("k").filter(F.col("id") < count)
+    some = rows.drop("k").dropna().filter(F.col("id") < count)
     actual = ranking.with_ntile(some, [("v", True), ("id", False)], tiles, "t")
     w = Window.orderBy(F.desc("v"), "id")
     same(actual, some.withColumn("t", F.ntile(tiles).over(w)))
@@ -110,6 +119,17 @@ def test_position_and_ranks(rows):
     same(actual, expected)
 
 
+def test_top_per_key_beyond_the_threshold(rows, spark):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", 5)
+    try:
+        for k in (4, 5, 30):
+            top = ranking.top_per_key(rows, ["k"], [F.desc("v"), F.col("id")], k)
+            w = Window.partitionBy("k").orderBy(F.desc("v"), "id")
+            same(top, rows.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
 def test_top_per_key_prunes_before_the_shuffle(rows):
     top = ranking.top_per_key(rows, ["k"], [F.desc("v"), F.col("id")], 2)
     assert top._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
