@@ -205,13 +205,12 @@ def _compared(percent: int):
     return compare
 
 
-def _crowded_links(trees: DataFrame, regions: DataFrame, comps: DataFrame, sets_of, percent: int) -> DataFrame:
-    """Links across components within crowded regions; exact.
+def _crowded_links(rows: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components within crowded regions (region, rep); exact.
 
     Regions that share documents, over all trees, make up a family. In it the documents outside the largest component meet
     all others, in pairs of blocks of at most BLOCK documents a side; each set is sent once per block, not once per tree.
     """
-    rows = cut(trees.select("region", "rep").join(regions, "region", "left_semi"), "crowded")
     least = rows.groupBy("region").agg(F.min("rep").alias("least"))
     # A document is in one region per tree at most: its regions' least documents are one family, named by the first.
     tied = cut(rows.join(least, "region").groupBy("rep").agg(F.array_sort(F.collect_set("least")).alias("least")), "tied")
@@ -231,7 +230,7 @@ def _crowded_links(trees: DataFrame, regions: DataFrame, comps: DataFrame, sets_
     asks = rows.filter("component <> top").select("family", "rep", "component", place.alias("x"), every.alias("y"), F.lit(1).alias("side"))
     asked = rows.select("family", "rep", "component", every.alias("x"), place.alias("y"), F.lit(0).alias("side"))
     both = asks.union(asked).groupBy("family", "x", "y", "rep", "component").agg(F.max("side").alias("side"))
-    both = both.join(sets_of(rows.select("rep")), "rep")
+    both = both.join(sets, "rep")
     return both.groupBy("family", "x", "y").applyInArrow(_compared(percent), "a long, b long")
 
 
@@ -265,14 +264,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     pairs = cut(found.filter("a < b").distinct(), "pairs")
     regions = cut(found.filter("b IS NULL").select(F.col("a").alias("region")).distinct(), "open")
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(ids, "rep", "left_semi")
-        return texts.distinct().mapInArrow(_exact_sets, "rep long, shingles array<long>")
+    # The texts are shuffled once, for all sets that are needed.
+    crowded = cut(trees.select("region", "rep").join(regions, "region", "left_semi"), "crowded")
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(crowded.select("rep")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted, "rep", "left_semi")
+    sets = cut(texts.distinct().mapInArrow(_exact_sets, "rep long, shingles array<long>"), "sets")
 
-    paired = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    links = cut(_confirmed(pairs, cut(sets_of(paired), "sets"), percent), "links")
+    links = cut(_confirmed(pairs, sets, percent), "links")
     comps = connected_components(links)
-    more = cut(_crowded_links(trees, regions, comps, sets_of, percent), "links")
+    more = cut(_crowded_links(crowded, comps, sets, percent), "links")
     if more.limit(1).count():
         comps = connected_components(links.union(more))
     named = cut(
