@@ -28,7 +28,7 @@ SEED = 16
 #: Seed starts within a string; a context reaches this many bytes less one to either side of its seed.
 REACH = LENGTH - SEED + 1
 #: Text whose seeds make up one bucket.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 #: Contexts of a bucket that are sorted together, about.
 BUCKET_CONTEXTS = 40_000
 _RECORD = np.dtype([("key", "<u8"), ("ctx_low", "<u4"), ("ctx_high", "<u2"), ("doc", "<u2"), ("at", "<u4"), ("size", "u1"), ("left", "u1")])
