@@ -349,6 +349,24 @@ def _(t):
     return judged.select("idempotency_key", "event_id", "verdict")
 
 
+@query(
+    "v14_replayed_responses",
+    f"""
+    WITH {REQUESTS_CTE}, f AS (SELECT *, FIRST_VALUE(ts) OVER w AS fts, FIRST_VALUE(event_id) OVER w AS fid, FIRST_VALUE(request_hash) OVER w AS fh
+         FROM req WINDOW w AS (PARTITION BY idempotency_key ORDER BY ts, event_id))
+    SELECT event_id, CASE WHEN event_id = fid OR ts >= fts + INTERVAL 24 HOUR THEN 200 + event_id % 3 WHEN request_hash <> fh THEN NULL ELSE 200 + fid % 3 END AS stored_code,
+           CASE WHEN event_id = fid OR ts >= fts + INTERVAL 24 HOUR THEN 'done ' || event_id WHEN request_hash <> fh THEN NULL ELSE 'done ' || fid END AS stored_body FROM f
+    """,
+)
+def _(t):
+    """A repeated request gets the stored code and body of the first."""
+    answered = requests_of(t).withColumns(
+        {"code": 200 + F.pmod("event_id", F.lit(3)), "body": F.concat(F.lit("done "), F.col("event_id").cast("string"))}
+    )
+    judged = idempotency.first_results(answered, "idempotency_key", "ts", "event_id", "request_hash", ["code", "body"])
+    return judged.select("event_id", "stored_code", "stored_body")
+
+
 @query(
     "v14_expiring_keys",
     f"""

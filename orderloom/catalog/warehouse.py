@@ -473,13 +473,14 @@ RFM_SQL = f"""
           FROM lines GROUP BY 1),
     s AS (SELECT *, NTILE(5) OVER (ORDER BY recency_days DESC, customer_nk) AS r, NTILE(5) OVER (ORDER BY frequency, customer_nk) AS f,
                  NTILE(5) OVER (ORDER BY monetary, customer_nk) AS m FROM m)
-    SELECT s.customer_nk, full_name, frequency, monetary, recency_days, CAST(r AS INTEGER) AS r_score, CAST(f AS INTEGER) AS f_score,
+    SELECT customer_nk, full_name, frequency, monetary, recency_days, CAST(r AS INTEGER) AS r_score, CAST(f AS INTEGER) AS f_score,
            CAST(m AS INTEGER) AS m_score, r || '' || f || '' || m AS rfm_cell, CAST(r + f + m AS INTEGER) AS rfm_total,
-           CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Champions' WHEN r >= 3 AND f >= 3 THEN 'Loyal Customers'
-                WHEN r >= 4 AND f <= 2 THEN 'Recent Customers' WHEN r <= 2 AND f >= 3 THEN 'At Risk' WHEN r = 1 THEN 'Lost' ELSE 'Potential' END AS segment,
-           CASE WHEN r >= 4 AND f >= 4 AND m >= 4 THEN 'Nhà Vô Địch' WHEN r >= 3 AND f >= 3 THEN 'Khách Hàng Trung Thành'
-                WHEN r >= 4 AND f <= 2 THEN 'Khách Hàng Mới' WHEN r <= 2 AND f >= 3 THEN 'Có Nguy Cơ' WHEN r = 1 THEN 'Đã Mất' ELSE 'Tiềm Năng' END AS segment_vi
-    FROM s JOIN (SELECT c_custkey AS customer_nk, c_name AS full_name FROM customer) c USING (customer_nk)
+           segment, name AS segment_vi
+    FROM (SELECT *, CASE WHEN least(r, f, m) >= 4 THEN 'Champions' WHEN least(r, f) >= 3 THEN 'Loyal Customers' WHEN r >= 4 THEN 'Recent Customers'
+                         WHEN f >= 3 THEN 'At Risk' WHEN r = 1 THEN 'Lost' ELSE 'Potential' END AS segment FROM s)
+    JOIN (VALUES ('Champions', 'Nhà Vô Địch'), ('Loyal Customers', 'Khách Hàng Trung Thành'), ('Recent Customers', 'Khách Hàng Mới'),
+                 ('At Risk', 'Có Nguy Cơ'), ('Lost', 'Đã Mất'), ('Potential', 'Tiềm Năng')) names(segment, name) USING (segment)
+    JOIN (SELECT c_custkey AS customer_nk, c_name AS full_name FROM customer) c USING (customer_nk)
 """
 
 

@@ -50,11 +50,6 @@ def year_range(column: Column, year: int) -> Column:
     return between_half_open(column, dt.date(year, 1, 1), dt.date(year + 1, 1, 1))
 
 
-def month_range(column: Column, year: int, month: int) -> Column:
-    following = dt.date(year + month // 12, month % 12 + 1, 1)
-    return between_half_open(column, dt.date(year, month, 1), following)
-
-
 def iso_weekday(day: Column) -> Column:
     """1 = Monday .. 7 = Sunday."""
     return F.weekday(day) + 1

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # States of the shop tables, in their declared order.
 ORDER_STATUSES = ["pending", "confirmed", "processing", "shipped", "delivered", "cancelled", "refunded"]
 PAYMENT_STATUSES = ["pending", "processing", "completed", "failed", "refunded"]
-PAYMENT_METHODS = ["card", "bank_transfer", "cod", "wallet", "qr"]
 # Change operation codes.
 OP_LABELS = {"c": "CREATE", "u": "UPDATE", "d": "DELETE", "r": "SNAPSHOT"}
 # Customer segments and their Vietnamese names.
@@ -49,6 +48,7 @@ def discount_rate(total: Column) -> Column:
     )
 
 
+# Limits and names of the bands.
 def stock_band(quantity: Column) -> Column:
     return (
         F.when(quantity == 0, "out_of_stock")
@@ -58,6 +58,7 @@ def stock_band(quantity: Column) -> Column:
     )
 
 
+# Limits and names.
 def lag_severity(seconds: Column) -> Column:
     return (
         F.when(seconds == 0, "in sync")
@@ -76,6 +77,7 @@ def value_segment(revenue: Column, vip, regular) -> Column:
     return F.when(revenue > vip, "vip").when(revenue > regular, "regular").otherwise("new")
 
 
+# The rule and the names of the segments.
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     return (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")

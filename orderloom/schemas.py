@@ -1,4 +1,4 @@
-"""Declared schemas: the shop tables, the warehouse tables, and the test tables bound to them.
+"""Declared schemas: the warehouse tables and the test tables bound to them.
 
 With a declared schema a scan starts at once; without one Spark reads file footers
 first, and a changed file shows up only later.
@@ -6,36 +6,6 @@ first, and a changed file shows up only later.
 
 from __future__ import annotations
 
-# ---- order database ----------------------------------------------------------
-
-SHOP = {
-    "customers": "id long, uuid string, email string, phone string, full_name string, status string, "
-    "created_at timestamp_ntz, updated_at timestamp_ntz, deleted_at timestamp_ntz",
-    "customer_addresses": "id long, customer_id long, label string, address string, city string, country string, "
-    "is_default boolean, created_at timestamp_ntz",
-    "categories": "id long, parent_id long, name string, slug string, lft int, rgt int, depth int, "
-    "created_at timestamp_ntz, updated_at timestamp_ntz",
-    "products": "id long, sku string, category_id long, name string, description string, price decimal(12,2), "
-    "status string, attributes string, created_at timestamp_ntz, updated_at timestamp_ntz, "
-    "deleted_at timestamp_ntz, price_cents long",
-    "inventory": "id long, product_id long, warehouse_code string, quantity_available int, quantity_reserved int, "
-    "reorder_threshold int, updated_at timestamp_ntz",
-    "orders": "id long, uuid string, customer_id long, address_id long, status string, subtotal decimal(14,2), "
-    "discount_amount decimal(14,2), tax_amount decimal(14,2), shipping_amount decimal(14,2), "
-    "total_amount decimal(14,2), currency string, notes string, source string, created_at timestamp_ntz, "
-    "updated_at timestamp_ntz",
-    "order_items": "id long, order_id long, product_id long, product_sku string, product_name string, "
-    "unit_price decimal(12,2), quantity long, discount decimal(12,2), line_total decimal(14,2), "
-    "created_at timestamp_ntz",
-    "payments": "id long, uuid string, order_id long, method string, status string, amount decimal(14,2), "
-    "currency string, gateway string, gateway_txn_id string, gateway_response string, idempotency_key string, "
-    "processed_at timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz",
-    "audit_log": "id long, table_name string, record_id long, action string, changed_by long, old_values string, "
-    "new_values string, created_at timestamp_ntz",
-    "outbox": "id long, aggregate_type string, aggregate_id string, event_type string, payload string, "
-    "status string, published_at timestamp_ntz, retry_count int, created_at timestamp_ntz",
-}
-
 # ---- test tables -------------------------------------------------------------
 
 BOUND = {

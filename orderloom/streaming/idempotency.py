@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,17 @@ from orderloom.sources.batches import BatchTable
 DAY_SECONDS = 24 * 3600
 
 
-def first_results(requests: DataFrame, key: str, at: str, tie: str, request_hash: str) -> DataFrame:
+def first_results(
+    requests: DataFrame, key: str, at: str, tie: str, request_hash: str, response: Sequence[str] = ()
+) -> DataFrame:
     """Each request judged against the first one of its key.
 
     ``first``, ``replay``, ``mismatch`` (other content under the same key) or
     ``expired`` (24 hours or more after the first). A request without a key is always ``first``.
+    The columns named in ``response`` come back as ``stored_x``: a replay gets the first request's, a mismatch none.
     """
     opening = requests.groupBy(key).agg(
-        F.min_by(F.struct(at, tie, request_hash), F.struct(at, tie)).alias("_first")
+        F.min_by(F.struct(at, tie, request_hash, *response), F.struct(at, tie)).alias("_first")
     )
     joined = join_one_per_key(requests, opening, [key])
     age = F.col(at).cast("timestamp").cast("double") - F.col(f"_first.{at}").cast("timestamp").cast("double")
@@ -33,7 +37,12 @@ def first_results(requests: DataFrame, key: str, at: str, tie: str, request_hash
         .when(F.col(request_hash) != F.col(f"_first.{request_hash}"), "mismatch")
         .otherwise("replay")
     )
-    return joined.select(*requests.columns, verdict.alias("verdict"))
+    judged = joined.withColumn("verdict", verdict)
+    stored = [
+        F.when(F.col("verdict") == "replay", F.col(f"_first.{c}")).when(F.col("verdict") != "mismatch", F.col(c)).alias(f"stored_{c}")
+        for c in response
+    ]
+    return judged.select(*requests.columns, "verdict", *stored)
 
 
 def settle_requests(
