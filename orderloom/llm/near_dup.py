@@ -167,7 +167,7 @@ def _linked(a: str, b: str, percent: int) -> str:
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left, right = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
     fits = F.expr(f"100L * least(size(_a), size(_b)) >= {percent}L * greatest(size(_a), size(_b))")
-    joined = pairs.join(left, "a").join(right, "b")
+    joined = pairs.hint("merge").join(left, "a").hint("merge").join(right, "b")
     return joined.filter(fits).filter(_linked("_a", "_b", percent)).select("a", "b")
 
 
@@ -264,10 +264,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     pairs = cut(found.filter("a < b").distinct(), "pairs")
     regions = cut(found.filter("b IS NULL").select(F.col("a").alias("region")).distinct(), "open")
 
-    # The texts are shuffled once, for all sets that are needed.
+    # The texts are shuffled once, for all sets that are needed. These joins are sort-merge joins at every size:
+    # ids and pairs grow with the input, and a plan that changes with them would hide what a larger one costs.
     crowded = cut(trees.select("region", "rep").join(regions, "region", "left_semi"), "crowded")
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(crowded.select("rep")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted, "rep", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string")).join(wanted.hint("merge"), "rep", "left_semi")
     sets = cut(texts.distinct().mapInArrow(_exact_sets, "rep long, shingles array<long>"), "sets")
 
     links = cut(_confirmed(pairs, sets, percent), "links")

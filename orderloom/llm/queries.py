@@ -86,6 +86,7 @@ def op10_power_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SPAM = "|".join(SPAM_WORDS)
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {
     "op1_url_rules": rf"""
         WITH rests AS (
@@ -104,6 +105,44 @@ SQL: dict[str, str] = {
             ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path)
         QUALIFY row_number() OVER (PARTITION BY h.page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) = 1
     """,
+    # The checksum is spelled out from the rule of its table; 3988292384 is its polynomial.
+    "op4_byte_shards": rf"""
+        WITH steps AS (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM (SELECT unnest(range(0, 256)) AS i)
+        ), rule AS (SELECT list(c ORDER BY i) AS crc FROM steps),
+        sized AS (
+            SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+                   list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+            FROM documents
+        ), summed AS (
+            SELECT doc_id, size, bytes, SUM(size) OVER (ORDER BY doc_id) AS upto, SUM(size) OVER () AS everything FROM sized
+        ), dealt AS (
+            SELECT doc_id, size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b: xor(c >> 8, crc[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295) AS text_crc32,
+                   CAST((2 * upto - size) * {SHARDS} // (2 * everything) AS INTEGER) AS shard
+            FROM summed, rule
+        )
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM dealt
+    """,
+    "op5_minhash_forest": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words
+        ), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+        pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, x.n AS n_a, y.n AS n_b, COUNT(*) AS n
+            FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM pairs WHERE 100 * n >= 75 * (n_a + n_b - n) UNION ALL SELECT b, a FROM pairs WHERE 100 * n >= 75 * (n_a + n_b - n)
+        ), reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+        )
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM sets JOIN (SELECT doc_id, MIN(other) AS component_id FROM reached GROUP BY 1) USING (doc_id)
+    """,
 }
 
 QUERIES: dict[str, Query] = {
