@@ -1,10 +1,6 @@
 import pytest
 
 
-def make(spark, rows, columns="doc_id long, text string"):
-    return spark.createDataFrame(rows, columns)
-
-
 @pytest.fixture(scope="session")
 def documents(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet")

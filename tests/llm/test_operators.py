@@ -10,8 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from brute import components, repeated_words, repeats, words
-from conftest import make
+from brute import components, make, repeated_words, repeats, words
 from orderloom.llm import kernels as K
 from orderloom.llm import langid, token_store
 from orderloom.llm.components import connected_components
