@@ -31,6 +31,8 @@ REACH = LENGTH - SEED + 1
 BUCKET_BYTES = 8 << 20
 #: Contexts of a bucket that are sorted together, about.
 BUCKET_CONTEXTS = 40_000
+#: A seed with more contexts than this is not sorted in one task: its strings are matched one by one.
+HOT_CONTEXTS = 500_000
 _RECORD = np.dtype([("key", "<u8"), ("ctx_low", "<u4"), ("ctx_high", "<u2"), ("doc", "<u2"), ("at", "<u4"), ("size", "u1"), ("left", "u1")])
 _SPAN = np.dtype([("doc", "<u2"), ("at", "<u4"), ("size", "u1")])
 
@@ -99,60 +101,82 @@ def _sender(buckets: int):
     return run
 
 
-_FOUND = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("key", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("left", pa.int64())])
-_SQL_FOUND = "doc_id long, mark long, key long, at long, size long, left long"
+_FOUND = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("key", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("left", pa.int64()), ("hot", pa.bool_())])
+_SQL_FOUND = "doc_id long, mark long, key long, at long, size long, left long, hot boolean"
 
 
-def _met(table: pa.Table) -> pa.Table:
+def _meeting(hot_contexts: int):
     """Covered contexts (key null) and contexts to compare (with key) of one bucket."""
-    seeds, spans = [], []
-    for ids, marks, sent, done in zip(*(table.column(c).to_pylist() for c in ("ids", "marks", "seeds", "done"))):
-        ids, marks = np.frombuffer(ids, np.int64), np.frombuffer(marks, np.int64)
-        for raw, kind, to in ((sent, _RECORD, seeds), (done, _SPAN, spans)):
-            if raw:
-                rows = unpacked(raw, kind)
-                to.append((rows, ids[rows["doc"]], marks[rows["doc"]]))
-    parts = []
-    if spans:
-        rows, ids, marks = map(np.concatenate, zip(*spans))
-        parts.append((ids, marks, np.zeros(len(ids), np.int64), np.ones(len(ids), bool), rows["at"], rows["size"], np.zeros(len(ids), "u1")))
-    if seeds:
-        rows, ids, marks = map(np.concatenate, zip(*seeds))
-        context = rows["ctx_low"].astype(K.U64) | rows["ctx_high"].astype(K.U64) << K.U64(32)
-        order = np.lexsort((ids, context, rows["key"]))
-        rows, ids, marks, context = rows[order], ids[order], marks[order], context[order]
-        new_key = np.ones(len(rows), bool)
-        new_key[1:] = rows["key"][1:] != rows["key"][:-1]
-        new = new_key.copy()
-        new[1:] |= context[1:] != context[:-1]
-        least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-        run = np.cumsum(new_key) - 1
-        several = np.bincount(run, weights=new)[run] > 1
-        covered = ids > least
-        kept = covered | several
-        parts.append((ids[kept], marks[kept], rows["key"][kept].view(np.int64), covered[kept], rows["at"][kept], rows["size"][kept], rows["left"][kept]))
-    if not parts:
-        return _FOUND.empty_table()
-    ids, marks, keys, null, at, size, left = map(np.concatenate, zip(*parts))
-    return pa.table([pa.array(ids), pa.array(marks), pa.array(keys, mask=null), *(pa.array(x, pa.int64()) for x in (at, size, left))], schema=_FOUND)
+
+    def met(table: pa.Table) -> pa.Table:
+        seeds, spans = [], []
+        for ids, marks, sent, done in zip(*(table.column(c).to_pylist() for c in ("ids", "marks", "seeds", "done"))):
+            ids, marks = np.frombuffer(ids, np.int64), np.frombuffer(marks, np.int64)
+            for raw, kind, to in ((sent, _RECORD, seeds), (done, _SPAN, spans)):
+                if raw:
+                    rows = unpacked(raw, kind)
+                    to.append((rows, ids[rows["doc"]], marks[rows["doc"]]))
+        parts = []
+        if spans:
+            rows, ids, marks = map(np.concatenate, zip(*spans))
+            parts.append((ids, marks, np.zeros(len(ids), np.int64), np.ones(len(ids), bool), rows["at"], rows["size"], np.zeros(len(ids), "u1"), np.zeros(len(ids), bool)))
+        if seeds:
+            rows, ids, marks = map(np.concatenate, zip(*seeds))
+            context = rows["ctx_low"].astype(K.U64) | rows["ctx_high"].astype(K.U64) << K.U64(32)
+            order = np.lexsort((ids, context, rows["key"]))
+            rows, ids, marks, context = rows[order], ids[order], marks[order], context[order]
+            new_key = np.ones(len(rows), bool)
+            new_key[1:] = rows["key"][1:] != rows["key"][:-1]
+            new = new_key.copy()
+            new[1:] |= context[1:] != context[:-1]
+            least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+            run = np.cumsum(new_key) - 1
+            several = np.bincount(run, weights=new)[run] > 1
+            covered = ids > least
+            kept = covered | several
+            hot = np.bincount(run, weights=several & ~covered)[run] > hot_contexts
+            parts.append((ids[kept], marks[kept], rows["key"][kept].view(np.int64), covered[kept], rows["at"][kept], rows["size"][kept], rows["left"][kept], hot[kept]))
+        if not parts:
+            return _FOUND.empty_table()
+        ids, marks, keys, null, at, size, left, hot = map(np.concatenate, zip(*parts))
+        numbers = (pa.array(x, pa.int64()) for x in (at, size, left))
+        return pa.table([pa.array(ids), pa.array(marks), pa.array(keys, mask=null), *numbers, pa.array(hot)], schema=_FOUND)
+
+    return met
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of contexts to compare; ``wanted``: their key, at, size and left in the text."""
+    """The bytes of contexts to compare; ``wanted``: their key, at, size, left and whether the seed is hot."""
     for batch in K.chunks(batches, "text"):
         raw, bounds = K.utf8(batch.column("text"))
         wanted = batch.column("wanted")
         key, at, size, left = (np.asarray(pc.struct_field(wanted.flatten(), n)) for n in ("key", "at", "size", "left"))
+        hot = pc.struct_field(wanted.flatten(), "hot")
         text = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(wanted)))
         ids, marks = (np.asarray(batch.column(c))[text] for c in ("doc_id", "mark"))
         ends = np.r_[0, np.cumsum(size)]
         flat = raw[np.repeat(bounds[text] + at - ends[:-1], size) + np.arange(ends[-1])]
         data = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
         yield pa.record_batch(
-            [pa.array(key), pa.array(ids), pa.array(marks), pa.array(at), pa.array(left), data], ["key", "doc_id", "mark", "at", "left", "context"]
+            [pa.array(x) for x in (key, ids, marks, at, left)] + [data, hot],
+            ["key", "doc_id", "mark", "at", "left", "context", "hot"],
         )
 
 
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every string of LENGTH bytes around the seed of each context, by hash."""
+    for batch in batches:
+        key, ids, marks, at, left = (np.asarray(batch.column(c)) for c in ("key", "doc_id", "mark", "at", "left"))
+        raw, bounds = K.utf8(batch.column("context"))
+        spans = K.SpanHash(raw)
+        for j in range(REACH):
+            first = bounds[:-1] + left - (REACH - 1) + j
+            x = np.flatnonzero((first >= bounds[:-1]) & (first + LENGTH <= bounds[1:]))
+            string = spans(first[x], first[x] + LENGTH).view(np.int64)
+            place = at[x] + left[x] - (REACH - 1) + j
+            yield pa.record_batch([pa.array(v) for v in (key[x], string, ids[x], marks[x], place)], ["key", "string", "doc_id", "mark", "at"])
+
+
 def _compared(table: pa.Table) -> pa.Table:
     """Spans of contexts that a context of the same seed in a smaller document shares; spans may overlap."""
     table = table.sort_by("key").combine_chunks()
@@ -222,11 +246,12 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*(batch.column(c) for c in others), *arrays], [*others, *(n for n, _, _ in _RESULT)])
 
 
-def covered_spans(docs: DataFrame) -> DataFrame:
+def covered_spans(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """doc_id, mark (xxhash64 of the text) and spans (at, size in UTF-8 bytes; they may overlap) to remove.
 
     Three shuffles: seeds by hash (about one in 17 bytes, copies combined in each task); the texts of documents
-    that have contexts to compare, by document; those contexts by hash.
+    that have contexts to compare, by document; those contexts by hash. The strings around a seed with more than ``hot_contexts``
+    contexts are matched by their hash, the smallest document of each found with partial aggregates.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
@@ -234,18 +259,28 @@ def covered_spans(docs: DataFrame) -> DataFrame:
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
     sent = texts.mapInArrow(_sender(buckets), "bucket long, ids binary, marks binary, seeds binary, done binary")
-    met = cut(sent.groupBy("bucket").applyInArrow(_met, _SQL_FOUND), "seeds")
-    wanted = met.filter("key IS NOT NULL").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("key", "at", "size", "left")).alias("wanted"))
+    met = cut(sent.groupBy("bucket").applyInArrow(_meeting(hot_contexts), _SQL_FOUND), "seeds")
+    wanted = met.filter("key IS NOT NULL").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("key", "at", "size", "left", "hot")).alias("wanted"))
+    keyed = met.filter("key IS NOT NULL")
+    hot = keyed.filter("hot").limit(1).count()
     contexts = texts.join(wanted, ["doc_id", "mark"]).mapInArrow(
-        _contexts, "key long, doc_id long, mark long, at long, left long, context binary"
+        _contexts, "key long, doc_id long, mark long, at long, left long, context binary, hot boolean"
     )
-    groups = max(1, -(-met.filter("key IS NOT NULL").count() // BUCKET_CONTEXTS))
-    compared = contexts.groupBy(F.pmod("key", F.lit(groups)).alias("_bucket")).applyInArrow(_compared, "doc_id long, mark long, at long, size long")
+    if hot:
+        contexts = cut(contexts, "contexts")
+    groups = max(1, -(-keyed.count() // BUCKET_CONTEXTS))
+    sorted_ = contexts.filter("NOT hot").groupBy(F.pmod("key", F.lit(groups)).alias("_bucket"))
+    compared = sorted_.applyInArrow(_compared, "doc_id long, mark long, at long, size long")
+    if hot:
+        strings = contexts.filter("hot").mapInArrow(_strings, "key long, string long, doc_id long, mark long, at long")
+        least = strings.groupBy("key", "string").agg(F.min("doc_id").alias("least"))
+        later = strings.join(least, ["key", "string"]).filter("doc_id > least")
+        compared = compared.union(later.select("doc_id", "mark", "at", F.lit(LENGTH).cast("long").alias("size")))
     spans = met.filter("key IS NULL").select("doc_id", "mark", "at", "size").union(compared)
     return spans.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("at", "size")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep: Sequence[str] = (), hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """doc_id, text, n_bytes, n_removed, n_spans, kept_sha256 and kept_text for each row of ``docs`` (doc_id, text), and
     the columns named in ``keep``.
 
@@ -256,7 +291,7 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     A null text is empty; shorter texts than LENGTH lose nothing. A row without doc_id neither removes nor loses
     bytes; rows that repeat a doc_id do not remove each other's. Columns not named are left out; no rows give no rows.
     """
-    spans = cut(covered_spans(docs), "spans").toDF("__doc", "__mark", "__spans")
+    spans = cut(covered_spans(docs, hot_contexts), "spans").toDF("__doc", "__mark", "__spans")
     keep = [c for c in keep if c not in ("doc_id", "text", *(n for n, _, _ in _RESULT))]
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keep)
     same = (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__mark"))

@@ -239,8 +239,8 @@ def test_suffix_sort_orders_each_group():
             assert n == next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_repeats_are_removed(spark, seed):
+@pytest.mark.parametrize("seed, hot", [(0, 10**6), (1, 10**6), (2, 10**6), (2, 3), (3, 0)])
+def test_repeats_are_removed(spark, seed, hot):
     rng = random.Random(seed)
     phrases = [" ".join(prose(100 + i, rng.randrange(3, 25))) for i in range(12)]
     rows = []
@@ -248,7 +248,7 @@ def test_repeats_are_removed(spark, seed):
         parts = [rng.choice(phrases) if rng.random() < 0.5 else "".join(rng.choice("abé日 ") for _ in range(rng.randrange(70))) for _ in range(rng.randrange(6))]
         rows.append((i * 2, rng.choice(["", " ", "-"]).join(parts)))
     rows += [(501, "ab" * 300), (502, "ab" * 200), (503, None), (504, ""), (505, "short"), (506, "x" * 49), (507, "x" * 49)]
-    found = by_id(remove_repeats(make(spark, rows).repartition(5)))
+    found = by_id(remove_repeats(make(spark, rows).repartition(5), hot_contexts=hot))
     for i, (size, gone, runs, kept) in repeats(rows).items():
         r = found[i]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (size, gone, runs, hashlib.sha256(kept).hexdigest()), i
