@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.session import cut
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, cut: Callable[[DataFrame, str], DataFrame] = cut) -> DataFrame:
     """(node, component) of every node in ``links`` (a, b); the component is its smallest node.
 
     Each round every node takes the label of its least neighbour, twice over, so that paths shorten; then the labels
     become the nodes and the links between different ones go on. What is left shrinks by
-    powers; labels and links are written out each round. Repeated links, loops and either direction are fine; a link
+    powers; labels and links are written out each round, by ``cut``. Repeated links, loops and either direction are fine; a link
     with a null end is ignored. No links give no rows.
     """
     links = links.filter("a IS NOT NULL AND b IS NOT NULL")

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import kernels as K
 from orderloom.llm.components import connected_components
-from orderloom.session import cut
+from orderloom.llm.scratch import Scratch
+from orderloom.session import cut as keep_table
 
 SHINGLE_WORDS = 5
 #: Trees, values of the signature that open a tree's order, and length of a signature. Two documents at
@@ -205,7 +206,7 @@ def _compared(percent: int):
     return compare
 
 
-def _crowded_links(rows: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _crowded_links(rows: DataFrame, comps: DataFrame, sets: DataFrame, percent: int, cut) -> DataFrame:
     """Links across components within crowded regions (region, rep); exact.
 
     Regions that share documents, over all trees, make up a family. In it the documents outside the largest component meet
@@ -215,7 +216,7 @@ def _crowded_links(rows: DataFrame, comps: DataFrame, sets: DataFrame, percent:
     # A document is in one region per tree at most: its regions' least documents are one family, named by the first.
     tied = cut(rows.join(least, "region").groupBy("rep").agg(F.array_sort(F.collect_set("least")).alias("least")), "tied")
     ties = tied.select(F.col("least")[0].alias("a"), F.explode("least").alias("b")).distinct()
-    named = connected_components(ties).toDF("first", "family")
+    named = connected_components(ties, cut).toDF("first", "family")
     families = tied.withColumn("first", F.col("least")[0]).join(named, "first").select("rep", "family")
     families = families.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     rows = cut(families.select("rep", "family", F.coalesce("component", "rep").alias("component")), "families")
@@ -250,6 +251,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scratch = Scratch(spark, "near-duplicates")
+    cut = scratch.cut
     signs = cut(signed(docs), "signatures")
     worded = signs.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(worded.groupBy("mark_a", "mark_b").agg(F.min("doc_id").alias("rep")), "classes")
@@ -272,10 +275,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     sets = cut(texts.distinct().mapInArrow(_exact_sets, "rep long, shingles array<long>"), "sets")
 
     links = cut(_confirmed(pairs, sets, percent), "links")
-    comps = connected_components(links)
-    more = cut(_crowded_links(crowded, comps, sets, percent), "links")
+    comps = connected_components(links, cut)
+    more = cut(_crowded_links(crowded, comps, sets, percent, cut), "links")
     if more.limit(1).count():
-        comps = connected_components(links.union(more))
+        comps = connected_components(links.union(more), cut)
     named = cut(
         classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
         .select("mark_a", "mark_b", F.coalesce("component", "rep").alias("_component")),
@@ -283,6 +286,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     done = signs.join(named.filter("_component IS NOT NULL"), ["mark_a", "mark_b"], "left")
     component = F.coalesce("_component", "doc_id")
-    return done.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    result = keep_table(
+        done.select(
+            "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        ),
+        "components",
     )
+    scratch.drop()
+    return result

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from orderloom.llm import kernels as K
 from orderloom.llm.parcels import gathered, packed, unpacked
 from orderloom.llm.suffix_sort import Suffixes
+from orderloom.llm.scratch import Scratch
 from orderloom.session import cut
 
 LENGTH = 50
@@ -246,7 +247,7 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*(batch.column(c) for c in others), *arrays], [*others, *(n for n, _, _ in _RESULT)])
 
 
-def covered_spans(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
+def covered_spans(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS, cut=cut) -> DataFrame:
     """doc_id, mark (xxhash64 of the text) and spans (at, size in UTF-8 bytes; they may overlap) to remove.
 
     Three shuffles: seeds by hash (about one in 17 bytes, copies combined in each task); the texts of documents
@@ -291,7 +292,9 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] = (), hot_contexts: int
     A null text is empty; shorter texts than LENGTH lose nothing. A row without doc_id neither removes nor loses
     bytes; rows that repeat a doc_id do not remove each other's. Columns not named are left out; no rows give no rows.
     """
-    spans = cut(covered_spans(docs, hot_contexts), "spans").toDF("__doc", "__mark", "__spans")
+    scratch = Scratch(docs.sparkSession, "repeats")
+    spans = cut(covered_spans(docs, hot_contexts, scratch.cut), "spans").toDF("__doc", "__mark", "__spans")
+    scratch.drop()
     keep = [c for c in keep if c not in ("doc_id", "text", *(n for n, _, _ in _RESULT))]
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keep)
     same = (F.col("doc_id") == F.col("__doc")) & (F.xxhash64("text") == F.col("__mark"))
