@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds find candidates, local alignment scores them.
+"""Benchmark decontamination: n-gram seeds find candidates, local alignment scores them.
 
-An item's word n-grams that few documents hold, compared with its others, are its seeds. A document with a seed of an item is
-aligned with the item around the seed by Smith-Waterman on words, so copies with words replaced,
-dropped or added still score.
+Every word n-gram of an item is a seed, however many documents hold it: in a copy with words replaced any of them may be the
+only one left. A document with a seed of an item and with enough of the item's words is aligned with the item around
+the seed by Smith-Waterman on words, so copies with words replaced, dropped or added still score.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,8 +23,6 @@ from orderloom.llm import kernels as K
 SEED_WORDS = 3
 #: Items that are looked for at once; a larger benchmark takes several passes over the documents.
 BLOCK_ITEMS = 50_000
-#: A gram is no seed if it is in over this many times the documents of the item's lower quartile, plus this many.
-COMMON_TIMES, COMMON_PLUS = 4, 20
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Score over the score of a perfect copy at which a document holds the item.
 THRESHOLD = 0.5
@@ -77,58 +75,54 @@ class Items:
     words: list[np.ndarray]
 
     def __post_init__(self):
-        self.grams: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for i, word in enumerate(self.words):
-            hashes, _ = K.shingles(word, np.array([0, len(word)]), SEED_WORDS)
-            for place, gram in enumerate(hashes.tolist()):
-                self.grams[gram].append((i, place))
-
-    def keep_rare(self, documents: dict[int, int]) -> None:
-        """Drop each item's grams that are common beside its others; ``documents``: how many hold a gram."""
-        held = defaultdict(list)
-        for gram, places in self.grams.items():
-            for i in {i for i, _ in places}:
-                held[i].append(documents.get(gram, 0))
-        most = {i: COMMON_TIMES * float(np.quantile(n, 0.25)) + COMMON_PLUS for i, n in held.items()}
-        rare = {g: [(i, p) for i, p in places if documents.get(g, 0) <= most[i]] for g, places in self.grams.items()}
-        self.grams = {g: places for g, places in rare.items() if places}
-
-    def keys(self) -> np.ndarray:
-        return np.array(sorted(self.grams), K.U64)
-
-
-def _hits(batch: pa.RecordBatch, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words and their bounds; per gram found in ``keys`` its place among all grams, and the grams' bounds."""
-    word, of = _words(batch.column("text"))
-    gram, bounds = K.shingles(word, of, SEED_WORDS)
-    at = np.minimum(np.searchsorted(keys, gram), max(len(keys) - 1, 0))
-    found = np.flatnonzero(keys[at] == gram) if len(keys) else np.zeros(0, np.int64)
-    return word, of, np.stack([found, gram[found].view(np.int64)]) if len(found) else np.zeros((2, 0), np.int64), bounds
-
-
-def _document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
-    """How many documents hold each gram of the items; at most one number per gram reaches the driver."""
-    keys = items.keys()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in K.chunks(batches, "text"):
-            _, _, hits, bounds = _hits(batch, keys)
-            owner = np.searchsorted(bounds, hits[0], "right")
-            counts = Counter(g for _, g in set(zip(owner.tolist(), hits[1].tolist())))
-            yield pa.record_batch([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], ["gram", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r["gram"] & (1 << 64) - 1: r["n"] for r in rows}
-
-
-def _leaks_of(words: np.ndarray, hits: list[tuple[int, int]], items: Items, threshold: float) -> list[dict]:
-    """Items that one document holds; ``hits``: place in the document and gram."""
+        self.bounds = np.r_[0, np.cumsum([len(w) for w in self.words])]
+        self.vocabulary, self.numbers = np.unique(np.concatenate(self.words), return_inverse=True)
+        grams, of = K.shingles(np.concatenate(self.words), self.bounds, SEED_WORDS)
+        order = np.argsort(grams, kind="stable")
+        self.keys, first = np.unique(grams[order], return_index=True)
+        self.gram_bounds = np.r_[first, len(grams)]
+        owner = K.owners(of)
+        self.item, self.place = owner[order], (np.arange(len(grams)) - of[owner])[order]
+
+    def holding(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each item and place that holds one of ``grams`` (places in keys): which of them, and the place in item and place."""
+        return _spread(self.gram_bounds[grams], self.gram_bounds[grams + 1])
+
+    def shared(self, items: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """How many words of each of ``items`` are among ``words``: no alignment with them matches more."""
+        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+        present = np.zeros(len(self.vocabulary), bool)
+        present[at[self.vocabulary[at] == words]] = True
+        of, place = _spread(self.bounds[items], self.bounds[items + 1])
+        return np.bincount(of, present[self.numbers[place]], len(items))
+
+
+def _spread(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of ranges one after the other, each with the index of its range."""
+    of = np.repeat(np.arange(len(first)), end - first)
+    starts = np.cumsum(end - first) - (end - first)
+    return of, np.arange(len(of)) - starts[of] + first[of]
+
+
+def _leaks_of(words: np.ndarray, places: np.ndarray, grams: np.ndarray, items: Items, threshold: float) -> list[dict]:
+    """Items that one document holds; ``places`` in the document and ``grams``, as places in the items' keys, of its seeds.
+
+    A score of the threshold takes that share of matches, so items of which the text, or the text around the seeds,
+    has fewer words are not aligned.
+    """
+    single = np.unique(grams)
+    near = np.unique(items.item[items.holding(single)[1]])
+    sizes = items.bounds[near + 1] - items.bounds[near]
+    near = near[items.shared(near, words) >= threshold * sizes - 1e-9]
+    if not len(near):
+        return []
+    of, held = items.holding(grams)
+    mine = np.isin(items.item[held], near)
     spans = defaultdict(list)
-    for place, gram in hits:
-        for i, at in items.grams[gram]:
-            size = len(items.words[i])
-            first = place - at - size // 2
-            spans[i].append((max(0, first), min(len(words), first + 2 * size)))
+    for i, start in zip(items.item[held][mine].tolist(), (places[of] - items.place[held])[mine].tolist()):
+        size = len(items.words[i])
+        first = start - size // 2
+        spans[i].append((max(0, first), min(len(words), first + 2 * size)))
     out = []
     for i, found in spans.items():
         best, item = (0, 0, -1), items.words[i]
@@ -139,10 +133,12 @@ def _leaks_of(words: np.ndarray, hits: list[tuple[int, int]], items: Items, thre
             else:
                 merged.append([a, b])
         for a, b in merged:
+            if np.isin(item, words[a:b]).sum() < threshold * len(item) - 1e-9:
+                continue
             score, first, last = aligned(item, words[a:b])
             best = max(best, (score, a + first, a + last))
         share = best[0] / (MATCH * len(item))
-        if share >= threshold:
+        if best[0] and share >= threshold:
             out.append({"item_id": items.ids[i], "score": share, "first_word": best[1], "last_word": best[2]})
     return sorted(out, key=lambda x: x["item_id"])
 
@@ -152,8 +148,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     (alignment score over that of a perfect copy, at least ``threshold``) and first and last word of the passage.
 
     A-Z count as lower case, words lie between ASCII white space. The benchmark is a stated set of queries:
-    it is taken in blocks of BLOCK_ITEMS; each block costs one pass that counts the documents of its
-    grams and one that aligns where the text is read. Texts are never shuffled.
+    it is taken in blocks of BLOCK_ITEMS; each block costs one pass that aligns where the text is read. Texts are never shuffled.
 
     Null and empty texts, and items without text, words or item_id, match nothing; a shorter item than a seed is its own seed.
     Repeated rows and items are judged alike; a column named leaks is replaced, all others are kept;
@@ -162,33 +157,31 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     named = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropna()
     blocks = max(1, -(-named.count() // BLOCK_ITEMS))
     docs = docs.drop("leaks").withColumn("text", F.col("text").cast("string"))
-    texts = docs.select("text")
     out = docs.withColumn("leaks", F.array().cast(LEAKS))
     schema = T.StructType([*docs.schema.fields, T.StructField("leaks", LEAKS)])
     for block in range(blocks):
         rows = named.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         words = [w for w in (_words(pa.array([r["text"]]))[0] for r in rows)]
-        items = Items([r["item_id"] for r, w in zip(rows, words) if len(w)], [w for w in words if len(w)])
-        if not items.ids:
-            continue
-        items.keep_rare(_document_counts(texts, items))
-        out = out.mapInArrow(_marker(items, threshold), schema)
+        if any(map(len, words)):
+            items = Items([r["item_id"] for r, w in zip(rows, words) if len(w)], [w for w in words if len(w)])
+            out = out.mapInArrow(_marker(items, threshold), schema)
     return out
 
 
 def _marker(items: Items, threshold: float):
-    keys = items.keys()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.chunks(batches, "text"):
-            word, of, hits, bounds = _hits(batch, keys)
-            owner = np.searchsorted(bounds, hits[0], "right") - 1
-            by_doc = defaultdict(list)
-            for doc, place, gram in zip(owner.tolist(), (hits[0] - bounds[owner]).tolist(), hits[1].tolist()):
-                by_doc[doc].append((place, gram & (1 << 64) - 1))
+            word, of = _words(batch.column("text"))
+            gram, bounds = K.shingles(word, of, SEED_WORDS)
+            at = np.minimum(np.searchsorted(items.keys, gram), len(items.keys) - 1)
+            found = np.flatnonzero(items.keys[at] == gram)
+            cuts = np.searchsorted(found, bounds)
             leaks = batch.column("leaks").to_pylist()
-            for doc, found in by_doc.items():
-                leaks[doc] = sorted(leaks[doc] + _leaks_of(word[of[doc] : of[doc + 1]], found, items, threshold), key=lambda x: x["item_id"])
+            for doc in np.flatnonzero(np.diff(cuts)).tolist():
+                mine = found[cuts[doc] : cuts[doc + 1]]
+                new = _leaks_of(word[of[doc] : of[doc + 1]], mine - bounds[doc], at[mine], items, threshold)
+                if new:
+                    leaks[doc] = sorted(leaks[doc] + new, key=lambda x: x["item_id"])
             columns = [*(batch.column(c) for c in batch.schema.names if c != "leaks"), pa.array(leaks, _LEAKS)]
             yield pa.record_batch(columns, [*(c for c in batch.schema.names if c != "leaks"), "leaks"])
 

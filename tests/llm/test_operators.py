@@ -304,6 +304,19 @@ def test_leaks(spark):
     assert mark_leaks(make(spark, rows), bench.limit(0)).filter("size(leaks) > 0").count() == 0
 
 
+def test_leaks_in_many_documents(spark):
+    """Edited and truncated copies that stand in many documents; the item's other grams stand in none."""
+    item, other = prose(1100, 35), prose(1101, 40)
+    edited = [w if k % 7 else f"other{k}" for k, w in enumerate(item)]
+    sparse = [w if k % 4 else f"other{k}" for k, w in enumerate(other)]
+    rows = [(i, " ".join(prose(400 + i, 30) + edited + prose(500 + i, 30))) for i in range(60)]
+    rows += [(100 + i, " ".join(item[:21] + prose(600 + i, 40))) for i in range(60)]
+    rows += [(200 + i, " ".join(prose(700 + i, 40) + sparse)) for i in range(60)] + [(300, " ".join(item)), (301, " ".join(other))]
+    marked = mark_leaks(make(spark, rows), make(spark, [(1, " ".join(item)), (2, " ".join(other))], "item_id long, text string"))
+    got = {r.doc_id: [x.item_id for x in r.leaks] for r in marked.collect()}
+    assert got == {**{i: [1] for i in range(60)}, **{100 + i: [1] for i in range(60)}, **{200 + i: [2] for i in range(60)}, 300: [1], 301: [2]}
+
+
 # --- 8
 
 
