@@ -385,6 +385,22 @@ def test_passages(spark):
     assert repeated_passages(make(spark, [])).count() == 0
 
 
+def test_passages_do_not_depend_on_partitions(spark):
+    """A family of variants in one chunk, in another a document that repeats a later one of them."""
+    rows, rng = [], random.Random(9)
+    for f in range(30):
+        passage = prose(3000 + f, 60)
+        for i in range(4):
+            mine = [w if i == 2 or rng.random() > 0.08 else f"x{rng.randrange(10**6)}" for w in passage]
+            rows.append((100 * f + i, " ".join(prose(4000 + 10 * f + i, 50) + mine + prose(5000 + 10 * f + i, 50))))
+        rows.append((100 * f + 50, " ".join(prose(6000 + f, 60) + passage + prose(7000 + f, 40))))
+    together = make(spark, rows).coalesce(1)
+    apart = make(spark, rows).repartition(7)
+    split = make(spark, rows).filter("doc_id % 100 < 50").coalesce(1).union(make(spark, rows).filter("doc_id % 100 = 50").coalesce(1))
+    want, *others = (sorted(map(tuple, repeated_passages(df).collect())) for df in (together, apart, split))
+    assert want and others == [want, want]
+
+
 # --- 10
 
 
