@@ -150,7 +150,8 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     A-Z count as lower case, words lie between ASCII white space. The benchmark is a stated set of queries:
     it is taken in blocks of BLOCK_ITEMS; each block costs one pass that aligns where the text is read. Texts are never shuffled.
 
-    Null and empty texts, and items without text, words or item_id, match nothing; a shorter item than a seed is its own seed.
+    Null and empty texts, and items without text, words or item_id, match nothing; an item of
+    fewer words than a seed is found only in texts that are as short, not inside longer ones.
     Repeated rows and items are judged alike; a column named leaks is replaced, all others are kept;
     no rows give no rows, and without items nothing leaks.
     """
