@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import langid, token_store
+from orderloom.llm import langid, token_store, toxicity
+from orderloom.llm.collocations import collocations
 from orderloom.llm.decontam import mark_leaks
 from orderloom.llm.fertility import fertility
 from orderloom.llm.near_dup import near_duplicates
@@ -15,6 +16,7 @@ from orderloom.llm.packing import pack_by_powers
 from orderloom.llm.passages import repeated_passages
 from orderloom.llm.shards import byte_shards, text_bytes
 from orderloom.llm.suffix_dedup import remove_repeats
+from orderloom.llm.token_links import token_links
 from orderloom.llm.tokens import vocabulary
 from orderloom.llm.url_rules import SPAM_WORDS, host_rule, judge_urls
 from orderloom.session import new_folder
@@ -85,6 +87,22 @@ def op10_power_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_by_powers(_table(spark, folder, "documents"), vocabulary(BYTE_BPE), with_ids=False).drop("ids")
 
 
+def op11_son_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"))
+
+
+def op12_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+    labels = toxicity.labels_per_document(_table(spark, folder, "labels"))
+    weights = toxicity.fit(docs.filter(~held).select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.scored(docs.select("doc_id", "text"), weights).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op13_lockstep(spark: SparkSession, folder: str) -> DataFrame:
+    return token_links(_table(spark, folder, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECE_BPE))
+
+
 _SPAM = "|".join(SPAM_WORDS)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL: dict[str, str] = {
@@ -143,12 +161,43 @@ SQL: dict[str, str] = {
         SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM sets JOIN (SELECT doc_id, MIN(other) AS component_id FROM reached GROUP BY 1) USING (doc_id)
     """,
+    "op11_son_phrases": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), words AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+        ), totals AS (SELECT lang, SUM(len(w)) AS n FROM words GROUP BY lang),
+        f AS (
+            SELECT lang, phrase, COUNT(*) AS f, len(string_split(phrase, ' ')) AS k
+            FROM (SELECT lang, unnest(flatten(list_transform(range(1, 5), lambda k: list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) AS phrase FROM words)
+            GROUP BY lang, phrase HAVING COUNT(*) >= 30
+        ), candidates AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        cuts AS (SELECT lang, phrase, a, w, unnest(range(1, len(w))) AS c FROM candidates),
+        scores AS (
+            SELECT c.lang, c.phrase, c.a, c.c, x.f AS l, y.f AS r, (CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS score
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.c], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.c + 1:], ' ')
+        ), weakest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        inside AS (
+            SELECT lang, MAX(a) AS longer, phrase FROM (
+                SELECT lang, a, unnest(flatten(list_transform(range(2, len(w)), lambda k: list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) AS phrase
+                FROM candidates WHERE len(w) > 2)
+            GROUP BY lang, phrase
+        ), ranked AS (
+            SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+            FROM weakest w LEFT JOIN inside i ON i.lang = w.lang AND i.phrase = w.phrase
+            WHERE i.longer IS NULL OR CAST(100 AS HUGEINT) * i.longer < CAST(80 AS HUGEINT) * w.a
+        )
+        SELECT r.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000
+    """,
 }
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_url_rules, op2_fertility, op3_kneser_ney, op4_byte_shards, op5_minhash_forest, op6_suffix_sort, op7_seed_align,
-        op8_token_store, op9_compact_windows, op10_power_packing,
+        op8_token_store, op9_compact_windows, op10_power_packing, op11_son_phrases, op12_ftrl_toxicity, op13_lockstep,
     )
 }
