@@ -31,7 +31,7 @@ SHARDS = 6
 #: Bits of a table of frequent phrases: 2 to this power, 8 MB, whatever the data.
 TABLE_BITS = 26
 #: Text bytes counted before rows are sent.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 5 << 20
 UNKNOWN = "und"
 # What ends a piece, and what stands between words.
 _BREAKS = np.zeros(256, bool)
@@ -74,7 +74,7 @@ class Pieces:
         starts, ends, of = K.words(blank, bounds)
         doc = K.owners(of)
         # Words of one piece share the number of breaks before them; the text counts as a break too.
-        self.piece = np.cumsum(_BREAKS[raw], dtype=np.int64)[starts] + doc if len(starts) else np.zeros(0, np.int64)
+        self.piece = np.cumsum(_BREAKS[raw], dtype=np.int32)[starts].astype(np.int64) + doc if len(starts) else np.zeros(0, np.int64)
         sizes = ends - starts
         letters = raw[~_BLANKS[raw]]
         offsets = np.r_[0, np.cumsum(sizes)].astype(np.int64)
