@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import kernels as K
@@ -31,7 +31,9 @@ SHARDS = 6
 #: Bits of a table of frequent phrases: 2 to this power, 8 MB, whatever the data.
 TABLE_BITS = 26
 #: Text bytes counted before rows are sent.
-CHUNK_BYTES = 5 << 20
+CHUNK_BYTES = 4 << 20
+#: Rows sent to Spark at once.
+SENT_ROWS = 1 << 17
 UNKNOWN = "und"
 # What ends a piece, and what stands between words.
 _BREAKS = np.zeros(256, bool)
@@ -54,9 +56,9 @@ class BitTable:
         return (self.words[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def bit_table(keys: DataFrame, column: str, bits: int = TABLE_BITS) -> BitTable:
-    """The table of a column of 64-bit hashes; what reaches the driver is 2**bits bits at most."""
-    place = F.shiftrightunsigned(column, 64 - bits)
+def bit_table(keys: DataFrame, key: Column, bits: int = TABLE_BITS) -> BitTable:
+    """The table of 64-bit hashes; what reaches the driver is 2**bits bits at most."""
+    place = F.shiftrightunsigned(key, 64 - bits)
     parts = keys.groupBy(F.shiftright(place, 15).alias("bucket")).agg(F.bitmap_construct_agg(place.bitwiseAND(_BUCKET - 1)).alias("bitmap"))
     words = np.zeros(max(1 << bits, _BUCKET) >> 3, np.uint8)
     for row in parts.toLocalIterator():
@@ -91,9 +93,9 @@ class Pieces:
         self.hashes = K.SpanHash(name_raw)(name_bounds[:-1], name_bounds[1:])
         self.lang_hashes = K.SpanHash(lang_raw)(lang_bounds[:-1], lang_bounds[1:])
 
-    def keys(self, at: np.ndarray, n: int, seed: np.ndarray) -> np.ndarray:
-        """Hashes of the ``n`` words from each place on, with the language and ``seed``."""
-        total = self.lang_hashes[self.lang[at]] + seed + K.U64(n)
+    def keys(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Hashes of the ``n`` words from each place on, with the language."""
+        total = self.lang_hashes[self.lang[at]] + K.U64(n)
         for j in range(n):
             total = total + self.hashes[self.word[at + j]] * _FACTORS[j]
         return K.mix(total)
@@ -120,6 +122,12 @@ def _first_and_counts(at: np.ndarray, keys: list[np.ndarray]) -> tuple[np.ndarra
     return first, counts
 
 
+def _sent(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    whole = pa.record_batch(columns, names)
+    for first in range(0, whole.num_rows, SENT_ROWS):
+        yield whole.slice(first, SENT_ROWS)
+
+
 def _mined(n: int, below: BitTable | None):
     """Counts of the phrases of ``n`` words whose two parts of n - 1 words are frequent in their shard."""
 
@@ -128,13 +136,12 @@ def _mined(n: int, below: BitTable | None):
             pieces = Pieces(batch)
             at = pieces.follow(np.arange(len(pieces.word)), n)
             for part in (0, 1) if below else ():
-                at = at[below.has(pieces.keys(at + part, n - 1, _SHARD_SEEDS[pieces.shard[at]]))]
+                at = at[below.has(pieces.keys(at + part, n - 1) ^ _SHARD_SEEDS[pieces.shard[at]])]
             group = pieces.lang[at] * SHARDS + pieces.shard[at]
             first, counts = _first_and_counts(at, [group, *(pieces.word[at + j] for j in range(n))])
-            keys = pieces.keys(first, n, _SHARD_SEEDS[pieces.shard[first]]).view(np.int64)
-            every = pieces.keys(first, n, K.U64(0)).view(np.int64)
             langs = pieces.langs.take(pa.array(pieces.lang[first]))
-            yield pa.record_batch([langs, pa.array(pieces.shard[first].astype(np.int32)), pa.array(keys), pa.array(every), pa.array(counts)], ["lang", "shard", "key", "every", "n"])
+            shards = pa.array(pieces.shard[first].astype(np.int32))
+            yield from _sent([langs, shards, pa.array(pieces.keys(first, n).view(np.int64)), pa.array(counts)], ["lang", "shard", "key", "n"])
 
     return run
 
@@ -147,12 +154,13 @@ def _counted(united: list[BitTable]):
             pieces = Pieces(batch)
             for n, table in enumerate(united, 1):
                 at = pieces.follow(np.arange(len(pieces.word)), n)
-                at = at[table.has(pieces.keys(at, n, K.U64(0)))]
+                at = at[table.has(pieces.keys(at, n))]
                 first, counts = _first_and_counts(at, [pieces.lang[at], *(pieces.word[at + j] for j in range(n))])
                 words = [pieces.names.take(pa.array(pieces.word[first + j])) for j in range(n)]
                 phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if n > 1 else words[0]
                 langs = pieces.langs.take(pa.array(pieces.lang[first]))
-                yield pa.record_batch([langs, phrase.cast(pa.large_string()).cast(pa.string()), pa.array(np.full(len(first), n, np.int32)), pa.array(counts)], ["lang", "phrase", "words", "f"])
+                texts = phrase.cast(pa.large_string()).cast(pa.string())
+                yield from _sent([langs, texts, pa.array(np.full(len(first), n, np.int32)), pa.array(counts)], ["lang", "phrase", "words", "f"])
 
     return run
 
@@ -162,10 +170,11 @@ def frequent_phrases(scratch: Scratch, docs: DataFrame, min_count: int = MIN_COU
     shard = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(SHARDS)).cast("int").alias("shard")
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("string").alias("doc_id"))
     texts = texts.select("text", "lang", shard)
+    seeds = F.array(*(F.lit(int(x)) for x in _SHARD_SEEDS.view(np.int64)))
     below, united, totals, shares = None, [], None, None
     for n in range(1, longest + 1):
-        counts = texts.mapInArrow(_mined(n, below), "lang string, shard int, key long, every long, n long")
-        summed = counts.groupBy("lang", "shard", "key", "every").agg(F.sum("n").alias("n"))
+        counts = texts.mapInArrow(_mined(n, below), "lang string, shard int, key long, n long")
+        summed = counts.groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
         if n == 1:
             summed = scratch.cut(summed, "words")
             by_shard = scratch.cut(summed.groupBy("lang", "shard").agg(F.sum("n").alias("words")), "shares")
@@ -174,9 +183,10 @@ def frequent_phrases(scratch: Scratch, docs: DataFrame, min_count: int = MIN_COU
             shares = by_shard.join(totals.withColumnRenamed("n", "all_words"), "lang")
         wide = "decimal(20,0)"
         enough = F.col("n").cast(wide) * F.col("all_words").cast(wide) >= F.lit(min_count).cast("decimal(10,0)") * F.col("words").cast(wide)
-        frequent = scratch.cut(summed.join(shares, ["lang", "shard"]).filter(enough).select("key", "every"), f"frequent-{n}")
-        below = bit_table(frequent, "key")
-        united.append(bit_table(frequent, "every"))
+        frequent = scratch.cut(summed.join(shares, ["lang", "shard"]).filter(enough).select("shard", "key"), f"frequent-{n}")
+        # A shard's own table for the next level, and the union of all shards' phrases for the last pass.
+        below = bit_table(frequent, F.col("key").bitwiseXOR(F.element_at(seeds, F.col("shard") + 1)))
+        united.append(bit_table(frequent, F.col("key")))
     counted = texts.mapInArrow(_counted(united), "lang string, phrase string, words int, f long")
     exact = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
     return scratch.cut(exact, "frequent"), totals
