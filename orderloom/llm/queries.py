@@ -95,7 +95,7 @@ def op12_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
     labels = toxicity.labels_per_document(_table(spark, folder, "labels"))
-    weights = toxicity.fit(docs.filter(~held).select("doc_id", "text").join(labels, "doc_id"))
+    weights = toxicity.fit(docs.filter(~held), labels)
     return toxicity.scored(docs.select("doc_id", "text"), weights).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 

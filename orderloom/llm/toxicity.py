@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from orderloom.llm import kernels as K
 from orderloom.llm.scratch import Scratch
 
-#: Different labelled texts that weights are fitted on, about; they are chosen by a hash of the text.
+#: Labelled documents that weights are fitted on, about; they are chosen by a hash.
 SAMPLE_DOCS = 12_000
 #: Hashed features: 2 to this power.
 BITS = 20
@@ -113,22 +113,19 @@ def labels_per_document(labels: DataFrame, label: str = "toxic") -> DataFrame:
     return rows.groupBy("doc_id").agg((F.avg(F.when(F.col("_label") > 0, 1).otherwise(0)) >= 0.5).cast("int").alias("label"))
 
 
-def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, bits: int = BITS) -> Weights:
-    """Weights from ``labelled`` (text, label 0 or 1); rows without either are left out.
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, bits: int = BITS) -> Weights:
+    """Weights from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, label 0 or 1) names; rows with a null are left out.
 
-    Equal texts are one example, with their more frequent label. Of more than ``sample_docs`` different texts about that many are taken, by
-    a hash of the text, so the one task that learns, example after example in the order of another hash, holds a bounded sample.
+    Of more than ``sample_docs`` labelled rows about that many are taken, by a hash of doc_id and text before anything is
+    shuffled. Equal texts are one example, with their more frequent label. So the one task that learns, example
+    after example in the order of another hash, holds a bounded sample.
     """
-    spark = labelled.sparkSession
-    scratch = Scratch(spark, "toxicity")
-    rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label")).dropna()
-    key = F.struct(F.xxhash64("text").alias("a"), F.md5("text").alias("b"))
-    texts = rows.select(key.alias("_key"), "label").groupBy("_key").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-    texts = scratch.cut(texts, "texts")
-    total = texts.count()
-    place = F.pmod(F.col("_key.a"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = texts.filter(place < sample_docs / max(total, 1))
-    matched = rows.select("text", key.alias("_key")).join(chosen, "_key").dropDuplicates(["_key"])
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).dropna()
+    total = rows.select("doc_id").join(labels, "doc_id").count()
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.filter(place < sample_docs / max(total, 1)).join(labels, "doc_id")
+    matched = chosen.groupBy("text").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.chunks(batches, "text"):
@@ -148,7 +145,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, bits: int = BITS) -
         at = np.flatnonzero(w)
         yield pa.record_batch([pa.array(at), pa.array(w[at])], ["at", "weight"])
 
-    turn = F.xxhash64(F.lit(7), "_key.b").alias("turn")
+    turn = F.xxhash64(F.lit(7), "text").alias("turn")
     encoded = scratch.cut(matched.select(turn, "label", "text").mapInArrow(encode, "turn long, label int, features binary"), "examples")
     in_order = encoded.coalesce(1).sortWithinPartitions("turn", "label").select("label", "features")
     found = in_order.mapInArrow(learn, "at long, weight double").toArrow()
