@@ -165,6 +165,12 @@ def _counted(united: list[BitTable]):
     return run
 
 
+def _summed(counts: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """Sums of counts that are summed per chunk already: most keys of a task occur in one chunk only, so a second
+    map in front of the shuffle would take a task's memory and hardly save a row."""
+    return counts.repartition(*keys).groupBy(*keys).agg(F.sum(n).alias(n))
+
+
 def frequent_phrases(scratch: Scratch, docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, f) of all phrases of up to ``longest`` words with f >= min_count, (lang, n) words of each language)."""
     shard = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(SHARDS)).cast("int").alias("shard")
@@ -174,7 +180,7 @@ def frequent_phrases(scratch: Scratch, docs: DataFrame, min_count: int = MIN_COU
     below, united, totals, shares = None, [], None, None
     for n in range(1, longest + 1):
         counts = texts.mapInArrow(_mined(n, below), "lang string, shard int, key long, n long")
-        summed = counts.groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
+        summed = _summed(counts, ["lang", "shard", "key"], "n")
         if n == 1:
             summed = scratch.cut(summed, "words")
             by_shard = scratch.cut(summed.groupBy("lang", "shard").agg(F.sum("n").alias("words")), "shares")
@@ -188,7 +194,7 @@ def frequent_phrases(scratch: Scratch, docs: DataFrame, min_count: int = MIN_COU
         below = bit_table(frequent, F.col("key").bitwiseXOR(F.element_at(seeds, F.col("shard") + 1)))
         united.append(bit_table(frequent, F.col("key")))
     counted = texts.mapInArrow(_counted(united), "lang string, phrase string, words int, f long")
-    exact = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
+    exact = _summed(counted, ["lang", "phrase", "words"], "f").filter(F.col("f") >= min_count)
     return scratch.cut(exact, "frequent"), totals
 
 
