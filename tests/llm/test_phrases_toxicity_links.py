@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -205,10 +206,10 @@ def by_hand():
             return None
         ends = [np.cumsum([len(x) for x in s]).tolist() for s in sides]
         (xa, xb), starts = ends, [[0, *e[:-1]] for e in ends]
-        links = [(i, j) for i, s, e in zip(a, starts[0], xa) for j, t, f in zip(b, starts[1], xb) if s < f and t < e]
+        links = [(i, j) for i, s, e in zip(a, starts[0], xa) for j in b[bisect_right(xb, s) : bisect_left(starts[1], e)]]
         cuts, spelled, low = sorted(set(xa) & set(xb)), [], 0
         for cut in cuts:
-            spelled.append("|".join(",".join(str(i) for i, e in zip(ids, of) if low < e <= cut) for ids, of in ((a, xa), (b, xb))))
+            spelled.append("|".join(",".join(map(str, ids[bisect_right(of, low) : bisect_right(of, cut)])) for ids, of in ((a, xa), (b, xb))))
             low = cut
         return a, b, links, len(cuts), hashlib.sha256(";".join(spelled).encode()).hexdigest()
 
