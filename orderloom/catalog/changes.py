@@ -14,7 +14,7 @@ from orderloom.functions import dates, rules
 from orderloom.functions.amounts import cents, from_cents, total_cents
 from orderloom.session import new_folder
 from orderloom.sources import topics
-from orderloom.streaming import changes, idempotency, metrics, outbox, ranges, readmodel, sinks
+from orderloom.streaming import changes, idempotency, late, metrics, outbox, ranges, readmodel, sinks
 
 EVENTS_END = "2024-01-31 00:00:00"
 STOP_AT = "2024-01-20 00:00:00"
@@ -126,6 +126,28 @@ def _(t):
     return changes.unwrapped_rows(messages, ROW).drop("pos")
 
 
+@query(
+    "v3_unwrapped_dead_letters",
+    """
+    SELECT event_id % 7 = 0 AS keyless, event_id % 5 = 0 AS wrong_type, event_id % 7 <> 0 AND event_id % 5 <> 0 AS is_read, COUNT(*) AS messages
+    FROM events GROUP BY 1, 2, 3
+    """,
+)
+def _(t):
+    """Flattened records, some without their key and some with a text for a number: read or dead, none lost."""
+    number = F.col("event_id").cast("string")
+    record = F.concat(
+        F.lit('{"__op":"u","n":'), number, F.when(F.col("event_id") % 7 != 0, F.concat(F.lit(',"id":'), number)).otherwise(""),
+        F.when(F.col("event_id") % 5 == 0, F.lit(',"v":"9x"}')).otherwise(F.lit(',"v":9}')),
+    )
+    messages = t.events.select(record.alias("value"))
+    row = StructType([StructField("n", LongType()), StructField("id", LongType()), StructField("v", LongType())])
+    good = changes.unwrapped_rows(messages, row, keys=["id"]).select("n", F.lit(True).alias("is_read"))
+    lost = changes.unwrapped_dead_letters(messages, row, keys=["id"]).select(F.get_json_object("raw", "$.n").cast("long").alias("n"), F.lit(False).alias("is_read"))
+    both = good.unionByName(lost)
+    return both.groupBy((F.col("n") % 7 == 0).alias("keyless"), (F.col("n") % 5 == 0).alias("wrong_type"), "is_read").agg(F.count(F.lit(1)).alias("messages"))
+
+
 STATE_SQL = LATEST_SQL + "SELECT user_id, value, k, op = 'd' AS is_deleted, ts_ms, pos FROM ranked WHERE rn = 1"
 
 
@@ -408,6 +430,69 @@ def _(t):
     return loaded.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), total_cents(cents("value")).alias("amount"))
 
 
+ARRIVALS_CTE = """
+arrived AS (
+  SELECT event_id, user_id, ts, CAST(value AS DECIMAL(14,2)) AS value,
+         ts + to_days(CASE event_type WHEN 'error' THEN 2 WHEN 'signup' THEN 5 ELSE 0 END) AS came_at FROM events
+),
+batched AS (SELECT *, datediff('day', DATE '2024-01-01', CAST(came_at AS DATE)) // 7 AS batch FROM arrived),
+marks AS (SELECT batch, MAX(MAX(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM batched GROUP BY batch),
+split AS (SELECT b.*, COALESCE(b.ts < seen - INTERVAL 3 DAY, FALSE) AS is_late FROM batched b JOIN marks m ON m.batch = b.batch)"""
+
+
+def late_stream(t):
+    """Events in order of arrival, a micro-batch a week: errors come two days late, sign-ups five. Split behind a
+    watermark of three days; gives the table of marks, the folder of what was in time and the one of what was late."""
+    root = new_folder(t.spark, "late")
+    days = rules.lookup(F.col("event_type"), {"error": 2, "signup": 5}, 0)
+    arrived = F.date_add(F.col("ts").cast("date"), days)
+    week = F.floor(F.date_diff(arrived, F.lit("2024-01-01").cast("date")) / 7)
+    rows = t.events.select("event_id", "user_id", "ts", money("value").alias("value"), week.alias("week"))
+    first, last = rows.agg(F.min("week"), F.max("week")).first()
+    for number in range(first, last + 1):  # one after the other: a stream takes files by their time
+        batch = rows.filter(F.col("week") == number).drop("week")
+        batch.repartition(FILES).write.mode("append").parquet(f"{root}/arrived")
+    stream = t.spark.readStream.schema(rows.drop("week").schema).option("maxFilesPerTrigger", FILES).parquet(f"{root}/arrived")
+    marks = late.marks_table(t.spark, f"{root}/marks", "ts")
+    writer = late.split_writer(marks, f"{root}/in-time", f"{root}/late", "ts", 3 * 24 * 3600)
+    sinks.run(stream, writer, f"{root}/checkpoint")
+    return marks, f"{root}/in-time", f"{root}/late"
+
+
+@query(
+    "v15_late_stream",
+    f"""
+    WITH {ARRIVALS_CTE}
+    SELECT event_id, is_late FROM split
+    """,
+)
+def _(t):
+    """Every event of a stream ends in one of two tables: in time, or late behind the watermark."""
+    _, in_time, behind = late_stream(t)
+    read = t.spark.read.schema("event_id long")
+    both = read.parquet(in_time).withColumn("is_late", F.lit(False))
+    return both.unionByName(read.parquet(behind).withColumn("is_late", F.lit(True))).select("event_id", "is_late")
+
+
+@query(
+    "v15_late_repaired",
+    f"""
+    WITH {ARRIVALS_CTE}
+    SELECT CAST(ts AS DATE) AS day, COUNT(*) AS events, CAST(SUM(value) AS DECIMAL(20,2)) AS amount,
+           COUNT(*) FILTER (is_late) AS repaired FROM split GROUP BY 1
+    """,
+)
+def _(t):
+    """Totals per day as of the stream, brought up to date with what came late; days without late rows are not touched."""
+    _, in_time, behind = late_stream(t)
+    kind = "event_id long, user_id long, ts timestamp_ntz, value decimal(14,2)"
+    rows, missed = (t.spark.read.schema(kind).parquet(folder) for folder in (in_time, behind))
+    rows, missed = (df.withColumn("day", F.col("ts").cast("date")) for df in (rows, missed))
+    measures = {"events": F.count(F.lit(1)), "amount": total_cents(cents("value"))}
+    closed = rows.groupBy("day").agg(*[c.alias(n) for n, c in measures.items()])
+    return late.repaired(closed, rows, missed, "day", measures)
+
+
 # ---- metrics -----------------------------------------------------------------
 
 COUNTER_CTE = """
@@ -576,21 +661,22 @@ def _(t):
 @query(
     "v7_routed_stream",
     """
-    SELECT CASE WHEN event_type IN ('click', 'view') THEN event_type ELSE 'dead' END AS destination, COUNT(*) AS messages FROM events GROUP BY 1
+    SELECT CASE WHEN event_type = 'click' OR (event_type = 'view' AND event_id % 10 <> 0) THEN event_type ELSE 'dead' END AS destination, COUNT(*) AS messages FROM events GROUP BY 1
     """,
 )
 def _(t):
-    """One topic for several tables: what is listed and readable goes to its table, all else to the dead letters."""
+    """One topic for several tables: what is listed, readable and has its key goes to its table, all else to the dead letters."""
     root = new_folder(t.spark, "routed")
     row = StructType([StructField("event_id", LongType())])
-    image = F.struct(F.struct(F.lit("c").alias("op"), F.struct("event_id").alias("after"), F.struct(F.col("event_type").alias("table")).alias("source"), F.lit(1).alias("ts_ms")).alias("payload"))
+    keyed = F.when((F.col("event_type") != "view") | (F.col("event_id") % 10 != 0), F.col("event_id"))
+    image = F.struct(F.struct(F.lit("c").alias("op"), F.struct(keyed.alias("event_id")).alias("after"), F.struct(F.col("event_type").alias("table")).alias("source"), F.lit(1).alias("ts_ms")).alias("payload"))
     text_of = F.when(F.col("event_type") == "error", F.concat(F.lit("{broken "), F.col("event_id").cast("string"))).otherwise(F.to_json(image))
     messages = event_stream(t).select(text_of.alias("value"))
 
     def writer(name):
         return lambda rows, batch: rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
 
-    tables = {name: (row, writer(name)) for name in ("click", "view")}
+    tables = {name: (row, ["event_id"], writer(name)) for name in ("click", "view")}
     sinks.run(messages, sinks.route_writer(tables, f"{root}/dead"), f"{root}/checkpoint")
     counts = [
         t.spark.read.schema("event_id long").parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("messages")).withColumn("destination", F.lit(name))
@@ -615,9 +701,10 @@ def _(t):
     """On a stream, with keys that live for the whole month."""
     root = new_folder(t.spark, "settled")
     empty = requests_of(t).limit(0)
-    openings = idempotency.openings_table(t.spark, f"{root}/openings", "idempotency_key", "ts", "event_id", empty)
+    expiry = 40 * 24 * 3600
+    openings = idempotency.openings_table(t.spark, f"{root}/openings", "idempotency_key", "ts", "event_id", empty, expiry)
     writer = idempotency.settle_writer(
-        openings, f"{root}/verdicts", "idempotency_key", "ts", "event_id", "request_hash", 40 * 24 * 3600
+        openings, f"{root}/verdicts", "idempotency_key", "ts", "event_id", "request_hash", expiry
     )
     sinks.run(requests_of(t, event_stream(t)), writer, f"{root}/checkpoint")
     return t.spark.read.parquet(f"{root}/verdicts").select("idempotency_key", "event_id", "verdict")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderloom.bindings import AS_OF, money
-from orderloom.catalog.core import query
+from orderloom.catalog.core import query, text_sql
 from orderloom.functions import dates, keys, rules, text
 
 
@@ -286,8 +286,8 @@ def _(t):
 
 @query(
     "f24_uuid_v7",
-    """
-    WITH h AS (SELECT event_id, epoch_us(ts) // 1000 AS ms, md5(CAST(event_id AS VARCHAR)) AS n FROM events),
+    f"""
+    WITH h AS (SELECT event_id, epoch_us(ts) // 1000 AS ms, md5({text_sql("event_id")}) AS n FROM events),
          x AS (SELECT *, lpad(lower(hex(ms)), 12, '0') AS t FROM h)
     SELECT event_id, substr(t, 1, 8) || '-' || substr(t, 9, 4) || '-7' || substr(n, 1, 3) || '-' ||
            substr('89ab', CAST(('0x' || substr(n, 4, 1)) AS INTEGER) % 4 + 1, 1) || substr(n, 5, 3) || '-' || substr(n, 8, 12) AS uuid FROM x
@@ -344,8 +344,8 @@ def _(t):
 
 @query(
     "x2_uuid_v7_orders",
-    """
-    WITH h AS (SELECT o_orderkey, epoch_ms(o_orderdate) AS ms, md5(o_orderkey || '|' || o_custkey) AS n FROM orders),
+    f"""
+    WITH h AS (SELECT o_orderkey, epoch_ms(o_orderdate) AS ms, md5({text_sql("o_orderkey", "o_custkey")}) AS n FROM orders),
          x AS (SELECT *, lpad(lower(hex(ms)), 12, '0') AS t FROM h)
     SELECT o_orderkey, substr(t, 1, 8) || '-' || substr(t, 9, 4) || '-7' || substr(n, 1, 3) || '-' ||
            substr('89ab', CAST(('0x' || substr(n, 4, 1)) AS INTEGER) % 4 + 1, 1) || substr(n, 5, 3) || '-' || substr(n, 8, 12) AS uuid FROM x

@@ -645,21 +645,47 @@ def _(t):
     return merge.restore(again, F.col("c_mktsegment") == "MACHINERY").select("c_custkey", "deleted_at")
 
 
+ADMISSION_CTE = """
+req AS (
+  SELECT l_partkey, l_orderkey, l_linenumber, l_shipdate, CAST(l_quantity AS BIGINT) AS wanted,
+         ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS rn FROM lineitem),
+walk AS (
+  SELECT r.*, COALESCE(wanted <= p_size * 10, FALSE) AS accepted, CAST(p_size * 10 - CASE WHEN wanted <= p_size * 10 THEN wanted ELSE 0 END AS BIGINT) AS rest
+  FROM req r LEFT JOIN part ON p_partkey = l_partkey WHERE rn = 1
+  UNION ALL
+  SELECT r.*, COALESCE(r.wanted <= w.rest, FALSE), w.rest - CASE WHEN r.wanted <= w.rest THEN r.wanted ELSE 0 END
+  FROM walk w JOIN req r ON r.l_partkey = w.l_partkey AND r.rn = w.rn + 1)"""
+
+
+def admitted(t):
+    """Every line takes its quantity from the stock of its part, in order of shipping."""
+    stock = t.part.select("p_partkey", (F.col("p_size") * 10).cast("long").alias("available"))
+    asked = t.lineitem.select(
+        F.col("l_partkey").alias("p_partkey"), "l_shipdate", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("wanted")
+    )
+    return merge.guarded_decrement(stock, asked, ["p_partkey"], "available", "wanted", ["l_shipdate", "l_orderkey", "l_linenumber"])
+
+
+@query(
+    "w28_ordered_admission",
+    f"WITH RECURSIVE {ADMISSION_CTE} SELECT l_partkey AS p_partkey, l_orderkey, l_linenumber, accepted FROM walk",
+)
+def _(t):
+    """Each line is accepted if what the earlier ones have left suffices."""
+    return admitted(t)[0].select("p_partkey", "l_orderkey", "l_linenumber", "accepted")
+
+
 @query(
     "w28_guarded_decrement",
-    """
-    WITH asked AS (SELECT l_partkey, CAST(SUM(l_quantity) AS BIGINT) AS wanted FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
-    SELECT p_partkey, CAST(CASE WHEN p_size * 10 >= wanted THEN p_size * 10 - wanted ELSE p_size * 10 END AS BIGINT) AS available,
-           CASE WHEN wanted IS NOT NULL THEN p_size * 10 >= wanted END AS accepted FROM part LEFT JOIN asked ON l_partkey = p_partkey
+    f"""
+    WITH RECURSIVE {ADMISSION_CTE}
+    SELECT p_partkey, CAST(p_size * 10 - COALESCE(SUM(wanted) FILTER (accepted), 0) AS BIGINT) AS available
+    FROM part LEFT JOIN walk ON l_partkey = p_partkey GROUP BY p_partkey, p_size
     """,
 )
 def _(t):
-    """Stock goes down by what was asked for where it suffices."""
-    stock = t.part.select("p_partkey", (F.col("p_size") * 10).cast("long").alias("available"))
-    asked = t.lineitem.filter("l_returnflag = 'R'").select(
-        F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").cast("long").alias("wanted")
-    )
-    return merge.guarded_decrement(stock, asked, ["p_partkey"], "available", "wanted")
+    """The stock that is left."""
+    return admitted(t)[1]
 
 
 @query(
@@ -674,33 +700,35 @@ def _(t):
     return merge.update_where(rows, large, {"o_orderstatus": F.lit("confirmed")}).drop("o_totalprice")
 
 
+def confirmed(t):
+    """Three events each ask to confirm one order; some numbers do not exist."""
+    requests = t.events.select("event_id", (F.floor(F.col("event_id") / 3) * 2).alias("order_nk"))
+    state = t.orders.select(F.col("o_orderkey").alias("order_nk"), F.col("o_orderstatus").alias("status"))
+    return merge.transition(requests, state, "order_nk", "status", "P", "confirmed", ["event_id"])
+
+
 @query(
     "w29_status_transition",
     """
-    SELECT event_id, order_nk, CASE WHEN o_orderstatus IS NULL THEN 'NOT_FOUND' WHEN o_orderstatus = 'P' THEN 'OK'
-           ELSE 'INVALID_STATUS:' || o_orderstatus END AS verdict
-    FROM (SELECT event_id, event_id * 2 AS order_nk FROM events) LEFT JOIN orders ON o_orderkey = order_nk
+    SELECT event_id, order_nk, CASE WHEN o_orderstatus IS NULL THEN 'NOT_FOUND' WHEN o_orderstatus <> 'P' THEN 'INVALID_STATUS:' || o_orderstatus
+           WHEN ROW_NUMBER() OVER (PARTITION BY order_nk ORDER BY event_id) = 1 THEN 'OK' ELSE 'INVALID_STATUS:confirmed' END AS verdict
+    FROM (SELECT event_id, event_id // 3 * 2 AS order_nk FROM events) LEFT JOIN orders ON o_orderkey = order_nk
     """,
 )
 def _(t):
-    """Each event asks to confirm an order; some numbers do not exist."""
-    requests = t.events.select("event_id", (F.col("event_id") * 2).alias("order_nk"))
-    state = t.orders.select(F.col("o_orderkey").alias("order_nk"), F.col("o_orderstatus").alias("status"))
-    answered, _updated = merge.transition(requests, state, "order_nk", "status", "P", "confirmed")
-    return answered.select("event_id", "order_nk", "verdict")
+    """The first request for a pending order moves it, the next ones find it confirmed."""
+    return confirmed(t)[0]
 
 
 @query(
     "w29_status_after",
     """
-    SELECT o_orderkey AS order_nk, CASE WHEN o_orderstatus = 'P' AND o_orderkey IN (SELECT event_id * 2 FROM events) THEN 'confirmed' ELSE o_orderstatus END AS status
+    SELECT o_orderkey AS order_nk, CASE WHEN o_orderstatus = 'P' AND o_orderkey IN (SELECT event_id // 3 * 2 FROM events) THEN 'confirmed' ELSE o_orderstatus END AS status
     FROM orders
     """,
 )
 def _(t):
-    requests = t.events.select((F.col("event_id") * 2).alias("order_nk"))
-    state = t.orders.select(F.col("o_orderkey").alias("order_nk"), F.col("o_orderstatus").alias("status"))
-    return merge.transition(requests, state, "order_nk", "status", "P", "confirmed")[1]
+    return confirmed(t)[1]
 
 
 @query(

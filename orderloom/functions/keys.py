@@ -37,7 +37,7 @@ def uuid_v7(at: Column, *salt: Column) -> Column:
     """
     ms = F.unix_millis(at.cast("timestamp"))
     time_hex = F.lpad(F.lower(F.hex(ms)), 12, "0")
-    seed = F.concat_ws("|", *[c.cast("string") for c in salt]) if salt else F.uuid()
+    seed = spelled_out(*salt) if salt else F.uuid()
     noise = F.md5(seed)
     variant = F.substring(F.lit("89ab"), F.conv(F.substring(noise, 4, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
     return F.concat_ws(

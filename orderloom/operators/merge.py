@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from orderloom.operators.skew import HOT_ROWS, join_one_per_key
+from orderloom.operators.windows import running
+from orderloom.session import cut
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key. An aggregate, so a hot key is thinned out before the shuffle."""
@@ -96,41 +100,98 @@ def split_where(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]
 
 
 def guarded_decrement(
-    stock: DataFrame, requests: DataFrame, keys: list[str], available: str, wanted: str
-) -> DataFrame:
-    """Subtracts requested totals where enough is available; adds ``accepted``.
-
-    All requests for a key are taken or refused together.
+    stock: DataFrame,
+    requests: DataFrame,
+    keys: list[str],
+    available: str,
+    wanted: str,
+    order: list[str],
+    hot_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Requests taken in ``order``, each from what the earlier ones left: (``accepted`` per request, new stock).
+
+    A request for more than is left is refused and takes nothing; later, smaller ones may still be accepted. Works in
+    rounds over all keys. With at least 2**c left, requests of at most 2**(c-1) are *small*: they are all accepted until they bring the
+    stock below 2**c, so one running sum settles them, and tells of each larger one whether it fits. The first one that fits,
+    or the small one that crosses 2**c, ends the round: what stands before is settled, what stands behind goes on. Each
+    third round at the latest the class c falls, so the rounds are bounded by the logarithm of the largest stock, however many
+    requests a key has. ``available`` and ``wanted`` are whole numbers, wanted at least 0; NULL ones, and requests for
+    a key without stock, are refused. ``order`` tells the requests of a key apart.
     """
-    asked = requests.groupBy(*keys).agg(F.sum(wanted).alias("_asked"))
-    joined = stock.join(asked, keys, "left")
-    enough = F.coalesce(F.col(available) >= F.col("_asked"), F.lit(False))
-    left = F.when(enough, F.col(available) - F.col("_asked")).otherwise(F.col(available))
-    return joined.select(
-        *[left.cast(stock.schema[c].dataType).alias(c) if c == available else F.col(c) for c in stock.columns],
-        F.when(F.col("_asked").isNotNull(), enough).alias("accepted"),
-    )
+    columns = requests.columns
+    named = [F.col(k).alias(f"_s_{k}") for k in keys]
+    asked = requests.groupBy(*keys).agg(F.lit(1).alias("_any")).select(*keys)
+    left = asked.join(stock.select(*keys, F.col(available).cast("long").alias("_left")), keys)
+    left = cut(left, "stock")
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_{k}") for k in keys])
+    rest, settled = cut(requests, "asked"), []
+    while True:
+        met = join_one_per_key(rest, left, keys, "left", hot_rows)
+        fits = F.coalesce(F.col(wanted) <= F.col("_left"), F.lit(False))
+        settled.append(met.filter(~fits).select(*columns, F.lit(False).alias("accepted")))
+        # The highest power of two in what is left: 2**c; 0 with nothing left, where requests for 0 are all small.
+        power = F.expr("IF(_left > 0, shiftleft(1L, length(bin(_left)) - 1), 0L)")
+        small = F.col(wanted) <= F.floor(power / 2)
+        open_ones = met.filter(fits).withColumns({"_power": power, "_small": small})
+        taken = {"_taken": F.when(F.col("_small"), F.col(wanted)).otherwise(0)}
+        swept = cut(running(open_ones, keys, order, taken, hot_rows), "admission")
+        crosses = F.col("_small") & (F.col("_left") - F.col("_taken") < F.col("_power"))
+        enters = ~F.col("_small") & (F.col(wanted) <= F.col("_left") - F.col("_taken"))
+        ends = swept.filter(crosses | enters).groupBy(*keys).agg(
+            F.min_by(
+                F.struct(*[F.col(o) for o in order], (F.col("_taken") + F.when(F.col("_small"), 0).otherwise(F.col(wanted))).alias("_gone")),
+                F.struct(*order),
+            ).alias("_end")
+        )
+        judged = join_one_per_key(swept, ends, keys, "left", hot_rows)
+        place, end = F.struct(*order), F.struct(*[F.col(f"_end.{o}").alias(o) for o in order])
+        before = F.col("_end").isNull() | (place <= end)
+        verdict = F.when(before, F.col("_small") | (F.col("_end").isNotNull() & (place == end)))
+        judged = cut(judged.select(*columns, verdict.alias("accepted")), "admission")
+        settled.append(judged.filter("accepted IS NOT NULL"))
+        rest = judged.filter("accepted IS NULL").select(*columns)
+        gone = ends.select(*keys, F.col("_end._gone").alias("_gone"))
+        if rest.isEmpty():
+            break
+        left = cut(left.join(gone, keys).select(*keys, (F.col("_left") - F.col("_gone")).alias("_left")), "stock")
+    answered = cut(reduce(DataFrame.unionByName, settled), "answered")
+    sums = answered.filter("accepted").groupBy(*keys).agg(F.sum(wanted).alias("_gone"))
+    joined = stock.join(sums.select(*named, "_gone"), same, "left")
+    after = F.coalesce(F.col(available) - F.col("_gone"), F.col(available)).cast(stock.schema[available].dataType)
+    return answered, joined.select(*[after.alias(c) if c == available else F.col(c) for c in stock.columns])
 
 
 def transition(
-    requests: DataFrame, state: DataFrame, key: str, status: str, expected: str, to: str
+    requests: DataFrame,
+    state: DataFrame,
+    key: str,
+    status: str,
+    expected: str,
+    to: str,
+    order: list[str],
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Checks a batch of status changes: (verdict per request, new state).
+    """Status changes taken in ``order``: (verdict per request, new state).
 
-    A request is ``OK`` if the row is in ``expected``, ``INVALID_STATUS:x`` if it
-    is in ``x``, ``NOT_FOUND`` otherwise.
+    The first request for a row in ``expected`` is ``OK`` and moves it; a later one meets the row in ``to``, and so
+    gets ``INVALID_STATUS:`` with that name, like any request for a row in another status. ``NOT_FOUND`` if there is no row or no key. A row of
+    NULL status is in no status. ``order`` tells the requests of a key apart.
     """
-    now = state.select(F.col(key), F.col(status).alias("_now"))
+    now = state.filter(F.col(key).isNotNull()).select(F.col(key), F.col(status).alias("_now"), F.lit(True).alias("_found"))
+    opening = requests.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
+    met = join_one_per_key(requests, opening.join(now, key), [key], "left", hot_rows)
+    moves = F.coalesce(F.col("_now") == expected, F.lit(False))
+    is_first = F.struct(*order) == F.struct(*[F.col(f"_first.{o}").alias(o) for o in order])
     verdict = (
-        F.when(F.col("_now").isNull(), "NOT_FOUND")
-        .when(F.col("_now") == expected, "OK")
-        .otherwise(F.concat(F.lit("INVALID_STATUS:"), F.col("_now")))
+        F.when(F.col("_found").isNull(), "NOT_FOUND")
+        .when(moves & (is_first | F.lit(expected == to)), "OK")
+        .otherwise(F.concat(F.lit("INVALID_STATUS:"), F.when(moves, F.lit(to)).otherwise(F.coalesce("_now", F.lit("NULL")))))
     )
-    answered = requests.join(now, key, "left").withColumn("verdict", verdict).drop("_now")
-    accepted = answered.filter("verdict = 'OK'").select(key).distinct().withColumn("_ok", F.lit(True))
-    moved = state.join(accepted, key, "left")
-    updated = update_where(moved, F.col("_ok"), {status: F.lit(to)}).select(*state.columns)
-    return answered, updated
+    answered = met.select(*requests.columns, verdict.alias("verdict"))
+    asked = requests.select(key).distinct().withColumn("_asked", F.lit(True))
+    moved = state.join(asked, key, "left")
+    updated = update_where(moved, F.col("_asked") & (F.col(status) == expected), {status: F.lit(to)})
+    return answered, updated.select(*state.columns)
 
 
 def evolve(

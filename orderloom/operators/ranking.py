@@ -53,13 +53,17 @@ def tile_at(position: Column, total: int, tiles: int) -> Column:
 
 
 def _at_or_after(order: list[tuple[str, bool]], values) -> Column:
-    """Row comes at ``values`` or after it in the order; ``True`` marks descending."""
+    """Row comes at ``values`` or after it in the order; ``True`` marks descending. NULLs are first ascending, last descending."""
     (name, descending), rest = order[0], order[1:]
     column, value = F.col(name), F.lit(values[0])
-    beyond = column < value if descending else column > value
-    if not rest:
-        return beyond | (column == value)
-    return beyond | ((column == value) & _at_or_after(rest, values[1:]))
+    if values[0] is None:
+        beyond = F.lit(False) if descending else column.isNotNull()
+    elif descending:
+        beyond = column.isNull() | (column < value)
+    else:
+        beyond = F.coalesce(column > value, F.lit(False))
+    same = column.eqNullSafe(value)
+    return beyond | (same & _at_or_after(rest, values[1:]) if rest else same)
 
 
 def _sum(terms: list[Column]) -> Column:
@@ -71,7 +75,7 @@ def _sum(terms: list[Column]) -> Column:
 
 
 def with_ntile(df: DataFrame, order: list[tuple[str, bool]], tiles: int, name: str) -> DataFrame:
-    """Adds NTILE(``tiles``) over a total order of non-null columns; ``True`` marks descending.
+    """Adds NTILE(``tiles``) over a total order; ``True`` marks descending. NULLs are first ascending, last descending.
 
     Only the order columns are sorted, to find the row that opens each tile. Those
     few rows become constants, so the full rows are neither sorted nor joined.

@@ -133,11 +133,15 @@ def stg_orders(orders: DataFrame, include_cancelled: bool = False) -> DataFrame:
 
 
 def stg_customers(customers: DataFrame, addresses: DataFrame, as_of: Column) -> DataFrame:
-    """Live customers with their default address, cleaned names and flags."""
+    """Live customers with their default address, cleaned names and flags.
+
+    Of several default addresses the newest counts, by ``updated_at`` and ``id`` where there are such columns; then the greatest.
+    """
     live = customers.filter("deleted_at IS NULL")
-    homes = addresses.filter("is_default").select(
-        F.col("customer_id").alias("_owner"), "city", F.col("country").alias("_country")
-    )
+    newest = [c for c in ("updated_at", "id") if c in addresses.columns]
+    home = F.max(F.struct(*newest, "city", "country")).alias("_home")
+    homes = addresses.filter("is_default").groupBy(F.col("customer_id").alias("_owner")).agg(home)
+    homes = homes.select("_owner", "_home.city", F.col("_home.country").alias("_country"))
     joined = live.join(homes, F.col("id") == F.col("_owner"), "left")
     optional = []
     if "date_of_birth" in customers.columns:

@@ -95,7 +95,7 @@ def change_rows(parsed: DataFrame) -> DataFrame:
     ).select("_image.*", *META)
 
 
-def _unwrapped(messages: DataFrame, row: StructType, value: str) -> DataFrame:
+def _unwrapped(messages: DataFrame, row: StructType, value: str, keys: list[str] | None) -> DataFrame:
     flat = StructType(
         [
             *row.fields,
@@ -104,27 +104,33 @@ def _unwrapped(messages: DataFrame, row: StructType, value: str) -> DataFrame:
             StructField("__ts_ms", LongType()),
             StructField("__source_pos", LongType()),
             StructField("__deleted", StringType()),
+            StructField("_corrupt_record", StringType()),
         ]
     )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     offset = [F.col("offset")] if "offset" in messages.columns else []
     text = F.col(value).cast("string")
-    parsed = messages.filter(F.col(value).isNotNull()).select(text.alias("raw"), *offset, F.from_json(text, flat).alias("_m"))
+    parsed = messages.filter(F.col(value).isNotNull()).select(text.alias("raw"), *offset, F.from_json(text, flat, options).alias("_m"))
     op = F.when(F.col("_m.__deleted") == "true", "d").otherwise(F.col("_m.__op"))
     pos = F.coalesce("_m.__source_pos", *offset, F.lit(0)).cast("long")
-    return parsed.select("raw", "_m", op.alias("op"), pos.alias("pos"), F.coalesce(op.isin("c", "u", "d", "r"), F.lit(False)).alias("_read"))
+    read = F.coalesce(op.isin("c", "u", "d", "r"), F.lit(False)) & F.col("_m._corrupt_record").isNull()
+    for key in keys or []:
+        read = read & F.col(f"_m.{key}").isNotNull()
+    return parsed.select("raw", "_m", op.alias("op"), pos.alias("pos"), read.alias("_read"))
 
 
-def unwrapped_rows(messages: DataFrame, row: StructType, value: str = "value") -> DataFrame:
+def unwrapped_rows(messages: DataFrame, row: StructType, value: str = "value", keys: list[str] | None = None) -> DataFrame:
     """Change rows from flattened records: row columns, ``__op``, ``__table``, ``__ts_ms``, ``__deleted`` and, if the
-    connector adds it, ``__source_pos``; without it the topic's ``offset`` orders changes of one millisecond."""
-    return _unwrapped(messages, row, value).filter("_read").select(
+    connector adds it, ``__source_pos``; without it the topic's ``offset`` orders changes of one millisecond.
+    Records with a value of the wrong type, or without one of ``keys``, are not readable."""
+    return _unwrapped(messages, row, value, keys).filter("_read").select(
         *[F.col(f"_m.{f.name}") for f in row.fields], "op", F.col("_m.__ts_ms").alias("ts_ms"), "pos"
     )
 
 
-def unwrapped_dead_letters(messages: DataFrame, row: StructType, value: str = "value") -> DataFrame:
-    """The flattened records that ``unwrapped_rows`` cannot read, as they came."""
-    return _unwrapped(messages, row, value).filter("NOT _read").select("raw")
+def unwrapped_dead_letters(messages: DataFrame, row: StructType, value: str = "value", keys: list[str] | None = None) -> DataFrame:
+    """The flattened records that ``unwrapped_rows`` with the same ``keys`` cannot read, as they came."""
+    return _unwrapped(messages, row, value, keys).filter("NOT _read").select("raw")
 
 
 def of_table(parsed: DataFrame, table: str) -> DataFrame:

@@ -34,11 +34,12 @@ def table_of(value: str = "value") -> Column:
 
 
 def route_writer(
-    tables: dict[str, tuple[StructType, Callable[[DataFrame, int], None]]], dead: str, value: str = "value"
+    tables: dict[str, tuple[StructType, list[str], Callable[[DataFrame, int], None]]], dead: str, value: str = "value"
 ):
-    """Messages of several tables in one stream: each is decoded by its table's schema, once, and goes to its writer.
+    """Messages of several tables in one stream: ``tables`` has the schema, the key columns and the writer of each; a message
+    is decoded by its table's schema, once, and goes to its writer.
 
-    What cannot be read and what names no table of ``tables`` goes to a folder per batch under ``dead``, so
+    What cannot be read, what lacks a key and what names no table of ``tables`` goes to a folder per batch under ``dead``, so
     every message but a tombstone (null) ends in one place.
     """
 
@@ -46,8 +47,8 @@ def route_writer(
         messages = cut(batch.select(value).filter(F.col(value).isNotNull()).withColumn("_table", table_of(value)), "routed-batch")
         listed = F.coalesce(F.col("_table").isin(list(tables)), F.lit(False))
         rest = messages.filter(~listed).select(F.col(value).cast("string").alias("raw"))
-        for table, (schema, write) in tables.items():
-            parsed = changes.parse_envelopes(messages.filter(F.col("_table") == table), schema, value)
+        for table, (schema, keys, write) in tables.items():
+            parsed = changes.parse_envelopes(messages.filter(F.col("_table") == table), schema, value, keys)
             rest = rest.unionByName(changes.dead_letters(parsed))
             write(changes.change_rows(parsed), batch_id)
         rest.write.mode("overwrite").text(f"{dead}/batch={batch_id}")

@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from orderloom.session import new_folder
 from orderloom.sources import topics
 from orderloom.sources.snapshots import SnapshotTable
-from orderloom.streaming import changes, idempotency, metrics, outbox, readmodel, sinks
+from orderloom.streaming import changes, idempotency, late, metrics, outbox, readmodel, sinks
 
 ROW = StructType([StructField("id", LongType()), StructField("name", StringType())])
 LOG = "id long, name string, op string, ts_ms long, pos long"
@@ -107,6 +107,13 @@ def test_unwrapped_records(spark):
     assert sorted(r.raw for r in changes.unwrapped_dead_letters(messages, ROW).collect()) == ["not json", "{}"]
 
 
+def test_unwrapped_records_of_wrong_types_and_without_keys(spark):
+    good, lost = json.dumps({"id": 1, "name": "x", "__op": "c"}), [json.dumps({"id": "abc", "name": "x", "__op": "c"}), json.dumps({"name": "x", "__op": "c"})]
+    messages = spark.createDataFrame([(v,) for v in [good, *lost]], "value string")
+    assert [r.id for r in changes.unwrapped_rows(messages, ROW, keys=["id"]).collect()] == [1]
+    assert sorted(r.raw for r in changes.unwrapped_dead_letters(messages, ROW, keys=["id"]).collect()) == sorted(lost)
+
+
 def test_changes_without_a_key(spark):
     lost = message("c", None, {"id": None, "name": "x"})
     parsed = changes.parse_envelopes(spark.createDataFrame([(lost,)], "value string"), ROW, keys=["id"])
@@ -170,13 +177,13 @@ def test_dead_letters_of_a_stream(spark):
 
 def test_tables_of_one_stream_go_their_own_ways(spark):
     other = StructType([StructField("sku", StringType())])
-    lost = [message("c", None, {"q": 1}, table="unknown"), "broken", message("x", None, {"id": 3, "name": "y"})]
+    lost = [message("c", None, {"q": 1}, table="unknown"), "broken", message("x", None, {"id": 3, "name": "y"}), message("c", None, {"name": "keyless"})]
     values = [message("c", None, {"id": 1, "name": "x"}), message("c", None, {"sku": "s"}, table="items"), *lost, None]
     messages = spark.createDataFrame([(v,) for v in values], "value string")
     path = new_folder(spark, "routed")
     people = changes.change_table(spark, f"{path}/t", ["id"], spark.createDataFrame([], ROW))
     items = changes.change_table(spark, f"{path}/items", ["sku"], spark.createDataFrame([], other))
-    writer = sinks.route_writer({"t": (ROW, people.write_batch), "items": (other, items.write_batch)}, f"{path}/dead")
+    writer = sinks.route_writer({"t": (ROW, ["id"], people.write_batch), "items": (other, ["sku"], items.write_batch)}, f"{path}/dead")
     sinks.run(file_stream(spark, [messages], messages.schema), writer, f"{path}/checkpoint")
     assert [(r.id, r.name) for r in people.read().collect()] == [(1, "x")]
     assert [r.sku for r in items.read().collect()] == ["s"]
@@ -262,6 +269,68 @@ def test_requests_settled_on_a_stream(spark):
     assert verdicts() == VERDICTS
 
 
+def settled_by_hand(rows, expiry):
+    """rows (key, at, seq, hash) -> seq: verdict, one after the other."""
+    opened, out = {}, {}
+    for key, at, seq, digest in sorted(rows, key=lambda r: (r[1], r[2])):
+        first = opened.get(key)
+        if key is None or first is None or (at - first[0]).total_seconds() >= expiry:
+            opened[key], out[seq] = (at, digest), "first"
+        else:
+            out[seq] = "replay" if first[1] == digest else "mismatch"
+    return out
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_settling_follows_the_rule(spark, hot_rows):
+    rnd, start = random.Random(2), dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice(["a", "a", "a", "b", "c", None]), start + dt.timedelta(seconds=rnd.randint(0, 400)), i, rnd.choice("xy")) for i in range(300)]
+    df = spark.createDataFrame(rows, "key string, at timestamp, seq int, hash string").repartition(4)
+    found = idempotency.settle_requests(df, "key", "at", "seq", "hash", 10, hot_rows).collect()
+    assert {r.seq: r.verdict for r in found} == settled_by_hand(rows, 10) and len(found) == 300
+
+
+def test_many_lifetimes_take_few_rounds(spark, monkeypatch):
+    cuts, plain = [], idempotency.cut
+    monkeypatch.setattr(idempotency, "cut", lambda df, label: (cuts.append(label), plain(df, label))[1])
+    df = spark.range(10_000).select(F.lit("k").alias("key"), F.timestamp_seconds(F.col("id") * 60).alias("at"), F.col("id").alias("seq"), F.lit("h").alias("hash"))
+    assert idempotency.settle_requests(df, "key", "at", "seq", "hash", 60).filter("verdict = 'first'").count() == 10_000
+    assert len(cuts) <= 16
+
+
+def test_expired_openings_leave_the_table(spark):
+    rows = request_rows(spark, [("a", 0, "x"), ("b", 23, "x"), ("c", 40, "x"), ("d", 41, "x")])
+    openings = idempotency.openings_table(spark, new_folder(spark, "openings"), "key", "at", "seq", rows.limit(0))
+    for batch in range(4):
+        openings.write_batch(rows.filter(F.col("seq") == batch), batch)
+    openings.compact()
+    assert sorted(r.key for r in openings.base.read().collect()) == ["b", "c"]
+    assert sorted(r.key for r in openings.read().collect()) == ["b", "c", "d"]
+
+
+def test_late_rows_are_set_aside(spark):
+    start = dt.datetime(2024, 1, 1)
+    parts = [[(1, 0), (2, 100)], [(3, 95), (4, 90), (5, 89), (6, None), (7, 200)], [(8, 189), (9, 190)]]
+    frames = [spark.createDataFrame([(i, None if s is None else start + dt.timedelta(seconds=s)) for i, s in p], "id int, at timestamp") for p in parts]
+    path = new_folder(spark, "late")
+    marks = late.marks_table(spark, f"{path}/marks", "at")
+    write = late.split_writer(marks, f"{path}/in", f"{path}/late", "at", 10)
+    ids = lambda folder: sorted(r.id for r in spark.read.parquet(f"{path}/{folder}").collect())
+    sinks.run(file_stream(spark, frames, frames[0].schema), write, f"{path}/checkpoint")
+    for _ in range(2):
+        assert ids("late") == [5, 6, 8] and ids("in") == [1, 2, 3, 4, 7, 9]
+        write(frames[1], 1)  # run again
+    marks.compact()
+    assert marks.base.read().count() == 1 == marks.read().count()
+
+
+def test_only_touched_groups_are_repaired(spark):
+    rows, missed = spark.createDataFrame([(1, 5), (2, 7)], "g int, v long"), spark.createDataFrame([(2, 1), (3, 1)], "g int, v long")
+    closed = spark.createDataFrame([(1, 99), (2, 7)], "g int, total long")  # 99 shows that group 1 is not touched
+    out = late.repaired(closed, rows, missed, "g", {"total": F.sum("v")})
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 99, 0), (2, 8, 1), (3, 1, 1)]
+
+
 def test_repeats_dropped_on_a_stream(spark):
     rows = request_rows(spark, [("a", 0, "x"), ("b", 0, "x"), ("a", 1, "x")])
     stream = file_stream(spark, [rows.filter("seq < 2"), rows.filter("seq = 2")], rows.schema)

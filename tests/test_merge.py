@@ -1,6 +1,7 @@
 """Upserts, type 1-3 dimensions, diffs: laws and small cases."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -75,19 +76,45 @@ def test_soft_delete_keeps_the_first_time(spark):
     assert merge.restore(again, F.col("id") == 1).filter("deleted_at IS NOT NULL").isEmpty()
 
 
-def test_guarded_decrement(spark):
-    stock = spark.createDataFrame([("a", 10), ("b", 1), ("c", 3)], "p string, available long")
-    asked = spark.createDataFrame([("a", 4), ("a", 5), ("b", 2)], "p string, wanted long")
-    done = {r.p: (r.available, r.accepted) for r in merge.guarded_decrement(stock, asked, ["p"], "available", "wanted").collect()}
-    assert done == {"a": (1, True), "b": (1, False), "c": (3, None)}
-
-
-def test_transition(spark):
-    state = spark.createDataFrame([(1, "pending"), (2, "shipped"), (3, "pending")], "id int, status string")
-    asked = spark.createDataFrame([(1,), (1,), (2,), (7,)], "id int")
-    answered, after = merge.transition(asked, state, "id", "status", "pending", "confirmed")
-    assert rows(answered) == [(1, "OK"), (1, "OK"), (2, "INVALID_STATUS:shipped"), (7, "NOT_FOUND")]
-    assert rows(after) == [(1, "confirmed"), (2, "shipped"), (3, "pending")]
+def taken_in_order(stock, asked):
+    """(accepted by seq, stock after), one request after the other."""
+    left, out = dict(stock), {}
+    for key, seq, wanted in sorted(asked, key=lambda r: r[1]):
+        out[seq] = wanted is not None and left.get(key) is not None and wanted <= left[key]
+        if out[seq]:
+            left[key] -= wanted
+    return out, left
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_requests_take_what_earlier_ones_left(spark, hot_rows):
+    rnd = random.Random(1)
+    stock = [("a", 1000), ("b", 7), ("c", 0), ("d", 64), ("e", None), ("f", 3)]
+    asked = [(rnd.choice("aaaaabcdegx"), i, rnd.choice([0, 1, 2, 3, 30, 31, 33, 64, 200, 600, None])) for i in range(250)]
+    df = spark.createDataFrame(asked, "p string, seq int, wanted long").repartition(3)
+    answered, after = merge.guarded_decrement(spark.createDataFrame(stock, "p string, available long"), df, ["p"], "available", "wanted", ["seq"], hot_rows)
+    verdicts, left = taken_in_order(stock, asked)
+    found = answered.collect()
+    assert {r.seq: r.accepted for r in found} == verdicts and len(found) == 250
+    assert {r.p: r.available for r in after.collect()} == left
+
+
+def test_no_requests_leave_the_stock(spark):
+    stock = spark.createDataFrame([("a", 5)], "p string, available long")
+    none = spark.createDataFrame([], "p string, seq int, wanted long")
+    answered, after = merge.guarded_decrement(stock, none, ["p"], "available", "wanted", ["seq"])
+    assert answered.isEmpty() and rows(after) == [("a", 5)]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_transition(spark, hot_rows):
+    state = spark.createDataFrame([(1, "pending"), (2, "shipped"), (3, "pending"), (4, None)], "id int, status string")
+    asked = spark.createDataFrame([(1, 2), (1, 1), (2, 3), (7, 4), (None, 5), (4, 6)], "id int, seq int")
+    answered, after = merge.transition(asked, state, "id", "status", "pending", "confirmed", ["seq"], hot_rows)
+    assert [r.verdict for r in answered.orderBy("seq").collect()] == [
+        "OK", "INVALID_STATUS:confirmed", "INVALID_STATUS:shipped", "NOT_FOUND", "NOT_FOUND", "INVALID_STATUS:NULL",
+    ]
+    assert rows(after) == [(1, "confirmed"), (2, "shipped"), (3, "pending"), (4, None)]
 
 
 DIM = "dim_sk string, nk int, name string, effective_from date, effective_to date, is_current boolean"

@@ -39,6 +39,14 @@ def test_staged_customers(spark):
     assert (staged[5].is_active, staged[1].is_new_customer) == (0, 0)
 
 
+def test_two_default_addresses_make_one_customer(spark):
+    homes = seed.addresses(spark).unionByName(spark.createDataFrame([(1, "Huế", "VN", True)], "customer_id long, city string, country string, is_default boolean"))
+    staged = [r.city for r in warehouse.stg_customers(seed.customers(spark), homes, now()).collect() if r.customer_nk == 1]
+    assert staged == ["Hà Nội"] or staged == ["Huế"]
+    dated = homes.withColumn("id", F.when(F.col("city") == "Huế", 9).otherwise(1))
+    assert [r.city for r in warehouse.stg_customers(seed.customers(spark), dated, now()).collect() if r.customer_nk == 1] == ["Huế"]
+
+
 def test_staged_orders(spark):
     orders = seed.orders(spark)
     assert warehouse.stg_orders(orders).count() == 4

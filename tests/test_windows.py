@@ -101,6 +101,13 @@ def test_ntile(rows, tiles, count):
     same(actual, some.withColumn("t", F.ntile(tiles).over(w)))
 
 
+@pytest.mark.parametrize("down", [True, False])
+def test_ntile_with_nulls(rows, down):
+    some = rows.select("id", F.when(F.col("id") % 3 != 0, F.col("v")).alias("v"))
+    w = Window.orderBy(F.desc("v") if down else F.asc("v"), "id")
+    same(ranking.with_ntile(some, [("v", down), ("id", False)], 4, "t"), some.withColumn("t", F.ntile(4).over(w)))
+
+
 def test_ntile_of_nothing(rows):
     assert ranking.with_ntile(rows.filter("v < 0"), [("v", False), ("id", False)], 5, "t").count() == 0
 
