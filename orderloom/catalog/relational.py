@@ -14,7 +14,7 @@ from orderloom.functions.amounts import cents, from_cents, total_cents
 from orderloom.functions.text import masked_email
 from orderloom.operators import joins, paging, ranking, windows
 from orderloom.operators.aggregates import distinct_counts
-from orderloom.operators.hierarchy import descend, descend_in_sql
+from orderloom.operators.hierarchy import below, descend
 from orderloom.operators.merge import update_where
 from orderloom.operators.scd import scd2_initial, scd2_merge
 from orderloom.plans.warehouse import days_covering, dim_date, sales_by_order, sales_lines
@@ -1327,12 +1327,12 @@ def _(t):
     """,
 )
 def _(t):
-    """The small tree of places walked by a recursive query, with the customers at each place."""
+    """The tree of places below one node, with the customers at each place."""
     places = place_tree(t).filter("id NOT LIKE 'c%'")
     world = F.coalesce("parent_id", F.lit("world")).alias("parent_id")
     top = places.select(F.lit("world").alias("id"), F.lit(None).cast("string").alias("parent_id")).distinct()
     tree = places.select("id", world).unionByName(top)
     per_nation = t.customer.groupBy(F.concat(F.lit("n"), "c_nationkey").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    return descend_in_sql(tree, "world").join(per_nation, "id", "left").select(
+    return below(tree, "world").join(per_nation, "id", "left").select(
         "id", "depth", F.coalesce("n", F.lit(0)).alias("customers")
     )

@@ -2,36 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from orderloom.operators.joins import one_value, range_join
 from orderloom.operators.ranking import with_position
 from orderloom.operators.windows import running
-from orderloom.session import new_folder
+from orderloom.session import cut
 
 PATH_SEPARATOR = " > "
 
 
-def _by_levels(spark: SparkSession, first: DataFrame, step, label: str, max_depth: int | None) -> DataFrame:
-    """``first`` and what ``step`` makes of each level in turn, until a level is empty.
+def _chains(
+    nodes: DataFrame, key: str, parent: str, element: Column, max_depth: int | None = None, missing: Column | None = None
+) -> DataFrame:
+    """Each node with ``_chain``: the ``element`` of itself, its parent and so on to the last ancestor.
 
-    Every level goes to a folder of its own under one root, read as one table with
-    the level as ``depth``. So a plan is one join deep and the result one scan,
-    however deep the tree is.
+    After round k a chain has its first 2**k members and knows the id that comes next; one join appends the chain of
+    that id. So a tree of depth d takes log2(d) rounds, each written once, and no round looks at a single level. A chain that meets
+    itself, in a cycle, ends before the first repeat. A parent that is no node ends it too, with ``missing``
+    (made of the id ``_up``) as the last member if that is given.
     """
-    root, depth = new_folder(spark, label), 0
-    level = first
+    table, reach = nodes.select("*", F.array(element).alias("_chain"), F.col(parent).alias("_up")), 1
     while True:
-        path = f"{root}/depth={depth}"
-        level.write.parquet(path)
-        level = spark.read.schema(first.schema).parquet(path)
-        if depth == max_depth or level.isEmpty():
-            break
-        level, depth = step(level), depth + 1
-    columns = StructType([*first.schema.fields, StructField("depth", IntegerType())])
-    return spark.read.schema(columns).parquet(root)
+        above = table.select(F.col(key).alias("_above"), F.col("_chain").alias("_more"), F.col("_up").alias("_next"))
+        joined = table.join(above, F.col("_up") == F.col("_above"), "left")
+        nothing = F.col("_chain") if missing is None else F.when(F.col("_up").isNull(), F.col("_chain")).otherwise(F.array_append("_chain", missing))
+        whole = F.when(F.col("_above").isNull(), nothing).otherwise(F.concat("_chain", "_more"))
+        grown = joined.withColumn("_whole", whole).withColumn("_chain", F.array_distinct("_whole"))
+        goes_on = F.when(F.size("_chain") == F.size("_whole"), F.col("_next"))
+        grown = grown.select(*nodes.columns, "_chain", goes_on.alias("_up"))
+        seen = Observation()
+        watched = grown.observe(seen, F.count(F.when(F.col("_up").isNotNull(), 1)).alias("open"))
+        table, reach = cut(watched, "chains"), 2 * reach
+        if seen.get["open"] == 0 or (max_depth is not None and reach > max_depth):
+            return table.drop("_up")
 
 
 def _walk(
@@ -39,28 +44,21 @@ def _walk(
 ) -> DataFrame:
     """Nodes from ``start`` down, with ``depth``, ``path`` and for each step of it the id and a sort text."""
     columns = [key, parent, name]
-    tree = nodes.select(*columns)
     begin = F.col(parent).isNull() if start is None else start
+    tree = nodes.select(*columns, F.coalesce(begin, F.lit(False)).alias("_start"))
+    member = F.struct(F.col(key).alias("id"), F.col(name).alias("name"), F.col("_start").alias("start"))
+    chains = _chains(tree, key, parent, member, max_depth)
+    # A node lies below each start node in its chain, itself included.
+    starts = F.filter(F.sequence(F.lit(0), F.size("_chain") - 1), lambda i: F.get("_chain", i)["start"])
+    found = chains.select(*columns, "_chain", F.explode(starts).alias("depth"))
+    if max_depth is not None:
+        found = found.filter(F.col("depth") <= max_depth)
+    way = found.withColumn("_way", F.reverse(F.slice("_chain", F.lit(1), F.col("depth") + 1)))
+    nameless = F.exists("_way", lambda x: x["name"].isNull())
+    path = F.when(~nameless, F.array_join(F.transform("_way", lambda x: x["name"].cast("string")), PATH_SEPARATOR))
     # The id tells siblings of one name apart.
-    step = F.concat_ws("\u0002", F.col(name), F.col(key).cast("string"))
-    top = tree.filter(begin).select(
-        *columns, F.col(name).alias("path"), F.array(key).alias("_trail"), F.array(step).alias("_steps")
-    )
-
-    def below(level: DataFrame) -> DataFrame:
-        above = level.select(
-            F.col(key).alias("_above"), F.col("path").alias("_path"), F.col("_trail").alias("_seen"),
-            F.col("_steps").alias("_taken"),
-        )
-        found = tree.join(above, F.col(parent) == F.col("_above"))
-        return found.filter(~F.array_contains("_seen", F.col(key))).select(
-            *columns,
-            F.concat("_path", F.lit(PATH_SEPARATOR), F.col(name)).alias("path"),
-            F.array_append("_seen", F.col(key)).alias("_trail"),
-            F.array_append("_taken", step).alias("_steps"),
-        )
-
-    return _by_levels(nodes.sparkSession, top, below, "tree", max_depth)
+    steps = F.transform("_way", lambda x: F.concat_ws("\u0002", x["name"].cast("string"), x["id"].cast("string")))
+    return way.select(*columns, "depth", path.alias("path"), F.transform("_way", lambda x: x["id"]).alias("_trail"), steps.alias("_steps"))
 
 
 def descend(
@@ -73,31 +71,17 @@ def descend(
 ) -> DataFrame:
     """All nodes below ``start`` (default: the roots) with ``depth`` and ``path``.
 
-    One join per level. A node is not entered again on its own path, which ends cycles.
+    By doubling (see ``_chains``), so without a bound on levels or rows. A node is not entered again on its own path, which ends cycles.
     """
     return _walk(nodes, start, max_depth, key, parent, name).select(key, parent, name, "depth", "path")
 
 
-def descend_in_sql(nodes: DataFrame, root, key: str = "id", parent: str = "parent_id") -> DataFrame:
-    """The walk below one node as a recursive query, for small trees such as categories.
-
-    Spark ends a recursion of more than 100 levels or a million rows with an error
-    (``spark.sql.cteRecursionLevelLimit``, ``spark.sql.cteRecursionRowLimit``).
-    """
+def below(nodes: DataFrame, root, key: str = "id", parent: str = "parent_id") -> DataFrame:
+    """(id, parent_id, depth) of one node and all below it."""
     tree = nodes.select(F.col(key).alias("id"), F.col(parent).alias("parent_id"))
-    return nodes.sparkSession.sql(
-        """
-        WITH RECURSIVE below(id, parent_id, depth) AS (
-          SELECT id, parent_id, 0 FROM {tree} WHERE id = :root
-          UNION ALL
-          SELECT child.id, child.parent_id, below.depth + 1
-          FROM {tree} AS child JOIN below ON child.parent_id = below.id
-        )
-        SELECT id, parent_id, depth FROM below
-        """,
-        args={"root": root},
-        tree=tree,
-    )
+    chains = _chains(tree, "id", "parent_id", F.col("id"))
+    place = F.array_position("_chain", root).cast("int")
+    return chains.filter(place > 0).select("id", "parent_id", (place - 1).alias("depth"))
 
 
 def closure(
@@ -105,21 +89,13 @@ def closure(
 ) -> DataFrame:
     """All (ancestor, descendant, depth) pairs, each node with itself at depth 0.
 
-    Climbs one parent per round; rows that reached a root drop out of the next one,
-    and so do those back at a node they came through.
+    The chains of all nodes, by doubling; a node is no ancestor of itself by way of a cycle. A parent that is no node is an ancestor.
     """
-    up = nodes.select(F.col(key).alias("_child"), F.col(parent).alias("_parent")).filter("_parent IS NOT NULL")
-    own = F.col(key)
-    first = nodes.select(own.alias("ancestor"), own.alias("descendant"), F.array(own).alias("_trail"))
-
-    def climb(level: DataFrame) -> DataFrame:
-        climbed = level.join(up, F.col("ancestor") == F.col("_child"))
-        new = climbed.filter(~F.array_contains("_trail", F.col("_parent")))
-        return new.select(
-            F.col("_parent").alias("ancestor"), "descendant", F.array_append("_trail", F.col("_parent")).alias("_trail")
-        )
-
-    return _by_levels(nodes.sparkSession, first, climb, "closure", max_depth).drop("_trail")
+    tree = nodes.select(F.col(key).alias("descendant"), F.col(parent).cast(nodes.schema[key].dataType).alias("_parent"))
+    chains = _chains(tree, "descendant", "_parent", F.col("descendant"), max_depth, F.col("_up"))
+    pairs = chains.select("descendant", F.posexplode("_chain").alias("depth", "ancestor"))
+    pairs = pairs if max_depth is None else pairs.filter(F.col("depth") <= max_depth)
+    return pairs.select("ancestor", "descendant", "depth")
 
 
 def ancestors_of(pairs: DataFrame, node) -> DataFrame:

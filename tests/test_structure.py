@@ -2,6 +2,7 @@
 
 import bisect
 import hashlib
+import random
 
 import pytest
 import seed
@@ -40,6 +41,40 @@ def test_a_deep_chain(spark):
     assert hierarchy.descend(chain).agg(F.max("depth"), F.count("id")).first() == (24, 25)
 
 
+def test_two_thousand_levels_take_few_rounds(spark, monkeypatch):
+    cuts, plain = [], hierarchy.cut
+    monkeypatch.setattr(hierarchy, "cut", lambda df, label: (cuts.append(label), plain(df, label))[1])
+    chain = spark.range(2000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"))
+    found = hierarchy.below(chain, 0)
+    assert found.agg(F.max("depth"), F.count("id"), F.sum("depth")).first() == (1999, 2000, 1999 * 1000)
+    assert len(cuts) <= 12
+
+
+@pytest.mark.parametrize("max_depth", [None, 0, 2, 5])
+def test_any_links_walked_as_by_hand(spark, max_depth):
+    """Trees, cycles, self links and parents that are no nodes, with nested start nodes."""
+    rnd = random.Random(9)
+    up = {i: rnd.choice([None, rnd.randrange(60), rnd.randrange(60), i, 99]) if i % 4 else rnd.randrange(60) for i in range(60)}
+    nodes = spark.createDataFrame([(i, p, f"n{i % 7}" if i % 13 else None) for i, p in up.items()], "id long, parent_id long, name string")
+    chains = {}
+    for i in up:
+        chain, at = [i], up[i]
+        while at is not None and at not in chain:
+            chain.append(at)
+            at = up.get(at)
+        chains[i] = chain if max_depth is None else chain[: max_depth + 1]
+    pairs = sorted((a, i, d) for i, c in chains.items() for d, a in enumerate(c))
+    assert sorted(tuple(r) for r in hierarchy.closure(nodes, max_depth).collect()) == pairs
+    starts = {i for i in up if i % 3 == 0}
+    walked = hierarchy.descend(nodes, F.col("id") % 3 == 0, max_depth).select("id", "depth").collect()
+    assert sorted(tuple(r) for r in walked) == sorted((i, d) for a, i, d in pairs if a in starts)
+
+
+def test_no_nodes(spark):
+    none = spark.createDataFrame([], "id long, parent_id long, name string")
+    assert hierarchy.closure(none).isEmpty() and hierarchy.descend(none).isEmpty()
+
+
 def test_nested_sets_with_gaps(spark):
     nested = seed.nested(spark)
     assert sorted(r.id for r in hierarchy.subtree(nested, F.col("id") == 1).collect()) == list(range(1, 9))
