@@ -198,6 +198,41 @@ def sliding(
     return seen.filter(F.col("_own").eqNullSafe(F.col("_block"))).drop("_own", "_block")
 
 
+def sliding_sums(
+    df: DataFrame,
+    keys: list[str],
+    at: str,
+    seconds: int,
+    sums: dict[str, Column],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Adds sums ``name -> value`` over the last ``seconds`` up to each row, ties included; NULL where all values are.
+
+    Most series take ``sliding``. In one with more than ``hot_rows`` rows the look-back alone may be more than a task
+    holds, so there each value enters at its time and leaves just after its range, changes of one moment are
+    added up first, and the sum is a running one, which splits the series into blocks. Whole numbers and
+    decimals come out the same either way; doubles up to rounding. Rows without a time see each other only.
+    """
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return sliding(df, keys, at, seconds, {n: F.sum(v) for n, v in sums.items()})
+    marked = mark_hot(df, hot, keys)
+    cold = sliding(marked.filter("_shares IS NULL").drop("_shares"), keys, at, seconds, {n: F.sum(v) for n, v in sums.items()})
+    busy = marked.filter("_shares IS NOT NULL").drop("_shares").withColumn("_t", F.unix_micros(F.col(at).cast("timestamp")))
+    amounts = {f"_v{i}": v for i, v in enumerate(sums.values())}
+    parts = {f"_c{i}": v.isNotNull().cast("long") for i, v in enumerate(sums.values())}
+    entering = busy.select(*keys, "_t", *[c.alias(n) for n, c in {**amounts, **parts}.items()])
+    leaving = entering.select(*keys, (F.col("_t") + seconds * 1_000_000 + 1).alias("_t"), *[(-F.col(n)).alias(n) for n in [*amounts, *parts]])
+    moments = entering.unionByName(leaving.filter("_t IS NOT NULL")).groupBy(*keys, "_t").agg(*[F.sum(n).alias(n) for n in [*amounts, *parts]])
+    swept = running(moments.filter("_t IS NOT NULL"), keys, ["_t"], {f"{n}_sum": F.coalesce(n, F.lit(0)) for n in [*amounts, *parts]}, hot_rows)
+    timeless = moments.filter("_t IS NULL").select("*", *[F.col(n).alias(f"{n}_sum") for n in [*amounts, *parts]])
+    values = [F.when(F.col(f"_c{i}_sum") > 0, F.col(f"_v{i}_sum")).alias(n) for i, n in enumerate(sums)]
+    totals = swept.unionByName(timeless).select(*keys, "_t", *values)
+    split = join_one_per_key(busy, totals, [*keys, "_t"], hot_rows=hot_rows).select(*df.columns, *sums)
+    same = [F.col(n).cast(split.schema[n].dataType).alias(n) if n in sums else F.col(n) for n in cold.columns]
+    return cold.select(*same).unionByName(split)
+
+
 def with_total(
     df: DataFrame,
     keys: list[str],

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators.merge import latest_per_key
-from orderloom.operators.skew import join_one_per_key
-from orderloom.operators.windows import previous, running, sliding
+from orderloom.operators.skew import HOT_ROWS, join_one_per_key
+from orderloom.operators.windows import previous, running, sliding_sums
 from orderloom.session import cut
 from orderloom.sources.batches import BatchTable
 
@@ -40,11 +40,11 @@ def counter_increase(samples: DataFrame, series: list[str], at: str, value: str,
 
 
 def counter_rate(
-    samples: DataFrame, series: list[str], at: str, value: str, tie: str, seconds: int
+    samples: DataFrame, series: list[str], at: str, value: str, tie: str, seconds: int, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Adds the increase over the last ``seconds`` and its rate per second at each sample."""
+    """Adds the increase over the last ``seconds`` and its rate per second at each sample; busy series are split."""
     stepped = counter_increase(samples, series, at, value, tie)
-    summed = sliding(stepped, series, at, seconds, {"increase_in_range": F.sum("increase")})
+    summed = sliding_sums(stepped, series, at, seconds, {"increase_in_range": F.col("increase")}, hot_rows)
     return summed.withColumn("rate", F.col("increase_in_range") / seconds)
 
 

@@ -1,5 +1,6 @@
 """Blocked windows against plain ones, with keys small enough to count as hot."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -93,6 +94,22 @@ def test_without_hot_keys_the_plan_is_the_plain_one(tables):
     assert plan.count("Exchange") == 1 and "Join" not in plan and "Union" not in plan
 
 
+@pytest.mark.parametrize("hot_rows", [1, 60, 10**6])
+def test_sliding_sums_split_busy_series(spark, hot_rows):
+    rnd = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    drawn = [(rnd.choice("aaaab"), rnd.choice([None, *range(40)]), i, rnd.choice([None, 1, 2, 5])) for i in range(200)]
+    drawn += [("n", s, 900 + s, None) for s in range(4)]
+    frame = spark.createDataFrame([(k, None if s is None else start + dt.timedelta(seconds=s), i, v) for k, s, i, v in drawn], "k string, at timestamp, id int, v long")
+
+    def expected(key, at):
+        seen = [v for k, s, _, v in drawn if k == key and v is not None and (s is None if at is None else s is not None and at - 7 <= s <= at)]
+        return sum(seen) if seen else None
+
+    found = windows.sliding_sums(frame.repartition(3), ["k"], "at", 7, {"s": F.col("v")}, hot_rows).collect()
+    assert {r.id: r.s for r in found} == {i: expected(k, s) for k, s, i, _ in drawn} and len(found) == len(drawn)
+
+
 @pytest.mark.parametrize("tiles, count", [(1, 400), (3, 400), (5, 400), (100, 30)])
 def test_ntile(rows, tiles, count):
     some = rows.drop("k").dropna().filter(F.col("id") < count)
