@@ -329,6 +329,37 @@ def _(t):
     return outbox.settle(outbox.requeue(rows), outcome, dates.instant(EVENTS_END)).select("id", "status", "retry_count")
 
 
+@query(
+    "v12_outbox_log",
+    f"""
+    WITH o AS (SELECT event_id, ts, {OUTBOX_STATUS} AS status, CASE WHEN event_type = 'error' THEN event_id % 5 ELSE 0 END AS tries FROM events),
+    a AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY status ORDER BY ts, event_id) AS place FROM o),
+    b AS (SELECT event_id, ts, CASE WHEN status <> 'pending' OR place > 130 THEN status WHEN place <= 50 THEN 'failed' ELSE 'published' END AS status,
+                 tries + CASE WHEN status = 'pending' AND place <= 50 THEN 1 ELSE 0 END AS tries FROM a),
+    c AS (SELECT event_id, ts, tries, CASE WHEN status = 'failed' AND tries < 3 THEN 'pending' ELSE status END AS status FROM b),
+    d AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY status ORDER BY ts, event_id) AS place FROM c)
+    SELECT event_id AS id, CASE WHEN status = 'pending' AND place <= 30 THEN 'published' ELSE status END AS status, CAST(tries AS INTEGER) AS retry_count FROM d
+    """,
+)
+def _(t):
+    """Batches drained into a log of outcomes: one fails, one is published, failed ones are tried again, oldest first."""
+    root, at = new_folder(t.spark, "outbox"), dates.instant(EVENTS_END)
+
+    def broken(messages):
+        raise ConnectionError("no broker")
+
+    def publish(messages):
+        topics.publish_files(messages, f"{root}/published")
+
+    table = outbox.OutboxLog(t.spark, f"{root}/table")
+    table.insert(outbox_of(t))
+    table.drain(broken, at, 50)
+    table.drain(publish, at, 80)
+    table.requeue(at)
+    table.drain(publish, at, 30)
+    return table.read().select("id", "status", "retry_count")
+
+
 @query(
     "v13_event_router",
     "SELECT 'shop.' || event_type AS topic, CAST(user_id AS VARCHAR) AS key, COUNT(*) AS messages FROM events GROUP BY 1, 2",

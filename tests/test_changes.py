@@ -10,7 +10,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from orderloom.session import new_folder
 from orderloom.sources import topics
-from orderloom.sources.snapshots import SnapshotTable
 from orderloom.streaming import changes, idempotency, late, metrics, outbox, readmodel, sinks
 
 ROW = StructType([StructField("id", LongType()), StructField("name", StringType())])
@@ -209,24 +208,47 @@ def outbox_rows(spark, n):
 
 
 def test_outbox(spark):
-    table = SnapshotTable(spark, new_folder(spark, "outbox"))
-    table.replace(outbox_rows(spark, 7))
-    path, now = new_folder(spark, "published"), F.lit("2024-06-01").cast("timestamp_ntz")
-    publish = lambda df: topics.publish_files(df, path)
-
-    def broken(_):
-        raise OSError("sink is down")
-
-    assert outbox.drain(table, broken, now, 3) == 3
-    assert table.read().filter("status = 'failed' AND retry_count = 1").count() == 3
-    assert outbox.drain(table, publish, now, 3) == 3
-    assert sorted(r.id for r in table.read().filter("status = 'published'").collect()) == [1, 2, 3]  # oldest first
-    table.replace(outbox.requeue(table.read()))
-    assert [outbox.drain(table, publish, now, 3) for _ in range(3)] == [3, 1, 0]
-    assert spark.read.json(path).count() == 7
-    assert {r.topic for r in spark.read.json(path).select("topic").distinct().collect()} == {"OrderCreated", "OrderPaid"}
-    assert outbox.purge(table.read(), F.lit("2024-07-01").cast("timestamp_ntz")).isEmpty()
-    assert outbox.purge(table.read(), now).count() == 7
+    path = new_folder(spark, "outbox")
+    table = outbox.OutboxLog(spark, path, grace_seconds=2)
+    table.insert(outbox_rows(spark, 7))
+    now, sent = F.lit("2024-06-01").cast("timestamp_ntz"), []
+
+    def broken(messages):
+        raise ConnectionError("no broker")
+
+    def publish(messages):
+        sent.extend(int(r.key) for r in messages.collect())
+
+    assert table.drain(broken, now, 3) == 3
+    states = {r.id: (r.status, r.retry_count) for r in table.read().collect()}
+    assert states == {i: ("failed", 1) if i > 3 else ("pending", 0) for i in range(7)}  # the last ids are the oldest
+    assert table.drain(publish, now, 3) == 3
+    assert table.requeue(now) == 3
+    late = outbox_rows(spark, 8).filter("id = 7").withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+    table.insert(late)
+    assert [table.drain(publish, now, 3) for _ in range(3)] == [3, 2, 0]
+    assert len(sent) == 8 and table.read().filter("status <> 'published'").isEmpty()
+    assert table.read().filter("retry_count = 1").count() == 3 and table.requeue(now) == 0
+    table.compact()
+    assert table.read().count() == 8 and table.drain(publish, now, 3) == 0
+    table.compact(purge_before=F.lit("2024-07-01").cast("timestamp_ntz"))
+    assert table.read().isEmpty()
+
+
+def test_draining_writes_what_the_batch_has(spark):
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    many = spark.range(200_000).select(
+        "id", F.lit("order").alias("aggregate_type"), F.lit("1").alias("aggregate_id"), F.lit("OrderPaid").alias("event_type"), F.lit("{}").alias("payload"),
+        F.lit("pending").alias("status"), F.lit(None).cast("timestamp_ntz").alias("published_at"), F.lit(0).alias("retry_count"),
+        (start + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("created_at"),
+    )
+    path = new_folder(spark, "outbox")
+    table = outbox.OutboxLog(spark, path)
+    table.insert(many)
+    for _ in range(2):
+        assert table.drain(lambda messages: None, start, 100) == 100
+    assert spark.read.parquet(f"{path}/outcomes").count() == 200
+    assert spark.read.json(f"{path}/base/versions").count() == 1
 
 
 HOUR = 3600
