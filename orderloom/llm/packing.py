@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm import kernels as K
-from orderloom.llm.tokens import byte_bpe
+from orderloom.llm.tokens import CACHE_WORDS, byte_bpe
 from orderloom.session import cut
 
 _KINDS = [
@@ -31,9 +31,9 @@ def binary_lengths(n: int, longest: int) -> list[int]:
     return [longest] * (n // longest) + [1 << i for i in reversed(range(longest.bit_length() - 1)) if n & (1 << i)]
 
 
-def _pieces(path: str, end_id: int, longest: int, with_ids: bool):
+def _pieces(path: str, end_id: int, longest: int, with_ids: bool, cache_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, tokens, placed = TaskContext.get().partitionId(), byte_bpe(path), Counter()
+        task, tokens, placed = TaskContext.get().partitionId(), byte_bpe(path, cache_words), Counter()
         for batch in K.chunks(batches, "text"):
             out = []
             encoded = tokens.ids([t or "" for t in batch.column("text").to_pylist()])
@@ -51,12 +51,15 @@ def _pieces(path: str, end_id: int, longest: int, with_ids: bool):
     return run
 
 
-def pack_by_powers(docs: DataFrame, vocabulary: str, end_id: int = 0, longest: int = 1024, with_ids: bool = True) -> DataFrame:
+def pack_by_powers(
+    docs: DataFrame, vocabulary: str, end_id: int = 0, longest: int = 1024, with_ids: bool = True, cache_words: int = CACHE_WORDS
+) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and the piece's ids.
 
     ``docs`` (doc_id, text) is encoded whole, ``end_id`` is put after each document.
     ``longest`` is a power of two. sequence_id counts from 0, bucket after bucket from the longest;
     offset is always 0. ids are little-endian unsigned 32-bit integers, null unless ``with_ids``.
+    ``cache_words`` bounds what a worker remembers of words it has encoded; it changes no result.
 
     Documents are encoded where they are read and written once with their place among the task's pieces of that length;
     the places of all tasks then follow from one count per task and length.
@@ -68,7 +71,7 @@ def pack_by_powers(docs: DataFrame, vocabulary: str, end_id: int = 0, longest: i
         raise ValueError("longest must be a power of two")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, _task int, _place long"
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pieces = cut(texts.mapInArrow(_pieces(vocabulary, end_id, longest, with_ids), schema), "pieces")
+    pieces = cut(texts.mapInArrow(_pieces(vocabulary, end_id, longest, with_ids, cache_words), schema), "pieces")
     counts = pieces.groupBy("length", "_task").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(F.desc("length"), "_task").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

@@ -29,7 +29,8 @@ class ByteBpe:
     text is encoded as it stands. Both give the library's ids for the whole text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        self.cache_words = cache_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs one task per core
         from tokenizers import Tokenizer
 
@@ -62,7 +63,7 @@ class ByteBpe:
         """Ids of each text as little-endian integers of ``kind``."""
         splits = [self._splits(t) for t in texts]
         parts = [t.split(" ") for t, s in zip(texts, splits) if s]
-        if len(self._new) > CACHE_WORDS:
+        if len(self._new) > self.cache_words:
             self._old, self._new = self._new, {}
         missing = set(chain.from_iterable(p[1:] for p in parts)).difference(self._new)
         kept = missing & self._old.keys()
@@ -76,6 +77,6 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def byte_bpe(path: str) -> ByteBpe:
-    """One tokenizer per worker and file."""
-    return ByteBpe(path)
+def byte_bpe(path: str, cache_words: int = CACHE_WORDS) -> ByteBpe:
+    """One tokenizer per worker, file and size of its memory of words."""
+    return ByteBpe(path, cache_words)
