@@ -15,6 +15,9 @@ from orderloom.llm.suffix_dedup import remove_repeats
 from orderloom.llm.tokens import vocabulary
 from orderloom.session import cut
 
+#: Words that a worker remembers while packing: it may still hold what the earlier stages left.
+CACHE_WORDS = 120_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -54,7 +57,7 @@ def without_test_items(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of at most 1024 ids with their ids, one sequence each."""
-    return pack_by_powers(docs, vocabulary("byte_bpe_50k.json"))
+    return pack_by_powers(docs, vocabulary("byte_bpe_50k.json"), cache_words=CACHE_WORDS)
 
 
 STAGES: list[tuple[str, Stage]] = [
