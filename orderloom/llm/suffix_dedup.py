@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm import kernels as K
-from orderloom.llm.parcels import gathered, packed, unpacked
+from orderloom.llm.parcels import from_planes, gathered, packed, planes, unpacked
 from orderloom.llm.suffix_sort import Suffixes
 from orderloom.llm.scratch import Scratch
 from orderloom.session import cut
@@ -90,11 +90,12 @@ def _sender(buckets: int):
             rows = []
             for b in full.tolist():
                 mine = records[order[cuts[b] : cuts[b + 1]]]
+                mine = mine[np.lexsort((mine["at"], mine["doc"]))]
                 used, mine["doc"] = np.unique(mine["doc"], return_inverse=True)
-                rows.append((b, ids[used].tobytes(), marks[used].tobytes(), packed(mine), b""))
+                rows.append((b, planes(ids[used]), marks[used].tobytes(), packed(mine), b""))
             if len(done):
                 used, done["doc"] = np.unique(done["doc"], return_inverse=True)
-                rows.append((int(ids[used[0]]) % buckets, ids[used].tobytes(), marks[used].tobytes(), b"", packed(done)))
+                rows.append((int(ids[used[0]]) % buckets, planes(ids[used]), marks[used].tobytes(), b"", packed(done)))
             columns = list(zip(*rows)) or [()] * 5
             kinds = [pa.int64(), *[pa.binary()] * 4]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "ids", "marks", "seeds", "done"])
@@ -112,7 +113,7 @@ def _meeting(hot_contexts: int):
     def met(table: pa.Table) -> pa.Table:
         seeds, spans = [], []
         for ids, marks, sent, done in zip(*(table.column(c).to_pylist() for c in ("ids", "marks", "seeds", "done"))):
-            ids, marks = np.frombuffer(ids, np.int64), np.frombuffer(marks, np.int64)
+            ids, marks = from_planes(ids, np.int64), np.frombuffer(marks, np.int64)
             for raw, kind, to in ((sent, _RECORD, seeds), (done, _SPAN, spans)):
                 if raw:
                     rows = unpacked(raw, kind)

@@ -365,6 +365,41 @@ def test_compact_windows_are_those_of_the_definition():
     assert got == want
 
 
+def test_stretches_of_pairs_by_counting_places():
+    """Where two hash functions cover a place, and how far their windows move it."""
+    from orderloom.llm.passages import AGREE, TOKENS, _regions
+
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        met = [
+            (pair, int(rng.integers(0, 4)), int(rng.integers(0, 300)), int(rng.integers(0, 300)), int(rng.integers(TOKENS, 120)))
+            for pair in range(int(rng.integers(0, 5))) for _ in range(int(rng.integers(1, 10)))
+        ]
+        expected = []
+        for pair in sorted({m[0] for m in met}):
+            mine = [m[1:] for m in met if m[0] == pair]
+            covered = [len({by for by, at, _, size in mine if at <= x < at + size}) >= AGREE for x in range(500)]
+            edges = [x for x in range(1, 500) if covered[x] != covered[x - 1]]
+            edges = [0, *edges] if covered[0] else edges
+            for a, b in zip(edges[::2], edges[1::2]):
+                moved = [other - at for _, at, other, size in mine if at < b and at + size > a]
+                first = max(0, a + min(moved))
+                if b - a >= TOKENS:
+                    expected.append((pair, a, b - a, first, b + max(moved) - first))
+        columns = np.array(met, np.int64).reshape(-1, 5).T
+        assert [tuple(map(int, r)) for r in zip(*_regions(*columns))] == expected
+
+
+def test_records_in_planes_come_back():
+    from orderloom.llm import parcels
+
+    kind = np.dtype([("a", "<u8"), ("b", "<u2"), ("c", "u1")])
+    for n in (0, 1, 1000):
+        rows = np.frombuffer(np.random.default_rng(n).bytes(n * kind.itemsize), kind)
+        assert (parcels.unpacked(parcels.packed(rows), kind) == rows).all()
+        assert (parcels.from_planes(parcels.planes(rows["a"]), np.uint64) == rows["a"]).all()
+
+
 def test_passages(spark):
     passage, rows = prose(77, 60), []
     for i in range(1, 41):
