@@ -153,22 +153,25 @@ def _(t):
 
 
 def _report(t):
-    now = dates.instant(AS_OF)
-    known = t.orders.filter("o_totalprice >= 1000")
+    """One pass over each checked table; orders below 1000 count as unknown, so that there are orphans."""
+    stuck = (F.col("o_orderstatus") == "P") & (F.col("o_orderdate") < dates.instant(AS_OF) - F.expr("INTERVAL 7 DAYS"))
     return quality.report(
         [
-            quality.check("CHECK 1", "Orphaned lines", quality.orphans(t.lineitem, known, "l_orderkey", "o_orderkey")),
-            quality.check("CHECK 2", "Negative order totals", t.orders.filter("o_totalprice < 0")),
+            quality.check("CHECK 1", "Orphaned lines", quality.orphans(t.lineitem, t.orders.filter("o_totalprice >= 1000"), "l_orderkey", "o_orderkey")),
+            quality.table_checks(
+                t.orders,
+                [
+                    quality.Rule("CHECK 2", "Negative order totals", F.col("o_totalprice") < 0),
+                    quality.Rule("CHECK 5", "Orders stuck pending", stuck, "WARN"),
+                ],
+                quality.Reference("CHECK 4", "Orders without customer", "o_custkey", t.customer, "c_custkey"),
+            ),
             quality.check("CHECK 3", "Duplicate customer names", quality.duplicate_keys(t.customer, ["c_name"])),
-            quality.check("CHECK 4", "Orders without customer", quality.orphans(t.orders, t.customer, "o_custkey", "c_custkey")),
-            quality.check(
-                "CHECK 5",
-                "Orders stuck pending",
-                t.orders.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderdate") < now - F.expr("INTERVAL 7 DAYS"))),
-                "WARN",
+            quality.table_checks(
+                t.part,
+                [quality.Rule("CHECK 6", "Products with invalid price", F.col("p_retailprice").isNull() | (F.col("p_retailprice") <= 0))],
             ),
-            quality.check("CHECK 6", "Products with invalid price", t.part.filter("p_retailprice IS NULL OR p_retailprice <= 0")),
-            quality.check("CHECK 7", "Failed events", t.events.filter("event_type = 'error'"), "WARN"),
+            quality.table_checks(t.events, [quality.Rule("CHECK 7", "Failed events", F.col("event_type") == "error", "WARN")]),
         ]
     )
 

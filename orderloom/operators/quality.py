@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,55 @@ def check_count(check_id: str, description: str, counted: DataFrame, level: str
     )
 
 
+class Rule(NamedTuple):
+    """A check of single rows: those that meet ``condition`` are issues."""
+
+    check_id: str
+    description: str
+    condition: Column
+    level: str = "FAIL"
+
+
+class Reference(NamedTuple):
+    """A check of a key: rows whose non-null ``child_key`` is no ``parent_key`` of ``parent`` are issues."""
+
+    check_id: str
+    description: str
+    child_key: str
+    parent: DataFrame
+    parent_key: str
+    level: str = "FAIL"
+
+
+def table_checks(df: DataFrame, rules: list[Rule], reference: Reference | None = None) -> DataFrame:
+    """One row per rule, and one for the reference, from a single pass over the table.
+
+    With a reference the rows are counted per key first, which combines on the map side, so one busy key costs no
+    more than others; then one row per key meets the parent's keys, which may repeat.
+    """
+    checks = [*rules, *([reference] if reference else [])]
+    names = [f"_n{i}" for i in range(len(checks))]
+    counts = [F.count_if(r.condition).alias(n) for r, n in zip(rules, names)]
+    if reference is None:
+        wide = df.agg(*counts)
+    else:
+        key = F.col(reference.child_key).alias("_child")
+        per_key = df.groupBy(key).agg(*counts, F.count(F.lit(1)).alias("_rows"))
+        known = reference.parent.groupBy(F.col(reference.parent_key).alias("_parent")).agg(F.lit(True).alias("_known"))
+        met = per_key.join(known, F.col("_child") == F.col("_parent"), "left")
+        lost = F.when(F.col("_child").isNotNull() & F.col("_known").isNull(), F.col("_rows"))
+        wide = met.agg(*[F.sum(n).alias(n) for n in names[:-1]], F.sum(lost).alias(names[-1]))
+    rows = []
+    for entry, name in zip(checks, names):
+        issues = F.coalesce(F.col(name), F.lit(0)).cast("long")
+        result = F.when(issues == 0, "PASS").otherwise(entry.level)
+        rows.append(F.struct(
+            F.lit(entry.check_id).alias("check_id"), F.lit(entry.description).alias("description"),
+            result.alias("result"), issues.alias("issue_count"),
+        ))
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.operators.skew import join_one_per_key
+from orderloom.operators.skew import HOT_ROWS, join_one_per_key
+from orderloom.operators.windows import numbered, running
 from orderloom.session import cut
 
 # monotonically_increasing_id keeps the partition above bit 33 and the row below.
@@ -104,18 +105,34 @@ def with_ranks(
     rank: str = "rank",
     dense_rank: str = "dense_rank",
     tiles: dict[str, int] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds ROW_NUMBER, RANK, DENSE_RANK and NTILEs (``name -> tiles``) over the whole table.
 
-    The row number is the position in the sorted table and tells the tile. Tied
-    rows share the smallest of theirs, and the distinct values have a position of
-    their own. No assumption is made on how ``value`` is spread.
+    Only the distinct values are sorted as a whole, each with its number of rows: running sums over them
+    are the rank and the dense rank. The row number is the rank and the place among the rows with the same value, in order of
+    ``tie``. So the rows are shuffled once, by value, where the value's row comes first and hands on what it knows.
+    The rows of a value that more than ``hot_rows`` share are split. NULLs are first ascending, last descending.
     """
     by = F.col(value).desc() if descending else F.col(value).asc()
-    placed, total = _placed(df, [by, F.col(tie)], row_number)
-    values = placed.groupBy(value).agg(F.min(row_number).alias(rank))
-    ranked = join_one_per_key(placed, with_position(values, [by], dense_rank), [value])
-    return ranked.withColumns({n: tile_at(F.col(row_number), total, k) for n, k in (tiles or {}).items()})
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
+    upto = running(counted, [], [by], {"_upto": F.col("_rows"), "_dense": F.lit(1)})
+    ranks = upto.select(value, "_rows", (F.col("_upto") - F.col("_rows") + 1).alias("_rank"), "_dense")
+    values = cut(ranks, "values")
+    total, most = values.agg(F.sum("_rows"), F.max("_rows")).first()
+    if (most or 0) > hot_rows:
+        hot = values.filter(F.col("_rows") > hot_rows).select(value, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_shares"))
+        inside = numbered(df, [value], [tie], "_place", hot_rows=hot_rows, hot=hot)
+        ranked = join_one_per_key(inside, values, [value], hot_rows=hot_rows, hot=hot)
+    else:
+        both = df.withColumn("_is_row", F.lit(True)).unionByName(values.withColumn("_is_row", F.lit(False)), allowMissingColumns=True)
+        window = Window.partitionBy(value).orderBy("_is_row", tie)
+        known = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        told = {n: F.first(n).over(known) for n in ("_rank", "_dense")}
+        ranked = both.withColumns({"_place": F.row_number().over(window) - 1, **told}).filter("_is_row")
+    number = F.col("_rank") + F.col("_place") - 1
+    tiled = [tile_at(number, total or 0, k).alias(n) for n, k in (tiles or {}).items()]
+    return ranked.select(*df.columns, number.alias(row_number), F.col("_rank").alias(rank), F.col("_dense").alias(dense_rank), *tiled)
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rn") -> DataFrame:

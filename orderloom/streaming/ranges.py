@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.skew import HOT_ROWS, hot_keys
 from orderloom.operators.windows import previous, running
+from orderloom.session import cut
 
 
 def parse_ranges(df: DataFrame, column: str) -> DataFrame:
@@ -34,22 +36,24 @@ def _ends(ranges: DataFrame, keys: list[str], held: str, other: str) -> DataFram
     )
 
 
-def subtract_ranges(have: DataFrame, lack: DataFrame, keys: list[str]) -> DataFrame:
+def subtract_ranges(have: DataFrame, lack: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Maximal ranges covered by ``have`` and not by ``lack``, per ``keys``.
 
     A sweep over range ends: ends are netted per point first, so adjacent ranges
     (or single numbers) melt together before anything is sorted, and no number
-    inside a range is ever spelled out.
+    inside a range is ever spelled out. The netted ends are written once, and one count of
+    them tells all three sweeps which keys to split.
     """
     points = _ends(have, keys, "_a", "_b").unionByName(_ends(lack, keys, "_b", "_a"))
     netted = points.groupBy(*keys, "at").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
-    turns = netted.filter("_a <> 0 OR _b <> 0")
-    covered = running(turns, keys, ["at"], {"_in_a": F.col("_a"), "_in_b": F.col("_b")})
+    turns = cut(netted.filter("_a <> 0 OR _b <> 0"), "turns")
+    hot = hot_keys(turns, keys, hot_rows)
+    covered = running(turns, keys, ["at"], {"_in_a": F.col("_a"), "_in_b": F.col("_b")}, hot_rows, hot)
     marked = covered.select(*keys, "at", ((F.col("_in_a") > 0) & (F.col("_in_b") <= 0)).alias("_missing"))
     # Turns inside a missing stretch (ranges of ``have`` that touch) do not end it.
-    stepped = previous(marked, keys, ["at"], {"_missing": "_was"})
+    stepped = previous(marked, keys, ["at"], {"_missing": "_was"}, hot_rows, hot)
     edges = stepped.filter(F.col("_missing") != F.coalesce("_was", F.lit(False)))
-    closed = previous(edges, keys, ["at"], {"at": "low", "_missing": "_open"})
+    closed = previous(edges, keys, ["at"], {"at": "low", "_missing": "_open"}, hot_rows, hot)
     return closed.filter("_open").select(*keys, "low", (F.col("at") - 1).alias("high"))
 
 

@@ -237,6 +237,20 @@ def test_checks_and_summary(spark):
     assert (total.passed, total.failed, total.warned, total.overall) == (1, 1, 1, "SOME CHECKS FAILED")
 
 
+def test_checks_of_one_table_read_it_once(spark, tmp_path):
+    spark.createDataFrame([(1, 5), (1, -1), (2, None), (3, -2), (None, 4)], "k int, v int").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    parent = spark.createDataFrame([(1,), (1,), (None,)], "id int")
+    rules = [quality.Rule("C1", "negative", F.col("v") < 0), quality.Rule("C2", "missing", F.col("v").isNull(), "WARN"), quality.Rule("C3", "large", F.col("v") > 9)]
+    found = quality.table_checks(rows, rules, quality.Reference("C4", "orphans", "k", parent, "id"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    expected = [("C1", "negative", "FAIL", 2), ("C2", "missing", "WARN", 1), ("C3", "large", "PASS", 0), ("C4", "orphans", "FAIL", 2)]
+    assert sorted(map(tuple, found.collect())) == expected
+    assert sorted(map(tuple, quality.table_checks(rows, rules).collect())) == expected[:3]
+    nothing = quality.table_checks(rows.filter("k > 9"), rules, quality.Reference("C4", "orphans", "k", parent, "id"))
+    assert [(r.result, r.issue_count) for r in nothing.collect()] == [("PASS", 0)] * 4
+
+
 def test_nulls_count_in_dependencies(spark):
     rows = spark.createDataFrame([("a", None), ("a", "x"), ("b", None), ("b", None), ("c", "y")], "k string, v string")
     assert [r.k for r in quality.violates_dependency(rows, ["k"], "v").collect()] == ["a"]

@@ -129,20 +129,29 @@ def test_ntile_of_nothing(rows):
     assert ranking.with_ntile(rows.filter("v < 0"), [("v", False), ("id", False)], 5, "t").count() == 0
 
 
-def test_position_and_ranks(rows):
-    actual = ranking.with_ranks(rows.drop("k"), "v", "id", tiles={"t7": 7, "t900": 900})
-    w = Window.orderBy(F.desc("v"))
+@pytest.mark.parametrize("hot_rows", [10**9, 1])
+@pytest.mark.parametrize("down", [True, False])
+def test_position_and_ranks(rows, down, hot_rows):
+    some = rows.select("id", F.when(F.col("id") % 5 != 0, F.col("v")).alias("v"))
+    actual = ranking.with_ranks(some, "v", "id", down, tiles={"t7": 7, "t900": 900}, hot_rows=hot_rows)
+    by = F.desc("v") if down else F.asc("v")
+    w, total = Window.orderBy(by), Window.orderBy(by, "id")
     expected = (
-        rows.drop("k")
-        .withColumn("row_number", F.row_number().over(Window.orderBy(F.desc("v"), "id")))
+        some.withColumn("row_number", F.row_number().over(total))
         .withColumn("rank", F.rank().over(w))
         .withColumn("dense_rank", F.dense_rank().over(w))
-        .withColumn("t7", F.ntile(7).over(Window.orderBy(F.desc("v"), "id")))
-        .withColumn("t900", F.ntile(900).over(Window.orderBy(F.desc("v"), "id")))
+        .withColumn("t7", F.ntile(7).over(total))
+        .withColumn("t900", F.ntile(900).over(total))
     )
     same(actual, expected)
 
 
+def test_ranks_of_nothing_and_their_plan(rows):
+    assert ranking.with_ranks(rows.filter("v < 0"), "v", "id", tiles={"t": 3}).count() == 0
+    plan = ranking.with_ranks(rows, "v", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_top_per_key_beyond_the_threshold(rows, spark):
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", 5)
     try:
