@@ -17,6 +17,7 @@ from orderloom.operators import merge, quality, scd
 from orderloom.plans import marts, warehouse
 from orderloom.session import new_folder
 from orderloom.sources import tables as files
+from orderloom.sources.increments import IncrementTable
 from orderloom.sources.snapshots import SnapshotTable, WatermarkStore
 
 
@@ -527,6 +528,29 @@ def _(t):
     return materialise(source.withColumn("origin", F.lit("later")), "orders_model", "incremental", root, ["o_orderkey"])
 
 
+@query(
+    "w21_increments",
+    """
+    WITH runs AS (SELECT *, CAST(epoch_us(ts) // 86400000000 AS BIGINT) AS day FROM events),
+    last AS (SELECT user_id, event_type, event_id, CAST(value AS DECIMAL(14,2)) AS value, day,
+                    ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY day % 6 DESC, ts DESC, event_id DESC) AS rn FROM runs)
+    SELECT user_id, event_type, event_id, value, CASE WHEN day % 6 >= 3 THEN event_id END AS noted FROM last WHERE rn = 1
+    """,
+)
+def _(t):
+    """Every sixth day of events in a run of its own, the last event per user and type each; from the fourth run on
+    there is one column more. The last run is repeated under its tag and counts once."""
+    rows = t.events.withColumn("_day", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000))
+    table = IncrementTable(t.spark, new_folder(t.spark, "increments"), ["user_id", "event_type"])
+    for run in [0, 1, 2, 3, 4, 5, 5]:
+        brought = rows.filter(F.pmod("_day", F.lit(6)) == run)
+        brought = merge.latest_per_key(brought, ["user_id", "event_type"], ["ts", "event_id"])
+        columns = ["user_id", "event_type", "event_id", money("value").alias("value")]
+        noted = [F.col("event_id").alias("noted")] if run >= 3 else []
+        table.append(brought.select(*columns, *noted), tag=f"run {run}")
+    return table.read()
+
+
 @query(
     "w22_accumulating_fulfilment",
     """

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from orderloom.operators.merge import align, upsert
-from orderloom.sources.snapshots import SnapshotTable
+from orderloom.sources.increments import IncrementTable
 
 MODES = ("view", "table", "ephemeral", "incremental")
 
@@ -20,8 +19,8 @@ def materialise(
 ) -> DataFrame:
     """Keeps ``df`` as a view, a replaced table, an upserted table, or not at all.
 
-    ``incremental`` needs unique ``keys``; new columns are added or refused by
-    ``on_schema_change`` (``append_new_columns`` or ``fail``).
+    ``incremental`` needs unique ``keys``, writes only what ``df`` holds and merges on read; new columns are
+    added or refused by ``on_schema_change`` (``append_new_columns`` or ``fail``).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -30,9 +29,9 @@ def materialise(
     if mode == "view":
         df.createOrReplaceTempView(name)
         return df.sparkSession.table(name)
-    table = SnapshotTable(df.sparkSession, f"{root}/{name}")
-    if mode == "incremental" and table.exists():
-        incoming, current = align(df, table.read(), on_schema_change)
-        df = upsert(current, incoming, keys)
-    table.replace(df)
+    table = IncrementTable(df.sparkSession, f"{root}/{name}", keys or [])
+    if mode == "table":
+        table.replace(df)
+    else:
+        table.append(df, on_schema_change=on_schema_change)
     return table.read()

@@ -18,7 +18,8 @@ VERSION_SCHEMA = "version long, folder string, tag string, written_at timestamp"
 MARK_SCHEMA = "name string, last_processed timestamp_ntz, written_at timestamp"
 
 
-def _rows(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+def read_rows(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The rows of JSON files; None if there is no such folder."""
     try:
         return spark.read.schema(schema).json(path)
     except AnalysisException as error:
@@ -39,7 +40,7 @@ class SnapshotTable:
         self.path = path.rstrip("/")
 
     def _latest(self):
-        versions = _rows(self.spark, f"{self.path}/versions", VERSION_SCHEMA)
+        versions = read_rows(self.spark, f"{self.path}/versions", VERSION_SCHEMA)
         return None if versions is None else versions.orderBy(F.desc("version")).first()
 
     def exists(self) -> bool:
@@ -54,7 +55,7 @@ class SnapshotTable:
         if version is None:
             row = self._latest()
         else:
-            versions = _rows(self.spark, f"{self.path}/versions", VERSION_SCHEMA)
+            versions = read_rows(self.spark, f"{self.path}/versions", VERSION_SCHEMA)
             row = versions.filter(F.col("version") == version).first()
         if row is None:
             raise FileNotFoundError(f"no such version in {self.path}")
@@ -79,7 +80,7 @@ class WatermarkStore:
         self.path = path
 
     def get(self, name: str) -> dt.datetime | None:
-        marks = _rows(self.spark, self.path, MARK_SCHEMA)
+        marks = read_rows(self.spark, self.path, MARK_SCHEMA)
         if marks is None:
             return None
         row = marks.filter(F.col("name") == name).orderBy(F.desc("written_at")).first()

@@ -12,6 +12,7 @@ from orderloom.operators import merge, scd
 from orderloom.operators.quality import row_checksums
 from orderloom.plans.materialise import materialise
 from orderloom.session import new_folder
+from orderloom.sources.increments import IncrementTable
 from orderloom.sources.snapshots import SnapshotTable, WatermarkStore
 from orderloom.sources.tables import merge_partitions, write_by
 
@@ -265,3 +266,59 @@ def test_keys_and_checksums_tell_bars_apart(spark):
     rows = spark.createDataFrame([("a|b", "c", 1), ("a", "b|c", 2), (None, "-", 3), ("-", None, 4), ("1:a", "", 5), ("1", ":a", 6)], "x string, y string, n int")
     assert rows.select(surrogate_key(F.col("x"), F.col("y")).alias("k")).distinct().count() == 6
     assert rows.select(F.concat(*[c.cast("string") for c in row_checksums(F.col("x"), F.col("y"))])).distinct().count() == 6
+
+
+def increments(spark, **options):
+    return IncrementTable(spark, new_folder(spark, "inc"), ["k"], **options)
+
+
+def keyed(spark, pairs, kind="k string, v int"):
+    return spark.createDataFrame(pairs, kind)
+
+
+def test_a_run_writes_its_own_rows_only(spark):
+    table = increments(spark)
+    table.append(spark.range(100_000).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v")))
+    for run in range(1, 4):
+        table.append(keyed(spark, [(str(run), run), (f"new {run}", run)]), tag=f"r{run}")
+    assert [(e.base, e.row_count) for e in table.log()] == [(True, 100_000), (False, 2), (False, 2), (False, 2)]
+    folders = [f"{table.path}/rows/_run={e.run}" for e in table.log()[1:]]
+    assert [spark.read.parquet(f).inputFiles().__len__() for f in folders] == [1, 1, 1]
+    assert table.read().count() == 100_003
+    assert {(r.k, r.v) for r in table.read().filter("v > 0").collect()} == {(k, n) for n in (1, 2, 3) for k in (str(n), f"new {n}")}
+    assert {(r.k, r.v) for r in table.find([("2",), ("7",), ("new 3",), ("absent",)]).collect()} == {("2", 2), ("7", 0), ("new 3", 3)}
+    assert "BroadcastHashJoin" in table.read()._jdf.queryExecution().executedPlan().toString()  # the base is not shuffled
+
+
+def test_runs_and_folds_give_the_same_table(spark):
+    rng = random.Random(5)
+    tables = [increments(spark, share=s, most_runs=n) for s, n in ((0.01, 50), (10**9, 50), (10**9, 2))]
+    expected = {}
+    for run in range(4):
+        rows = {rng.choice(["a", "b", "c", "d", None, ""]): rng.choice([None, *range(9)]) for _ in range(3)}
+        expected.update(rows)
+        for table in tables:
+            table.append(keyed(spark, list(rows.items())), tag=str(run))
+            assert not table.append(keyed(spark, [("a", -1)]), tag=str(run))
+    for table in tables:
+        assert {(r.k, r.v) for r in table.read().collect()} == set(expected.items())
+        table.compact()
+        assert {(r.k, r.v) for r in table.read().collect()} == set(expected.items())
+        assert not table.append(keyed(spark, [("a", -1)]), tag="0")  # tags outlive a fold
+        found = {(r.k, r.v) for r in table.find([(None,), ("b",)]).collect()}
+        assert found == {(k, v) for k, v in expected.items() if k in (None, "b")}
+
+
+def test_runs_with_repeated_keys_or_other_columns(spark):
+    table = increments(spark)
+    table.append(keyed(spark, []))  # an empty run makes an empty table
+    with pytest.raises(ValueError):
+        table.append(keyed(spark, [("a", 1), ("a", 2)]))
+    assert table.read().isEmpty()
+    table.append(keyed(spark, [("a", 1), ("a", 2), ("b", 3)]), latest_by=["v"])
+    table.append(keyed(spark, [("a", "x")], "k string, more string"))
+    table.append(keyed(spark, [("c", 7)], "k string, v long"))  # stored in the table's type
+    assert {tuple(r) for r in table.read().collect()} == {("a", None, "x"), ("b", 3, None), ("c", 7, None)}
+    assert table.read().dtypes == [("k", "string"), ("v", "int"), ("more", "string")]
+    with pytest.raises(ValueError):
+        table.append(keyed(spark, [("a", 1, 2)], "k string, v int, w int"), on_schema_change="fail")
