@@ -18,7 +18,7 @@ from orderloom.operators.hierarchy import below, descend
 from orderloom.operators.merge import update_where
 from orderloom.operators.scd import scd2_initial, scd2_merge
 from orderloom.plans.warehouse import days_covering, dim_date, sales_by_order, sales_lines
-from orderloom.session import new_folder
+from orderloom.session import cut, new_folder
 from orderloom.sources import tables as files
 
 
@@ -964,7 +964,7 @@ def _(t):
 
 @query("n3_ntile", UNITS_SQL + "SELECT product, units, CAST(NTILE(4) OVER (ORDER BY units DESC, product) AS INTEGER) AS quartile FROM sold")
 def _(t):
-    return ranking.with_ntile(units_sold(t), [("units", True), ("product", False)], 4, "quartile")
+    return ranking.with_ntile(cut(units_sold(t), "units"), [("units", True), ("product", False)], 4, "quartile")
 
 
 @query(

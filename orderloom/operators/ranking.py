@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from orderloom.operators.skew import HOT_ROWS, join_one_per_key
 from orderloom.operators.windows import numbered, running
@@ -11,6 +14,10 @@ from orderloom.session import cut
 
 # monotonically_increasing_id keeps the partition above bit 33 and the row below.
 ROW_BITS = 33
+# Quantiles asked of a sketch, whose error is a quarter of their distance.
+GRID = 512
+# So many rows are sorted in one task; more are range-partitioned.
+FEW = 200_000
 
 
 def _sorted_cut(df: DataFrame, order: list[Column | str]) -> tuple[DataFrame, list[tuple[int, int]]]:
@@ -75,25 +82,134 @@ def _sum(terms: list[Column]) -> Column:
     return _sum(terms[:middle]) + _sum(terms[middle:])
 
 
-def with_ntile(df: DataFrame, order: list[tuple[str, bool]], tiles: int, name: str) -> DataFrame:
-    """Adds NTILE(``tiles``) over a total order; ``True`` marks descending. NULLs are first ascending, last descending.
+def _grid(df: DataFrame, name: str) -> Column:
+    """A mergeable sketch's quantiles of a column, NULL where there is no such sketch (texts)."""
+    kind = df.schema[name].dataType
+    if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return F.lit(None).cast("int")
+    # As text: five hundred literals take seconds to build one by one.
+    parts = ", ".join(f"{i / GRID}D" for i in range(GRID + 1))
+    return F.expr(f"percentile_approx(`{name.replace('`', '``')}`, array({parts}), {4 * GRID})")
 
-    Only the order columns are sorted, to find the row that opens each tile. Those
-    few rows become constants, so the full rows are neither sorted nor joined.
-    """
+
+def _around(grid: list, values: int, total: int, descending: bool, positions: list[int]) -> list:
+    """Cut points on both sides of the positions, each pair about 1 % of the rows apart."""
+    cuts = set()
+    for position in positions:
+        place = values - 1 - position if descending else position - (total - values)
+        if 0 <= place < values:
+            step = place * GRID // values
+            cuts |= {grid[i] for i in (step - 2, step + 3) if 0 <= i <= GRID}
+    return sorted(c for c in cuts if c == c)
+
+
+def _bin(df: DataFrame, name: str, cuts: list) -> Column:
+    """-1 for NULL, 2k + 1 for the k-th cut point itself, 2k for what lies below it."""
+    value, kind = F.col(name), df.schema[name].dataType
+    points = [F.lit(c).cast(kind) for c in cuts]
+    steps = [test.cast("int") for p in points for test in (value > p, value >= p)]
+    return F.when(value.isNull(), F.lit(-1)).otherwise(_sum([F.lit(0), *steps]))
+
+
+def _rows_at(df: DataFrame, order: list[tuple[str, bool]], positions: list[int], total: int) -> list[tuple]:
+    """The order values of the rows at these places of the sorted rows, of which there are ``total``."""
     columns = [F.col(c).desc() if down else F.col(c).asc() for c, down in order]
-    stored, sizes = _sorted_cut(df.select(*[c for c, _ in order]), columns)
-    total = sum(rows for _, rows in sizes)
-    small, larger = divmod(total, tiles)
-    openings = [tile * small + min(tile, larger) for tile in range(1, tiles)]
-    wanted, seen, waiting = [], 0, [o for o in openings if o < total]
+    chosen = df.select(*[c for c, _ in order])
+    if total <= FEW:
+        placed = chosen.withColumn("_pos", F.row_number().over(Window.orderBy(*columns)) - 1)
+        return [tuple(row)[:-1] for row in placed.filter(F.col("_pos").isin(positions)).orderBy("_pos").collect()]
+    stored, sizes = _sorted_cut(chosen, columns)
+    wanted, seen, waiting = [], 0, sorted(positions)
     for part, rows in sizes:
         while waiting and waiting[0] < seen + rows:
             wanted.append((part << ROW_BITS) + waiting.pop(0) - seen)
         seen += rows
-    found = stored.filter(F.col("_pos").isin(wanted)).orderBy("_pos").collect() if wanted else []
-    passed = [_at_or_after(order, [row[c] for c, _ in order]).cast("int") for row in found]
-    return df.withColumn(name, _sum([F.lit(1), *passed]))
+    return [tuple(row)[:-1] for row in stored.filter(F.col("_pos").isin(wanted)).orderBy("_pos").collect()]
+
+
+def _openings(
+    df: DataFrame, orders: list[list[tuple[str, bool]]], positions_of: list[Callable[[int], list[int]]]
+) -> list[dict[int, tuple]]:
+    """For each order the order values of the rows at some positions, which may depend on the number of rows.
+
+    One pass sketches the leading columns, a second one counts exactly between cut points on both sides of
+    the positions. Only the rows of the bins that hold a position are then sorted; a bin of equal values goes on
+    with the next column in the same way. The sketch only decides how many rows that are, not which are found.
+    """
+    leads = [order[0][0] for order in orders]
+    row = df.agg(F.count(F.lit(1)), *[F.count(n) for n in leads], *[_grid(df, n) for n in leads]).first()
+    total, values, grids = row[0], row[1 : 1 + len(leads)], row[1 + len(leads) :]
+    asked = [of(total) for of in positions_of]
+    if not any(asked):
+        return [{} for _ in orders]
+    cuts = [
+        _around(grid, n, total, order[0][1], positions) if grid else []
+        for grid, n, order, positions in zip(grids, values, orders, asked)
+    ]
+    bins = [_bin(df, name, points) for name, points in zip(leads, cuts)]
+    counted = df.select(F.posexplode(F.array(*bins)).alias("which", "bin")).groupBy("which", "bin").count().collect()
+    found = []
+    for which, (order, positions, points) in enumerate(zip(orders, asked, cuts)):
+        sizes = sorted(((r.bin, r["count"]) for r in counted if r.which == which), reverse=order[0][1])
+        places, seen = {}, 0
+        for bin_, rows in sizes:
+            inside = [p for p in positions if seen <= p < seen + rows]
+            if inside:
+                places[bin_] = (rows, {p: p - seen for p in inside})
+            seen += rows
+        found.append(_in_bins(df, order, bins[which], points, places))
+    return found
+
+
+def _in_bins(df: DataFrame, order: list[tuple[str, bool]], bin_of: Column, points: list, places: dict) -> dict[int, tuple]:
+    found, together, before = {}, {}, 0
+    few = sum(rows for rows, _ in places.values()) <= FEW
+    for bin_, (rows, inside) in places.items():
+        same = bin_ % 2 == 1  # NULL is -1
+        value = points[bin_ // 2] if same and bin_ > 0 else None
+        if same and len(order) == 1:
+            found.update({p: (value,) for p in inside})
+        elif same and not few:
+            at = list(inside.values())
+            rest = _openings(df.filter(bin_of == bin_), [order[1:]], [lambda _, at=at: at])[0]
+            found.update({p: (value, *rest[i]) for p, i in inside.items()})
+        else:
+            together[bin_] = {p: before + i for p, i in inside.items()}
+            before += rows
+    if together:
+        where = {p: i for inside in together.values() for p, i in inside.items()}
+        chosen = df.filter(bin_of.isin(list(together)))
+        found.update(zip(sorted(where), _rows_at(chosen, order, sorted(where.values()), before)))
+    return found
+
+
+def with_ntiles(df: DataFrame, tiled: dict[str, tuple[list[tuple[str, bool]], int]]) -> DataFrame:
+    """Adds several NTILEs, ``name -> (order, tiles)``, each over a total order; ``True`` marks descending.
+
+    NULLs are first ascending, last descending. The rows that open a tile are found by refining quantiles
+    (``_openings``) and become constants, so no column is sorted as a whole and the rows are not joined. ``df`` is read
+    a few times: give it as a stored table.
+    """
+
+    def opening(tiles: int) -> Callable[[int], list[int]]:
+        def positions(total: int) -> list[int]:
+            small, larger = divmod(total, tiles)
+            return [p for tile in range(1, tiles) if (p := tile * small + min(tile, larger)) < total]
+
+        return positions
+
+    orders = [order for order, _ in tiled.values()]
+    found = _openings(df, orders, [opening(tiles) for _, tiles in tiled.values()])
+    columns = {}
+    for name, order, rows in zip(tiled, orders, found):
+        passed = [_at_or_after(order, rows[p]).cast("int") for p in sorted(rows)]
+        columns[name] = _sum([F.lit(1), *passed])
+    return df.withColumns(columns)
+
+
+def with_ntile(df: DataFrame, order: list[tuple[str, bool]], tiles: int, name: str) -> DataFrame:
+    """One NTILE; see ``with_ntiles``."""
+    return with_ntiles(df, {name: (order, tiles)})
 
 
 def with_ranks(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import rules
 from orderloom.functions.amounts import total_cents
-from orderloom.operators.ranking import with_ntile
+from orderloom.operators.ranking import with_ntiles
 from orderloom.session import cut
 
 
@@ -24,10 +24,14 @@ def rfm_measures(sales: DataFrame, customer: str, as_of: Column) -> DataFrame:
 
 def rfm_segments(measures: DataFrame, customer: str) -> DataFrame:
     """Scores by fifths, cell, total and segment; the customer key breaks ties."""
-    scored = cut(measures, "rfm")  # the three rankings below read it
-    scored = with_ntile(scored, [("recency_days", True), (customer, False)], 5, "r_score")
-    scored = with_ntile(scored, [("frequency", False), (customer, False)], 5, "f_score")
-    scored = with_ntile(scored, [("monetary", False), (customer, False)], 5, "m_score")
+    scored = with_ntiles(
+        cut(measures, "rfm"),
+        {
+            "r_score": ([("recency_days", True), (customer, False)], 5),
+            "f_score": ([("frequency", False), (customer, False)], 5),
+            "m_score": ([("monetary", False), (customer, False)], 5),
+        },
+    )
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.withColumns(
         {

@@ -110,8 +110,14 @@ def test_sliding_sums_split_busy_series(spark, hot_rows):
     assert {r.id: r.s for r in found} == {i: expected(k, s) for k, s, i, _ in drawn} and len(found) == len(drawn)
 
 
+@pytest.fixture(params=[10_000, 40])
+def few(request, monkeypatch):
+    """Bins are sorted in one task, in partitions, or either."""
+    monkeypatch.setattr(ranking, "FEW", request.param)
+
+
 @pytest.mark.parametrize("tiles, count", [(1, 400), (3, 400), (5, 400), (100, 30)])
-def test_ntile(rows, tiles, count):
+def test_ntile(rows, tiles, count, few):
     some = rows.drop("k").dropna().filter(F.col("id") < count)
     actual = ranking.with_ntile(some, [("v", True), ("id", False)], tiles, "t")
     w = Window.orderBy(F.desc("v"), "id")
@@ -119,12 +125,42 @@ def test_ntile(rows, tiles, count):
 
 
 @pytest.mark.parametrize("down", [True, False])
-def test_ntile_with_nulls(rows, down):
+def test_ntile_with_nulls(rows, down, few):
     some = rows.select("id", F.when(F.col("id") % 3 != 0, F.col("v")).alias("v"))
     w = Window.orderBy(F.desc("v") if down else F.asc("v"), "id")
     same(ranking.with_ntile(some, [("v", down), ("id", False)], 4, "t"), some.withColumn("t", F.ntile(4).over(w)))
 
 
+def test_ntiles_of_several_types(spark, few):
+    some = spark.range(500).select(
+        "id",
+        F.when(F.col("id") % 7 > 0, F.col("id") % 3).cast("string").alias("text"),
+        F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 50).cast("double").alias("number"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 90).cast("int")).alias("day"),
+        (F.col("id") % 11).cast("decimal(12,2)").alias("amount"),
+    )
+    tiled = {f"t_{c}": ([(c, i % 2 == 0), ("id", True)], 4 + i) for i, c in enumerate(["text", "number", "day", "amount"])}
+    expected = some
+    for name, (order, tiles) in tiled.items():
+        w = Window.orderBy(*[F.desc(c) if down else F.asc(c) for c, down in order])
+        expected = expected.withColumn(name, F.ntile(tiles).over(w))
+    same(ranking.with_ntiles(some, tiled), expected)
+
+
+def test_ntile_sorts_only_the_rows_around_its_openings(spark, monkeypatch):
+    """A third of the rows share a value; of the other ones few are sorted."""
+    sorted_rows = []
+    rows_at = ranking._rows_at
+    monkeypatch.setattr(ranking, "_rows_at", lambda df, order, at, n: sorted_rows.append(n) or rows_at(df, order, at, n))
+    monkeypatch.setattr(ranking, "FEW", 1000)
+    some = spark.range(200_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.xxhash64("id")).alias("v"))
+    tiled = ranking.with_ntile(some, [("v", False), ("id", False)], 5, "t")
+    counts = {r.t: (r.n, r.low, r.high) for r in tiled.groupBy("t").agg(F.count("id").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    assert {n for n, _, _ in counts.values()} == {40_000}
+    assert all(counts[i][2] <= counts[i + 1][1] for i in range(1, 5))
+    assert 0 < sum(sorted_rows) < 200_000 * 4 // 50
+
+
 def test_ntile_of_nothing(rows):
     assert ranking.with_ntile(rows.filter("v < 0"), [("v", False), ("id", False)], 5, "t").count() == 0
 
