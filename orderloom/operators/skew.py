@@ -1,7 +1,8 @@
 """Keys that hold too many rows for one task.
 
 A key is hot when it has more than ``HOT_ROWS`` rows. They are looked for first,
-with a count that combines on the map side. There are at most (all rows /
+with a sketch of frequent key hashes that every task fills and a few tasks merge: the keys themselves are not
+shuffled. Only keys that the sketch holds for hot are counted exactly. There are at most (all rows /
 HOT_ROWS) of them however large the table is, so the list is small enough to
 fetch and to broadcast. Mostly there are none, and then the plain plan is used.
 """
@@ -17,13 +18,42 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from orderloom.session import cut
 
 HOT_ROWS = 5_000_000
+#: Items a sketch keeps count of, and tasks that merge those of all tasks before the last one does.
+TRACKED = 65_536
+MERGERS = 64
 #: Stands for hot keys that have not been looked for yet.
 LOOK = "look"
 
 
+def _may_be_hot(df: DataFrame, keys: list[str], hot_rows: int) -> list[int] | None:
+    """Hashes of the keys that may have more than ``hot_rows`` rows; None where the sketch could miss one.
+
+    The sketch's estimates are never below the true number, and it leaves out no item with more than 2 * 3.5 / size of all
+    rows, where its size is at least TRACKED / 0.75.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias("h"), F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger"))
+    # Sketches cannot be combined where there are none: one row more, which may at most add a candidate.
+    one = df.sparkSession.range(1).select(F.col("id").alias("h"), F.lit(0).alias("merger"))
+    parts = hashed.unionByName(one).groupBy("merger").agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("s"), F.count("h").alias("n"))
+    whole = parts.agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(s, {TRACKED})").alias("s"))
+    items = F.filter(F.expr(f"approx_top_k_estimate(s, {TRACKED})"), lambda i: i["count"] > hot_rows)
+    row = whole.select("n", items["item"].alias("hashes")).first()
+    rows = row.n or 0
+    if rows <= hot_rows:
+        return []
+    return list(row.hashes) if rows * 6 <= TRACKED * hot_rows else None
+
+
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The hot keys, with the number of shares of ``hot_rows`` each makes (``_shares``); None if there are none."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    """The hot keys, with the number of shares of ``hot_rows`` each makes (``_shares``); None if there are none.
+
+    Beyond the rows for which the sketch is sure (some 5 * 10^10 at the default) all keys are counted exactly.
+    """
+    hashes = _may_be_hot(df, keys, hot_rows)
+    if hashes == []:
+        return None
+    near = df if hashes is None else df.filter(F.xxhash64(*keys).isin(hashes))
+    counted = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
     shares = F.ceil(F.col("_rows") / hot_rows).cast("int")
     found = counted.select(*keys, shares.alias("_shares")).collect()
     if not found:

@@ -2,12 +2,13 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderloom.operators import ranking, windows
+from orderloom.operators import ranking, skew, windows
 from orderloom.operators.skew import hot_keys, join_one_per_key
 
 
@@ -87,6 +88,26 @@ def test_hot_keys_are_listed_with_their_shares(rows):
     assert hot_keys(rows, ["k"]) is None
 
 
+@pytest.mark.parametrize("tracked", [65_536, 16])
+def test_hot_keys_are_those_of_a_full_count(spark, monkeypatch, tracked):
+    """Sketches that are sure, and (16 items for 3,000 keys) some that are not."""
+    monkeypatch.setattr(skew, "TRACKED", tracked)
+    rnd = random.Random(8)
+    drawn = [(None if key % 5 == 0 else f"k{key}", key % 3) for key in (int(rnd.paretovariate(0.6)) % 3000 for _ in range(6000))]
+    frame = spark.createDataFrame(drawn, "a string, b int").repartition(7)
+    counts = Counter(drawn)
+    for hot_rows in (1, 5, 100, 10**6):
+        found = hot_keys(frame, ["a", "b"], hot_rows)
+        expected = {(*key, -(-n // hot_rows)) for key, n in counts.items() if n > hot_rows}
+        assert {tuple(r) for r in (found.collect() if found else [])} == expected
+    assert hot_keys(frame.limit(0), ["a"], 1) is None
+
+
+def test_keys_are_not_shuffled_to_find_hot_ones(rows):
+    assert skew._may_be_hot(rows, ["id"], 1000) == []
+    assert len(skew._may_be_hot(rows, ["k"], 150)) == 1
+
+
 def test_without_hot_keys_the_plan_is_the_plain_one(tables):
     orders, sums = tables.orders, {"s": F.col("o_totalprice")}
     summed = windows.running(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], sums)
