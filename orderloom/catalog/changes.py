@@ -197,6 +197,31 @@ def _(t):
     return changes.live_rows(changes.apply_changes(state, behind, ["user_id"]))
 
 
+@query(
+    "v6_bootstrap_modes",
+    f"""
+    WITH {LOG_CTE}, start AS (SELECT ts_ms AS s_ms, pos AS s_pos FROM log WHERE ts_ms < epoch_ms(TIMESTAMP '{STOP_AT}') ORDER BY ts_ms DESC, pos DESC LIMIT 1),
+    placed AS (SELECT *, (ts_ms, pos) > (s_ms, s_pos) AS behind FROM log, start),
+    runs AS (SELECT 'initial' AS mode, * FROM placed UNION ALL SELECT 'schema_only', * FROM placed WHERE behind UNION ALL SELECT 'never', * FROM placed),
+    ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY mode, user_id ORDER BY ts_ms DESC, pos DESC) AS rn FROM runs)
+    SELECT mode, user_id, value, k FROM ranked WHERE rn = 1 AND op <> 'd'
+    """,
+)
+def _(t):
+    """A snapshot at a time of the log: loaded, left out, or left out with the log from its beginning."""
+    log = log_of(t)
+    stop = F.unix_millis(F.lit(STOP_AT).cast("timestamp"))
+    start = log.filter(F.col("ts_ms") < stop).agg(F.max(F.struct("ts_ms", "pos")).alias("p")).first().p
+    empty = log.limit(0).select("user_id", "value", "k")
+    snapshot = changes.replay(empty, log, ["user_id"], stop, "ts_ms")
+    ends = []
+    for mode in ("initial", "schema_only", "never"):
+        state, todo = changes.bootstrap(snapshot, log, mode, start.ts_ms, start.pos)
+        end = changes.live_rows(changes.apply_changes(state, todo, ["user_id"]))
+        ends.append(end.select(F.lit(mode).alias("mode"), "user_id", "value", "k"))
+    return reduce(DataFrame.unionByName, ends)
+
+
 @query(
     "v7_route_tables",
     "SELECT 'shopdb.shop_db.' || event_type AS topic, COUNT(*) AS messages, COUNT(DISTINCT user_id) AS keys FROM events GROUP BY 1",
@@ -210,12 +235,15 @@ def _(t):
     )
 
 
-@query(
-    "v8_dead_letters",
-    f"""
+DEAD_SQL = f"""
     WITH {LOG_CTE} SELECT op, COUNT(*) AS readable, CAST(0 AS BIGINT) AS dead FROM log WHERE op <> 'r' GROUP BY op
     UNION ALL SELECT 'dead', CAST(0 AS BIGINT), COUNT(*) FROM log WHERE op = 'r'
-    """,
+"""
+
+
+@query(
+    "v8_dead_letters",
+    DEAD_SQL,
 )
 def _(t):
     """Messages of type r arrive broken: cut off in the middle. The rest is decoded."""
@@ -229,6 +257,25 @@ def _(t):
     )
 
 
+@query("v8_dead_letters_of_a_stream", DEAD_SQL)
+def _(t):
+    """The same messages as a stream: dead ones to a folder of their own, change rows to another, batch by batch."""
+    path = new_folder(t.spark, "dead-letters")
+    messages = changes.to_envelopes(log_of(t, event_stream(t)), "shop_db", "users")
+    broken = F.get_json_object("value", "$.payload.op") == "r"
+    arrived = messages.select(F.when(broken, F.expr("left(value, 40)")).otherwise(F.col("value")).alias("value"))
+
+    def keep(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{path}/good/batch={batch_id}")
+
+    writer = changes.dead_letter_writer(f"{path}/dead", keep)
+    stream = changes.parse_envelopes(arrived, ROW).writeStream.foreachBatch(writer).option("checkpointLocation", f"{path}/checkpoint")
+    stream.trigger(availableNow=True).start().awaitTermination()
+    good = t.spark.read.parquet(f"{path}/good").groupBy("op").agg(F.count(F.lit(1)).alias("readable"), F.lit(0).cast("long").alias("dead"))
+    dead = t.spark.read.text(f"{path}/dead").agg(F.lit("dead").alias("op"), F.lit(0).cast("long").alias("readable"), F.count(F.lit(1)).alias("dead"))
+    return good.unionByName(dead.filter("dead > 0"))
+
+
 @query(
     "v9_source_lag",
     f"""
@@ -285,6 +332,21 @@ def _(t):
     return ranges.subtract_ranges(have, lack, ["source"])
 
 
+@query(
+    "v11_parsed_ranges",
+    """
+    SELECT event_type AS source, event_id AS low, event_id + user_id % 3 AS high FROM events
+    UNION ALL SELECT event_type, event_id + 10, event_id + 10 FROM events UNION ALL SELECT 'other', event_id, event_id FROM events
+    """,
+)
+def _(t):
+    """Sets of ids as text, such as ``click:5-7:15,other:5``, read back as ranges."""
+    first = F.concat_ws("-", F.col("event_id"), F.col("event_id") + F.col("user_id") % 3)
+    mine = F.concat_ws(":", F.upper("event_type"), first, F.col("event_id") + 10)
+    texts = t.events.select(F.concat(mine, F.lit(", other:"), F.col("event_id").cast("string")).alias("ids"))
+    return ranges.parse_ranges(texts, "ids")
+
+
 OUTBOX_STATUS = "CASE WHEN event_type IN ('click', 'view') THEN 'published' WHEN event_type = 'error' THEN 'failed' ELSE 'pending' END"
 
 

@@ -408,6 +408,20 @@ def _(t):
     return joins.count_pairs(t.customer, ["c_nationkey", "c_mktsegment"]).select("c_nationkey", "c_mktsegment", "pairs")
 
 
+@query(
+    "j5_partners_of_one",
+    """
+    SELECT b.c_custkey, b.c_nationkey, b.c_mktsegment FROM customer a JOIN customer b USING (c_nationkey, c_mktsegment)
+    WHERE a.c_custkey = (SELECT MAX(c_custkey) FROM customer) AND b.c_custkey <> a.c_custkey
+    """,
+)
+def _(t):
+    """The pairs of one customer, the newest."""
+    people = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    newest = people.agg(F.max("c_custkey")).first()[0]
+    return joins.partners_of(people, ["c_nationkey", "c_mktsegment"], "c_custkey", newest)
+
+
 @query(
     "j6_five_table_join",
     """

@@ -14,11 +14,12 @@ from orderloom.functions import dates
 from orderloom.functions.amounts import total_cents
 from orderloom.functions.keys import surrogate_key
 from orderloom.operators import merge, quality, scd
-from orderloom.plans import marts, warehouse
+from orderloom.plans import marts, migration, warehouse
 from orderloom.session import new_folder
 from orderloom.sources import tables as files
 from orderloom.sources.increments import IncrementTable
 from orderloom.sources.snapshots import SnapshotTable, WatermarkStore
+from orderloom.streaming import changes
 
 
 @query(
@@ -261,6 +262,26 @@ def _(t):
     )
 
 
+@query(
+    "w7_scd2_close_missing",
+    f"""
+    WITH {SNAPSHOTS_CTE}
+    SELECT b.customer_nk, b.segment, DATE '{FIRST_LOAD}' AS effective_from,
+           CASE WHEN a.segment IS DISTINCT FROM b.segment THEN DATE '{SECOND_LOAD}' END AS effective_to,
+           a.segment IS NOT DISTINCT FROM b.segment AS is_current
+    FROM cust_before b LEFT JOIN cust_after a USING (customer_nk)
+    UNION ALL
+    SELECT a.customer_nk, a.segment, DATE '{SECOND_LOAD}', CAST(NULL AS DATE), TRUE
+    FROM cust_after a LEFT JOIN cust_before b USING (customer_nk) WHERE b.segment IS DISTINCT FROM a.segment
+    """,
+)
+def _(t):
+    """Customers that the second snapshot lacks end with it."""
+    first = scd.scd2_initial(t.customers_before, "customer_nk", F.lit(FIRST_LOAD))
+    second = scd.scd2_merge(first, t.customers_after, "customer_nk", ["segment"], F.lit(SECOND_LOAD), close_missing=True)
+    return second.select("customer_nk", "segment", "effective_from", "effective_to", "is_current")
+
+
 @query(
     "w8_scd1_overwrite",
     f"""
@@ -311,6 +332,13 @@ def _(t):
     return scd.diff(t.customers_before.select(*columns), t.customers_after.select(*columns), "customer_nk", "customers")
 
 
+@query("w10_applied_diff", f"WITH {SNAPSHOTS_CTE} SELECT customer_nk, segment FROM cust_after")
+def _(t):
+    """The audit rows between two snapshots, applied to the older one, give the newer one."""
+    before, after = (df.select("customer_nk", "segment") for df in (t.customers_before, t.customers_after))
+    return scd.apply_diff(before, scd.diff(before, after, "customer_nk", "customers"), "customer_nk")
+
+
 @query(
     "w11_surrogate_hash_key",
     f"SELECT p_partkey, {key_sql('p_type', 'p_brand', 'CASE WHEN p_size > 25 THEN p_size END')} AS sk FROM part",
@@ -433,19 +461,55 @@ def _(t):
 
 
 @query(
-    "w17_daily_sales",
+    "w16_online_migration",
     f"""
+    WITH t AS ({TARGET_SQL}), s AS ({SOURCE_SQL})
+    SELECT o_orderkey, COALESCE(s.o_orderstatus, t.o_orderstatus) AS status, COALESCE(s.amount, t.amount) AS amount,
+           year(COALESCE(s.o_orderdate, t.o_orderdate)) AS placed_in FROM t FULL JOIN s USING (o_orderkey)
+    """,
+)
+def _(t):
+    """A table moved to another layout while changes arrive; switched because it equals the changed source."""
+    target, source = merge_sides(t)
+    table = SnapshotTable(t.spark, new_folder(t.spark, "migration"))
+    table.replace(target)
+    log = source.select("*", F.lit("u").alias("op"), F.lit(1).cast("long").alias("ts_ms"), F.col("o_orderkey").alias("pos"))
+    fresh = changes.live_rows(changes.apply_changes(table.read(), log, ["o_orderkey"]))
+
+    def layout(df):
+        renamed = df.withColumnsRenamed({"o_orderstatus": "status"})
+        return renamed.withColumn("placed_in", F.year("o_orderdate").cast("long")).drop("o_orderdate")
+
+    migration.migrate(table, layout, log, ["o_orderkey"], fresh)
+    return table.read()
+
+
+def daily_sales_sql(rows: str = "") -> str:
+    return f"""
     WITH {LINES_CTE}
     SELECT CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_key, product_nk, COUNT(*) AS orders_count, CAST(SUM(quantity) AS BIGINT) AS units_sold,
            CAST(SUM(gross_revenue) AS DECIMAL(16,2)) AS gross_revenue, CAST(SUM(net_revenue) AS DECIMAL(16,2)) AS net_revenue,
            CAST(FLOOR((2 * CAST(SUM(gross_revenue) * 100 AS BIGINT) + COUNT(*)) // (2 * COUNT(*))) / 100 AS DECIMAL(12,2)) AS avg_order_value
-    FROM lines GROUP BY 1, 2
-    """,
-)
+    FROM lines {rows} GROUP BY 1, 2
+    """
+
+
+@query("w17_daily_sales", daily_sales_sql())
 def _(t):
     return warehouse.daily_sales(lines_of(t))
 
 
+@query("w17_refreshed_day", daily_sales_sql("WHERE quantity <= 25 OR order_date = (SELECT MAX(order_date) FROM lines)"))
+def _(t):
+    """A table by day made when only the small lines were there, then the last day alone computed anew and replaced."""
+    path = new_folder(t.spark, "daily")
+    lines = lines_of(t)
+    files.write_by(warehouse.daily_sales(lines.filter("quantity <= 25")), path, "date_key")
+    last = lines.agg(F.max("order_date")).first()[0]
+    warehouse.refresh_daily_sales(lines, str(last), path)
+    return t.spark.read.parquet(path)
+
+
 @query(
     "w18_full_refresh",
     """
