@@ -198,6 +198,34 @@ def sliding(
     return seen.filter(F.col("_own").eqNullSafe(F.col("_block"))).drop("_own", "_block")
 
 
+def _sums_in_blocks(df: DataFrame, keys: list[str], at: str, seconds: int, sums: dict[str, Column]) -> DataFrame:
+    """``sliding_sums`` of series that fit a task, in time that grows with the rows and not with the rows in a range.
+
+    Time is cut into blocks as long as a range. The range up to a moment is the start of its own block up to there and the
+    end of the block before, so two running sums per block, one from each side, give every range; nothing is subtracted.
+    """
+    width = seconds * 1_000_000 + 1
+    timed = df.withColumn("_t", F.unix_micros(F.col(at).cast("timestamp")))
+    values = [f"_v{i}" for i in range(len(sums))]
+    moments = timed.groupBy(*keys, "_t").agg(*[F.sum(v).alias(n) for n, v in zip(values, sums.values())])
+    block = F.expr(f"(_t - pmod(_t, {width}L)) div {width}L")
+    # Each moment enters its block, and asks the block before for what lies in its range.
+    enters = F.struct(block.alias("_block"), F.col("_t").alias("_place"), F.lit(False).alias("_asks"))
+    asks = F.struct((block - 1).alias("_block"), (F.col("_t") - (width - 1)).alias("_place"), F.lit(True).alias("_asks"))
+    timeless = F.col("_t").isNull()
+    places = moments.withColumn("_at", F.explode(F.when(timeless, F.array(enters)).otherwise(F.array(enters, asks))))
+    placed = places.select(*keys, "_t", "_at.*", *[F.when(~F.col("_at._asks"), F.col(n)).alias(n) for n in values])
+    blocks = Window.partitionBy(*keys, "_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward, back = blocks.orderBy("_place", "_asks"), blocks.orderBy(F.desc("_place"), "_asks")
+    parts = placed.select(
+        *keys, "_t", *[F.when(F.col("_asks"), F.sum(n).over(back)).otherwise(F.sum(n).over(onward)).alias(n) for n in values]
+    )
+    kinds = df.select(*[F.sum(v).alias(n) for n, v in zip(values, sums.values())]).schema
+    whole = [F.sum(n).cast(kinds[n].dataType).alias(name) for n, name in zip(values, sums)]
+    totals = parts.groupBy(*keys, "_t").agg(*whole)
+    return join_one_per_key(timed, totals, [*keys, "_t"], hot=None).select(*df.columns, *sums)
+
+
 def sliding_sums(
     df: DataFrame,
     keys: list[str],
@@ -208,16 +236,16 @@ def sliding_sums(
 ) -> DataFrame:
     """Adds sums ``name -> value`` over the last ``seconds`` up to each row, ties included; NULL where all values are.
 
-    Most series take ``sliding``. In one with more than ``hot_rows`` rows the look-back alone may be more than a task
+    Most series take sums in blocks of time. In one with more than ``hot_rows`` rows a block alone may be more than a task
     holds, so there each value enters at its time and leaves just after its range, changes of one moment are
     added up first, and the sum is a running one, which splits the series into blocks. Whole numbers and
     decimals come out the same either way; doubles up to rounding. Rows without a time see each other only.
     """
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
-        return sliding(df, keys, at, seconds, {n: F.sum(v) for n, v in sums.items()})
+        return _sums_in_blocks(df, keys, at, seconds, sums)
     marked = mark_hot(df, hot, keys)
-    cold = sliding(marked.filter("_shares IS NULL").drop("_shares"), keys, at, seconds, {n: F.sum(v) for n, v in sums.items()})
+    cold = _sums_in_blocks(marked.filter("_shares IS NULL").drop("_shares"), keys, at, seconds, sums)
     busy = marked.filter("_shares IS NOT NULL").drop("_shares").withColumn("_t", F.unix_micros(F.col(at).cast("timestamp")))
     amounts = {f"_v{i}": v for i, v in enumerate(sums.values())}
     parts = {f"_c{i}": v.isNotNull().cast("long") for i, v in enumerate(sums.values())}

@@ -131,6 +131,18 @@ def test_sliding_sums_split_busy_series(spark, hot_rows):
     assert {r.id: r.s for r in found} == {i: expected(k, s) for k, s, i, _ in drawn} and len(found) == len(drawn)
 
 
+def test_sliding_sums_do_not_add_up_each_range_anew(spark):
+    """A frame that slides is summed up again at every row: time grew with the rows in a range."""
+    start = dt.datetime(2024, 1, 1)
+    frame = spark.createDataFrame([("a", start + dt.timedelta(seconds=s // 2), s, 0.5 * s) for s in range(60)], "k string, at timestamp_ntz, id int, v double")
+    summed = windows.sliding_sums(frame, ["k"], "at", 7, {"s": F.col("v"), "n": F.lit(1).cast("decimal(4,1)")})
+    assert "RangeFrame" not in summed._jdf.queryExecution().analyzed().toString()
+    assert [f.dataType.simpleString() for f in summed.schema[-2:]] == ["double", "decimal(14,1)"]
+    for r in summed.collect():
+        seen = [0.5 * s for s in range(60) if r.id // 2 - 7 <= s // 2 <= r.id // 2]
+        assert r.s == sum(seen) and r.n == len(seen)
+
+
 @pytest.fixture(params=[10_000, 40])
 def few(request, monkeypatch):
     """Bins are sorted in one task, in partitions, or either."""
