@@ -77,7 +77,8 @@ def merge_partitions(
         write_by(latest_per_key(rows, keys, latest_by) if latest_by else rows, path, partition)
         return
     touched = rows.select(F.col(partition).alias("_touched")).distinct()
-    held = stored.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    # No more than there are directories; a shuffle by partition would bring each of them to one task whole.
+    held = stored.join(F.broadcast(touched), F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
     write_by(cut(upsert(held, rows, keys, latest_by=latest_by), "merged"), path, partition)
 
 

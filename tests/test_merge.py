@@ -11,7 +11,8 @@ from orderloom.functions.keys import surrogate_key
 from orderloom.operators import merge, scd
 from orderloom.operators.quality import row_checksums
 from orderloom.plans.materialise import materialise
-from orderloom.session import new_folder
+from orderloom.session import cut, new_folder
+from orderloom.sources import tables
 from orderloom.sources.increments import IncrementTable
 from orderloom.sources.snapshots import SnapshotTable, WatermarkStore
 from orderloom.sources.tables import merge_partitions, write_by
@@ -198,6 +199,20 @@ def test_partitions_not_touched_stay_as_they_are(spark):
     assert rows(spark.read.parquet(path).select("id", "v")) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_stored_rows_are_not_shuffled_by_partition(spark, monkeypatch):
+    path, plans = new_folder(spark, "whole-years"), []
+    monkeypatch.setattr(tables, "cut", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, label))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for v in "ab":
+            merge_partitions(spark.createDataFrame([(1, v, 2023), (2, v, 2024)], "id int, v string, y int"), path, ["id"], "y")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and plans[0].count("LeftSemi") == 1 and "SortMergeJoin [coalesce" not in plans[0]
+    assert rows(spark.read.parquet(path).select("id", "v")) == [(1, "b"), (2, "b")]
+
+
 def test_rows_without_a_partition_value_are_kept(spark):
     path, kind = new_folder(spark, "nulls"), "id int, v string, y int"
     merge_partitions(spark.createDataFrame([(1, "a", None), (2, "b", 2024)], kind), path, ["id"], "y")
