@@ -101,6 +101,27 @@ def test_requests_take_what_earlier_ones_left(spark, hot_rows):
     assert {r.p: r.available for r in after.collect()} == left
 
 
+def test_requests_of_keys_that_are_not_hot_take_one_pass(spark, monkeypatch):
+    """However many a key has; a chain of requests that never fit would take the rounds many of them."""
+    monkeypatch.setattr(merge, "_decrement_in_rounds", None)
+    rnd = random.Random(2)
+    asked = [(rnd.choice("ab"), i, rnd.randrange(1, 400)) for i in range(400)]
+    stock = [("a", 9000), ("b", 100)]
+    df = spark.createDataFrame(asked, "p string, seq int, wanted long").repartition(5)
+    answered, after = merge.guarded_decrement(spark.createDataFrame(stock, "p string, available long"), df, ["p"], "available", "wanted", ["seq"])
+    verdicts, left = taken_in_order(stock, asked)
+    assert {r.seq: r.accepted for r in answered.collect()} == verdicts and dict(rows(after)) == left
+
+
+def test_stock_and_places_that_repeat_go_by_rounds(spark):
+    stock = spark.createDataFrame([("a", 9), ("b", 5), ("b", 5), ("c", 4)], "p string, available long")
+    asked = spark.createDataFrame([("a", 1, 4), ("a", 1, 4), ("b", 1, 5), ("c", 1, 3), ("c", 2, 2), (None, 1, 1), (None, 1, 1)], "p string, seq int, wanted long")
+    answered, _ = merge.guarded_decrement(stock, asked, ["p"], "available", "wanted", ["seq"])
+    found = sorted(map(str, answered.select("p", "seq", "accepted").collect()))
+    assert len(found) == 8 and [r.accepted for r in answered.filter("p = 'c'").orderBy("seq").collect()] == [True, False]
+    assert answered.filter("p IS NULL AND NOT accepted").count() == 2 and answered.filter("p = 'b'").count() == 2
+
+
 def test_no_requests_leave_the_stock(spark):
     stock = spark.createDataFrame([("a", 5)], "p string, available long")
     none = spark.createDataFrame([], "p string, seq int, wanted long")
