@@ -420,6 +420,18 @@ def test_passages(spark):
     assert repeated_passages(make(spark, [])).count() == 0
 
 
+def test_passages_drop_tables_that_are_read(spark, monkeypatch):
+    """Meetings take the most disk, and are gone before the texts are shuffled."""
+    from orderloom.llm.scratch import Scratch
+
+    held, cut = [], Scratch.cut
+    monkeypatch.setattr(Scratch, "cut", lambda self, df, label: held.append((label, sorted(self._paths))) or cut(self, df, label))
+    passage = prose(77, 60)
+    rows = [(i, " ".join(prose(i + 500, 80) + passage)) for i in range(3)]
+    assert {r.doc_id for r in repeated_passages(make(spark, rows)).collect()} == {1, 2}
+    assert held == [("meetings", []), ("regions", ["meetings"]), ("stretches", ["regions"])]
+
+
 def test_passages_do_not_depend_on_partitions(spark):
     """A family of variants in one chunk, in another a document that repeats a later one of them."""
     rows, rng = [], random.Random(9)
