@@ -42,7 +42,7 @@ def _seeds(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     """key, context hash, text, start and size of the context, and bytes of it before the seed, of each seed."""
     spans = K.SpanHash(raw)
     keys = spans.sliding(SEED)
-    text = np.searchsorted(bounds, np.arange(len(keys)), "right") - 1
+    text = K.owners(bounds)[: len(keys)]
     inside = np.arange(len(keys)) + SEED <= bounds[text + 1]
     keys[~inside] = K.U64(2**64 - 1)
     at = np.flatnonzero(K.local_minima(keys, REACH) & inside)
@@ -121,9 +121,11 @@ def _meeting(hot_contexts: int):
         parts = []
         if spans:
             rows, ids, marks = map(np.concatenate, zip(*spans))
+            spans.clear()
             parts.append((ids, marks, np.zeros(len(ids), np.int64), np.ones(len(ids), bool), rows["at"], rows["size"], np.zeros(len(ids), "u1"), np.zeros(len(ids), bool)))
         if seeds:
             rows, ids, marks = map(np.concatenate, zip(*seeds))
+            seeds.clear()
             context = rows["ctx_low"].astype(K.U64) | rows["ctx_high"].astype(K.U64) << K.U64(32)
             order = np.lexsort((ids, context, rows["key"]))
             rows, ids, marks, context = rows[order], ids[order], marks[order], context[order]
@@ -179,16 +181,16 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(v) for v in (key[x], string, ids[x], marks[x], place)], ["key", "string", "doc_id", "mark", "at"])
 
 
-def _compared(table: pa.Table) -> pa.Table:
-    """Spans of contexts that a context of the same seed in a smaller document shares; spans may overlap."""
-    table = table.sort_by("key").combine_chunks()
+def _compared_seeds(table: pa.Table) -> pa.Table:
+    """``_compared`` of some seeds, sorted by key."""
     key, ids, marks, at, left = (np.asarray(table.column(c)) for c in ("key", "doc_id", "mark", "at", "left"))
     raw, bounds = K.utf8(table.column("context").chunk(0))
     start, size = bounds[:-1], np.diff(bounds)
     groups = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
     right = size - left - SEED
     sides = []
-    for suffixes in (Suffixes(raw, start + left + SEED, right), Suffixes(np.ascontiguousarray(raw[::-1]), len(raw) - start - left, left)):
+    for mirrored in (False, True):
+        suffixes = Suffixes(np.ascontiguousarray(raw[::-1]), len(raw) - start - left, left) if mirrored else Suffixes(raw, start + left + SEED, right)
         order = suffixes.sort(groups)
         shared = suffixes.neighbours(order, groups)
         shared[groups[:-1]] = -1
@@ -198,10 +200,11 @@ def _compared(table: pa.Table) -> pa.Table:
     for j in range(REACH):  # the window that ends j bytes behind the seed
         for (order, shared), n, name in zip(sides, (j, REACH - 1 - j), alike):
             name[order] = np.cumsum(shared < n)
-        rows = np.flatnonzero((right >= j) & (left >= REACH - 1 - j))
+        several = [np.bincount(name)[name] > 1 for name in alike]  # a side that no other context has shares nothing
+        rows = np.flatnonzero((right >= j) & (left >= REACH - 1 - j) & several[0] & several[1])
         name = alike[0][rows] * (len(key) + 1) + alike[1][rows]
-        rows = rows[np.lexsort((ids[rows], name))]
-        name = np.sort(name)
+        order = np.lexsort((ids[rows], name))
+        rows, name = rows[order], name[order]
         new = np.ones(len(name), bool)
         new[1:] = name[1:] != name[:-1]
         least = ids[rows][np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -215,6 +218,19 @@ def _compared(table: pa.Table) -> pa.Table:
     )
 
 
+def _compared(table: pa.Table) -> pa.Table:
+    """Spans of contexts that a context of the same seed in a smaller document shares; spans may overlap.
+
+    Whole seeds are compared, about CHUNK_BYTES of contexts at once: the arrays stay small however many contexts a bucket has.
+    """
+    table = table.sort_by("key").combine_chunks()
+    key, size = np.asarray(table.column("key")), np.asarray(pc.binary_length(table.column("context")), np.int64)
+    heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    part = (np.cumsum(size) - size)[heads] // K.CHUNK_BYTES
+    cuts = [*heads[np.flatnonzero(np.r_[True, part[1:] != part[:-1]])].tolist(), len(key)]
+    return pa.concat_tables([_compared_seeds(table.slice(a, b - a)) for a, b in zip(cuts, cuts[1:])])
+
+
 def _spans_of(text_bytes: int, spans: list[dict] | None) -> list[tuple[int, int]]:
     """Maximal runs of the union of spans."""
     out: list[list[int]] = []

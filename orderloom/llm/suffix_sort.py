@@ -1,4 +1,7 @@
-"""Suffix sort by hashes: merge sort whose comparisons find the common extension by binary search on prefix hashes."""
+"""Suffix sort by hashes: merge sort whose comparisons find the common extension by binary search on prefix hashes.
+
+The first eight bytes are sorted as numbers beforehand, so that only suffixes that begin alike are merged.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +9,9 @@ import numpy as np
 
 from orderloom.llm import kernels as K
 
+#: Bytes of a suffix that are sorted as one number.
+HEAD = 8
+
 
 class Suffixes:
     """Suffixes of one byte string: starts and lengths (a suffix may be cut short)."""
@@ -17,12 +23,12 @@ class Suffixes:
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Length of the common extension of suffixes x and y: binary search over equal prefix hashes."""
         low, high = np.zeros(len(x), np.int64), np.minimum(self.length[x], self.length[y])
-        a, b = self.start[x], self.start[y]
-        while (open_ := low < high).any():
-            middle = (low + high + 1) // 2
-            same = self.hash.plain(a, a + middle) == self.hash.plain(b, b + middle)
-            low = np.where(open_ & same, middle, low)
-            high = np.where(open_ & ~same, middle - 1, high)
+        a, b = self.hash.spans_from(self.start[x]), self.hash.spans_from(self.start[y])
+        while (low < high).any():
+            middle = (low + high + 1) // 2  # a closed search stays where it is
+            same = a(middle) == b(middle)
+            low = np.where(same, middle, low)
+            high = np.where(same, high, np.maximum(middle - 1, low))
         return low
 
     def before(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -34,9 +40,31 @@ class Suffixes:
         byte_y = np.where(end_y, -1, self.raw[np.minimum(self.start[y] + n, last)].astype(np.int64))
         return byte_x < byte_y
 
+    def heads(self) -> np.ndarray:
+        """The first HEAD bytes of each suffix as a number that sorts as they do; what is missing counts as zero bytes."""
+        out, last = np.zeros(len(self.start), K.U64), max(len(self.raw) - 1, 0)
+        for i in range(HEAD if len(self.raw) else 0):
+            byte = self.raw[np.minimum(self.start + i, last)].astype(K.U64)
+            out = out << K.U64(8) | np.where(i < self.length, byte, K.U64(0))
+        return out
+
     def sort(self, groups: np.ndarray) -> np.ndarray:
-        """Order of the suffixes within each group; ``groups``: n + 1 bounds. Stable, bottom up, all groups at once."""
-        order = np.arange(len(self.start))
+        """Order of the suffixes within each group; ``groups``: n + 1 bounds. Stable. Of equal suffixes one is merged, where heads are equal."""
+        heads, whole, group = self.heads(), self.hash(self.start, self.start + self.length), K.owners(groups)
+        order = np.lexsort((whole, heads, group))
+        tie, new = np.ones(len(order), bool), np.ones(len(order), bool)
+        tie[1:] = (group[1:] != group[:-1]) | (heads[order[1:]] != heads[order[:-1]])
+        new[1:] = tie[1:] | (whole[order[1:]] != whole[order[:-1]])
+        first = np.flatnonzero(new)  # of each run of equal suffixes
+        runs = self._merged(order[first], np.r_[np.flatnonzero(tie[first]), len(first)])
+        size = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int64)
+        place[order[first]], size[order[first]] = first, np.diff(np.r_[first, len(order)])
+        size = size[runs]
+        return order[np.repeat(place[runs] - (np.cumsum(size) - size), size) + np.arange(len(order))]
+
+    def _merged(self, order: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        """``order`` with each group sorted: a stable merge sort, bottom up, all groups at once."""
         group = K.owners(groups)
         first, size = groups[:-1][group], np.diff(groups)[group]
         place = np.arange(len(order)) - first

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from brute import components, make, repeated_words, repeats, words
 from orderloom.llm import kernels as K
-from orderloom.llm import langid, token_store
+from orderloom.llm import langid, suffix_dedup, token_store
 from orderloom.llm.components import connected_components
 from orderloom.llm.decontam import aligned, mark_leaks
 from orderloom.llm.fertility import fertility
@@ -239,6 +239,42 @@ def test_suffix_sort_orders_each_group():
             assert n == next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
 
 
+def test_equal_suffixes_are_merged_once(monkeypatch):
+    words = [b"the same beginning, and one end", b"the same beginning, and another", b"the same b", b""]
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    which = np.random.default_rng(5).integers(0, 4, 2000)
+    sizes = np.array(list(map(len, words)))
+    s = Suffixes(raw, (np.cumsum(sizes) - sizes)[which], sizes[which])
+    asked, common = [], Suffixes.common
+    monkeypatch.setattr(Suffixes, "common", lambda self, x, y: asked.append(len(x)) or common(self, x, y))
+    order = s.sort(np.array([0, 900, 2000]))
+    for a, b in ((0, 900), (900, 2000)):
+        assert order[a:b].tolist() == sorted(range(a, b), key=lambda i: (words[which[i]], i))
+    assert sum(asked) < 100
+
+
+def test_suffixes_with_zero_bytes_are_ordered():
+    words = [b"a\0", b"a", b"a\0\0\0\0\0\0\0\0b", b"a\0\0\0\0\0\0\0\0", b"", b"\0", b"a\0\0\0\0\0\0\0", b"a"]
+    sizes = np.array(list(map(len, words)))
+    s = Suffixes(np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes, sizes)
+    assert s.sort(np.array([0, 8])).tolist() == sorted(range(8), key=lambda i: (words[i], i))
+
+
+def test_contexts_of_a_bucket_are_compared_in_parts(monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 600
+    texts = [bytes(rng.integers(97, 99, 84, np.uint8)) if i % 3 else b"x" * 84 for i in range(n)]
+    key = rng.integers(0, 40, n)
+    table = pa.table({"key": key, "doc_id": np.arange(n), "mark": np.arange(n), "at": np.zeros(n, int), "left": np.full(n, 34), "context": pa.array(texts, pa.binary())})
+    rows = lambda t: sorted(zip(*(t[c].to_pylist() for c in t.column_names)))
+    whole = rows(suffix_dedup._compared(table))
+    sizes, init = [], K.SpanHash.__init__
+    monkeypatch.setattr(K.SpanHash, "__init__", lambda self, raw: sizes.append(len(raw)) or init(self, raw))
+    monkeypatch.setattr(K, "CHUNK_BYTES", 8000)
+    assert rows(suffix_dedup._compared(table)) == whole != []
+    assert max(sizes) < 8000 + 84 * np.bincount(key).max() and sum(sizes) == 2 * 84 * n
+
+
 @pytest.mark.parametrize("seed, hot", [(0, 10**6), (1, 10**6), (2, 10**6), (2, 3), (3, 0)])
 def test_repeats_are_removed(spark, seed, hot):
     rng = random.Random(seed)
