@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,31 @@ from orderloom.session import cut
 #: Words that a worker remembers while packing: it may still hold what the earlier stages left.
 CACHE_WORDS = 120_000
 
+#: Most that is sent to a worker at once, about; Spark's own limit of 10,000 rows is some 20 MB of documents, held on both sides.
+BATCH_BYTES = 4 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def bounded(stage: Stage) -> Stage:
+    """``stage`` with batches of BATCH_BYTES; the setting stays, since the result is computed later."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, folder)
+
+    return run
+
+
+@bounded
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose language a model recognises, with all their columns; rejected ones go."""
     models = langid.fit(docs)
     return langid.identified(docs, models).filter("NOT rejected").select(*docs.columns)
 
 
+@bounded
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Near duplicates (0.75 on five-word shingles): the smallest doc_id of each group stays.
 
@@ -36,6 +53,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     return docs.join(kept, docs.doc_id.eqNullSafe(F.col("__kept")), "left_semi")
 
 
+@bounded
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without the byte strings of 50 that an earlier document has; a character that is cut goes as a whole.
 
@@ -49,12 +67,14 @@ def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     return out.select(*docs.columns)
 
 
+@bounded
 def without_test_items(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no item of ``benchmark``."""
     marked = mark_leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
     return marked.filter(F.size("leaks") == 0).select(*docs.columns)
 
 
+@bounded
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of at most 1024 ids with their ids, one sequence each."""
     return pack_by_powers(docs, vocabulary("byte_bpe_50k.json"), cache_words=CACHE_WORDS)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -160,3 +161,22 @@ def test_pipeline_of_odd_rows(spark, folder, documents):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.cut(stage(spark, docs, folder), name)
         assert docs.count() >= (0 if source is not odd else 1)
+
+
+def test_pipeline_sends_small_batches(spark, folder):
+    text = "ten letters " * 400
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", f"concat(id, ' {text}') AS text")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        for _, stage in corpus_pipeline.STAGES[3:4]:
+            stage(spark, docs, folder)
+        sent = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sum(sent) > 16 << 20 and max(sent) < 1.5 * corpus_pipeline.BATCH_BYTES
