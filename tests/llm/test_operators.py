@@ -3,7 +3,9 @@
 import hashlib
 import math
 import random
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +21,13 @@ from orderloom.llm.fertility import fertility
 from orderloom.llm.near_dup import near_duplicates
 from orderloom.llm.packing import binary_lengths, pack_by_powers
 from orderloom.llm.passages import compact_windows, repeated_passages
+from orderloom.llm.scratch import Scratch
 from orderloom.llm.shards import byte_shards
 from orderloom.llm.suffix_dedup import remove_repeats
 from orderloom.llm.suffix_sort import Suffixes
 from orderloom.llm.tokens import ByteBpe, vocabulary
 from orderloom.llm.url_rules import UrlRule, host_and_path, host_rule, judge_urls, word_rule
-from orderloom.session import new_folder
+from orderloom.session import cut, new_folder
 
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 VOCABULARY = [f"w{i}" for i in range(400)]
@@ -509,3 +512,23 @@ def test_packing(spark):
     assert pack_by_powers(make(spark, []), vocabulary(BPE)).count() == 0
     with pytest.raises(ValueError):
         pack_by_powers(make(spark, rows), vocabulary(BPE), longest=1000)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    dirs = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled() -> set[Path]:
+        return {p for d in dirs for p in Path(d).rglob("shuffle_*.data")}
+
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    scratch = Scratch(spark, "cleanup")
+    rows = spark.range(2000).groupBy((F.col("id") % 100).alias("k")).count()
+    tables = [scratch.cut(rows, "counts"), cut(rows, "counts")]
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:  # Spark drops them beside the job
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert [t.agg(F.sum("count")).first()[0] for t in tables] == [2000, 2000]
+    assert spark.conf.get(key) == setting
+    scratch.drop()
