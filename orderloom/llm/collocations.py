@@ -40,6 +40,11 @@ _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(10, 14)]] = True
 _BLANKS = _BREAKS.copy()
 _BLANKS[[9, 32]] = True
+_BLANK_BYTES = np.flatnonzero(_BLANKS).astype(np.uint8).tobytes()
+# As tables of bytes.translate: lower case, blanks as spaces, breaks as ones.
+_LOWERED = K.lowered(np.arange(256, dtype=np.uint8)).tobytes()
+_SPACED = np.where(_BLANKS, 32, np.arange(256)).astype(np.uint8).tobytes()
+_MARKED = _BREAKS.tobytes()
 _FACTORS = K.random_words(41, LONGEST) | K.U64(1)
 _SHARD_SEEDS = K.random_words(42, SHARDS)
 _BUCKET = 1 << 15  # bits in one value of Spark's bitmap functions
@@ -71,14 +76,13 @@ class Pieces:
 
     def __init__(self, batch: pa.RecordBatch):
         raw, bounds = K.utf8(batch.column("text"))
-        raw = K.lowered(raw)
-        blank = np.where(_BLANKS[raw], np.uint8(32), raw)
-        starts, ends, of = K.words(blank, bounds)
+        whole = raw.tobytes()
+        starts, ends, of = K.words(np.frombuffer(whole.translate(_SPACED), np.uint8), bounds)
         doc = K.owners(of)
         # Words of one piece share the number of breaks before them; the text counts as a break too.
-        self.piece = np.cumsum(_BREAKS[raw], dtype=np.int32)[starts].astype(np.int64) + doc if len(starts) else np.zeros(0, np.int64)
+        self.piece = np.searchsorted(np.flatnonzero(np.frombuffer(whole.translate(_MARKED), bool)), starts) + doc
         sizes = ends - starts
-        letters = raw[~_BLANKS[raw]]
+        letters = whole.translate(_LOWERED, _BLANK_BYTES)
         offsets = np.r_[0, np.cumsum(sizes)].astype(np.int64)
         texts = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
         encoded = texts.dictionary_encode()

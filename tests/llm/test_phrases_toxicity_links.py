@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -259,3 +260,18 @@ def test_links_of_odd_tables(spark, by_hand):
     twice = L.token_links(make(spark, [(1, "a b")] * 2), A, B).collect()
     once = L.token_links(make(spark, [(1, "a b")]), A, B).collect()
     assert len(twice) == 2 and twice[0] == twice[1] and twice[0].count_sum == 2 * once[0].count_sum
+
+
+def test_pieces_of_odd_texts():
+    texts = [None, "", " .", "A b.C\td\x0be", "".join(map(chr, range(128))), "É,日本 x\u00a0Y\x00z!", "A"]
+    langs = pa.array(["en", None] * 3 + ["en"])
+    pieces = C.Pieces(pa.record_batch([pa.array(texts), langs, pa.array(range(7), pa.int32())], ["text", "lang", "shard"]))
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = [[re.findall(r"[^\x20\x09]+", part) for part in re.split(r"[.,;:!?\x0A-\x0D]", (t or "").translate(lower))] for t in texts]
+    names = pieces.names.to_pylist()
+    assert [names[w].decode() for w in pieces.word] == [w for parts in rows for part in parts for w in part]
+    together = [x == y for x, y in zip(pieces.piece, pieces.piece[1:])]
+    where = [(i, j) for i, parts in enumerate(rows) for j, part in enumerate(parts) for _ in part]
+    assert together == [x == y for x, y in zip(where, where[1:])]
+    assert pieces.shard.tolist() == [i for i, _ in where]
+    assert len(C.Pieces(pa.record_batch([pa.array([""]), pa.array(["en"]), pa.array([0], pa.int32())], ["text", "lang", "shard"])).piece) == 0
