@@ -72,6 +72,36 @@ def test_ids_by_words_are_the_librarys():
         assert [np.frombuffer(i, bpe.kind).tolist() for i in bpe.ids(texts)] == [library_ids(t) for t in texts]
 
 
+def test_ids_of_words_with_signs_nulls_and_any_length_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    rng, library = random.Random(5), Tokenizer.from_file(vocabulary(BPE))
+    letters = ["a", "b", "Z", "7", "é", "日", "´", "\0", "\x1f", "\x7f", "\n", " ", " ", " ", ",", ".", "_", "'", "'s", "'ll", "<|", "|>", "\U0001f600"]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(3000)]
+    texts += [f"x {'y' * n} {'y' * n}\0 {'é' * n}, {'é' * n}" for n in range(1, 30)] + [" ".join(prose(i, 50)) for i in range(5)]
+    bpe = ByteBpe(vocabulary(BPE), cache_words=40)
+    for _ in range(2):
+        for first in range(0, len(texts), 100):
+            part = texts[first : first + 100]
+            assert [np.frombuffer(i, bpe.kind).tolist() for i in bpe.ids(part)] == [library.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_a_word_is_encoded_once_whatever_sign_follows():
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.given = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.given += sum(map(len, texts))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    bpe = ByteBpe(vocabulary(BPE))
+    bpe.tokenizer = Counted(bpe.tokenizer)
+    for sign in ",.;:!?)]":
+        bpe.ids(["".join(f"{w}{sign} " for w in VOCABULARY) + "end"])
+    assert bpe.tokenizer.given < 2 * sum(len(w) + 1 for w in VOCABULARY)
+
+
 def test_components_of_a_chain_and_loops(spark):
     links = [(i, i + 1) for i in range(10, 60)] + [(5, 5), (3, 4), (4, 3), (None, 3)]
     found = {r.node: r.component for r in connected_components(make(spark, links, "a long, b long")).collect()}
