@@ -17,10 +17,8 @@ CACHE_WORDS = 600_000
 SHORT_BYTES = 23
 #: A space before white space or the end: there a text may not be cut into words.
 _UNSAFE = re.compile(r" (?:\s|$)")
-_ASCII = bytes(range(128)).decode()
-#: ASCII letters and digits, and ASCII signs; white space and control characters are neither.
-_ALNUM = np.array([c.isalnum() for c in _ASCII] + [False] * 128)
-_SIGN = np.array([c.isprintable() and not c.isalnum() and c != " " for c in _ASCII] + [False] * 128)
+#: 1 for ASCII letters and digits, 2 for ASCII signs, 3 for the space, 0 for all others: also other white space, control characters.
+_CLASSES = bytes(0 if i > 127 or not chr(i).isprintable() else 1 if chr(i).isalnum() else 3 if i == 32 else 2 for i in range(256))
 _MASKS = np.array([[(1 << 8 * min(max(n - first, 0), 8)) - 1 for n in range(SHORT_BYTES + 1)] for first in (0, 8, 16)], K.U64)
 _LENGTHS = np.arange(SHORT_BYTES + 1, dtype=K.U64) << K.U64(56)
 _SEEDS = K.random_words(13, 3) | K.U64(1)
@@ -177,13 +175,13 @@ class ByteBpe:
             self._old, self._new = self._new, KnownWords(self.kind)
         parts = [t.encode() for t in texts]
         joined = b"".join([*parts, bytes(24)])
-        raw = np.frombuffer(joined, np.uint8)[:-24]
+        classes = np.frombuffer(joined.translate(_CLASSES), np.uint8)[:-24]
         texts_at = np.r_[0, np.cumsum([len(p) for p in parts])]
-        opens = raw == 32
-        opens[1:] |= _SIGN[raw[1:]] & _ALNUM[raw[:-1]]
+        opens = classes == 3
+        opens[1:] |= (classes[1:] == 2) & (classes[:-1] == 1)
         opens[texts_at[:-1]] = True
         starts = np.flatnonzero(opens)
-        sizes = np.diff(starts, append=len(raw))
+        sizes = np.diff(starts, append=len(classes))
         short, longer = np.flatnonzero(sizes <= SHORT_BYTES), np.flatnonzero(sizes > SHORT_BYTES)
         places = np.zeros(len(starts), K.U64)
         places[short] = self._short(joined, starts[short], sizes[short])
