@@ -517,6 +517,82 @@ def test_passages_do_not_depend_on_partitions(spark):
     assert want and others == [want, want]
 
 
+def test_passages_name_every_earlier_document(spark):
+    """First and last of a family hold the same passage, those between variants; each pair that is alike is found."""
+    rows, rng = [], random.Random(5)
+    for f in range(60):
+        passage = prose(13000 + f, 60)
+        for i in range(8):
+            mine = [w if i in (0, 7) or rng.random() > 0.07 else f"y{rng.randrange(10**6)}" for w in passage]
+            rows.append((10 * f + i, " ".join(prose(20000 + 10 * f + i, 60) + mine + prose(30000 + 10 * f + i, 40))))
+    common = prose(12999, 60)
+    rows += [(1000 + i, " ".join(prose(41000 + i, 50 + i) + common + prose(42000 + i, 30))) for i in range(12)]
+    found = {(r.doc_id, r.other_id) for r in repeated_passages(make(spark, rows)).collect()}
+    assert {(10 * f + 7, 10 * f) for f in range(60)} <= found
+    assert {(1000 + i, 1000 + j) for i in range(12) for j in range(i)} <= found
+    sets = {i: {tuple(w) for w in zip(*(t.split()[60 + k : 116 + k] for k in range(5)))} for i, t in rows if i < 1000}
+    alike = {(i, j) for i in sets for j in sets if j < i and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(alike & found) >= 0.95 * len(alike)
+
+
+def test_every_window_meets_those_of_earlier_documents(monkeypatch):
+    from orderloom.llm import passages as P
+
+    rng = np.random.default_rng(11)
+    monkeypatch.setattr(P, "PAIRS_AT_ONCE", 7)
+    for n, block in ((0, 4), (1, 4), (40, 1000), (200, 1000), (200, 4), (200, 16)):
+        monkeypatch.setattr(P, "BLOCK", block)
+        key, ids, by, at, before, behind = (rng.integers(0, top, n) for top in (4, 30, 2, 500, 90, 90))
+        rows = []
+        for x in range(n):
+            for y in range(n):
+                left, right = min(before[x], before[y]), min(behind[x], behind[y])
+                if (key[x], by[x]) == (key[y], by[y]) and ids[y] < ids[x] and left + right + 1 >= P.TOKENS:
+                    rows.append(tuple(map(int, (ids[x], ids[y], by[x], at[x] - left, at[y] - left, left + right + 1))))
+        chains = P._chains(key.astype(np.uint64), ids, by, at, before, behind)
+        assert len(chains) == n  # no two of these windows lie in one another
+        assert n < 2 or rows
+        parcels = [(P.unpacked(P.packed(c), P._CHAIN), split) for c, split in P._blocks(chains)]
+        met = [tuple(map(int, r)) for c, split in parcels for part in P._met(c, split) for r in part]
+        assert sorted(met) == sorted(rows)
+
+
+def test_a_word_that_stands_many_times_meets_as_one():
+    """Windows of a repeated token lie in one another: all places and shifts they meet at are kept."""
+    from orderloom.llm import passages as P
+
+    step, windows = 3, []
+    for doc, (start, many) in enumerate([(5, 40), (0, 60)]):
+        values = np.full(start + many * step, 9, np.uint64)
+        values[start::step] = 1
+        _, at, first, last = compact_windows(values, np.array([0, len(values)]), P.TOKENS)
+        windows += [(1, doc, 0, a, a - f, e - a) for a, f, e in zip(at.tolist(), first.tolist(), last.tolist())]
+    key, ids, by, at, before, behind = np.array(windows).T
+    chains = P._chains(key.astype(np.uint64), ids, by, at, before, behind)
+    assert len(chains) == 2 and len(windows) > 50
+    rows = np.concatenate([r for c, split in P._blocks(chains) for r in P._met(c, split)])
+    starts, shifts, ends = rows[:, 3], rows[:, 4] - rows[:, 3], rows[:, 3] + rows[:, 5]
+    for x in windows:
+        for y in windows:
+            left, right = min(x[4], y[4]), min(x[5], y[5])
+            if y[1] < x[1] and left + right + 1 >= P.TOKENS:
+                assert starts.min() <= x[3] - left and x[3] + right < ends.max() and shifts.min() <= y[3] - x[3] <= shifts.max()
+    assert len(rows) == 2
+
+
+def test_pairs_that_go_over_batches_are_one():
+    import pyarrow as pa
+
+    from orderloom.llm import passages as P
+
+    rows = np.array([(i, j, by, 5 * by, 5 * by + j, 70) for i in range(3) for j in range(i) for by in range(3)])
+    table = pa.table([pa.array(c, f.type) for c, f in zip(rows.T, P._PAIR)], schema=P._PAIR)
+    want, *others = ([r for b in P._paired(iter(table.to_batches(n))) for r in b.to_pylist()] for n in (100, 1, 2, 4))
+    key = lambda r: sorted(r.items())
+    assert len(want) == 6 and all(sorted(o, key=key) == sorted(want, key=key) for o in others)
+    assert list(P._paired(iter([]))) == []
+
+
 # --- 10
 
 
