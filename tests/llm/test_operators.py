@@ -593,6 +593,23 @@ def test_pairs_that_go_over_batches_are_one():
     assert list(P._paired(iter([]))) == []
 
 
+def test_pairs_that_share_too_little_hold_no_passage():
+    from orderloom.llm import passages as P
+
+    rng = np.random.default_rng(3)
+    for percent in (75, 90, 100):
+        pairs = []
+        for _ in range(150):
+            mine = rng.integers(0, 2**63, int(rng.integers(0, 120))).astype(np.uint64)
+            theirs = np.where(rng.random(len(mine)) < rng.choice([0.1, 0.2, 0.5]), mine ^ np.uint64(1 << 40), mine)
+            pairs.append((mine, theirs[: int(rng.integers(0, 121))]))
+        (a, b), (x, y) = ((np.concatenate(side), np.r_[0, np.cumsum([len(s) for s in side])]) for side in zip(*pairs))
+        shared = P._shared(a, b, x, y)
+        assert shared.tolist() == [int(np.isin(m, t).sum()) for m, t in pairs]
+        found = [bool(P.verified(m, t, percent)) for m, t in pairs]
+        assert any(found) and all(n >= P._least_shared(percent) for n, f in zip(shared, found) if f)
+
+
 # --- 10
 
 
